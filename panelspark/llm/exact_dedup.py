@@ -156,11 +156,15 @@ def compact(width: int):
     return run
 
 
-def digest_entries(docs: DataFrame, digest_bytes: int = 32) -> DataFrame:
-    """doc_id, chars (code points of the original text), text_sha256 and the index key of every row."""
+def _normalised(docs: DataFrame) -> DataFrame:
+    """doc_id, chars (code points of the original text), norm."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("chars"), F.sha2(F.regexp_replace(text, WHITE_SPACE, ""), 256).alias("text_sha256"))
-    return rows.withColumn("digest", F.substring(F.unhex("text_sha256"), 1, digest_bytes))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("chars"), F.regexp_replace(text, WHITE_SPACE, "").alias("norm"))
+
+
+def digest_entries(docs: DataFrame) -> DataFrame:
+    """doc_id, chars and the SHA-256 of the normalised text of every row."""
+    return _normalised(docs).select("doc_id", "chars", F.unhex(F.sha2("norm", 256)).alias("sha"))
 
 
 def lsm_index(entries: DataFrame, digest_bytes: int = 32) -> DataFrame:
@@ -177,29 +181,30 @@ def exact_dedup(docs: DataFrame, digest_bytes: int = 32) -> DataFrame:
 
     ``digest_bytes``: bytes of the SHA-256 that key the index; fewer only to exercise the verification.
     """
-    spark = docs.sparkSession
-    small_batches(spark, 20_000)
-    entries = stash(digest_entries(docs, digest_bytes), "lsm-entries")
+    small_batches(docs.sparkSession, 20_000)
+    entries = stash(digest_entries(docs), "lsm-entries").withColumn("digest", F.substring("sha", 1, digest_bytes))
     index = stash(lsm_index(entries, digest_bytes), "lsm-index")
-    member = entries.join(index, "digest")
-    hits = stash(member.filter("group_size > 1").select("doc_id", "digest", "keep_id").distinct(), "lsm-hits")
-    n_hits = hits.count()
-    texts = only_maybe(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_replace(F.coalesce("text", F.lit("")), WHITE_SPACE, "").alias("norm")), "doc_id", key_filter(hits, "doc_id", n_hits))
-    texts = texts.withColumn("digest", F.substring(F.unhex(F.sha2("norm", 256)), 1, digest_bytes))
-    hit_texts = texts.join(hits.withColumnRenamed("doc_id", "_id").withColumnRenamed("digest", "_digest"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))).select("doc_id", "digest", "keep_id", "norm")
-    keeper = hit_texts.filter("doc_id <=> keep_id").select("digest", F.col("norm").alias("kept_norm")).dropDuplicates(["digest"])
-    clash = stash(hit_texts.join(keeper, "digest").filter("norm <> kept_norm").select("digest").distinct(), "lsm-clash")
+    member = entries.join(index, "digest").select("doc_id", "keep_id", "group_size", "sha", "digest")
+    clash = stash(clashing(docs, index.filter("group_size > 1").select("digest"), digest_bytes), "lsm-clash")
     if not clash.isEmpty():
         member = _regrouped(docs, member, clash, digest_bytes)
-    return member.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return member.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def clashing(docs: DataFrame, hits: DataFrame, digest_bytes: int) -> DataFrame:
+    """Digests of ``hits`` that stand for more than one normalised text: the bytes of all hits are compared.
+
+    Only texts whose digest may be a hit are moved, and equal ones leave a task once.
+    """
+    rows = _normalised(docs).select("norm", F.substring(F.unhex(F.sha2("norm", 256)), 1, digest_bytes).alias("digest"))
+    texts = only_maybe(rows, "digest", key_filter(hits, "digest", hits.count())).select("digest", "norm").distinct()
+    return texts.groupBy("digest").agg(F.count("*").alias("texts")).filter("texts > 1").select("digest")
 
 
 def _regrouped(docs: DataFrame, member: DataFrame, clash: DataFrame, digest_bytes: int) -> DataFrame:
     """``member`` with the rows of clashing digests grouped by their whole normalised text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("chars"), F.regexp_replace(text, WHITE_SPACE, "").alias("norm"))
-    rows = rows.withColumn("text_sha256", F.sha2("norm", 256)).withColumn("digest", F.substring(F.unhex("text_sha256"), 1, digest_bytes)).join(clash, "digest", "left_semi")
+    rows = _normalised(docs).withColumn("sha", F.unhex(F.sha2("norm", 256))).withColumn("digest", F.substring("sha", 1, digest_bytes)).join(clash, "digest", "left_semi")
     best = rows.groupBy("norm").agg(F.min(F.struct((-F.col("chars")).alias("c"), F.coalesce("doc_id", F.lit(int(NO_ID))).alias("id"))).alias("b"), F.count("*").alias("group_size"))
     best = best.select("norm", F.when(F.col("b.id") != int(NO_ID), F.col("b.id")).alias("keep_id"), "group_size")
-    again = rows.join(best, "norm").select("doc_id", "keep_id", "group_size", "text_sha256")
-    return member.join(clash, "digest", "left_anti").select("doc_id", "keep_id", "group_size", "text_sha256").unionByName(again)
+    again = rows.join(best, "norm").select("doc_id", "keep_id", "group_size", "sha", "digest")
+    return member.join(clash, "digest", "left_anti").unionByName(again)
