@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +40,14 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def process_cache(key: str, make):
+    """What ``make()`` gave when ``key`` was first asked for in this Python process: tables that tasks of a worker share."""
+    held = sys.modules.setdefault("_panelspark_held", types.ModuleType("_panelspark_held")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 

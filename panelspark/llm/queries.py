@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm.exact_dedup import exact_dedup
 from panelspark.llm.langid import fit_languages
+from panelspark.llm.packing import pack_documents
+from panelspark.llm.pieces import decode, encode
 from panelspark.llm.toxicity import fit_toxicity
 
 
@@ -32,6 +35,17 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    there_and_back = decode(encode(documents(spark, sf_dir), path), path)
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return there_and_back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 OP1_SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
@@ -46,7 +60,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
