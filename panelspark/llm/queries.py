@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm.exact_dedup import exact_dedup
 from panelspark.llm.langid import fit_languages
+from panelspark.llm.line_dedup import line_report
 from panelspark.llm.packing import pack_documents
 from panelspark.llm.pieces import decode, encode
+from panelspark.llm.secret_scan import scan_secrets
 from panelspark.llm.toxicity import fit_toxicity
 
 
@@ -46,6 +48,24 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(documents(spark, sf_dir))
+
+    def listed(kept: Callable | None) -> Column:
+        spans = F.filter("findings", kept) if kept else F.col("findings")
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = ("assign", "access", "hex")
+    return found.select("doc_id", *map(number, base), F.sha2(listed(lambda x: x["kind"].isin(*base)), 256).alias("base_sha256"), listed(None).alias("spans"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
+
+
 OP1_SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
@@ -60,7 +80,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
