@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from panelspark.llm.exact_dedup import exact_dedup
 from panelspark.llm.langid import fit_languages
 from panelspark.llm.line_dedup import line_report
+from panelspark.llm.minhash import near_duplicates
 from panelspark.llm.packing import pack_documents
 from panelspark.llm.pieces import decode, encode
 from panelspark.llm.secret_scan import scan_secrets
@@ -66,6 +67,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 OP1_SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
@@ -80,7 +85,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup, op9_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
