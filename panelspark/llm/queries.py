@@ -15,6 +15,7 @@ from panelspark.llm.minhash import near_duplicates
 from panelspark.llm.packing import pack_documents
 from panelspark.llm.pieces import decode, encode
 from panelspark.llm.secret_scan import scan_secrets
+from panelspark.llm.suffix_dedup import remove_repeats
 from panelspark.llm.toxicity import fit_toxicity
 
 
@@ -71,6 +72,11 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OP1_SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
@@ -85,7 +91,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup, op9_minhash)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup, op9_minhash, op10_suffix_array)}
 
 
 def oracle_sql() -> dict[str, str]:
