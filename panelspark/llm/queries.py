@@ -15,6 +15,7 @@ from panelspark.llm.minhash import near_duplicates
 from panelspark.llm.packing import pack_documents
 from panelspark.llm.pieces import decode, encode
 from panelspark.llm.secret_scan import scan_secrets
+from panelspark.llm.spotsigs import edited, fingerprint, likeness, signatures, with_next
 from panelspark.llm.suffix_dedup import remove_repeats
 from panelspark.llm.toxicity import fit_toxicity
 
@@ -68,6 +69,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
 
 
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sets of signatures for each document: of its text, of its edited text, and of the next document."""
+    both = with_next(documents(spark, sf_dir)).withColumn("edited_text", edited(F.col("text"), F.col("next_text")))
+    sets = both.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"), signatures(F.col("text")).alias("own"), signatures(F.col("edited_text")).alias("other"), signatures(F.col("next_text")).alias("next"))
+    return sets.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -91,7 +99,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup, op9_minhash, op10_suffix_array)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup, op8_spotsigs, op9_minhash, op10_suffix_array)}
 
 
 def oracle_sql() -> dict[str, str]:
