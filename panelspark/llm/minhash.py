@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import key_filter, only_maybe, process_cache, small_batches, stash
+from panelspark.llm._common import key_filter, maybe_among, only_maybe, process_cache, small_batches, stash
 from panelspark.llm.grouping import link_buckets
 
 WORDS, LEAST_PERCENT = 5, 75
@@ -148,3 +148,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     real = lambda c: F.when(c != _NO_ID, c)
     return out.select(real(F.col("doc_id")).alias("doc_id"), "n_shingles", real(component).alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates: the one of smallest id, once; all columns stay.
+
+    Only rows whose id may be in a group, or may be repeated, are moved.
+    """
+    found = stash(near_duplicates(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("_near_id"), "kept"), "near")
+    touched = stash(found.groupBy("_near_id").agg(F.min("kept").alias("_near_kept"), F.count("*").alias("many")).filter("not _near_kept or many > 1").drop("many"), "near-touched")
+    marked = maybe_among(docs.withColumn("_near_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))), "_near_key", key_filter(touched, "_near_id", touched.count()))
+    rest = marked.filter("_maybe").join(touched, F.col("_near_key") == F.col("_near_id"), "left").filter("_near_kept is null or _near_kept")
+    repeated = rest.filter("_near_kept").dropDuplicates(["_near_key"])
+    return marked.filter("not _maybe").select(*docs.columns).unionByName(rest.filter("_near_kept is null").select(*docs.columns)).unionByName(repeated.select(*docs.columns))
