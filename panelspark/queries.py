@@ -1,4 +1,4 @@
-"""Registered queries of the panel engine and the SQL that gives the same rows."""
+"""Registered queries of the panel engine and, apart from the Spark code, the SQL that gives the same rows."""
 
 from __future__ import annotations
 
@@ -7,15 +7,282 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark import testmap as tm
+from panelspark.expr import evaluate, measure
+from panelspark.factors import alpha158, classic, registry, technical  # noqa: F401  importing registers them
+from panelspark.operators import cs, ts
+
+DIGITS = 6
+#: Added before rounding, here and in SQL: prices are cents over small integers, so many values lie right between two digits.
+OFF_TIES = 3e-8
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def held(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name] = f
+        if sql is not None:
+            SQL[name] = sql
+        return f
+
+    return held
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.select(*(F.round(F.col(c) + OFF_TIES, DIGITS).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
+def r(expr: str, name: str) -> str:
+    """A rounded output column of SQL (minus zero becomes zero)."""
+    return f"round(({expr}) + {OFF_TIES!r}, {DIGITS}) + 0 AS {name}"
+
+
+# ---- SQL pieces: rows of an entity in date order -------------------------------------------------------------------------
+
+E = "(PARTITION BY entity ORDER BY dt)"
+
+
+def w(n: int) -> str:
+    return f"(PARTITION BY entity ORDER BY dt ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+
+def roll(agg: str, x: str, n: int, least: int | None = None) -> str:
+    return f"(CASE WHEN count({x}) OVER {w(n)} >= {max(1, n // 2) if least is None else least} THEN {agg}({x}) OVER {w(n)} END)"
+
+
+def lag(x: str, n: int) -> str:
+    return f"lag({x}, {n}) OVER {E}"
+
+
+def div(a: str, b: str) -> str:
+    return f"(({a}) / nullif(({b}), 0))"
+
+
+def panel_sql(columns: dict[str, str], bars: str = tm.DAILY_SQL, steps: tuple[str, ...] = ()) -> str:
+    """Columns over the bars; each step adds columns that the next ones read."""
+    inner = f"({bars})"
+    for s in steps:
+        inner = f"(SELECT *, {s} FROM {inner})"
+    return f"SELECT entity, dt, {', '.join(r(x, n) for n, x in columns.items())} FROM {inner}"
+
+
+def ewm_sql(x: str, span: int, name: str, least: int | None = None) -> tuple[str, str]:
+    """A step and an expression: sums scaled by the row number (the panels here are short enough for that)."""
+    q = 1 - 2 / (span + 1)
+    so_far = "(PARTITION BY entity ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    step = f"sum({x} * pow({q!r}, -rn)) OVER {so_far} AS {name}_n, sum(CASE WHEN {x} IS NOT NULL THEN pow({q!r}, -rn) END) OVER {so_far} AS {name}_d, count({x}) OVER {so_far} AS {name}_c"
+    return step, f"(CASE WHEN {name}_c >= {span if least is None else least} AND {x} IS NOT NULL THEN {name}_n / {name}_d END)"
+
+
+ROW = f"row_number() OVER {E} AS rn"
+
+# ---- technical factors ---------------------------------------------------------------------------------------------------
+
+PRICE = {f"ret_{n}d": div(lag("close", n), "close") + " - 1" for n in (1, 3, 5, 7, 10, 15, 20, 30, 60, 90, 120, 180, 240)}
+PRICE |= {f"amp_{n}d": div(f"{roll('max', 'high', n)} - {roll('min', 'low', n)}", lag("close", n)) for n in (3, 5, 7, 10, 20, 60, 90)}
+PRICE |= {f"high_low_spread_{n}d": div(roll("max", "high", n), roll("min", "low", n)) + " - 1" for n in (5, 10, 20)}
+PRICE |= {"overnight_ret": div("open", lag("close", 1)) + " - 1", "intraday_ret": div("close", "open") + " - 1"}
+
+VOLUME = {f"{k}_change_{n}d": div(x, lag(x, n)) for k, x in (("vol", "volume"), ("amount", "amount")) for n in (3, 5, 10, 20)}
+VOLUME |= {f"vol_mean_{n}d": div(roll("avg", "volume", n), roll("avg", "volume", m)) for n, m in ((5, 20), (10, 60), (20, 60), (60, 120))}
+VOLUME |= {f"amount_mean_{n}d": div(roll("avg", "amount", n), roll("avg", "amount", m)) for n, m in ((5, 20), (10, 20), (20, 60))}
+VOLUME |= {"vol_std_20d": div(roll("stddev_samp", "volume", 20), roll("avg", "volume", 20)), "vol_max_20d": div("volume", roll("max", "volume", 20))}
+
+MOMENT_STEPS = (f"{roll('avg', 'close', 20)} AS cm, {roll('stddev_samp', 'close', 20)} AS cs, {roll('avg', 'volume', 20)} AS vm, {roll('stddev_samp', 'volume', 20)} AS vs",)
+ROLLING = {f"close_mean_{n}d": div(roll("avg", "close", n), "close") + " - 1" for n in (3, 5, 7, 10, 20, 30, 60, 90, 120)}
+ROLLING |= {f"close_std_{n}d": div(roll("stddev_samp", "close", n), roll("avg", "close", n)) for n in (5, 10, 20, 30, 60, 90, 120)}
+ROLLING |= {f"close_{k}_{n}d": div("close", roll(k, "close", n)) for k in ("max", "min") for n in (5, 10, 20, 60)}
+ROLLING |= {f"{x}_{k}_20d": div(roll("avg", f"pow({y} - {m}, {p})", 20), f"pow({s}, {p})") for x, y, m, s, k, p in (("close", "close", "cm", "cs", "skew", 3), ("close", "close", "cm", "cs", "kurt", 4), ("vol", "volume", "vm", "vs", "skew", 3))}
+ROLLING |= {f"vol_std_{n}d": div(roll("stddev_samp", "volume", n), roll("avg", "volume", n)) for n in (5, 10)}
+ROLLING |= {f"{x}_mean_{n}d": div(roll("avg", x, n), "close") for x in ("high", "low") for n in (5, 10)}
+
+MOMENTUM = {f"mom_{n}d": f"close - {lag('close', n)}" for n in (1, 3, 5, 7, 10, 15, 20, 60, 90, 120)}
+MOMENTUM |= {f"ma_dev_{n}d": div(f"close - {roll('avg', 'close', n)}", roll("avg", "close", n)) for n in (5, 10, 20, 60)}
+MOMENTUM |= {f"ma_dev_{n}_{m}": div(roll("avg", "close", n), roll("avg", "close", m)) + " - 1" for n, m in ((5, 20), (10, 60))}
+MOMENTUM |= {f"chg_{n}d": div("close", lag("close", n)) + " - 1" for n in (5, 10, 20, 30, 60, 90)}
+
+DRAWDOWN = {f"dd_{n}d": div("close", roll("max", "close", n)) + " - 1" for n in (5, 10, 20, 60, 120)}
+DRAWDOWN |= {f"atr_{n}": div(roll("avg", "high - low", n), "close") for n in (5, 7, 14)}
+
+_PAIRS = (("corr_close_vol_20", "close", "volume"), ("corr_close_amount_20", "close", "amount"), ("corr_high_low_20", "high", "low"))
+CORR_STEPS = (", ".join(f"{roll('avg', x, 20)} AS {x}_m, {roll('stddev_samp', x, 20)} AS {x}_s" for x in ("close", "volume", "amount", "high", "low")),)
+CORRELATION = {n: div(roll("sum", f"({a} - {a}_m) * ({b} - {b}_m)", 20), f"20 * {a}_s * {b}_s") for n, a, b in _PAIRS}
+
+_EWM = {span: ewm_sql("close", span, f"e{span}") for span in (12, 26)}
+_GAIN = {span: (ewm_sql("gain", span, f"g{span}"), ewm_sql("loss", span, f"l{span}")) for span in (6, 9, 14, 24, 48)}
+TECH_STEPS = (f"{ROW}, greatest(close - {lag('close', 1)}, 0) AS gain0, {lag('close', 1)} AS before", "CASE WHEN before IS NOT NULL THEN greatest(close - before, 0) END AS gain, CASE WHEN before IS NOT NULL THEN greatest(before - close, 0) END AS loss", ", ".join([s for s, _ in _EWM.values()] + [s for pair in _GAIN.values() for s, _ in pair]))
+TECH = {f"rsi_{span}": f"CASE WHEN {loss} > 0 THEN 100 - 100 / (1 + {gain} / {loss}) WHEN {gain} >= 0 THEN 100 END" for span, ((_, gain), (_, loss)) in _GAIN.items()}
+TECH |= {"ema_12": div(_EWM[12][1], "close"), "ema_26": div(_EWM[26][1], "close"), "ema_12_26": div(_EWM[12][1], _EWM[26][1])}
+
+_K = ewm_sql("rsv", 3, "k", 1)
+_D = ewm_sql("k", 3, "d", 1)
+OSC_STEPS = (f"{ROW}, {roll('min', 'low', 9, 1)} AS lo9, {roll('max', 'high', 9, 1)} AS hi9, {lag('close', 1)} AS before", "(close - lo9) / coalesce(nullif(hi9 - lo9, 0), 1) * 100 AS rsv, ln(high / low) AS hl, ln(open / before) AS night, ln(close / open) AS inside", _K[0], f"{_K[1]} AS k", _D[0])
+OSCILLATOR = {
+    "kdj_k": "k",
+    "kdj_d": _D[1],
+    "kdj_j": f"3 * k - 2 * {_D[1]}",
+    "obv": "sum(CASE WHEN close > before THEN volume WHEN close < before THEN -volume ELSE 0 END) OVER (PARTITION BY entity ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+    "parkinson_vol_20d": f"sqrt({roll('sum', 'hl * hl', 20, 5)} / (4 * 1.3863))",
+    "yang_zhang_vol_20d": f"sqrt(pow({roll('stddev_samp', 'night', 20, 5)}, 2) + pow({roll('stddev_samp', 'inside', 20, 5)}, 2) * {0.34 / (1.34 + 21 / 19)!r})",
+}
+
+
+def factors(chosen: list[str], panel=tm.bars_daily) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: rounded(registry.compute_factors(panel(spark, sf_dir), chosen))
+
+
+for _name, _columns, _steps in (
+    ("price", PRICE, ()),
+    ("volume", VOLUME, ()),
+    ("rolling", ROLLING, MOMENT_STEPS),
+    ("momentum", MOMENTUM, ()),
+    ("leverage", DRAWDOWN, ()),
+    ("correlation", CORRELATION, CORR_STEPS),
+    ("tech", TECH, TECH_STEPS),
+    ("oscillator", OSCILLATOR, OSC_STEPS),
+):
+    assert set(_columns) == set(registry.names(_name)), _name
+    query(f"factors_{_name}", panel_sql(_columns, steps=_steps))(factors(sorted(_columns)))
+
+# ---- the 158 factors -----------------------------------------------------------------------------------------------------
+
+_UP, _DOWN = "CASE WHEN open IS NOT NULL AND close IS NOT NULL THEN greatest(open, close) END", "CASE WHEN open IS NOT NULL AND close IS NOT NULL THEN least(open, close) END"
+_SPAN = "(high - low + 1e-12)"
+CANDLE = {"KMID": div("close - open", "open"), "KLEN": div("high - low", "open"), "KMID2": f"(close - open) / {_SPAN}", "KUP": div(f"high - ({_UP})", "open"), "KUP2": f"(high - ({_UP})) / {_SPAN}"}
+CANDLE |= {"KLOW": div(f"({_DOWN}) - low", "open"), "KLOW2": f"(({_DOWN}) - low) / {_SPAN}", "KSFT": div("2 * close - high - low", "open"), "KSFT2": f"(2 * close - high - low) / {_SPAN}"}
+PRICE0 = {f"{x.upper()}0": div(x, "close") for x in ("open", "high", "low", "vwap")}
+query("alpha158_kbar", panel_sql(CANDLE))(factors(sorted(CANDLE)))
+query("alpha158_price", panel_sql(PRICE0))(factors(sorted(PRICE0)))
+
+RET_STEPS = (
+    f"{ROW}, close - {lag('close', 1)} AS d, volume - {lag('volume', 1)} AS dv, {div('close', lag('close', 1))} - 1 AS ret, ln(volume + 1) AS lv, ln(abs({div('volume', lag('volume', 1))} - 1) + 1) AS lvr",
+    "CAST(rn AS DOUBLE) AS x, abs(ret) * volume AS flow",
+)
+
+
+def rolling_158(n: int) -> tuple[dict[str, str], tuple[str, ...]]:
+    least = max(5, n // 2)
+    agg = lambda f, x: roll(f, x, n, least)
+    seen = f"count(close) OVER {w(n)} >= {least}"
+    pair = lambda f, a, b: f"{f}({a}, {b}) OVER {w(n)}"
+    both = lambda a, b: f"count(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 END) OVER {w(n)} >= {least}"
+    steps = (
+        *RET_STEPS,
+        f"{agg('avg', 'close')} AS ma, CASE WHEN {seen} THEN {pair('covar_pop', 'close', 'x')} / nullif(var_pop(x) OVER {w(n)}, 0) END AS slope, avg(x) OVER {w(n)} AS xm, var_pop(x) OVER {w(n)} AS xv, var_pop(close) OVER {w(n)} AS cv, {agg('max', 'high')} AS hh, {agg('min', 'low')} AS ll, list(high) OVER {w(n)} AS hs, list(low) OVER {w(n)} AS ls",
+        "list_position(hs, hh) - 1 AS top, list_position(ls, ll) - 1 AS bottom",
+    )
+    up, down = f"{roll('avg', 'CASE WHEN d > 0 THEN 1.0 ELSE 0.0 END', n, least)}", f"{roll('avg', 'CASE WHEN d < 0 THEN 1.0 ELSE 0.0 END', n, least)}"
+    cols = {
+        "ROC": div(lag("close", 1), lag("close", n + 1)) + " - 1",
+        "MA": div("ma", "close"),
+        "STD": div(agg("stddev_samp", "close"), "close"),
+        "BETA": div("slope", "close"),
+        "RSQR": f"CASE WHEN {agg('max', 'close')} > {agg('min', 'close')} THEN slope * slope * xv / cv WHEN slope IS NOT NULL THEN 0 END",
+        "RESI": div("close - (ma + slope * (x - xm))", "close"),
+        "MAX": div("hh", "close"),
+        "MIN": div("ll", "close"),
+        "QTLU": div(f"(CASE WHEN {seen} THEN quantile_cont(close, 0.8) OVER {w(n)} END)", "close"),
+        "QTLD": div(f"(CASE WHEN {seen} THEN quantile_cont(close, 0.2) OVER {w(n)} END)", "close"),
+        "RANK": "CASE WHEN ma IS NOT NULL THEN (rank() OVER (PARTITION BY dt ORDER BY ma NULLS LAST) + (count(*) OVER (PARTITION BY dt, ma) - 1) / 2) / (count(ma) OVER (PARTITION BY dt)) END",
+        "RSV": "(close - ll) / (hh - ll + 1e-12)",
+        "IMAX": f"top / {n}.0",
+        "IMIN": f"bottom / {n}.0",
+        "IMXD": f"(top - bottom) / {n}.0",
+        "CORR": f"CASE WHEN {both('close', 'lv')} THEN {pair('corr', 'close', 'lv')} END",
+        "CORD": f"CASE WHEN {both('ret', 'lvr')} THEN {pair('corr', 'ret', 'lvr')} END",
+        "CNTP": up,
+        "CNTN": down,
+        "CNTD": f"{up} - {down}",
+        "VMA": f"{agg('avg', 'volume')} / (volume + 1e-12)",
+        "VSTD": f"{agg('stddev_samp', 'volume')} / (volume + 1e-12)",
+        "WVMA": f"{agg('stddev_samp', 'flow')} / ({agg('avg', 'flow')} + 1e-12)",
+    }
+    for p, d in (("", "d"), ("V", "dv")):
+        all_ = f"({agg('sum', f'abs({d})')} + 1e-12)"
+        cols |= {f"{p}SUMP": f"{agg('sum', f'CASE WHEN {d} IS NOT NULL THEN greatest({d}, 0) END')} / {all_}", f"{p}SUMN": f"{agg('sum', f'CASE WHEN {d} IS NOT NULL THEN abs(least({d}, 0)) END')} / {all_}", f"{p}SUMD": f"{agg('sum', d)} / {all_}"}
+    return {f"{k}{n}": v for k, v in cols.items()}, steps
+
+
+for _n in alpha158.WINDOWS:
+    _columns, _steps = rolling_158(_n)
+    assert set(_columns) == set(registry.names(f"alpha158_rolling_{_n}")), _n
+    query(f"alpha158_rolling_{_n}", panel_sql(_columns, tm.WEEKLY_SQL, _steps))(factors(sorted(_columns), tm.bars_weekly))
+
+# ---- flagship: deviation from the mean and volatility, processed by date, top ten of the last date ---------------------------
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return lineitem.groupBy(F.to_date("l_shipdate").alias("dt")).agg(F.count("*").alias("n"))
+    made = registry.processed_factors(tm.bars_weekly(spark, sf_dir), ["ma_dev_20d", "vol_1m"])
+    last = made.agg(F.max("dt").alias("dt"))
+    return rounded(made.join(F.broadcast(last), "dt").orderBy(F.col("ma_dev_20d").desc(), "entity").limit(10).select("entity", "dt", "ma_dev_20d", "vol_1m"))
+
+
+def process_sql(columns: list[str], inner: str) -> str:
+    """Winsorized at the 1 and 99 per cent quantiles and standardized, by date."""
+    clip = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN greatest(least({c}, quantile_cont({c}, 0.99) OVER (PARTITION BY dt)), quantile_cont({c}, 0.01) OVER (PARTITION BY dt)) END AS {c}" for c in columns)
+    z = ", ".join(f"CASE WHEN coalesce(stddev_samp({c}) OVER (PARTITION BY dt), 0) = 0 THEN 0 ELSE ({c} - avg({c}) OVER (PARTITION BY dt)) / stddev_samp({c}) OVER (PARTITION BY dt) END AS {c}" for c in columns)
+    return f"SELECT entity, dt, {z} FROM (SELECT entity, dt, {clip} FROM ({inner}))"
+
+
+_VOL = roll("stddev_samp", "ret", 21, 10)
+_BASE = f"SELECT entity, dt, {MOMENTUM['ma_dev_20d']} AS ma_dev_20d, {_VOL} * sqrt(252) AS vol_1m FROM (SELECT *, {div('close', lag('close', 1))} - 1 AS ret FROM ({tm.WEEKLY_SQL}))"
+_PROCESSED = process_sql(["ma_dev_20d", "vol_1m"], _BASE)
+query("flagship", f"SELECT entity, dt, {r('ma_dev_20d', 'ma_dev_20d')}, {r('vol_1m', 'vol_1m')} FROM ({_PROCESSED}) q WHERE dt = (SELECT max(dt) FROM ({_PROCESSED})) ORDER BY q.ma_dev_20d DESC, entity LIMIT 10")(flagship)
+
+
+@query("processed_factors", f"SELECT entity, dt, {r('ma_dev_20d', 'ma_dev_20d')}, {r('vol_1m', 'vol_1m')} FROM ({_PROCESSED})")
+def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(registry.processed_factors(tm.bars_weekly(spark, sf_dir), ["ma_dev_20d", "vol_1m"]))
+
+
+_NEUTRAL = f"""
+WITH f AS (SELECT b.entity, b.dt, ma_dev_20d AS y, ln(cap) AS m, industry FROM ({_BASE}) b JOIN ({tm.SUPPLIERS_SQL}) s ON b.entity = s.entity),
+     g AS (SELECT *, count(y) OVER (PARTITION BY dt) AS n, min(CASE WHEN y IS NOT NULL THEN industry END) OVER (PARTITION BY dt) AS first FROM f),
+     h AS (SELECT *, CASE WHEN industry = first THEN y ELSE y - avg(y) OVER p END AS yy, CASE WHEN y IS NOT NULL THEN CASE WHEN industry = first THEN m ELSE m - avg(CASE WHEN y IS NOT NULL THEN m END) OVER p END END AS mm
+           FROM g WINDOW p AS (PARTITION BY dt, industry)),
+     k AS (SELECT *, coalesce(sum(yy * mm) OVER (PARTITION BY dt) / nullif(sum(mm * mm) OVER (PARTITION BY dt), 0), 0) AS beta FROM h)
+SELECT entity, dt, {r('CASE WHEN y IS NOT NULL AND n >= 30 THEN yy - beta * mm ELSE y END', 'ma_dev_20d')} FROM k
+"""
+
+
+@query("neutralised_factor", _NEUTRAL)
+def neutralised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = registry.compute_factors(tm.bars_weekly(spark, sf_dir), ["ma_dev_20d"]).join(tm.suppliers(spark, sf_dir), "entity")
+    return rounded(cs.neutralise(made, "ma_dev_20d", "cap", "industry").select("entity", "dt", "ma_dev_20d"))
+
+
+# ---- classic factors -----------------------------------------------------------------------------------------------------
+
+_SKIP = lambda n: f"{div(lag('close', 1), lag('close', n + 1))} - 1"
+CLASSIC_MOMENTUM = {"ret_1m": _SKIP(21), "ret_3m": _SKIP(63), "ret_6m": _SKIP(126), "ret_12m_1m": f"(1 + {_SKIP(252)}) / nullif(1 + {_SKIP(21)}, 0) - 1", "ret_1m_reverse": f"-({div('close', lag('close', 21))} - 1)", "max_ret_1m": roll("max", "ret", 21, 10)}
+_RET = (f"{div('close', lag('close', 1))} - 1 AS ret",)
+query("classic_momentum", panel_sql(CLASSIC_MOMENTUM, tm.WEEKLY_SQL, _RET))(factors(sorted(CLASSIC_MOMENTUM), tm.bars_weekly))
+
+
+def with_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly bars with the return of the whole market (one row for each week, broadcast by its size)."""
+    market = evaluate(tm.bars_market(spark, sf_dir, weekly=True), {"market_ret": ts.pct_change(measure("vwap"), 1)}).drop("entity")
+    return tm.bars_weekly(spark, sf_dir).join(market, "dt", "left")
+
+
+_BEFORE = "(PARTITION BY entity ORDER BY dt ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING)"
+_K21 = f"(count(ret) OVER {w(21)})"
+VOLATILITY = {
+    "vol_1m": f"{_VOL} * sqrt(252)",
+    "vol_3m": f"{roll('stddev_samp', 'ret', 63, 30)} * sqrt(252)",
+    "downside_vol_1m": f"{roll('stddev_samp', 'CASE WHEN ret > 0 THEN 0 ELSE ret END', 21, 10)} * sqrt(252)",
+    "skew_1m": f"(CASE WHEN {_K21} >= 10 THEN (sum(ret * ret * ret) OVER {w(21)} / {_K21} - 3 * avg(ret) OVER {w(21)} * sum(ret * ret) OVER {w(21)} / {_K21} + 2 * pow(avg(ret) OVER {w(21)}, 3)) / nullif(pow(var_pop(ret) OVER {w(21)}, 1.5), 0) * sqrt({_K21} * ({_K21} - 1)) / ({_K21} - 2) END)",
+    "beta_1y": f"(CASE WHEN count(own) OVER {w(252)} >= 60 THEN covar_samp(own, other) OVER {w(252)} / nullif(var_samp(other) OVER {w(252)}, 0) END)",
+    "idiosyncratic_vol": f"(CASE WHEN count(own) OVER {_BEFORE} = 60 AND var_samp(other) OVER {_BEFORE} <> 0 THEN sqrt(greatest(var_samp(own) OVER {_BEFORE} - pow(covar_samp(own, other) OVER {_BEFORE}, 2) / var_samp(other) OVER {_BEFORE}, 0)) * sqrt(252) END)",
+}
+_MARKET = f"SELECT b.*, m.market_ret FROM ({tm.WEEKLY_SQL}) b LEFT JOIN (SELECT dt, vwap / {lag('vwap', 1)} - 1 AS market_ret FROM ({tm.MARKET_WEEKLY_SQL})) m ON b.dt = m.dt"
+query("classic_volatility", panel_sql(VOLATILITY, _MARKET, (*_RET, "CASE WHEN market_ret IS NOT NULL THEN ret END AS own, CASE WHEN ret IS NOT NULL THEN market_ret END AS other")))(factors(sorted(VOLATILITY), with_market))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
