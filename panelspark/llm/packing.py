@@ -12,6 +12,7 @@ whole pieces and a last shorter one; repeated rows are packed as often as they o
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ CAPACITY = 2048
 PARTITION_PIECES = 100_000
 #: Rounds of exchange after the first packing, and the factor by which partitions get fewer.
 ROUNDS, SHRINK = 3, 8
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 
 #: Texts of only these characters are cut into words by WORDS, the tokenizer's own rule for them, and words are looked up.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-įı-ňŊ-ž]*")
@@ -36,16 +37,32 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long, full_bin boolean, certified boolean"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level pre-tokenization writes for bytes: printable ones for themselves, the rest from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 def word_encoder(tokenizer_path: str):
     """List of texts to their ids (little-endian 32-bit bytes), as the tokenizers library encodes them without special tokens added."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
+    model, letters = tokenizer.model, _byte_letters()
     known: dict[str, bytes] = {}  # what stands between white space: no token crosses white space
     cache: dict[str, bytes] = {}  # its words
 
-    def library(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def word(w: str) -> bytes:
+        ids = cache.get(w)
+        if ids is None:
+            spelled = w if w.isascii() else "".join(map(letters.__getitem__, w.encode()))
+            got = [t.id for t in model.tokenize(spelled)]
+            ids = cache[w] = struct.pack(f"<{len(got)}I", *got)
+        return ids
 
     def encode(texts: list[str | None]) -> list[bytes]:
         split = [t.lower().split() if t and PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
@@ -53,11 +70,10 @@ def word_encoder(tokenizer_path: str):
         if len(known) + len(seen) > CACHE_WORDS:
             known.clear()
             cache.clear()
-        new = {x: WORDS.findall(x) for x in seen if x not in known}
-        words = [w for w in set().union(*new.values()) if w not in cache]
-        cache.update(zip(words, library(words), strict=True))
-        known.update((x, b"".join(map(cache.__getitem__, ws))) for x, ws in new.items())
-        return [b"".join(map(known.__getitem__, ws)) if ws is not None else library([t])[0] if t else b"" for t, ws in zip(texts, split, strict=True)]
+        for x in seen:
+            if x not in known:
+                known[x] = word(x) if x.isalpha() else b"".join(map(word, WORDS.findall(x)))
+        return [b"".join(map(known.__getitem__, ws)) if ws is not None else whole(t) if t else b"" for t, ws in zip(texts, split, strict=True)]
 
     return encode
 
