@@ -11,6 +11,8 @@ from panelspark import testmap as tm
 from panelspark.expr import evaluate, measure
 from panelspark.factors import alpha158, classic, registry, technical  # noqa: F401  importing registers them
 from panelspark.operators import cs, ts
+from panelspark.portfolio import analysis as an
+from panelspark.portfolio import backtest as bt
 
 DIGITS = 6
 #: Added before rounding, here and in SQL: prices are cents over small integers, so many values lie right between two digits.
@@ -280,6 +282,78 @@ _MARKET = f"SELECT b.*, m.market_ret FROM ({tm.WEEKLY_SQL}) b LEFT JOIN (SELECT
 query("classic_volatility", panel_sql(VOLATILITY, _MARKET, (*_RET, "CASE WHEN market_ret IS NOT NULL THEN ret END AS own, CASE WHEN ret IS NOT NULL THEN market_ret END AS other")))(factors(sorted(VOLATILITY), with_market))
 
 
+# ---- portfolios: two factors of the weekly panel, five dates a period ------------------------------------------------------
+
+STORE = ["chg_5d", "ma_dev_20d"]
+N_SIDE, FREQ, GROUPS = 10, 5, 5
+
+
+def store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.long_form(registry.compute_factors(tm.bars_weekly(spark, sf_dir), STORE))
+
+
+_STORE = f"SELECT * FROM (SELECT entity, dt, unnest([{{'factor': 'chg_5d', 'value': c}}, {{'factor': 'ma_dev_20d', 'value': m}}], recursive := true) FROM (SELECT entity, dt, {MOMENTUM['chg_5d']} AS c, {MOMENTUM['ma_dev_20d']} AS m FROM ({tm.WEEKLY_SQL}))) WHERE value IS NOT NULL"
+_BOOK = f"""
+WITH bars AS ({tm.WEEKLY_SQL}), store AS ({_STORE}),
+ days AS (SELECT factor, dt, row_number() OVER (PARTITION BY factor ORDER BY dt) - 1 AS k FROM (SELECT DISTINCT factor, dt FROM store)),
+ ret AS (SELECT entity, dt, close / lag(close) OVER (PARTITION BY entity ORDER BY dt) - 1 AS ret FROM bars),
+ ranked AS (SELECT s.factor, k // {FREQ} AS period, s.dt, entity, value, row_number() OVER (PARTITION BY s.factor, s.dt ORDER BY value DESC, entity) AS hi,
+   row_number() OVER (PARTITION BY s.factor, s.dt ORDER BY value, entity) AS lo, count(*) OVER (PARTITION BY s.factor, s.dt) AS n
+   FROM store s JOIN days d ON s.factor = d.factor AND s.dt = d.dt WHERE k % {FREQ} = 0),
+ both_days AS (SELECT factor, dt, k // {FREQ} AS period FROM days UNION ALL SELECT factor, dt, k // {FREQ} - 1 FROM days WHERE k % {FREQ} = 0 AND k > 0),
+ after_days AS (SELECT factor, dt, k // {FREQ} AS period FROM days WHERE k % {FREQ} <> 0 UNION ALL SELECT factor, dt, k // {FREQ} - 1 FROM days WHERE k % {FREQ} = 0 AND k > 0),
+ legs AS (SELECT r.factor, d.dt, r.period, avg(ret) FILTER (hi <= {N_SIDE}) AS l, avg(ret) FILTER (lo <= {N_SIDE}) AS s FROM ranked r JOIN both_days d ON r.factor = d.factor AND r.period = d.period
+   JOIN ret ON ret.entity = r.entity AND ret.dt = d.dt WHERE hi <= {N_SIDE} OR lo <= {N_SIDE} GROUP BY 1, 2, 3),
+ book AS (SELECT factor, dt, sum(l) - {2 * 0.0013 / FREQ!r} AS long_ret, sum(s) - {2 * 0.0013 / FREQ!r} AS short_ret, sum(l) - sum(s) AS ls_ret FROM legs GROUP BY 1, 2)
+"""
+
+
+def book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bt.long_short_returns(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir), N_SIDE, N_SIDE, FREQ)
+
+
+query("portfolio_long_short", f"{_BOOK} SELECT factor, dt, {r('long_ret', 'long_ret')}, {r('short_ret', 'short_ret')}, {r('ls_ret', 'ls_ret')} FROM book")(lambda spark, sf_dir: rounded(book(spark, sf_dir)))
+
+_NAV = f"{_BOOK}, small AS (SELECT factor, dt, ls_ret / 100 AS ret FROM book), nav AS (SELECT *, product(1 + ret) OVER (PARTITION BY factor ORDER BY dt) AS nav FROM small), dd AS (SELECT *, nav / greatest(max(nav) OVER (PARTITION BY factor ORDER BY dt), 1) - 1 AS dd, nav / max(nav) OVER (PARTITION BY factor ORDER BY dt) - 1 AS dd0 FROM nav)"
+
+
+def small_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns of the test panel are wild; a hundredth of them compounds."""
+    return book(spark, sf_dir).select("factor", "dt", (F.col("ls_ret") / 100).alias("ls_ret"))
+
+
+query("portfolio_nav", f"{_NAV} SELECT factor, dt, {r('ret', 'ls_ret')}, {r('nav', 'ls_nav')} FROM nav")(lambda spark, sf_dir: rounded(bt.with_nav(small_book(spark, sf_dir), ("ls_ret",))))
+
+_ANNUAL = "(pow(arg_max(nav, dt), 252.0 / count(*)) - 1)"
+query("portfolio_metrics", f"""{_NAV} SELECT factor, count(*) AS n, {r('arg_max(nav, dt) - 1', 'total_return')}, {r(_ANNUAL, 'annual_return')}, {r('stddev_samp(ret) * sqrt(252)', 'volatility')}, {r(f'{_ANNUAL} / (stddev_samp(ret) * sqrt(252))', 'sharpe')},
+ {r('min(dd)', 'max_dd')}, arg_min(dt, (dd, dt)) AS max_dd_date, {r(f'{_ANNUAL} / -min(dd)', 'calmar')}, {r('avg(CASE WHEN ret > 0 THEN 1.0 ELSE 0.0 END)', 'win_rate')}, {r('avg(ret) FILTER (ret > 0) / -avg(ret) FILTER (ret < 0)', 'profit_loss')} FROM dd GROUP BY factor""")(lambda spark, sf_dir: rounded(bt.metrics(small_book(spark, sf_dir))))
+
+query("portfolio_tear_sheet", f"""{_NAV}, isl AS (SELECT *, sum(CASE WHEN dd0 >= 0 THEN 1 ELSE 0 END) OVER (PARTITION BY factor ORDER BY dt) AS island, quantile_cont(ret, 0.05) OVER (PARTITION BY factor) AS v FROM dd),
+ runs AS (SELECT factor, max(run) AS dd_days FROM (SELECT factor, island, count(*) AS run FROM isl WHERE dd0 < 0 GROUP BY 1, 2) GROUP BY 1)
+ SELECT isl.factor, {r(_ANNUAL, 'annual_return')}, {r('stddev_samp(ret) * sqrt(252)', 'annual_vol')}, {r(f'{_ANNUAL} / (stddev_samp(ret) * sqrt(252))', 'sharpe')}, {r(f'{_ANNUAL} / (stddev_samp(ret) FILTER (ret < 0) * sqrt(252))', 'sortino')}, {r('min(dd0)', 'max_dd')},
+ coalesce(any_value(dd_days), 0) AS dd_days, {r(f'{_ANNUAL} / -min(dd0)', 'calmar')}, {r('any_value(v)', 'var_95')}, {r('avg(ret) FILTER (ret <= v)', 'cvar_95')}, {r('avg(ret) / stddev_pop(ret) * sqrt(252)', 'ir')},
+ {r('(avg(pow(ret, 3)) - 3 * avg(ret) * avg(ret * ret) + 2 * pow(avg(ret), 3)) / pow(var_pop(ret), 1.5)', 'skew')}, {r('kurtosis_pop(ret)', 'kurt')}, {r('avg(CASE WHEN ret > 0 THEN 1.0 ELSE 0.0 END)', 'positive_days')}
+ FROM isl LEFT JOIN runs ON isl.factor = runs.factor GROUP BY isl.factor""")(lambda spark, sf_dir: rounded(an.tear_sheet(small_book(spark, sf_dir))))
+
+query("portfolio_monthly", f"{_NAV} SELECT factor, strftime(dt, '%Y-%m') AS month, {r('product(1 + ret) - 1', 'ret')} FROM small GROUP BY 1, 2")(lambda spark, sf_dir: rounded(an.monthly_returns(small_book(spark, sf_dir))))
+
+query("portfolio_groups", f"""{_BOOK}, g AS (SELECT factor, period, entity, least((hi - 1) // (n // {GROUPS}), {GROUPS - 1}) + 1 AS g FROM ranked WHERE n // {GROUPS} > 0),
+ m AS (SELECT g.factor, d.dt, g, avg(ret) AS ret FROM g JOIN after_days d ON g.factor = d.factor AND g.period = d.period JOIN ret ON ret.entity = g.entity AND ret.dt = d.dt GROUP BY 1, 2, 3)
+ SELECT factor, dt, {', '.join(r(f'max(ret) FILTER (g = {k})', f'group_{k}') for k in range(1, GROUPS + 1))}, {r(f'max(ret) FILTER (g = 1) - max(ret) FILTER (g = {GROUPS})', 'spread')} FROM m GROUP BY 1, 2""")(lambda spark, sf_dir: rounded(bt.group_table(bt.group_returns(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir), GROUPS, FREQ), GROUPS)))
+
+_IC = f"""{_BOOK}, fwd AS (SELECT entity, dt, lead(close, 5) OVER (PARTITION BY entity ORDER BY dt) / close - 1 AS fwd FROM bars),
+ p AS (SELECT factor, s.dt, row_number() OVER (PARTITION BY factor, s.dt ORDER BY value, s.entity) AS x, row_number() OVER (PARTITION BY factor, s.dt ORDER BY fwd, s.entity) AS y FROM store s JOIN fwd ON fwd.entity = s.entity AND fwd.dt = s.dt WHERE fwd IS NOT NULL),
+ ic AS (SELECT factor, dt, count(*) AS n, corr(x, y) AS ic FROM p GROUP BY 1, 2 HAVING count(*) >= 30)"""
+query("portfolio_rank_ic", f"{_IC} SELECT factor, dt, n, {r('ic', 'ic')} FROM ic")(lambda spark, sf_dir: rounded(an.rank_ic(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir))))
+query("portfolio_ic_summary", f"{_IC} SELECT factor, count(*) AS dates, {r('avg(ic)', 'ic_mean')}, {r('stddev_samp(ic)', 'ic_std')}, {r('avg(CASE WHEN ic > 0 THEN 1.0 ELSE 0.0 END)', 'positive')}, {r('avg(ic) / stddev_samp(ic)', 'icir')} FROM ic GROUP BY 1")(lambda spark, sf_dir: rounded(an.ic_summary(an.rank_ic(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir)))))
+
+query("portfolio_turnover", f"""{_BOOK}, w AS (SELECT factor, period, entity, sum(w) AS w FROM (SELECT factor, period, entity, {1 / N_SIDE} AS w FROM ranked WHERE hi <= {N_SIDE} UNION ALL SELECT factor, period, entity, {-1 / N_SIDE} FROM ranked WHERE lo <= {N_SIDE}) GROUP BY 1, 2, 3),
+ ch AS (SELECT factor, period, entity, w FROM w UNION ALL SELECT factor, period + 1, entity, -w FROM w), net AS (SELECT factor, period, entity, sum(w) AS w FROM ch GROUP BY 1, 2, 3)
+ SELECT factor, period, {r('sum(abs(w)) / 2', 'turnover')} FROM net WHERE period <= (SELECT max(period) FROM w x WHERE x.factor = net.factor) GROUP BY 1, 2""")(lambda spark, sf_dir: rounded(bt.turnover(bt.long_short_positions(store(spark, sf_dir), N_SIDE, N_SIDE, FREQ))))
+
+query("portfolio_composite", f"WITH store AS ({_STORE}) SELECT 'composite' AS factor, entity, dt, {r('sum(coalesce(z, 0))', 'value')} FROM (SELECT *, (value - avg(value) OVER (PARTITION BY factor, dt)) / nullif(stddev_samp(value) OVER (PARTITION BY factor, dt), 0) AS z FROM store) GROUP BY entity, dt")(lambda spark, sf_dir: rounded(bt.composite(store(spark, sf_dir), STORE)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
