@@ -13,6 +13,8 @@ from panelspark.factors import alpha158, classic, registry, technical  # noqa: F
 from panelspark.operators import cs, ts
 from panelspark.portfolio import analysis as an
 from panelspark.portfolio import backtest as bt
+from panelspark.sources import parse
+from panelspark.sources import store as store_ops
 
 DIGITS = 6
 #: Added before rounding, here and in SQL: prices are cents over small integers, so many values lie right between two digits.
@@ -354,6 +356,83 @@ query("portfolio_turnover", f"""{_BOOK}, w AS (SELECT factor, period, entity, su
 query("portfolio_composite", f"WITH store AS ({_STORE}) SELECT 'composite' AS factor, entity, dt, {r('sum(coalesce(z, 0))', 'value')} FROM (SELECT *, (value - avg(value) OVER (PARTITION BY factor, dt)) / nullif(stddev_samp(value) OVER (PARTITION BY factor, dt), 0) AS z FROM store) GROUP BY entity, dt")(lambda spark, sf_dir: rounded(bt.composite(store(spark, sf_dir), STORE)))
 
 
+# ---- ingestion -------------------------------------------------------------------------------------------------------------
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.table(spark, sf_dir, "events")
+
+
+@query("ingest_event_records", f"SELECT event_id, user_id, CAST(ts AS DATE) AS dt, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, {r('value', 'value')}, CASE WHEN event_type IN ('purchase', 'error') THEN event_type END AS side FROM events")
+def ingest_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = parse.safe_float(F.get_json_object("props", "$.k"))
+    return rounded(events(spark, sf_dir).select("event_id", "user_id", F.to_date("ts").alias("dt"), k.alias("k"), "value", F.when(F.col("event_type").isin("purchase", "error"), F.col("event_type")).alias("side")))
+
+
+@query("ingest_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS compact, CAST(o_orderdate AS DATE) AS dt, quarter(o_orderdate) AS q, isodow(o_orderdate) AS dow FROM orders")
+def ingest_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compact = F.date_format("o_orderdate", "yyyyMMdd")
+    return tm.table(spark, sf_dir, "orders").select("o_orderkey", compact.alias("compact"), parse.compact_date(compact).alias("dt")).select("*", F.quarter("dt").cast("long").alias("q"), (F.weekday("dt") + 1).cast("long").alias("dow"))
+
+
+@query("ingest_melt", f"SELECT entity, dt, name, {r('value', 'value')} FROM (UNPIVOT (SELECT entity, dt, open, high, low, close FROM ({tm.WEEKLY_SQL})) ON open, high, low, close INTO NAME name VALUE value)")
+def ingest_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(parse.melt(tm.bars_weekly(spark, sf_dir).select("entity", "dt", "open", "high", "low", "close"), ["entity", "dt"], "name"))
+
+
+_HALVES = "WITH target AS (SELECT user_id, event_type, min(event_id) AS event_id, min(value) AS value FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2), batch AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS a, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS z FROM events WHERE event_id % 2 = 1)"
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = events(spark, sf_dir).select("user_id", "event_type", "event_id", "value")
+    target = rows.filter("event_id % 2 = 0").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"), F.min("value").alias("value"))
+    return target, rows.filter("event_id % 2 = 1")
+
+
+@query("store_insert_if_absent", f"{_HALVES} SELECT user_id, event_type, event_id, {r('value', 'value')} FROM target UNION ALL SELECT user_id, event_type, event_id, {r('value', 'value')} FROM batch b WHERE a = 1 AND NOT EXISTS (SELECT 1 FROM target t WHERE t.user_id = b.user_id AND t.event_type = b.event_type)")
+def store_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(store_ops.insert_if_absent(*_halves(spark, sf_dir), ["user_id", "event_type"], [F.col("event_id")]))
+
+
+@query("store_upsert", f"{_HALVES} SELECT coalesce(t.user_id, b.user_id) AS user_id, coalesce(t.event_type, b.event_type) AS event_type, coalesce(b.event_id, t.event_id) AS event_id, {r('coalesce(b.value, t.value)', 'value')} FROM target t FULL JOIN (SELECT * FROM batch WHERE z = 1) b ON t.user_id = b.user_id AND t.event_type = b.event_type")
+def store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(store_ops.upsert(*_halves(spark, sf_dir), ["user_id", "event_type"], [F.col("event_id")]))
+
+
+@query("store_versions", "WITH t AS (SELECT user_id, event_type, event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events) SELECT user_id, event_type, event_id AS valid_from, lead(event_id) OVER w AS valid_to, CAST(row_number() OVER w AS INTEGER) AS version FROM t WHERE b IS NULL OR b <> event_type WINDOW w AS (PARTITION BY user_id ORDER BY event_id)")
+def store_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_ops.versions(events(spark, sf_dir), ["user_id"], "event_id", ["event_type"])
+
+
+@query("store_latest", f"SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id, {r('arg_max(value, event_id)', 'value')} FROM events GROUP BY 1")
+def store_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(store_ops.latest_by(events(spark, sf_dir).select("user_id", "event_type", "event_id", "value"), ["user_id"], "event_id"))
+
+
+@query("curated_adjusted_bars", f"SELECT entity, dt, {', '.join(r(f'{c} * adj / last_value(adj) OVER (PARTITION BY entity ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)', f'{c}_adj') for c in ('open', 'high', 'low', 'close'))}, {r('volume', 'volume')}, {r('amount', 'amount')}, {r('adj', 'adj_factor')} FROM (SELECT *, 1 + (row_number() OVER (PARTITION BY entity ORDER BY dt) // 50) / 10.0 AS adj FROM ({tm.WEEKLY_SQL}))")
+def curated_adjusted_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = tm.bars_weekly(spark, sf_dir)
+    adj = bars.select("entity", "dt", (1 + F.floor(F.row_number().over(ts.ORDER) / 50) / 10.0).alias("adj_factor"))
+    return rounded(store_ops.forward_adjusted(bars, adj))
+
+
+@query("curated_yearly_bars", f"SELECT entity, CAST(date_trunc('year', dt) AS DATE) AS period, {r('arg_min(open, dt)', 'open')}, {r('max(high)', 'high')}, {r('min(low)', 'low')}, {r('arg_max(close, dt)', 'close')}, {r('sum(volume)', 'volume')}, {r('sum(amount)', 'amount')} FROM ({tm.DAILY_SQL}) GROUP BY 1, 2")
+def curated_yearly_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(store_ops.resample(tm.bars_daily(spark, sf_dir), "year"))
+
+
+@query("incremental_missing_dates", "SELECT CAST(d AS DATE) AS dt FROM range(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) t(d) WHERE isodow(d) < 6 AND CAST(d AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)")
+def incremental_missing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    present = tm.table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("dt"))
+    return store_ops.missing_dates(store_ops.calendar(spark, "1995-01-01", "2001-12-30", "weekday"), present)
+
+
+@query("store_inventory", "SELECT 'orders' AS \"table\", count(*) AS n_rows, count(DISTINCT o_custkey) AS n_keys, strftime(min(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS first, strftime(max(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS last FROM orders UNION ALL SELECT 'lineitem', count(*), count(DISTINCT l_suppkey), strftime(min(CAST(l_shipdate AS DATE)), '%Y-%m-%d'), strftime(max(CAST(l_shipdate AS DATE)), '%Y-%m-%d') FROM lineitem")
+def store_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = lambda name, c: tm.table(spark, sf_dir, name).withColumn("_day", F.to_date(c))
+    return store_ops.inventory({"orders": (day("orders", "o_orderdate"), "o_custkey", "_day"), "lineitem": (day("lineitem", "l_shipdate"), "l_suppkey", "_day")})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

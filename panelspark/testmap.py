@@ -14,7 +14,7 @@ def _bars(lines: DataFrame, entity: Column, dt: Column) -> DataFrame:
     price = F.col("l_extendedprice") / F.col("l_quantity")
     order = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     rows = lines.filter("l_quantity > 0").select(entity.alias("entity"), dt.alias("dt"), price.alias("p"), order.alias("o"), "l_quantity", "l_extendedprice")
-    out = rows.groupBy("entity", "dt").agg(F.min_by("p", "o").alias("open"), F.max("p").alias("high"), F.min("p").alias("low"), F.max_by("p", "o").alias("close"), F.sum("l_quantity").alias("volume"), F.sum("l_extendedprice").alias("amount"))
+    out = rows.groupBy("entity", "dt").agg(F.min_by("p", F.struct("o", "p")).alias("open"), F.max("p").alias("high"), F.min("p").alias("low"), F.max_by("p", F.struct("o", "p")).alias("close"), F.sum("l_quantity").alias("volume"), F.sum("l_extendedprice").alias("amount"))
     return out.withColumn("vwap", F.coalesce(F.try_divide("amount", "volume"), "close"))
 
 
@@ -43,7 +43,7 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same bars in SQL; {dt} is the date expression and {entity} the entity.
 BARS_SQL = """
-SELECT {entity} AS entity, {dt} AS dt, arg_min(p, o) AS open, max(p) AS high, min(p) AS low, arg_max(p, o) AS close,
+SELECT {entity} AS entity, {dt} AS dt, arg_min(p, (o, p)) AS open, max(p) AS high, min(p) AS low, arg_max(p, (o, p)) AS close,
        sum(l_quantity) AS volume, sum(l_extendedprice) AS amount, sum(l_extendedprice) / sum(l_quantity) AS vwap
 FROM (SELECT *, l_extendedprice / l_quantity AS p, l_orderkey * 10 + l_linenumber AS o FROM lineitem WHERE l_quantity > 0)
 GROUP BY 1, 2
