@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,19 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stashed_at = path
+    return out
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete stashed tables that no later plan reads, and let Spark drop the shuffle files of plans that are over."""
+    jvm = spark.sparkContext._jvm
+    for t in tables:
+        place = jvm.org.apache.hadoop.fs.Path(t.stashed_at)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -48,6 +62,11 @@ def process_cache(key: str, make):
     return held[key]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once: it is bound as the variable of a lambda, which no rule takes apart."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 

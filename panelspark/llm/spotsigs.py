@@ -14,12 +14,10 @@ first; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import parallelism, stash
+from panelspark.llm._common import let, parallelism, stash
 from panelspark.llm.grouping import link_buckets
 
 CHAIN = 2
@@ -34,11 +32,6 @@ ANCHORS = (
 _LAST = 2**63 - 1
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is computed once (as the variable of a lambda)."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _places(size: Column) -> Column:
     return F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
 
@@ -55,11 +48,11 @@ def signatures(text: Column) -> Column:
 
     def of_words(words: Column) -> Column:
         content = F.filter(_places(F.size(words)), lambda i: ~F.get(words, i).isin(anchors))
-        found = _let(content, lambda c: spots(words, c))
+        found = let(content, lambda c: spots(words, c))
         rest = F.when(F.size(words) > 0, F.xxhash64(F.lit("words"), words)).otherwise(F.xxhash64(F.lit("text"), whole))
-        return _let(found, lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(rest)))
+        return let(found, lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(rest)))
 
-    hashes = _let(F.regexp_extract_all(F.lower(whole), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), of_words)
+    hashes = let(F.regexp_extract_all(F.lower(whole), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), of_words)
     return F.array_sort(F.array_distinct(F.transform(hashes, lambda h: F.shiftrightunsigned(h, 16))))
 
 
@@ -104,7 +97,7 @@ def _range_of(value: Column, bounds: list[int], fan: int = 64) -> Column:
     literal = lambda xs: F.array(*(F.lit(x).cast("long") for x in xs))
     upto = lambda xs: F.size(F.filter(xs, lambda b: b <= value))
     group = F.greatest(upto(literal([g[0] for g in groups])) - 1, F.lit(0))
-    return _let(group, lambda g: g * fan + upto(F.get(F.array(*map(literal, groups)), g))).cast("int")
+    return let(group, lambda g: g * fan + upto(F.get(F.array(*map(literal, groups)), g))).cast("int")
 
 
 def edited(text: Column, other: Column) -> Column:
