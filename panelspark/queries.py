@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from panelspark import testmap as tm
 from panelspark.expr import evaluate, measure
-from panelspark.factors import alpha158, classic, registry, technical  # noqa: F401  importing registers them
+from panelspark.factors import alpha158, classic, formulaic, registry, technical  # noqa: F401  importing registers them
 from panelspark.operators import cs, ts
 from panelspark.portfolio import analysis as an
 from panelspark.portfolio import backtest as bt
+from panelspark.research import rotation, sentiment, streaks
 from panelspark.sources import parse
 from panelspark.sources import store as store_ops
 
@@ -433,6 +434,119 @@ def store_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_ops.inventory({"orders": (day("orders", "o_orderdate"), "o_custkey", "_day"), "lineitem": (day("lineitem", "l_shipdate"), "l_suppkey", "_day")})
 
 
+# ---- formulaic alphas: rows only, but for those that plain SQL states in a line ----------------------------------------------
+
+_ALPHA_NAMES = sorted(formulaic.ALPHAS)
+for _k in range(0, len(_ALPHA_NAMES), 14):
+    query(f"formulaic_{_ALPHA_NAMES[_k][5:]}_{_ALPHA_NAMES[_k : _k + 14][-1][5:]}")(factors(_ALPHA_NAMES[_k : _k + 14], tm.bars_weekly))
+
+_D1, _BEND = f"(close - {lag('close', 1)})", f"(({lag('close', 20)} - {lag('close', 10)}) / 10 - ({lag('close', 10)} - close) / 10)"
+
+
+def _rank_whole(x: str) -> str:
+    return f"(CASE WHEN {x} IS NOT NULL THEN (rank() OVER (PARTITION BY entity ORDER BY {x} NULLS LAST) + (count(*) OVER (PARTITION BY entity, {x}) - 1) / 2) / count({x}) OVER (PARTITION BY entity) END)"
+
+
+SPOT = {
+    "alpha006": f"-coalesce(CASE WHEN count(vol) OVER {w(10)} >= 3 AND max(open) OVER {w(10)} > min(open) OVER {w(10)} AND max(vol) OVER {w(10)} > min(vol) OVER {w(10)} THEN corr(open, vol) OVER {w(10)} END, 0)",
+    "alpha009": f"CASE WHEN coalesce({roll('min', 'd1', 5, 1)} > 0, false) OR coalesce({roll('max', 'd1', 5, 1)} < 0, false) THEN d1 ELSE -d1 END",
+    "alpha012": f"sign(vol - {lag('vol', 1)}) * -d1",
+    "alpha020": f"-{_rank_whole('oh')} * {_rank_whole('oc')} * {_rank_whole('ol')}",
+    "alpha023": f"CASE WHEN {roll('avg', 'high', 20, 1)} < high THEN -coalesce(high - {lag('high', 2)}, 0) ELSE 0 END",
+    "alpha033": _rank_whole("oc1"),
+    "alpha041": "sqrt(high * low) - vwap",
+    "alpha042": f"{_rank_whole('wc')} / nullif({_rank_whole('wpc')}, 0)",
+    "alpha046": "CASE WHEN bend > 0.25 THEN -1 WHEN bend < 0 THEN 1 ELSE -d1 END",
+    "alpha049": "CASE WHEN bend < -0.1 THEN 1 ELSE -d1 END",
+    "alpha051": "CASE WHEN bend < -0.05 THEN 1 ELSE -d1 END",
+    "alpha101": "(close - open) / (high - low + 0.001)",
+}
+_SPOT_STEPS = (f"volume * 100 AS vol, {_D1} AS d1, {_BEND} AS bend, open - {lag('high', 1)} AS oh, open - {lag('close', 1)} AS oc, open - {lag('low', 1)} AS ol, -1 + open / close AS oc1, vwap - close AS wc, vwap + close AS wpc",)
+query("formulaic_spot", panel_sql(SPOT, tm.WEEKLY_SQL, _SPOT_STEPS))(factors(sorted(SPOT), tm.bars_weekly))
+
+# ---- research ------------------------------------------------------------------------------------------------------------------
+
+
+def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    market = tm.bars_market(spark, sf_dir, weekly=True)
+    own = evaluate(market, {"momentum": sentiment.price_momentum(), "volatility": sentiment.realised_volatility(), "volume": measure("amount") * 1})
+    series = own.unpivot(["dt"], ["momentum", "volatility", "volume"], "name", "value")
+    return series.unionByName(sentiment.breadth(tm.bars_weekly(spark, sf_dir)).select("dt", F.lit("breadth").alias("name"), "value"))
+
+
+_MOMENT = roll("avg", "close", 250, 60)
+_PARTS = f"""WITH m AS (SELECT *, close / {lag('close', 1)} - 1 AS ret FROM ({tm.MARKET_WEEKLY_SQL})),
+ parts AS (SELECT dt, unnest([{{'name': 'momentum', 'value': a}}, {{'name': 'volatility', 'value': b}}, {{'name': 'volume', 'value': amount}}], recursive := true) FROM (SELECT dt, amount, (close - {_MOMENT}) / {_MOMENT} * 100 AS a, {roll('stddev_samp', 'ret', 30, 10)} * sqrt(252) AS b FROM m)
+  UNION ALL SELECT dt, 'breadth', avg(CASE WHEN close > ma THEN 1.0 ELSE 0.0 END) * 100 FROM (SELECT *, {roll('avg', 'close', 20, 5)} AS ma FROM ({tm.WEEKLY_SQL})) GROUP BY dt),
+ held AS (SELECT *, list(value) OVER q AS seen, count(value) OVER q AS k FROM parts WINDOW q AS (PARTITION BY name ORDER BY dt ROWS BETWEEN 251 PRECEDING AND CURRENT ROW)),
+ raw AS (SELECT name, dt, CASE WHEN k >= 60 AND value IS NOT NULL THEN (len(list_filter(seen, lambda v: v < value)) + (len(list_filter(seen, lambda v: v = value)) + 1) / 2) / k * 100 END AS s FROM held),
+ scored AS (SELECT name, dt, CASE WHEN name = 'volatility' THEN 100 - s ELSE s END AS score FROM raw)"""
+
+
+@query("research_scores", f"{_PARTS} SELECT name, dt, {r('score', 'score')} FROM scored")
+def research_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(sentiment.scores(_components(spark, sf_dir)))
+
+
+@query("research_sentiment_index", f"{_PARTS} SELECT dt, n_available, {r('i', 'index')}, CASE WHEN i < 20 THEN 'extreme fear' WHEN i < 40 THEN 'fear' WHEN i < 60 THEN 'neutral' WHEN i < 80 THEN 'greed' ELSE 'extreme greed' END AS label FROM (SELECT dt, count(score) AS n_available, CASE WHEN count(score) >= 4 THEN avg(score) END AS i FROM scored GROUP BY dt)")
+def research_sentiment_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(sentiment.composite_index(sentiment.scores(_components(spark, sf_dir))))
+
+
+@query("research_side_ratio", f"SELECT CAST(ts AS DATE) AS dt, {r("count(*) FILTER (event_type = 'purchase') / count(*) * 100", 'value')} FROM events WHERE event_type IN ('purchase', 'error') GROUP BY 1")
+def research_side_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(sentiment.side_ratio(tm.event_days(spark, sf_dir), "purchase", "error"))
+
+
+_FLOW = "SELECT user_id AS entity, CAST(ts AS DATE) AS dt, sum(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END) - sum(CASE WHEN event_type = 'error' THEN value ELSE 0 END) AS value FROM events GROUP BY 1, 2"
+
+
+@query("research_signed_streak", f"WITH t AS (SELECT *, CASE WHEN value > 0 THEN 1 ELSE -1 END AS way FROM ({_FLOW})), u AS (SELECT *, lag(way) OVER {E} AS b FROM t), v AS (SELECT *, sum(CASE WHEN b = way THEN 0 ELSE 1 END) OVER {E} AS island FROM u) SELECT entity, dt, CAST(row_number() OVER (PARTITION BY entity, island ORDER BY dt) * way AS INTEGER) AS streak FROM v")
+def research_signed_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    side = lambda s: F.sum(F.when(F.col("side") == s, F.col("value")).otherwise(0.0))
+    flow = tm.event_days(spark, sf_dir).groupBy("entity", "dt").agg((side("purchase") - side("error")).alias("value"))
+    return streaks.signed_streak(flow)
+
+
+_BOARDS = f"WITH d AS (SELECT DISTINCT user_id AS entity, CAST(ts AS DATE) AS dt FROM events WHERE event_type = 'error'), i AS (SELECT *, CASE WHEN dt - lag(dt) OVER {E} = 1 THEN 0 ELSE 1 END AS s FROM d), j AS (SELECT *, sum(s) OVER {E} AS island FROM i)"
+
+
+@query("research_boards", f"{_BOARDS} SELECT entity, dt, CAST(row_number() OVER (PARTITION BY entity, island ORDER BY dt) AS INTEGER) AS board_count FROM j")
+def research_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streaks.boards(tm.event_days(spark, sf_dir).filter("side = 'error'"))
+
+
+_SECTOR_RET = f"SELECT *, close / {lag('close', 1)} - 1 AS ret, sum(amount) OVER (PARTITION BY dt) AS total FROM ({tm.SECTOR_SQL})"
+
+
+def _rank_date(x: str) -> str:
+    return f"(CASE WHEN {x} IS NOT NULL THEN (rank() OVER (PARTITION BY dt ORDER BY {x} NULLS LAST) + (count(*) OVER (PARTITION BY dt, {x}) - 1) / 2) / count({x}) OVER (PARTITION BY dt) END)"
+
+
+_ROTATION = f"""WITH b AS ({_SECTOR_RET}), c AS (SELECT entity, dt, close, ret, amount / total AS share, {roll('stddev_samp', 'ret', 20, 20)} AS vol, close / {lag('close', 20)} - 1 AS mom FROM b),
+ s AS (SELECT entity, dt, ret, {_rank_date('mom')} + 1 - ({_rank_date('share')} + {_rank_date('vol')}) / 2 AS score FROM c)"""
+
+
+@query("research_rotation_score", f"{_ROTATION} SELECT entity, dt, {r('score', 'score')} FROM s")
+def research_rotation_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(rotation.rotation_score(tm.bars_sector(spark, sf_dir)))
+
+
+@query("research_rotation_backtest", f"""{_ROTATION}, days AS (SELECT DISTINCT dt, year(dt) * 100 + month(dt) AS period FROM b), p AS (SELECT period, max(dt) AS last, lead(period) OVER (ORDER BY period) AS nxt FROM days GROUP BY 1),
+ k AS (SELECT entity, nxt, row_number() OVER (PARTITION BY s.dt ORDER BY round(score, 9) DESC, entity) AS place, count(*) OVER (PARTITION BY s.dt) AS n FROM s JOIN p ON s.dt = p.last WHERE score IS NOT NULL AND nxt IS NOT NULL),
+ h AS (SELECT period, d.dt, avg(ret) AS r FROM k JOIN days d ON d.period = k.nxt JOIN c ON c.entity = k.entity AND c.dt = d.dt WHERE place <= 5 AND n >= 5 GROUP BY 1, 2)
+ SELECT CAST(period AS INTEGER) AS period, count(r) AS n, {r('product(1 + coalesce(r, 0)) - 1', 'ret')} FROM h GROUP BY 1""")
+def research_rotation_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = tm.bars_sector(spark, sf_dir)
+    score = rotation.rotation_score(bars).withColumn("score", F.round("score", 9))
+    return rounded(rotation.rotation_backtest(score, bars)).withColumn("period", F.col("period").cast("int"))
+
+
+@query("research_sector_correlation", f"WITH b AS (SELECT entity, dt, ret FROM ({_SECTOR_RET}) WHERE ret IS NOT NULL), q AS (SELECT * FROM b WHERE dt > (SELECT max(dt) FROM b) - 365) SELECT x.entity AS a, y.entity AS b, count(*) AS n, {r('corr(x.ret, y.ret)', 'corr')} FROM q x JOIN q y ON x.dt = y.dt AND x.entity <> y.entity GROUP BY 1, 2")
+def research_sector_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(rotation.sector_correlation(tm.bars_sector(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

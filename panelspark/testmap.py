@@ -53,3 +53,19 @@ WEEKLY_SQL = BARS_SQL.format(entity="l_suppkey", dt="CAST(date_trunc('week', l_s
 MARKET_SQL = BARS_SQL.format(entity="CAST(0 AS BIGINT)", dt="CAST(l_shipdate AS DATE)")
 MARKET_WEEKLY_SQL = BARS_SQL.format(entity="CAST(0 AS BIGINT)", dt="CAST(date_trunc('week', l_shipdate) AS DATE)")
 SUPPLIERS_SQL = "SELECT s_suppkey AS entity, n_name AS industry, abs(s_acctbal) + 1 AS cap FROM supplier JOIN nation ON s_nationkey = n_nationkey"
+
+
+def bars_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A weekly bar for each brand of parts."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    return _bars(lines, F.col("p_brand"), F.to_date(F.date_trunc("week", "l_shipdate")))
+
+
+SECTOR_SQL = BARS_SQL.format(entity="p_brand", dt="CAST(date_trunc('week', l_shipdate) AS DATE)").replace("FROM lineitem", "FROM lineitem JOIN part ON l_partkey = p_partkey")
+
+
+def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, dt, side, value): events of users by day."""
+    rows = table(spark, sf_dir, "events")
+    return rows.select(F.col("user_id").alias("entity"), F.to_date("ts").alias("dt"), F.col("event_type").alias("side"), "value")
