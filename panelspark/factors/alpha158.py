@@ -28,16 +28,16 @@ def price() -> dict[str, Expr]:
 
 def _line(w: int, least: int) -> tuple[Expr, Expr, Expr]:
     """Slope, r squared and last residual of the line through the closes of the window; missing if one of them is."""
-    row = windowed(("row",), lambda: F.row_number().over(ts.ORDER).cast("double"))
-    frame = ts.rows(w)
+    row = windowed(("row",), lambda: F.row_number().over(ts.order()).cast("double"))
+    frame = lambda: ts.rows(w)
 
     def full(name, agg):
-        return windowed((name, w, least), lambda c, r: F.when((F.count(c).over(frame) == F.count(F.lit(1)).over(frame)) & (F.count(c).over(frame) >= least), agg(c, r)), close, row)
+        return windowed((name, w, least), lambda c, r: F.when((F.count(c).over(frame()) == F.count(F.lit(1)).over(frame())) & (F.count(c).over(frame()) >= least), agg(c, r)), close, row)
 
-    slope = full("slope", lambda c, r: F.try_divide(F.covar_pop(c, r).over(frame), F.var_pop(r).over(frame)))
-    middle, at = full("line mean", lambda c, r: F.avg(c).over(frame)), full("line at", lambda c, r: F.avg(r).over(frame))
-    vary = full("line var", lambda c, r: F.var_pop(c).over(frame))
-    spread = full("row var", lambda c, r: F.var_pop(r).over(frame))
+    slope = full("slope", lambda c, r: F.try_divide(F.covar_pop(c, r).over(frame()), F.var_pop(r).over(frame())))
+    middle, at = full("line mean", lambda c, r: F.avg(c).over(frame())), full("line at", lambda c, r: F.avg(r).over(frame()))
+    vary = full("line var", lambda c, r: F.var_pop(c).over(frame()))
+    spread = full("row var", lambda c, r: F.var_pop(r).over(frame()))
     square = ts.when(ts.highest(close, w, 1) > ts.lowest(close, w, 1), slope * slope * spread / vary, ts.when(as_expr(apply("some", lambda c: c.isNotNull(), slope)), 0.0))
     return slope, square, close - (middle + slope * (row - at))
 

@@ -31,12 +31,12 @@ def volatility() -> dict[str, Expr]:
     own = apply("own", lambda a, b: F.when(b.isNotNull(), a), r, market)
     other = apply("other", lambda a, b: F.when(a.isNotNull(), b), r, market)
     out["beta_1y"] = ts.cov(own, other, 252, 60) / ts.not_zero(ts.std(other, 252, 60) ** 2)
-    before = ts.rows(60, -1)  # the sixty rows before this one
+    before = lambda: ts.rows(60, -1)  # noqa: E731  the sixty rows before this one
 
     def rest(a, b):
-        var_m = F.var_samp(b).over(before)
-        left = F.var_samp(a).over(before) - F.try_divide(F.pow(F.covar_samp(a, b).over(before), F.lit(2.0)), var_m)
-        return F.when((F.count(a).over(before) == 60) & (var_m != 0), F.sqrt(F.greatest(left, F.lit(0.0))) * YEAR)
+        var_m = F.var_samp(b).over(before())
+        left = F.var_samp(a).over(before()) - F.try_divide(F.pow(F.covar_samp(a, b).over(before()), F.lit(2.0)), var_m)
+        return F.when((F.count(a).over(before()) == 60) & (var_m != 0), F.sqrt(F.greatest(left, F.lit(0.0))) * YEAR)
 
     return out | {"idiosyncratic_vol": windowed("idiosyncratic", rest, own, other)}
 

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from panelspark.expr import Expr, as_expr, windowed
 
-DATE = Window.partitionBy("dt")
+
+def date():
+    return Window.partitionBy("dt")
 
 
 def rank_ordinal(x) -> Expr:
     """Place from 1 in ascending order over the number of values of the date; ties by entity."""
     def build(c: Column) -> Column:
-        return F.when(c.isNotNull(), F.row_number().over(DATE.orderBy(c.asc_nulls_last(), "entity")) / F.count(c).over(DATE))
+        return F.when(c.isNotNull(), F.row_number().over(date().orderBy(c.asc_nulls_last(), "entity")) / F.count(c).over(date()))
 
     return windowed("rank ordinal", build, x)
 
@@ -21,8 +23,8 @@ def rank_ordinal(x) -> Expr:
 def rank_pct(x) -> Expr:
     """Share of the average rank among the values of the date."""
     def build(c: Column) -> Column:
-        rank = F.rank().over(DATE.orderBy(c.asc_nulls_last()))
-        return F.when(c.isNotNull(), (rank + (F.count(F.lit(1)).over(Window.partitionBy("dt", c)) - 1) / 2) / F.count(c).over(DATE))
+        rank = F.rank().over(date().orderBy(c.asc_nulls_last()))
+        return F.when(c.isNotNull(), (rank + (F.count(F.lit(1)).over(Window.partitionBy("dt", c)) - 1) / 2) / F.count(c).over(date()))
 
     return windowed("rank pct", build, x)
 
@@ -30,7 +32,7 @@ def rank_pct(x) -> Expr:
 def scale(x) -> Expr:
     """z-score of the date."""
     x = as_expr(x)
-    return (x - windowed("date mean", lambda c: F.avg(c).over(DATE), x)) / windowed("date std", lambda c: F.stddev_samp(c).over(DATE), x)
+    return (x - windowed("date mean", lambda c: F.avg(c).over(date()), x)) / windowed("date std", lambda c: F.stddev_samp(c).over(date()), x)
 
 
 def finite(c: Column) -> Column:
@@ -40,7 +42,7 @@ def finite(c: Column) -> Column:
 
 def winsorize(df: DataFrame, names: list[str], pct: float = 0.01) -> DataFrame:
     """Each column clipped to its exact [pct, 1 - pct] quantiles of the date."""
-    bounds = [F.percentile(n, F.array(F.lit(pct), F.lit(1 - pct))).over(DATE).alias(f"_q_{n}") for n in names]
+    bounds = [F.percentile(n, F.array(F.lit(pct), F.lit(1 - pct))).over(date()).alias(f"_q_{n}") for n in names]
     held = df.select("*", *bounds)
     clipped = {n: F.when(F.col(n).isNotNull(), F.greatest(F.least(F.col(n), F.col(f"_q_{n}")[1]), F.col(f"_q_{n}")[0])) for n in names}
     return held.withColumns(clipped).drop(*(f"_q_{n}" for n in names))
@@ -48,7 +50,7 @@ def winsorize(df: DataFrame, names: list[str], pct: float = 0.01) -> DataFrame:
 
 def standardize(df: DataFrame, names: list[str]) -> DataFrame:
     """z-scores of the date; where a date has no spread all its cells are 0, missing ones too."""
-    moments = [F.struct(F.avg(n).over(DATE).alias("m"), F.stddev_samp(n).over(DATE).alias("s")).alias(f"_z_{n}") for n in names]
+    moments = [F.struct(F.avg(n).over(date()).alias("m"), F.stddev_samp(n).over(date()).alias("s")).alias(f"_z_{n}") for n in names]
     held = df.select("*", *moments)
     z = {n: F.when(F.coalesce(F.col(f"_z_{n}.s"), F.lit(0.0)) == 0, F.lit(0.0)).otherwise(F.try_divide(F.col(n) - F.col(f"_z_{n}.m"), F.col(f"_z_{n}.s"))) for n in names}
     return held.withColumns(z).drop(*(f"_z_{n}" for n in names))
@@ -69,13 +71,13 @@ def neutralise(df: DataFrame, factor: str, cap: str | None = None, industry: str
     y, m = F.col(factor), F.log(F.when(F.col(cap) > 0, F.col(cap))) if cap else F.lit(0.0)
     full = y.isNotNull() & m.isNotNull() & (F.col(industry).isNotNull() if industry else F.lit(True))
     base = df.withColumn("_full", full).withColumn("_y", F.when(full, y)).withColumn("_m", F.when(full, m))
-    base = base.withColumn("_n", F.count("_y").over(DATE))
+    base = base.withColumn("_n", F.count("_y").over(date()))
     if industry:
-        base = base.withColumn("_first", F.min(F.when(F.col("_full"), F.col(industry))).over(DATE))
+        base = base.withColumn("_first", F.min(F.when(F.col("_full"), F.col(industry))).over(date()))
         group = Window.partitionBy("dt", industry)
         for c in ("_y", "_m"):
             base = base.withColumn(c, F.when(F.col(industry) == F.col("_first"), F.col(c)).otherwise(F.col(c) - F.avg(c).over(group)))
-    beta = F.coalesce(F.try_divide(F.sum(F.col("_y") * F.col("_m")).over(DATE), F.sum(F.col("_m") * F.col("_m")).over(DATE)), F.lit(0.0))
+    beta = F.coalesce(F.try_divide(F.sum(F.col("_y") * F.col("_m")).over(date()), F.sum(F.col("_m") * F.col("_m")).over(date())), F.lit(0.0))
     out = base.withColumn("_beta", beta)
     fitted = F.when(F.col("_full") & (F.col("_n") >= least), F.col("_y") - F.col("_beta") * F.col("_m")).otherwise(y)
     return out.withColumn(factor, fitted).select(*df.columns)

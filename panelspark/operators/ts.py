@@ -9,14 +9,26 @@ from pyspark.sql import functions as F
 
 from panelspark.expr import Expr, apply, as_expr, windowed
 
-ORDER = Window.partitionBy("entity").orderBy("dt")
-WHOLE = Window.partitionBy("entity")
-UPTO = ORDER.rowsBetween(Window.unboundedPreceding, 0)
+
+# Windows are made when an expression is built: importing this module needs no session.
+
+
+def order():
+    """The rows of an entity in date order."""
+    return Window.partitionBy("entity").orderBy("dt")
+
+
+def whole():
+    return Window.partitionBy("entity")
+
+
+def upto():
+    return order().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def rows(n: int, end: int = 0):
     """The last n rows up to the current one (or up to ``end`` rows from it)."""
-    return ORDER.rowsBetween(end - int(n) + 1, end)
+    return order().rowsBetween(end - int(n) + 1, end)
 
 
 def _rolling(name: str, agg, n: int, least: int, *args) -> Expr:
@@ -39,11 +51,11 @@ def half(n: int) -> int:
 def ref(x, n: int = 1) -> Expr:
     """The value n rows before; a negative n also looks back."""
     n = abs(int(n))
-    return windowed(("ref", n), lambda c: F.lag(c, n).over(ORDER), x) if n else as_expr(x)
+    return windowed(("ref", n), lambda c: F.lag(c, n).over(order()), x) if n else as_expr(x)
 
 
 def lead(x, n: int = 1) -> Expr:
-    return windowed(("lead", n), lambda c: F.lead(c, n).over(ORDER), x)
+    return windowed(("lead", n), lambda c: F.lead(c, n).over(order()), x)
 
 
 def delta(x, n: int = 1) -> Expr:
@@ -132,7 +144,7 @@ def ewm(x, span: int, least: int | None = None) -> Expr:
     x, q = as_expr(x), 1 - 2 / (span + 1)
     least = span if least is None else least
     size = max(2, int(230 / -math.log(q)))
-    row = windowed(("row",), lambda: F.row_number().over(ORDER))
+    row = windowed(("row",), lambda: F.row_number().over(order()))
     at = apply(("at", size), lambda r: (r - 1) % size, row)
     block = apply(("block", size), lambda r: F.floor((r - 1) / size), row)
 
@@ -143,7 +155,7 @@ def ewm(x, span: int, least: int | None = None) -> Expr:
         return apply(("carry", q), lambda o, b, p: o + F.coalesce(b, F.lit(0.0)) * F.pow(F.lit(q), p + 1), own, before, at)
 
     there = apply("there", lambda c: F.when(c.isNotNull(), F.lit(1.0)), x)
-    seen = windowed("seen", lambda c: F.count(c).over(UPTO), x)
+    seen = windowed("seen", lambda c: F.count(c).over(upto()), x)
     return when((seen >= least) & apply("not null", lambda c: c.isNotNull(), x), so_far(x) / so_far(there))
 
 
@@ -196,18 +208,17 @@ def argmin(x, n: int, least: int = 1) -> Expr:
 
 def fill_forward(x, n: int | None = None) -> Expr:
     """The last value that is not missing, at most n rows old."""
-    frame = ORDER.rowsBetween(Window.unboundedPreceding if n is None else -n, 0)
-    return windowed(("fill", n), lambda c: F.last(c, ignorenulls=True).over(frame), x)
+    return windowed(("fill", n), lambda c: F.last(c, ignorenulls=True).over(order().rowsBetween(Window.unboundedPreceding if n is None else -n, 0)), x)
 
 
 def fill_backward(x) -> Expr:
-    return windowed("fill back", lambda c: F.first(c, ignorenulls=True).over(ORDER.rowsBetween(0, Window.unboundedFollowing)), x)
+    return windowed("fill back", lambda c: F.first(c, ignorenulls=True).over(order().rowsBetween(0, Window.unboundedFollowing)), x)
 
 
 def decay_linear(x, n: int) -> Expr:
     """Weights 1..n over the last n rows (gaps filled from both sides, then 0); the first n - 1 rows keep their value."""
     filled = apply("zero", lambda c: F.coalesce(c, F.lit(0.0)), fill_backward(fill_forward(x)))
-    row = windowed(("row",), lambda: F.row_number().over(ORDER))
+    row = windowed(("row",), lambda: F.row_number().over(order()))
     parts = as_expr(0.0)
     for age in range(n):
         parts = parts + ref(filled, age) * float(n - age)
@@ -217,20 +228,20 @@ def decay_linear(x, n: int) -> Expr:
 def rank_whole(x) -> Expr:
     """Average-tie share of the rank of each value among all of the entity (reads the future)."""
     def build(c: Column) -> Column:
-        rank = F.rank().over(WHOLE.orderBy(c.asc_nulls_last()))
+        rank = F.rank().over(whole().orderBy(c.asc_nulls_last()))
         ties = F.count(F.lit(1)).over(Window.partitionBy("entity", c))
-        return F.when(c.isNotNull(), (rank + (ties - 1) / 2) / F.count(c).over(WHOLE))
+        return F.when(c.isNotNull(), (rank + (ties - 1) / 2) / F.count(c).over(whole()))
 
     return windowed("rank whole", build, x)
 
 
 def scale_whole(x, k: float = 1.0) -> Expr:
     """x times k over the sum of the magnitudes of all values of the entity (reads the future)."""
-    return as_expr(x) * k / windowed("sum abs", lambda c: F.sum(F.abs(c)).over(WHOLE), x)
+    return as_expr(x) * k / windowed("sum abs", lambda c: F.sum(F.abs(c)).over(whole()), x)
 
 
 def cumulative(x, agg=F.sum, name: str = "sum") -> Expr:
-    return windowed(("so far", name), lambda c: agg(c).over(UPTO), x)
+    return windowed(("so far", name), lambda c: agg(c).over(upto()), x)
 
 
 def when(test: Expr, yes, no=None) -> Expr:

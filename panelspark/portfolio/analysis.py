@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.portfolio.backtest import SO_FAR
+from panelspark.portfolio.backtest import so_far
 
 
 def monthly_returns(returns: DataFrame, column: str = "ls_ret") -> DataFrame:
@@ -15,10 +15,10 @@ def monthly_returns(returns: DataFrame, column: str = "ls_ret") -> DataFrame:
 
 def tear_sheet(returns: DataFrame, column: str = "ls_ret", year: float = 252.0) -> DataFrame:
     """One row for each factor: annual figures, drawdown and its longest run, tail risk, Sharpe, Sortino, shape of the returns."""
-    nav = returns.filter(F.col(column).isNotNull()).select("factor", "dt", F.col(column).alias("ret"), F.product(1 + F.col(column)).over(SO_FAR).alias("nav"))
-    down = nav.select("*", (F.col("nav") / F.max("nav").over(SO_FAR) - 1).alias("dd"))
+    nav = returns.filter(F.col(column).isNotNull()).select("factor", "dt", F.col(column).alias("ret"), F.product(1 + F.col(column)).over(so_far()).alias("nav"))
+    down = nav.select("*", (F.col("nav") / F.max("nav").over(so_far()) - 1).alias("dd"))
     # Days under water form islands: a day at its peak starts a new one.
-    island = down.select("*", F.sum(F.when(F.col("dd") >= 0, 1).otherwise(0)).over(SO_FAR).alias("island"))
+    island = down.select("*", F.sum(F.when(F.col("dd") >= 0, 1).otherwise(0)).over(so_far()).alias("island"))
     runs = island.filter("dd < 0").groupBy("factor", "island").agg(F.count("*").alias("run")).groupBy("factor").agg(F.max("run").alias("dd_days"))
     tail = nav.groupBy("factor").agg(F.percentile("ret", 0.05).alias("var_95"))
     figures = down.join(tail, "factor").groupBy("factor").agg(

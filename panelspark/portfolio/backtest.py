@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BY_FACTOR = Window.partitionBy("factor").orderBy("dt")
-SO_FAR = BY_FACTOR.rowsBetween(Window.unboundedPreceding, 0)
+
+def by_factor():
+    return Window.partitionBy("factor").orderBy("dt")
+
+
+def so_far():
+    return by_factor().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def daily_returns(prices: DataFrame) -> DataFrame:
@@ -17,7 +22,7 @@ def daily_returns(prices: DataFrame) -> DataFrame:
 
 def _numbered_dates(store: DataFrame) -> DataFrame:
     """(factor, dt, at): the dates of each factor, from 0; as many rows as there are dates."""
-    return store.select("factor", "dt").distinct().select("factor", "dt", (F.row_number().over(BY_FACTOR) - 1).alias("at"))
+    return store.select("factor", "dt").distinct().select("factor", "dt", (F.row_number().over(by_factor()) - 1).alias("at"))
 
 
 def long_short_positions(store: DataFrame, n_long: int, n_short: int, freq: int, max_weight: float = 1.0) -> DataFrame:
@@ -59,13 +64,13 @@ def long_short_returns(store: DataFrame, prices: DataFrame, n_long: int = 50, n_
 
 def with_nav(returns: DataFrame, columns: tuple[str, ...] = ("long_ret", "short_ret", "ls_ret")) -> DataFrame:
     """Adds the compounded value of each return column, by factor."""
-    return returns.select("*", *(F.product(1 + F.coalesce(c, F.lit(0.0))).over(SO_FAR).alias(c.replace("_ret", "_nav")) for c in columns))
+    return returns.select("*", *(F.product(1 + F.coalesce(c, F.lit(0.0))).over(so_far()).alias(c.replace("_ret", "_nav")) for c in columns))
 
 
 def metrics(returns: DataFrame, column: str = "ls_ret", year: float = 252.0) -> DataFrame:
     """One row for each factor: total and annual return, volatility, Sharpe, drawdown with its date, Calmar, win rate, profit/loss."""
-    nav = returns.filter(F.col(column).isNotNull()).select("factor", "dt", F.col(column).alias("ret"), F.product(1 + F.col(column)).over(SO_FAR).alias("nav"))
-    down = nav.select("*", (F.col("nav") / F.greatest(F.max("nav").over(SO_FAR), F.lit(1.0)) - 1).alias("dd"))
+    nav = returns.filter(F.col(column).isNotNull()).select("factor", "dt", F.col(column).alias("ret"), F.product(1 + F.col(column)).over(so_far()).alias("nav"))
+    down = nav.select("*", (F.col("nav") / F.greatest(F.max("nav").over(so_far()), F.lit(1.0)) - 1).alias("dd"))
     out = down.groupBy("factor").agg(F.count("*").alias("n"), F.max_by("nav", "dt").alias("last"), F.stddev_samp("ret").alias("s"), F.min("dd").alias("max_dd"), F.min_by("dt", F.struct("dd", "dt")).alias("max_dd_date"), F.avg(F.when(F.col("ret") > 0, 1.0).otherwise(0.0)).alias("win_rate"), F.avg(F.when(F.col("ret") > 0, F.col("ret"))).alias("won"), F.avg(F.when(F.col("ret") < 0, F.col("ret"))).alias("lost"))
     annual = F.pow(F.greatest(F.col("last"), F.lit(0.0)), F.lit(year) / F.col("n")) - 1
     vol = F.col("s") * F.sqrt(F.lit(year))

@@ -413,7 +413,7 @@ def store_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("curated_adjusted_bars", f"SELECT entity, dt, {', '.join(r(f'{c} * adj / last_value(adj) OVER (PARTITION BY entity ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)', f'{c}_adj') for c in ('open', 'high', 'low', 'close'))}, {r('volume', 'volume')}, {r('amount', 'amount')}, {r('adj', 'adj_factor')} FROM (SELECT *, 1 + (row_number() OVER (PARTITION BY entity ORDER BY dt) // 50) / 10.0 AS adj FROM ({tm.WEEKLY_SQL}))")
 def curated_adjusted_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = tm.bars_weekly(spark, sf_dir)
-    adj = bars.select("entity", "dt", (1 + F.floor(F.row_number().over(ts.ORDER) / 50) / 10.0).alias("adj_factor"))
+    adj = bars.select("entity", "dt", (1 + F.floor(F.row_number().over(ts.order()) / 50) / 10.0).alias("adj_factor"))
     return rounded(store_ops.forward_adjusted(bars, adj))
 
 

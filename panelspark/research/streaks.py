@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BY_ENTITY = Window.partitionBy("entity").orderBy("dt")
+
+def by_entity():
+    return Window.partitionBy("entity").orderBy("dt")
 
 
 def signed_streak(flows: DataFrame, column: str = "value") -> DataFrame:
     """(entity, dt, streak): length of the run of equal direction so far, negative where the flow is not positive."""
     way = F.when(F.col(column) > 0, 1).otherwise(-1)
-    turns = flows.select("entity", "dt", way.alias("way"), F.lag(way).over(BY_ENTITY).alias("before"))
-    island = turns.select("entity", "dt", "way", F.sum(F.when(F.col("way").eqNullSafe(F.col("before")), 0).otherwise(1)).over(BY_ENTITY).alias("island"))
+    turns = flows.select("entity", "dt", way.alias("way"), F.lag(way).over(by_entity()).alias("before"))
+    island = turns.select("entity", "dt", "way", F.sum(F.when(F.col("way").eqNullSafe(F.col("before")), 0).otherwise(1)).over(by_entity()).alias("island"))
     run = F.row_number().over(Window.partitionBy("entity", "island").orderBy("dt"))
     return island.select("entity", "dt", (run * F.col("way")).alias("streak"))
 
@@ -20,8 +22,8 @@ def signed_streak(flows: DataFrame, column: str = "value") -> DataFrame:
 def boards(hits: DataFrame) -> DataFrame:
     """(entity, dt, board_count): how many days in a row (calendar days, so weekends break) the entity has been hit."""
     days = hits.select("entity", "dt").distinct()
-    start = F.when(F.datediff("dt", F.lag("dt").over(BY_ENTITY)) == 1, 0).otherwise(1)
-    island = days.select("entity", "dt", start.alias("start")).select("entity", "dt", F.sum("start").over(BY_ENTITY).alias("island"))
+    start = F.when(F.datediff("dt", F.lag("dt").over(by_entity())) == 1, 0).otherwise(1)
+    island = days.select("entity", "dt", start.alias("start")).select("entity", "dt", F.sum("start").over(by_entity()).alias("island"))
     return island.select("entity", "dt", F.row_number().over(Window.partitionBy("entity", "island").orderBy("dt")).alias("board_count"))
 
 
