@@ -29,38 +29,53 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").unionByName(roots.join(now.select(F.col("u").alias("id")), "id", "left_anti"))
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least_percent: int) -> DataFrame:
+#: A bucket of more members than this is compared in blocks; pairs of smaller ones number at most so many for each member.
+SMALL = 40
+#: Two rows of 128 one-bit sketches that agree in fewer places are taken as unlike. At a similarity of 0.75 the expectation
+#: is 112 and this lies 4.5 standard deviations below.
+LEAST_BITS = 95
+
+
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least_percent: int, compare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(id, component) of ids that verified links join; ``members`` (bucket, id, n) share a bucket if they may be linked.
 
-    First every member is compared with the smallest id of its bucket. Only where a bucket still holds more than one
-    component, the smallest member of each is compared with the members of the others, and last whatever pairs of different
-    components remain: after that no link between two members of a bucket is missing. ``n`` is a size: pairs of which the
-    smaller is under ``least_percent`` of the larger cannot be linked. ``verify`` keeps the true ones of pairs (a, b).
+    First every member is compared with the hub of its bucket: the member that meets most others over all its buckets, so
+    that copies of one text meet that text. Where a bucket then still holds more than one component, members of different
+    components are compared: in small buckets as pairs, in larger ones by ``compare`` (rows bucket, id, n, component, many
+    in, enough links to join what is linked out), or as pairs too where it is not given. After that no link between two
+    members of a bucket is missing. ``n`` is a size: pairs of which the smaller is under ``least_percent`` of the larger
+    cannot be linked. Columns s1 and s2 (one-bit sketches), if there, spare most unlike pairs. ``verify`` keeps the true
+    ones of pairs (a, b).
     """
-    close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * least_percent
-    first = members.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("f")).select("bucket", F.col("f.id").alias("a"), F.col("f.n").alias("na"))
-    pairs = members.join(first, "bucket").filter("id <> a").select("a", F.col("id").alias("b"), "na", F.col("n").alias("nb")).filter(close).select("a", "b").distinct()
-    tried = stash(pairs, "pairs")
+    bits = "s1" in members.columns
+    own = ["n", "s1", "s2"] if bits else ["n"]
+
+    def alike(x: str, y: str):
+        close = F.least(f"{x}n", f"{y}n") * 100 >= F.greatest(f"{x}n", f"{y}n") * least_percent
+        if not bits:
+            return close
+        apart = sum((F.bit_count(F.col(f"{x}{s}").bitwiseXOR(F.col(f"{y}{s}"))) for s in ("s1", "s2")), F.lit(0))
+        return close & (128 - apart >= LEAST_BITS)
+
+    many = members.groupBy("bucket").agg(F.count("*").alias("many"))
+    degree = members.join(many, "bucket").groupBy("id").agg(F.sum("many").alias("degree"))
+    members = stash(members.join(degree, "id"), "members")
+    hub = members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("order"), *own)).alias("h"))
+    hub = hub.select("bucket", (-F.col("h.order")).alias("a"), *(F.col(f"h.{c}").alias(f"a{c}") for c in own))
+    met = members.select("bucket", F.col("id").alias("b"), *(F.col(c).alias(f"b{c}") for c in own)).join(hub, "bucket").filter((F.col("a") != F.col("b")) & alike("a", "b"))
+    tried = stash(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = stash(verify(tried), "links")
-    for leaders_only in (True, False):
-        found = connected_components(links)
-        held = members.join(found, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("component"))
-        mixed = held.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
-        held = stash(held.join(mixed, "bucket", "left_semi"), "mixed")
-        if held.isEmpty():
-            return found
-        one = held
-        if leaders_only:
-            one = held.groupBy("bucket", "component").agg(F.min(F.struct("id", "n")).alias("f")).select("bucket", "component", F.col("f.id").alias("id"), F.col("f.n").alias("n"))
-        left = one.select("bucket", F.col("id").alias("x"), F.col("n").alias("na"), F.col("component").alias("cx"))
-        right = held.select("bucket", F.col("id").alias("y"), F.col("n").alias("nb"), F.col("component").alias("cy"))
-        cross = left.join(right, "bucket").filter((F.col("cx") != F.col("cy")) & close)
-        if not leaders_only:
-            cross = cross.filter("x < y")
-        more = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-        more = stash(more, "pairs")
-        if more.isEmpty():
-            continue
-        tried = tried.unionByName(more)
-        links = links.unionByName(stash(verify(more), "links"))
+    found = stash(connected_components(links), "found")
+    held = members.join(found, "id", "left").select("bucket", "id", *own, F.coalesce("component", "id").alias("component"))
+    mixed = held.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("many")).filter("lo < hi").select("bucket", "many")
+    held = stash(held.join(mixed, "bucket"), "mixed")
+    if held.isEmpty():
+        return found
+    small = held.filter(F.col("many") <= SMALL) if compare else held
+    side = lambda x: small.select("bucket", F.col("id").alias(x), F.col("component").alias(f"{x}c"), *(F.col(c).alias(f"{x}{c}") for c in own))
+    cross = side("x").join(side("y"), "bucket").filter((F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc")) & alike("x", "y"))
+    pairs = stash(cross.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(stash(verify(pairs), "links"))
+    if compare:
+        links = links.unionByName(stash(compare(held.filter(F.col("many") > SMALL).select("bucket", "id", "n", "component", "many")), "links"))
     return connected_components(links)

@@ -30,6 +30,8 @@ from panelspark.llm.grouping import link_buckets
 WORDS, LEAST_PERCENT = 5, 75
 ROWS, BANDS = 5, 45
 SLOT_BITS = 20
+#: Members of a bucket in a block of pairwise comparison.
+BLOCK = 400
 CACHE_WORDS = 500_000
 _NO_ID = 2**63 - 1
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -78,19 +80,21 @@ class Circulant:
         self.shifted = np.lib.stride_tricks.sliding_window_view(np.r_[rank, rank[:coordinates]], coordinates)  # row s: ranks of s, s+1, ...
         self.salt = _mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX[3])
 
-    def bands(self, shingles: np.ndarray) -> np.ndarray:
+    def keys(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket keys, and two words of 128 one-bit sketches (a bit of each of the first coordinates)."""
         slot = np.unique((_mixed(shingles * _MIX[4]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
         signature = self.shifted[slot[:256]].min(axis=0)
         for at in range(256, len(slot), 256):
             signature = np.minimum(signature, self.shifted[slot[at : at + 256]].min(axis=0))
+        bits = np.packbits((_mixed(signature[:128].astype(np.uint64) * _MIX[0] + np.arange(128, dtype=np.uint64)) & np.uint64(1)).astype(bool))
         key = self.salt.copy()
         for row in signature.reshape(BANDS, ROWS).T.astype(np.uint64):
             key = _mixed(key * _MIX[0] + row)
-        return key.view(np.int64)
+        return key.view(np.int64), bits.view(np.int64)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (of equal sets equal), bands (keys of the buckets)."""
+    """doc_id, n_shingles, set_key (of equal sets equal), bands (keys of the buckets), s1 and s2 (one-bit sketches)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,11 +102,12 @@ def sketches(docs: DataFrame) -> DataFrame:
         for b in batches:
             sets = [shingles(t) for t in b["text"].to_pylist()]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            bands = [circulant.bands(s) if len(s) else np.zeros(0, np.int64) for s in sets]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_key", "bands"])
+            both = [circulant.keys(s) if len(s) else (np.zeros(0, np.int64), np.zeros(2, np.int64)) for s in sets]
+            bits = [pa.array([x[k] for _, x in both], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([k for k, _ in both], pa.list_(pa.int64())), *bits], names=["doc_id", "n_shingles", "set_key", "bands", "s1", "s2"])
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, s1 long, s2 long")
 
 
 def _confirm(texts: DataFrame):
@@ -129,19 +134,70 @@ def _confirm(texts: DataFrame):
     return verify
 
 
+def _links_of_block(table: pa.Table) -> pa.Table:
+    """Links of the full sets between the two sides of a block pair, as few as join all that is linked."""
+    shingles = process_cache("shingler", shingler)
+    ids, own, side = (table[c].to_numpy() for c in ("id", "component", "side"))
+    sets = [shingles(t) for t in table["text"].to_pylist()]
+    size = np.array([len(s) for s in sets])
+    names, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1  # only shingles of two sets or more matter
+    row = np.repeat(np.arange(len(sets)), size)
+    use = count[code] > 1
+    row, col = row[use], number[code[use]]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    for at in range(0, int(number[-1]) + 1, 2048):
+        lo, hi = np.searchsorted(col, (at, at + 2048))
+        part = np.zeros((len(sets), min(2048, int(number[-1]) + 1 - at)), np.float32)
+        part[row[lo:hi], col[lo:hi] - at] = 1
+        common += part @ part.T
+    linked = 100 * common >= LEAST_PERCENT * (size[:, None] + size[None, :] - common)
+    linked &= (own[:, None] != own[None, :]) & ((side[:, None] != side[None, :]) | (side.min() == side.max()))
+    root = {c: c for c in own.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for i, j in np.argwhere(np.triu(linked, 1)).tolist():
+        x, y = find(int(own[i])), find(int(own[j]))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))))
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+
+def _in_blocks(texts: DataFrame):
+    """Comparison of the members of large buckets: blocks of ``BLOCK`` of them, every two blocks in a task of their own."""
+
+    def compare(members: DataFrame) -> DataFrame:
+        blocks = F.ceil(F.col("many") / BLOCK)
+        dealt = members.withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+        rows = dealt.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "id", "side", "component")
+        with_text = rows.join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
+        return with_text.groupBy("bucket", "lo", "hi").applyInArrow(_links_of_block, "a long, b long")
+
+    return compare
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id that links reach), kept for every row of ``docs``."""
     small_batches(docs.sparkSession)
     rows = stash(sketches(docs), "sketches")
     classes = stash(rows.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("first"), F.min("n_shingles").alias("n")), "classes")
     heads = rows.join(classes.select("set_key", F.col("first").alias("doc_id")), ["set_key", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    buckets = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"))
+    buckets = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s1", "s2")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1").select("bucket")
     members = stash(buckets.join(shared, "bucket", "left_semi"), "buckets")
     ids = stash(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
     known = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
     texts = stash(only_maybe(known, "doc_id", key_filter(ids, "doc_id", ids.count())).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidate-texts")
-    found = link_buckets(members, _confirm(texts), LEAST_PERCENT)
+    found = link_buckets(members, _confirm(texts), LEAST_PERCENT, _in_blocks(texts))
     of_class = stash(classes.join(found.withColumnRenamed("id", "first"), "first", "left").select("set_key", F.coalesce("component", "first").alias("component")), "components")
     # A class of very many copies is one row of the right side; the left side of the join is split where it is skewed.
     out = rows.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
