@@ -32,8 +32,9 @@ from panelspark.llm._common import small_batches
 FEATURE_BITS = 20
 #: Labelled rows that a model is fitted on at most (those with the smallest hash of their id).
 MAX_FIT_ROWS = 8000
-#: A feature counts from so many rows of the sample on, and if its log-odds are so many standard errors from zero.
-MIN_ROWS, MIN_Z = 5, 4.0
+#: A feature counts from so many rows of the sample on, and if its log-odds are so many standard errors from zero (the
+#: second number where the sample has under 500 rows).
+MIN_ROWS, MIN_Z, SMALL_Z = 5, 4.0, 2.5
 REJECT = 0.5
 #: Lengths of the word beginnings.
 PREFIXES = (4, 5, 6, 7)
@@ -147,7 +148,7 @@ def _fit(row: np.ndarray, key: np.ndarray, value: np.ndarray, toxic: np.ndarray)
     df_toxic = np.bincount(key[toxic[row] == 1], minlength=space)
     odds = np.log((df_toxic + 0.5) / (n_toxic + 1)) - np.log((df - df_toxic + 0.5) / (n - n_toxic + 1))
     error = np.sqrt(1 / (df_toxic + 0.5) + 1 / (df - df_toxic + 0.5))
-    known = (df >= min(MIN_ROWS, n_toxic)) & (np.abs(odds) >= (MIN_Z if n >= 500 else 1.0) * error)
+    known = (df >= min(MIN_ROWS, n_toxic)) & (np.abs(odds) >= (MIN_Z if n >= 500 else SMALL_Z) * error)
     use = known[key]
     row, key, value = row[use], key[use], value[use]
     # Severity of the toxic rows: the share of their words that are toxic terms.

@@ -369,6 +369,25 @@ def test_minhash_chain_that_no_leader_sees(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == _components(sets, 75)
 
 
+def test_minhash_blocks_find_the_same_links(spark, monkeypatch):
+    """With tiny limits every mixed bucket is compared in blocks."""
+    from panelspark.llm import grouping
+
+    monkeypatch.setattr(grouping, "SMALL", 2)
+    monkeypatch.setattr(minhash, "BLOCK", 5)
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for k in range(60):
+        words = list(base)
+        for _ in range(rng.randint(1, 9)):
+            words[rng.randrange(150)] = f"y{rng.random()}"
+        rows.append((k, " ".join(words)))
+    sets = {k: _shingles(t) for k, t in rows}
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == _components(sets, 75)
+
+
 def test_connected_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 340)]
@@ -406,3 +425,41 @@ def test_suffix_segments_agree(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 700)
     parts = suffix_dedup.anchors(text, suffix_dedup.Rolling(1))
     assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+
+
+def test_pipeline_stages_keep_clean_documents(spark, tmp_path):
+    """Each stage against what brute force leaves of its own input."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(11)
+    texts = [" ".join(f"{rng.choice('bcdfgklmnprst')}{rng.choice('aeiou')}{rng.choice('bcdfgklmnprst')}{k % 9}" for k in range(rng.randint(60, 160))).replace("4 ", "4.\n") for _ in range(400)]
+    labels = []
+    for i in range(400):
+        bad = i % 8 == 0
+        if bad:
+            words = texts[i].split(" ")
+            for _ in range(6):
+                words.insert(rng.randrange(len(words)), "vilewort")
+            texts[i] = " ".join(words)
+        labels.append((i, int(bad)))
+    texts += [texts[1], texts[2], texts[3].replace(texts[3].split()[7], "changed", 1), "token=abcdefgh12345678 " + texts[5].split("\n")[0], texts[9] + "\n" + texts[10]]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    sf = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    seen = {"start": {r["doc_id"]: r["text"] for r in docs.collect()}}
+    for name, stage in cp.STAGES[:-1]:
+        docs = cp.stash(stage(spark, docs, sf), f"test-{name}")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        seen[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
+        assert all(r["n_chars"] == len(r["text"]) for r in docs.collect())
+    assert set(seen["toxicity"]) == {i for i in seen["start"] if i >= 400 or i % 8}
+    left = _lines_left([(i, t) for i, t in seen["toxicity"].items()], 3)
+    assert seen["line_dedup"] == {i: t for i, (t, gone) in left.items() if not gone or t.strip()}
+    want = _components({i: _shingles(t) for i, t in seen["line_dedup"].items()}, 75)
+    assert set(seen["near_dedup"]) == {i for i in want if want[i] == i}
+    assert set(seen["secret_scan"]) == set(seen["near_dedup"]) and not any(_secrets(t) for t in seen["secret_scan"].values())
+    packed = cp.STAGES[-1][1](spark, docs, sf)
+    assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == set(seen["secret_scan"])
+    assert cp.run(spark, sf).count() == packed.count()
