@@ -13,7 +13,7 @@ from panelspark.factors import alpha158, classic, formulaic, registry, technical
 from panelspark.operators import cs, ts
 from panelspark.portfolio import analysis as an
 from panelspark.portfolio import backtest as bt
-from panelspark.research import rotation, sentiment, streaks
+from panelspark.research import flows, news, rotation, sentiment, streaks
 from panelspark.sources import parse
 from panelspark.sources import store as store_ops
 
@@ -547,6 +547,91 @@ def research_sector_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rotation.sector_correlation(tm.bars_sector(spark, sf_dir)))
 
 
+# ---- news, reports and flows ---------------------------------------------------------------------------------------------------
+
+
+def _annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("n_chars")
+    kind = F.when(n % 5 == 0, "earnings").when(n % 5 == 1, "merger").otherwise("other")
+    return tm.news(spark, sf_dir).select("id", "entity", "dt", ((n % 201 - 100) / 100).alias("sentiment"), kind.alias("event_type"), (n % 7 / 7).alias("impact"))
+
+
+_DAY = f"SELECT entity, dt, avg(s) AS s, count(*) AS n, CASE WHEN sum(i) <> 0 THEN sum(s * i) / sum(i) END AS wt, max(CASE WHEN k = 0 THEN 1 ELSE 0 END) AS e, max(CASE WHEN k = 1 THEN 1 ELSE 0 END) AS g FROM (SELECT *, (n_chars % 201 - 100) / 100 AS s, n_chars % 7 / 7 AS i, n_chars % 5 AS k FROM ({tm.NEWS_SQL})) GROUP BY 1, 2"
+
+
+@query("news_factors", f"SELECT entity, dt, {r('s', 'news_sentiment')}, n AS news_count, {r(f'avg(coalesce(wt, 0)) OVER {w(5)}', 'news_sentiment_5d')}, coalesce(e, 0) AS news_earnings_flag, coalesce(g, 0) AS news_merger_flag FROM (SELECT entity, dt FROM ({tm.WEEKLY_SQL})) LEFT JOIN ({_DAY}) USING (entity, dt)")
+def news_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(news.news_factors(tm.bars_weekly(spark, sf_dir), _annotations(spark, sf_dir)))
+
+
+def _mock_model(texts: list[str]) -> list[str]:
+    """A deterministic stand-in for a model: a reply for each text, every third one in a code fence."""
+    out = []
+    for t in texts:
+        reply = '{"sentiment": %.2f, "event_type": "%s", "impact": 0.5, "keywords": ["%s"]}' % (len(t) % 21 / 10 - 1, ("earnings", "merger", "other")[len(t) % 3], t[:3].strip().replace('"', "").replace("\\", "").replace("\n", ""))
+        out.append(f"```json\n{reply}\n```" if len(t) % 3 == 0 else reply)
+    return out
+
+
+@query("news_annotation", f"SELECT id, entity, dt, {r('n % 21 / 10 - 1', 'sentiment')}, CASE n % 3 WHEN 0 THEN 'earnings' WHEN 1 THEN 'merger' ELSE 'other' END AS event_type, {r('0.5', 'impact')} FROM (SELECT *, least(length(text), 2000) AS n FROM ({tm.NEWS_SQL}) WHERE length(text) >= 10)")
+def news_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(news.annotate(tm.news(spark, sf_dir), _mock_model).select("id", "entity", "dt", "sentiment", "event_type", "impact"))
+
+
+def _filled(c: str, n: int) -> str:
+    return f"last_value({c} IGNORE NULLS) OVER (PARTITION BY entity ORDER BY dt ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
+
+
+REPORT_COLUMNS = {n: _filled(c, 4) for n, c in (("roe_ttm", "roe"), ("roa_ttm", "roa"), ("gross_margin", "grossprofit_margin"), ("net_margin", "netprofit_margin"), ("revenue_growth_yoy", "or_yoy"), ("earnings_growth_yoy", "profit_dedt"), ("asset_growth_yoy", "or_yoy"))}
+REPORT_COLUMNS |= {"debt_to_assets": "-" + _filled("debt_to_assets", 4), "earnings_stability": f"-({roll('stddev_samp', 'filled', 20, 8)} / nullif(abs({roll('avg', 'filled', 20, 8)}), 0))"}
+query("classic_reports", panel_sql(REPORT_COLUMNS, tm.REPORTS_SQL, (f"{_filled('roe', 20)} AS filled",)))(factors(sorted(REPORT_COLUMNS), tm.reports))
+
+
+def valued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly bars with the fields of a valuation table, derived from them."""
+    c, v = F.col("close"), F.col("volume")
+    extra = {"pe_ttm": c - 1000, "pb": c / v, "ps_ttm": v - 20, "dv_ttm": F.col("low") - 900, "total_mv": F.col("amount") * 10, "turnover_rate": v / 10}
+    return tm.bars_weekly(spark, sf_dir).select("*", *(x.alias(n) for n, x in extra.items()))
+
+
+_VALUED = f"SELECT *, close - 1000 AS pe_ttm, close / volume AS pb, volume - 20 AS ps_ttm, low - 900 AS dv_ttm, amount * 10 AS total_mv, volume / 10 AS turnover_rate FROM ({tm.WEEKLY_SQL})"
+VALUE = {"pe_ttm": "CASE WHEN pe_ttm > 0 THEN 1 / pe_ttm END", "ep_ttm": "CASE WHEN pe_ttm > 0 THEN 1 / pe_ttm END", "pb_lf": "CASE WHEN pb > 0 THEN 1 / pb END", "sp_ttm": "CASE WHEN ps_ttm > 0 THEN 1 / ps_ttm END", "div_yield": "CASE WHEN dv_ttm > 0 THEN dv_ttm END"}
+_TRADED, _TURN = "(total_mv * turnover_rate / 100)", roll("avg", "turnover_rate", 21, 10)
+LIQUIDITY = {"ln_market_cap": "ln(total_mv)", "turnover_1m": _TURN, "turnover_cv": div(roll("stddev_samp", "turnover_rate", 21, 10), _TURN), "amihud_illiq": roll("avg", "thin", 21, 10), "dollar_volume_1m": f"CASE WHEN count(traded) OVER {w(21)} >= 10 THEN ln(greatest({roll('avg', 'traded', 21, 10)}, 1)) END"}
+query("classic_value", panel_sql(VALUE, _VALUED))(factors(sorted(VALUE), valued))
+query("classic_liquidity", panel_sql(LIQUIDITY, _VALUED, (f"{_TRADED} AS traded, {div('close', lag('close', 1))} - 1 AS ret", "abs(ret) / greatest(traded, 1e-8) AS thin")))(factors(sorted(LIQUIDITY), valued))
+
+
+def market_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tm.bars_market(spark, sf_dir).withColumn("value", F.col("vwap"))
+
+
+STATE = {"market_pe_pct": "CASE WHEN len(seen) >= 252 THEN len(list_filter(seen, lambda v: v >= value)) / len(seen) END", "bdi_momentum": div("value", lag("value", 63)) + " - 1", "margin_balance_ratio": div("value", lag("value", 21)) + " - 1", "series_level": "value", "attention": "ln(greatest(value, 1))", "attention_delta_1w": f"ln(greatest(value, 1)) - {lag('ln(greatest(value, 1))', 5)}"}
+query("classic_market_state", panel_sql(STATE, f"SELECT *, vwap AS value FROM ({tm.MARKET_SQL})", (f"list(value) OVER {w(1261)} AS seen",)))(factors(sorted(STATE), market_series))
+
+
+def _flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    market = tm.bars_market(spark, sf_dir, weekly=True)
+    return evaluate(market, {"flow": ts.delta(measure("amount"), 1), "close": measure("vwap") * 1, "volume": measure("volume") * 1})
+
+
+_FLOWS = f"WITH f AS (SELECT entity, dt, amount - {lag('amount', 1)} AS flow, vwap AS close, volume FROM ({tm.MARKET_WEEKLY_SQL})), s AS (SELECT *, {', '.join(f'lead(close, {k}) OVER {E} / close - 1 AS fwd_{k}' for k in flows.HORIZONS)} FROM f)"
+_FLOW_LONG = " UNION ALL ".join(f"SELECT {k} AS horizon, flow, fwd_{k} AS fwd, CASE WHEN count(CASE WHEN flow IS NOT NULL AND fwd_{k} IS NOT NULL THEN 1 END) OVER {w(60)} >= 60 THEN corr(flow, fwd_{k}) OVER {w(60)} END AS c FROM s" for k in flows.HORIZONS)
+
+
+@query("research_flow_ic", f"{_FLOWS}, l AS ({_FLOW_LONG}) SELECT CAST(horizon AS INTEGER) AS horizon, {r('corr(flow, fwd)', 'corr')}, {r('avg(c)', 'rolling_mean')}, {r('stddev_samp(c)', 'rolling_std')}, {r('avg(CASE WHEN c IS NOT NULL THEN CASE WHEN c > 0 THEN 1.0 ELSE 0.0 END END)', 'positive')}, {r('avg(c) / stddev_samp(c)', 'ir')} FROM l GROUP BY 1")
+def research_flow_ic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(flows.flow_ic(flows.study_frame(_flow(spark, sf_dir))))
+
+
+_Z60 = lambda c: f"(({c} - {roll('avg', c, 60, 60)}) / nullif({roll('stddev_samp', c, 60, 60)}, 0))"
+
+
+@query("research_resonance", f"{_FLOWS}, z AS (SELECT entity, dt, {_Z60('flow')} AS a, {_Z60('volume')} AS b FROM f) SELECT entity, dt, CASE WHEN a > 1 AND b > 1 THEN 1 WHEN a < -1 AND b < -1 THEN -1 ELSE 0 END AS signal FROM z")
+def research_resonance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.resonance(_flow(spark, sf_dir), ["flow", "volume"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -69,3 +69,24 @@ def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(entity, dt, side, value): events of users by day."""
     rows = table(spark, sf_dir, "events")
     return rows.select(F.col("user_id").alias("entity"), F.to_date("ts").alias("dt"), F.col("event_type").alias("side"), "value")
+
+
+def news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as news of suppliers: id, entity, dt (a week of the bars' range), text and n_chars."""
+    docs = table(spark, sf_dir, "documents")
+    week = F.date_add(F.lit("1995-01-02").cast("date"), ((F.col("doc_id") * 7) % 2499).cast("int"))
+    return docs.select(F.col("doc_id").alias("id"), (F.col("doc_id") % 100).alias("entity"), F.to_date(F.date_trunc("week", week)).alias("dt"), "text", "n_chars")
+
+
+NEWS_SQL = "SELECT doc_id AS id, doc_id % 100 AS entity, CAST(date_trunc('week', DATE '1995-01-02' + CAST((doc_id * 7) % 2499 AS INTEGER)) AS DATE) AS dt, text, n_chars FROM documents"
+
+
+def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarterly figures of customers out of their orders, under the names of report fields; quarters without orders are missing."""
+    rows = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("entity"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("dt"))
+    mean = rows.agg(F.avg("o_totalprice").alias("m"), F.count("*").alias("n"))
+    figures = {"roe": F.col("m") / 1000, "roa": F.col("m") / 2000, "grossprofit_margin": F.col("n") * 1.0, "netprofit_margin": F.when(F.col("n") > 1, F.col("m") / 3000), "debt_to_assets": F.col("n") / (F.col("n") + 1), "or_yoy": F.when(F.col("n") > 2, F.col("m") / 4000), "profit_dedt": F.col("m")}
+    return mean.select("entity", "dt", *(c.alias(k) for k, c in figures.items()))
+
+
+REPORTS_SQL = "SELECT entity, dt, m / 1000 AS roe, m / 2000 AS roa, n * 1.0 AS grossprofit_margin, CASE WHEN n > 1 THEN m / 3000 END AS netprofit_margin, n / (n + 1) AS debt_to_assets, CASE WHEN n > 2 THEN m / 4000 END AS or_yoy, m AS profit_dedt FROM (SELECT o_custkey AS entity, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS dt, avg(o_totalprice) AS m, count(*) AS n FROM orders GROUP BY 1, 2)"
