@@ -8,10 +8,11 @@ sort groups suffixes by one more digit, most significant first, and drops those
    it, so one row stands for about a hundred of them.
 2. Where the whole surroundings of that string (all bytes of all suffixes it may stand for) occur twice, all those suffixes
    are repeats; they leave the sort, but one of each group stays to be met by others.
-3. The rest is divided by the place of the string into blocks of ``BLOCK`` suffixes; the digit is what these share.
-4. Suffixes of blocks that met another one are compared through the full depth: equal groups are the repeated windows.
+3. The rest is divided by the place of the string into blocks of ``BLOCK`` suffixes; the digit is what these share. Blocks
+   that stand alone drop out; of those that do not, the ones whose surroundings occur twice leave as in pass 2.
+4. Suffixes of the remaining blocks are compared through the full depth: equal groups are the repeated windows.
 
-Digits are compared by hashes of 128 bits in the deciding passes 2 and 4. Every byte that a repeated window covers is
+Digits are compared by hashes of 128 bits wherever they decide that something is repeated. Every byte that a repeated window covers is
 removed, in all its occurrences; windows never cross documents.
 
 Defined cases: null text counts as empty; texts under THRESHOLD bytes have no window; texts of any length are used whole;
@@ -25,12 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import key_filter, maybe_among, only_maybe, process_cache, small_batches, stash
+from panelspark.llm._common import discard, key_filter, maybe_among, only_maybe, process_cache, small_batches, stash
 
-THRESHOLD, GRAM, BLOCK = 400, 128, 16
+THRESHOLD, GRAM, BLOCK = 400, 64, 16
 #: Window starts handled at a time: bounds memory where a text is very long.
 SEGMENT = 1 << 20
 SPAN = THRESHOLD - GRAM  # largest place of the string in a suffix
@@ -155,13 +156,16 @@ def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for low in range(0, SPAN + 1, BLOCK):
             high = min(low + BLOCK - 1, SPAN)
-            start, end = place - low, place - high + THRESHOLD
+            start, end = place - low, place - high + THRESHOLD  # what all suffixes of the block share
             ok = (near <= high) & (far >= low) & (start >= 0) & (end <= n) & (place + GRAM <= n)
-            h = _mixed(both[0].of(prefixes[0], start[ok], end[ok]) + np.uint64((low + 1) * 0x9E3779B97F4A7C15 % 2**64))
-            out.append((place[ok], np.maximum(near[ok], low), np.minimum(far[ok], high), h))
+            p, salt = place[ok], np.uint64((low + 1) * 0x9E3779B97F4A7C15 % 2**64)
+            whole = (p >= high) & (p - low + THRESHOLD <= n)
+            lo, hi = np.where(whole, p - high, p), np.where(whole, p - low + THRESHOLD, p)
+            around = [_mixed(r.of(f, lo, hi) + salt) for r, f in zip(both, prefixes, strict=True)]
+            out.append((p, np.maximum(near[ok], low), np.minimum(far[ok], high), _mixed(both[0].of(prefixes[0], start[ok], end[ok]) + salt), whole.astype(np.int64), *around))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
-    return _per_text(batches, what, ["place", "near", "far", "core"])
+    return _per_text(batches, what, ["place", "near", "far", "core", "whole", "h1", "h2"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,33 +186,48 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, th, spans): byte ranges, not yet merged, of the repeated windows of each text that has one."""
     small_batches(docs.sparkSession)
     rows = _keyed(docs)
+    spark = docs.sparkSession
     digits = stash(rows.select("row", "text").filter(F.octet_length("text") >= THRESHOLD).mapInArrow(_first_digits, "gram long, row long, place int, near short, far short"), "first-digits")
     again = digits.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
     met = stash(_listed(digits.join(again, "gram", "left_semi"), ["row"]), "met-digits")
+    discard(spark, digits)
     texts = stash(only_maybe(rows, "row", key_filter(met, "row", met.count())).join(met, "row").select("doc_id", "th", "text", "listed"), "met-texts")
-
-    around = stash(texts.mapInArrow(_surroundings, "doc_id long, th long, place long, near long, far long, gram long, whole long, h1 long, h2 long"), "surroundings")
-    key = F.struct("doc_id", "th", "place")
-    twice = around.filter("whole = 1").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(key).alias("one")).filter("n > 1").drop("n")
-    told = around.join(twice, ["h1", "h2"], "left")
-    repeats = (F.col("whole") == 1) & F.col("one").isNotNull()
-    spans = stash(told.filter(repeats).select("doc_id", "th", (F.col("place") - SPAN).alias("start"), (F.col("place") + THRESHOLD).alias("end")), "spans")
-    rest = told.withColumn("done", F.coalesce(repeats, F.lit(False))).filter(~F.col("done") | (key == F.col("one"))).select("doc_id", "th", "place", "near", "far", "gram", "done")
-    rest = stash(rest, "rest")
-    open_grams = rest.filter(~F.col("done")).select("gram").distinct()
-    rest = _listed(rest.join(open_grams, "gram", "left_semi"), ["doc_id", "th"])
+    discard(spark, met)
 
     def with_text(listed: DataFrame) -> DataFrame:
         own = listed.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "listed")
         return texts.drop("listed").join(own, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("doc_id", "th", "text", "listed")
 
-    cores = stash(with_text(rest).mapInArrow(_cores, "doc_id long, th long, place long, near long, far long, core long"), "cores")
+    own = "doc_id long, th long, place long, near long, far long"
+    around = stash(texts.mapInArrow(_surroundings, f"{own}, gram long, whole long, h1 long, h2 long"), "surroundings")
+    wide, rest = _settled(around, "gram", F.col("place") - SPAN, F.col("place") + THRESHOLD)
+    discard(spark, around)
+    cores = stash(with_text(rest).mapInArrow(_cores, f"{own}, core long, whole long, h1 long, h2 long"), "cores")
     shared = cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
-    blocks = stash(_listed(cores.join(shared, "core", "left_semi"), ["doc_id", "th"]), "blocks")
-    windows = stash(with_text(blocks).mapInArrow(_windows, "doc_id long, th long, start long, h1 long, h2 long"), "windows")
+    blocks = stash(cores.join(shared, "core", "left_semi"), "blocks")
+    discard(spark, cores, rest)
+    low = F.floor(F.col("near") / BLOCK) * BLOCK
+    narrow, rest = _settled(blocks, "core", F.col("place") - F.least(low + BLOCK - 1, F.lit(SPAN)), F.col("place") - low + THRESHOLD)
+    discard(spark, blocks)
+    windows = stash(with_text(rest).mapInArrow(_windows, "doc_id long, th long, start long, h1 long, h2 long"), "windows")
+    discard(spark, rest, texts)
     equal = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     found = windows.join(equal, ["h1", "h2"], "left_semi").select("doc_id", "th", "start", (F.col("start") + THRESHOLD).alias("end"))
-    return spans.unionByName(found).groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return wide.unionByName(narrow).unionByName(found).groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+
+
+def _settled(rows: DataFrame, digit: str, start: Column, end: Column) -> tuple[DataFrame, DataFrame]:
+    """Of rows with the hash (h1, h2) of their surroundings, where they lie inside the text (``whole``): the byte ranges of
+    those that occur twice, and what goes on to the next pass, listed by text: the others, and one of each group that is
+    settled if its digit is still open."""
+    key = F.struct("doc_id", "th", "place", "near")
+    twice = rows.filter("whole = 1").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(key).alias("one")).filter("n > 1").drop("n")
+    told = stash(rows.join(twice, ["h1", "h2"], "left").withColumn("done", (F.col("whole") == 1) & F.col("one").isNotNull()).withColumn("one", F.coalesce(key == F.col("one"), F.lit(False))).drop("h1", "h2", "whole"), "told")
+    spans = stash(told.filter("done").select("doc_id", "th", start.cast("long").alias("start"), end.cast("long").alias("end")), "spans")
+    still = told.filter("not done").select(digit).distinct()
+    rest = stash(_listed(told.filter("not done or one").join(still, digit, "left_semi"), ["doc_id", "th"]), "rest")
+    discard(rows.sparkSession, told)
+    return spans, rest
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
