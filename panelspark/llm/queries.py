@@ -99,9 +99,30 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+OP7_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)
+), f AS (
+  SELECT doc_id, i, trim(line) AS t, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM l WHERE trim(translate(line, chr(9) || chr(13) || chr(11) || chr(12), '    ')) <> ''
+), w AS (
+  SELECT doc_id, k, t, lead(t, 1) OVER q AS t2, lead(t, 2) OVER q AS t3 FROM f WINDOW q AS (PARTITION BY doc_id ORDER BY k)
+), g AS (
+  SELECT doc_id, k, row_number() OVER (PARTITION BY t, t2, t3 ORDER BY doc_id, k) AS nth FROM w WHERE t3 IS NOT NULL
+), gone AS (
+  SELECT DISTINCT doc_id, k + o AS k FROM g, (VALUES (0), (1), (2)) v(o) WHERE nth > 1
+), cut AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(gone.k) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (gone.k IS NULL), '') AS text
+  FROM l LEFT JOIN f ON l.doc_id = f.doc_id AND l.i = f.i LEFT JOIN gone ON f.doc_id = gone.doc_id AND f.k = gone.k GROUP BY l.doc_id
+)
+SELECT doc_id, n_lines, n_removed, sha256(text) AS kept_sha256, text FROM cut
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup, op8_spotsigs, op9_minhash, op10_suffix_array)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op7_line_dedup": OP7_SQL}
