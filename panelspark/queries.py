@@ -632,6 +632,74 @@ def research_resonance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.resonance(_flow(spark, sf_dir), ["flow", "volume"])
 
 
+# ---- further operators ---------------------------------------------------------------------------------------------------------
+
+_MACD = (ewm_sql("close", 12, "f"), ewm_sql("close", 26, "s"))
+_DEA = ewm_sql("dif", 9, "d")
+_MACD_STEPS = (ROW, f"{_MACD[0][0]}, {_MACD[1][0]}", f"{_MACD[0][1]} - {_MACD[1][1]} AS dif", _DEA[0])
+
+
+@query("ts_macd", panel_sql({"dif": "dif", "dea": _DEA[1], "macd": f"2 * (dif - {_DEA[1]})"}, tm.WEEKLY_SQL, _MACD_STEPS))
+def ts_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dif, dea, hist = ts.macd(measure("close"))
+    return rounded(evaluate(tm.bars_weekly(spark, sf_dir), {"dif": dif, "dea": dea, "macd": hist}))
+
+
+@query("panel_densify", f"WITH b AS ({tm.WEEKLY_SQL}), s AS (SELECT entity, min(dt) AS lo, max(dt) AS hi FROM b GROUP BY 1), d AS (SELECT DISTINCT dt FROM b) SELECT s.entity, d.dt, {r('close', 'close')} FROM s JOIN d ON d.dt BETWEEN lo AND hi LEFT JOIN b ON b.entity = s.entity AND b.dt = d.dt")
+def panel_densify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(cs.densify(tm.bars_weekly(spark, sf_dir).select("entity", "dt", "close")))
+
+
+_CROSS = {"rank_ordinal": "CASE WHEN m IS NOT NULL THEN row_number() OVER (PARTITION BY dt ORDER BY m NULLS LAST, entity) / count(m) OVER (PARTITION BY dt) END", "scale": "(m - avg(m) OVER (PARTITION BY dt)) / nullif(stddev_samp(m) OVER (PARTITION BY dt), 0)"}
+
+
+@query("cs_rank_scale", panel_sql(_CROSS, tm.WEEKLY_SQL, (f"{MOMENTUM['chg_5d']} AS m",)))
+def cs_rank_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = ts.pct_change(measure("close"), 5)
+    return rounded(evaluate(tm.bars_weekly(spark, sf_dir), {"rank_ordinal": cs.rank_ordinal(m), "scale": cs.scale(m)}))
+
+
+_LAGS = 5
+_DECAY = f"""{_BOOK}, a AS (SELECT entity, dt, unnest([{', '.join(f"{{'lag': {k}, 'fwd': lead(close, {k}) OVER {E} / close - 1}}" for k in range(1, _LAGS + 1))}], recursive := true) FROM bars),
+ j AS (SELECT factor, lag, s.dt, value, fwd FROM store s JOIN a ON a.entity = s.entity AND a.dt = s.dt WHERE fwd IS NOT NULL),
+ z AS (SELECT factor, lag, (value - avg(value) OVER q) / nullif(stddev_samp(value) OVER q, 0) AS x, (fwd - avg(fwd) OVER q) / nullif(stddev_samp(fwd) OVER q, 0) AS y FROM j WINDOW q AS (PARTITION BY factor, lag, dt))
+ SELECT factor, CAST(lag AS INTEGER) AS lag, count(*) AS n, {r('corr(x, y)', 'ic')} FROM z WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2"""
+query("portfolio_ic_decay", _DECAY)(lambda spark, sf_dir: rounded(an.ic_decay(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir), _LAGS)))
+
+_CAPITALS = (1e6, 1e7, 1e8)
+_CAPACITY = " UNION ALL ".join(f"SELECT factor, {c!r} AS capital, sqrt({c!r} / 1000) * 0.0005 AS i, a, s FROM m" for c in _CAPITALS)
+query("portfolio_capacity", f"{_NAV}, m AS (SELECT factor, {_ANNUAL} AS a, {_ANNUAL} / (stddev_samp(ret) * sqrt(252)) AS s FROM dd GROUP BY 1) SELECT factor, {r('capital', 'capital')}, {r('i', 'impact')}, {r('a - i * 100 * 252', 'annual_return')}, {r('(a - i * 100 * 252) / a * s', 'sharpe')} FROM ({_CAPACITY})")(lambda spark, sf_dir: rounded(an.capacity(bt.metrics(small_book(spark, sf_dir)), list(_CAPITALS))))
+
+
+@query("portfolio_rebalance_costs", f"""{_BOOK}, e AS (SELECT max(period) AS p FROM ranked WHERE factor = 'chg_5d'), t AS (SELECT entity, CASE WHEN hi <= {N_SIDE} THEN {1 / N_SIDE} ELSE {-1 / N_SIDE} END AS wt, period FROM ranked WHERE factor = 'chg_5d' AND (hi <= {N_SIDE} OR lo <= {N_SIDE})),
+ x AS (SELECT entity, sum(wt) AS wt FROM t, e WHERE period = p GROUP BY 1), y AS (SELECT entity, sum(wt) AS wt FROM t, e WHERE period = p - 1 GROUP BY 1), v AS (SELECT entity, avg(amount) AS adv, stddev_samp(amount) / avg(amount) / 100 AS sigma FROM bars GROUP BY 1),
+ c AS (SELECT coalesce(x.entity, y.entity) AS entity, (coalesce(x.wt, 0) - coalesce(y.wt, 0)) * 1e6 AS change FROM x FULL JOIN y ON x.entity = y.entity)
+ SELECT c.entity, {r('change', 'change')}, {r('CASE WHEN adv > 0 THEN sigma * 0.314 * sqrt(abs(change) / adv) + sigma * 0.142 * pow(abs(change) / adv, 0.6) + 0.00025 + greatest(abs(change) * 0.0003, 5) / abs(change) ELSE 0.0006 END * abs(change)', 'cost')} FROM c LEFT JOIN v ON v.entity = c.entity WHERE abs(change) >= 100""")
+def portfolio_rebalance_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = bt.long_short_positions(store(spark, sf_dir), N_SIDE, N_SIDE, FREQ).filter("factor = 'chg_5d'")
+    end = F.broadcast(held.agg(F.max("period").alias("end")))
+    now, before = (held.join(end, F.col("period") == F.col("end") - k).groupBy("entity").agg(F.sum("weight").alias("weight")) for k in (0, 1))
+    prices = tm.bars_weekly(spark, sf_dir).groupBy("entity").agg(F.avg("amount").alias("adv"), (F.stddev_samp("amount") / F.avg("amount") / 100).alias("sigma"))
+    return rounded(bt.rebalance_costs(now, before, prices, 1e6))
+
+
+_KINDS = f"{_BOARDS}, k AS (SELECT entity, dt, CASE WHEN row_number() OVER (PARTITION BY entity, island ORDER BY dt) = 1 THEN 'first' ELSE 'consecutive' END AS kind FROM j)"
+_PRICES = "SELECT user_id AS entity, CAST(ts AS DATE) AS dt, max(value) AS close FROM events GROUP BY 1, 2"
+
+
+@query("research_next_day", f"{_KINDS}, p AS ({_PRICES}), n AS (SELECT entity, dt, lead(close) OVER {E} / nullif(close, 0) - 1 AS nx FROM p), m AS (SELECT dt, avg(nx) AS mk FROM n GROUP BY 1) SELECT kind, count(*) AS n, {r('avg(CASE WHEN nx > 0 THEN 1.0 ELSE 0.0 END)', 'win_rate')}, {r('avg(nx)', 'mean')}, {r('median(nx)', 'median')}, {r('avg(nx - mk)', 'excess')} FROM k JOIN n ON n.entity = k.entity AND n.dt = k.dt JOIN m ON m.dt = k.dt WHERE nx IS NOT NULL GROUP BY 1 HAVING count(*) >= 10")
+def research_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = tm.event_days(spark, sf_dir)
+    board = streaks.boards(days.filter("side = 'error'")).withColumn("kind", F.when(F.col("board_count") == 1, "first").otherwise("consecutive"))
+    return rounded(streaks.next_day_study(board, days.groupBy("entity", "dt").agg(F.max("value").alias("close"))))
+
+
+@query("research_contagion", "SELECT size, count(*) AS days FROM (SELECT CAST(ts AS DATE) AS dt, user_id % 10 AS industry, count(*) AS size FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS ts FROM events WHERE event_type = 'error') GROUP BY 1, 2) GROUP BY 1")
+def research_contagion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = tm.event_days(spark, sf_dir).filter("side = 'error'").select("entity", "dt", (F.col("entity") % 10).alias("industry")).distinct()
+    return streaks.contagion(hits)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
