@@ -13,7 +13,7 @@ from panelspark.factors import alpha158, classic, formulaic, registry, technical
 from panelspark.operators import cs, ts
 from panelspark.portfolio import analysis as an
 from panelspark.portfolio import backtest as bt
-from panelspark.research import flows, news, rotation, sentiment, streaks
+from panelspark.research import analyst, flows, news, rotation, sentiment, streaks
 from panelspark.sources import parse
 from panelspark.sources import store as store_ops
 
@@ -700,6 +700,35 @@ def research_contagion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaks.contagion(hits)
 
 
+def _forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as covered stocks: ratings and estimates out of their keys and balances, in three snapshots."""
+    k, bal = F.col("c_custkey"), F.col("c_acctbal")
+    cols = {"stock_code": k, "industry": F.col("c_mktsegment"), "snapshot_date": F.col("c_nationkey") % 3, "rating_buy_num": k % 7, "rating_add_num": k % 5, "rating_org_num": k % 11, "eps1": bal / 1000, "eps2": bal / 900 + 1, "aim_price_max": F.abs(bal) + 10, "aim_price_min": F.abs(bal) / 2 + 5}
+    return tm.table(spark, sf_dir, "customer").select(*(c.alias(n) for n, c in cols.items()))
+
+
+@query("research_analyst_factors", f"SELECT c_mktsegment AS industry, {r('avg((c_custkey % 7 + c_custkey % 5) / greatest(c_custkey % 11, 1))', 'buy_share')}, {r('quantile_cont((c_acctbal / 900 + 1 - c_acctbal / 1000) / greatest(abs(c_acctbal / 1000), 0.01), 0.5)', 'growth')}, {r('quantile_cont((abs(c_acctbal) + 10) / (abs(c_acctbal) / 2 + 5), 0.5)', 'target_spread')}, CAST(sum(c_custkey % 11) AS BIGINT) AS coverage FROM customer WHERE c_nationkey % 3 = (SELECT max(c_nationkey % 3) FROM customer) GROUP BY 1")
+def research_analyst_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(analyst.analyst_factors(analyst.latest_snapshot(_forecasts(spark, sf_dir))))
+
+
+def _z(c: str, over: str) -> str:
+    return f"({c} - avg({c}) OVER {over}) / greatest(stddev_samp({c}) OVER {over}, 1e-8)"
+
+
+_SECTOR = f"WITH b AS ({_SECTOR_RET}), c AS (SELECT entity, dt, -(close / {lag('close', 5)} - 1) AS rev, -{roll('stddev_samp', 'ret', 20, 20)} AS calm FROM b), d AS (SELECT * FROM c WHERE rev IS NOT NULL AND calm IS NOT NULL)"
+_DAY_Z = f"0.2 * {_z('rev', '(PARTITION BY dt)')} + 0.15 * {_z('calm', '(PARTITION BY dt)')}"
+_BONUS = "CASE WHEN dt = (SELECT max(dt) FROM d) THEN coalesce(bonus, 0) ELSE 0 END"
+
+
+@query("research_sector_scores", f"{_SECTOR}, x AS (SELECT entity, 0.1 * {_z('size', '()')} AS bonus FROM (SELECT p_brand AS entity, avg(p_size) AS size FROM part GROUP BY 1)) SELECT d.entity, dt, {r(f'{_DAY_Z} + {_BONUS}', 'score')} FROM d LEFT JOIN x ON x.entity = d.entity")
+def research_sector_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    close = measure("close")
+    own = evaluate(tm.bars_sector(spark, sf_dir), {"rev": -ts.pct_change(close, 5), "calm": -ts.std(ts.pct_change(close, 1), 20, 20)})
+    size = tm.table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("entity")).agg(F.avg("p_size").alias("size"))
+    return rounded(analyst.sector_scores(own, {"rev": 0.2, "calm": 0.15}, size, {"size": 0.1}))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
