@@ -55,11 +55,16 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 
 def process_cache(key: str, make):
-    """What ``make()`` gave when ``key`` was first asked for in this Python process: tables that tasks of a worker share."""
-    held = sys.modules.setdefault("_panelspark_held", types.ModuleType("_panelspark_held")).__dict__
-    if key not in held:
-        held[key] = make()
-    return held[key]
+    """What ``make()`` gave when ``key`` was first asked for in this Python process: tables that tasks of a worker share.
+
+    Only the two last used are held, so that the memory of a worker does not grow with the number of operators it served.
+    """
+    held = sys.modules.setdefault("_panelspark_held", types.SimpleNamespace(tables={})).tables
+    found = held.pop(key) if key in held else make()
+    while len(held) > 1:
+        held.pop(next(iter(held)))
+    held[key] = found
+    return found
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -100,3 +105,16 @@ def maybe_among(df: DataFrame, key: str, filt: tuple[DataFrame, int]) -> DataFra
 def only_maybe(df: DataFrame, key: str, filt: tuple[DataFrame, int]) -> DataFrame:
     """The rows of ``df`` whose key may be among the filter's keys."""
     return maybe_among(df, key, filt).filter("_maybe").drop("_maybe")
+
+
+#: A key that holds more than one row in so many is hot; there are never more hot keys than this.
+HOT_SHARE = 1000
+
+
+def having_key(rows: DataFrame, key: str, counts: DataFrame, total: int) -> DataFrame:
+    """The rows whose key is in ``counts`` (key, n): hot keys, at most HOT_SHARE of them, meet their rows by a broadcast, so
+    that no task gets all rows of one; the others by a shuffle. ``total`` is the sum of all n, or more."""
+    hot = counts.filter(F.col("n") * HOT_SHARE > total).select(key)
+    spread = rows.join(F.broadcast(hot), key, "left_semi")
+    rest = rows.join(F.broadcast(hot), key, "left_anti").join(counts.filter(F.col("n") * HOT_SHARE <= total).select(key), key, "left_semi")
+    return spread.unionByName(rest)

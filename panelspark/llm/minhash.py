@@ -32,7 +32,7 @@ ROWS, BANDS = 5, 45
 SLOT_BITS = 20
 #: Members of a bucket in a block of pairwise comparison.
 BLOCK = 400
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 _NO_ID = 2**63 - 1
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 

@@ -28,7 +28,7 @@ CAPACITY = 2048
 PARTITION_PIECES = 100_000
 #: Rounds of exchange after the first packing, and the factor by which partitions get fewer.
 ROUNDS, SHRINK = 3, 8
-CACHE_WORDS = 800_000
+CACHE_WORDS = 300_000
 
 #: Texts of only these characters are cut into words by WORDS, the tokenizer's own rule for them, and words are looked up.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-įı-ňŊ-ž]*")

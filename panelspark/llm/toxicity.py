@@ -38,7 +38,7 @@ MIN_ROWS, MIN_Z, SMALL_Z = 5, 4.0, 2.5
 REJECT = 0.5
 #: Lengths of the word beginnings.
 PREFIXES = (4, 5, 6, 7)
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 
 WORD = re.compile(r"[^\W\d_]+")
 SCORES = "doc_id long, severity double, p_toxic double, grade int, rejected boolean"
@@ -85,7 +85,7 @@ class OrdinalModel:
             for w, n in Counter(words).items():
                 keys = cache.get(w)
                 if keys is None:
-                    keys = cache[w] = [k for k in _keys(w) if weights[k]]
+                    keys = cache[w] = tuple(k for k in _keys(w) if weights[k])
                 for k in keys:
                     tf[k] += n
             scale = 100.0 / max(len(words), 1)
