@@ -28,7 +28,7 @@ WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 NONE = np.iinfo(np.int32).max
 #: Words of more symbols are merged by a heap: rounds cost a word's length times its merges.
 LONG_WORD = 512
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 
 class PieceCodec:
@@ -75,6 +75,9 @@ class PieceCodec:
         self.starts_with_space = [p.startswith(SPACE) for p in text]
         self.table: dict[int, tuple[int, int]] | None = None  # for very long words only
         self.bytes_of = [b"" if sp.is_control(i) else bytes([int(p[3:5], 16)]) if sp.is_byte(i) else " ⁇ ".encode() if sp.is_unknown(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(text)]
+        self.size_of = np.array([len(x) for x in self.bytes_of])
+        self.start_of = np.r_[0, np.cumsum(self.size_of)[:-1]]
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = np.where((left < 0) | (right < 0), -1, left.astype(np.int64) * self.wide + right)
@@ -172,29 +175,54 @@ class PieceCodec:
 
     def encoder(self):
         """List of texts to list of ids as bytes; words seen before are not merged again."""
-        cache: dict[str, bytes] = {}
+        cache: dict[str, bytes] = {}  # by the word without the one space before it
+
+        def split(text: str | None) -> list[str]:
+            if not text:
+                return []
+            words = text.split(" ")
+            if SPACE not in text and "" not in words:  # single spaces only: each word has one before it, the first one's is added
+                return words
+            return [w[1:] for w in WORD.findall(SPACE + text.replace(" ", SPACE))]
 
         def encode(texts: list[str | None]) -> list[bytes]:
-            split = [WORD.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-            new = list(set().union(*split).difference(cache)) if split else []
-            if len(cache) + len(new) > CACHE_WORDS:
+            words = [split(t) for t in texts]
+            seen = set().union(*words)
+            if len(cache) + len(seen) > CACHE_WORDS:
                 cache.clear()
-                new = list(set().union(*split))
+            new = [w for w in seen if w not in cache]
             for k in range(0, len(new), 20_000):
                 some = new[k : k + 20_000]
-                cache.update(zip(some, self.encode_words(some), strict=True))
-            return [b"".join(map(cache.__getitem__, ws)) for ws in split]
+                cache.update(zip(some, self.encode_words([SPACE + w for w in some]), strict=True))
+            return [b"".join(map(cache.__getitem__, ws)) for ws in words]
 
         return encode
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of lists of ids that lie one after another; ``ends`` are their borders (from 0)."""
+        many = self.size_of[ids]
+        at = np.cumsum(many)
+        place = np.repeat(self.start_of[ids] - (at - many), many) + np.arange(int(at[-1]) if len(at) else 0)
+        raw = self.all_bytes[place].tobytes()
+        border = np.r_[0, at][ends].tolist()
+        out = []
+        for k, (a, b) in enumerate(zip(border[:-1], border[1:], strict=True)):
+            lead = ends[k] < ends[k + 1] and self.starts_with_space[ids[ends[k]]]
+            out.append(_readable(raw[a + lead : b]))
+        return out
+
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.bytes_of.__getitem__, ids))
         if len(ids) and self.starts_with_space[ids[0]]:
             raw = raw[1:]
-        try:
-            return raw.decode()
-        except UnicodeDecodeError:
-            return re.sub("[\udc80-\udcff]", "�", raw.decode(errors="surrogateescape"))
+        return _readable(raw)
+
+
+def _readable(raw: bytes) -> str:
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return re.sub("[\udc80-\udcff]", "\ufffd", raw.decode(errors="surrogateescape"))
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
@@ -219,7 +247,9 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = process_cache(f"codec {model_path}", lambda: PieceCodec(model_path))
         for b in batches:
-            texts = [codec.decode(x or []) for x in b["ids"].to_pylist()]
+            ids = b["ids"]
+            ends = np.r_[0, np.cumsum(np.asarray(ids.value_lengths().fill_null(0)))]
+            texts = codec.decode_all(np.asarray(ids.flatten()), ends)
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["ids"], pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
