@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import discard, key_filter, maybe_among, only_maybe, process_cache, small_batches, stash
+from panelspark.llm._common import discard, having_key, key_filter, maybe_among, only_maybe, process_cache, small_batches, stash
 
 THRESHOLD, GRAM, BLOCK = 400, 64, 16
 #: Window starts handled at a time: bounds memory where a text is very long.
@@ -152,18 +152,20 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lows = np.arange(0, SPAN + 1, BLOCK)
+    highs = np.minimum(lows + BLOCK - 1, SPAN)
+    salts = (lows + 1).astype(np.uint64) * np.array([0x9E3779B97F4A7C15], np.uint64)
+
     def what(prefixes, both, n, place, near, far):
-        out = []
-        for low in range(0, SPAN + 1, BLOCK):
-            high = min(low + BLOCK - 1, SPAN)
-            start, end = place - low, place - high + THRESHOLD  # what all suffixes of the block share
-            ok = (near <= high) & (far >= low) & (start >= 0) & (end <= n) & (place + GRAM <= n)
-            p, salt = place[ok], np.uint64((low + 1) * 0x9E3779B97F4A7C15 % 2**64)
-            whole = (p >= high) & (p - low + THRESHOLD <= n)
-            lo, hi = np.where(whole, p - high, p), np.where(whole, p - low + THRESHOLD, p)
-            around = [_mixed(r.of(f, lo, hi) + salt) for r, f in zip(both, prefixes, strict=True)]
-            out.append((p, np.maximum(near[ok], low), np.minimum(far[ok], high), _mixed(both[0].of(prefixes[0], start[ok], end[ok]) + salt), whole.astype(np.int64), *around))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        start, end = place[:, None] - lows, place[:, None] - highs + THRESHOLD  # what all suffixes of a block share
+        ok = (near[:, None] <= highs) & (far[:, None] >= lows) & (start >= 0) & (end <= n) & (place[:, None] + GRAM <= n)
+        k, j = np.nonzero(ok)
+        p, low, high, salt = place[k], lows[j], highs[j], salts[j]
+        whole = (p >= high) & (p - low + THRESHOLD <= n)
+        lo, hi = np.where(whole, p - high, p), np.where(whole, p - low + THRESHOLD, p)
+        around = [_mixed(r.of(f, lo, hi) + salt) for r, f in zip(both, prefixes, strict=True)]
+        core = _mixed(both[0].of(prefixes[0], start[k, j], end[k, j]) + salt)
+        return p, np.maximum(near[k], low), np.minimum(far[k], high), core, whole.astype(np.int64), *around
 
     return _per_text(batches, what, ["place", "near", "far", "core", "whole", "h1", "h2"])
 
@@ -188,9 +190,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = _keyed(docs)
     spark = docs.sparkSession
     digits = stash(rows.select("row", "text").filter(F.octet_length("text") >= THRESHOLD).mapInArrow(_first_digits, "gram long, row long, place int, near short, far short"), "first-digits")
-    again = digits.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    met = stash(_listed(digits.join(again, "gram", "left_semi"), ["row"]), "met-digits")
-    discard(spark, digits)
+    again = stash(digits.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "met-grams")
+    met = stash(_listed(having_key(digits, "gram", again, digits.count()), ["row"]), "met-digits")
+    discard(spark, digits, again)
     texts = stash(only_maybe(rows, "row", key_filter(met, "row", met.count())).join(met, "row").select("doc_id", "th", "text", "listed"), "met-texts")
     discard(spark, met)
 
@@ -203,9 +205,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     wide, rest = _settled(around, "gram", F.col("place") - SPAN, F.col("place") + THRESHOLD)
     discard(spark, around)
     cores = stash(with_text(rest).mapInArrow(_cores, f"{own}, core long, whole long, h1 long, h2 long"), "cores")
-    shared = cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
-    blocks = stash(cores.join(shared, "core", "left_semi"), "blocks")
-    discard(spark, cores, rest)
+    shared = stash(cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"), "met-cores")
+    blocks = stash(having_key(cores, "core", shared, cores.count()), "blocks")
+    discard(spark, cores, rest, shared)
     low = F.floor(F.col("near") / BLOCK) * BLOCK
     narrow, rest = _settled(blocks, "core", F.col("place") - F.least(low + BLOCK - 1, F.lit(SPAN)), F.col("place") - low + THRESHOLD)
     discard(spark, blocks)
@@ -224,9 +226,10 @@ def _settled(rows: DataFrame, digit: str, start: Column, end: Column) -> tuple[D
     twice = rows.filter("whole = 1").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(key).alias("one")).filter("n > 1").drop("n")
     told = stash(rows.join(twice, ["h1", "h2"], "left").withColumn("done", (F.col("whole") == 1) & F.col("one").isNotNull()).withColumn("one", F.coalesce(key == F.col("one"), F.lit(False))).drop("h1", "h2", "whole"), "told")
     spans = stash(told.filter("done").select("doc_id", "th", start.cast("long").alias("start"), end.cast("long").alias("end")), "spans")
-    still = told.filter("not done").select(digit).distinct()
-    rest = stash(_listed(told.filter("not done or one").join(still, digit, "left_semi"), ["doc_id", "th"]), "rest")
-    discard(rows.sparkSession, told)
+    left = told.filter("not done or one")
+    still = stash(left.groupBy(digit).agg(F.count("*").alias("n"), F.min("done").alias("settled")).filter("not settled").drop("settled"), "open-digits")
+    rest = stash(_listed(having_key(left, digit, still, told.count()), ["doc_id", "th"]), "rest")
+    discard(rows.sparkSession, told, still)
     return spans, rest
 
 
