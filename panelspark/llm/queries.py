@@ -67,7 +67,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
+    """By the rule of OP7_SQL, runs of three lines only; the pipeline's stage also takes shorter runs of many words."""
+    return line_report(documents(spark, sf_dir), long_words=None).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
 
 
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -286,6 +286,41 @@ def test_line_dedup(docs, empty, rows, run):
     assert dedup_lines(empty).count() == 0
 
 
+def _long_runs_left(rows: list[tuple], run: int, least: int) -> dict:
+    """Like _lines_left, where any run of lines of ``run`` lines, or of fewer that hold over ``least`` words, is a window."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        lines = text.split("\n")
+        full = [k for k, x in enumerate(lines) if x.strip(" \t\r\x0b\x0c")]
+        gone: set[int] = set()
+        for k in range(len(full)):
+            for size in range(1, run + 1):
+                window = tuple(lines[q].strip(" ") for q in full[k : k + size])
+                if len(window) == size and (size == run or sum(len(x.split()) for x in window) > least):
+                    if window in seen:
+                        gone.update(full[k : k + size])
+                    seen.add(window)
+        out[doc_id] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone))
+    return out
+
+
+def test_line_dedup_of_long_lines(spark):
+    """A passage of over 50 words goes when it repeats, in however few lines it stands; one of 50 words stays."""
+    rng = random.Random(12)
+    passage = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    one, even, two, short = passage(51), passage(50), [passage(30), passage(25)], passage(4)
+    texts = [one, passage(8) + "\n" + one, even, passage(9) + "\n" + even, "\n".join(two), passage(7) + "\n" + two[0] + "\n\n " + two[1] + "\n" + short]
+    texts += [short, passage(20) + "\n" + one + "\n" + short, two[0] + "\n" + passage(40), one + "\n" + one, "\n".join([one, short]), one, passage(3) + " " + one, passage(60) + "\n" + passage(60)]
+    rows = list(enumerate(texts))
+    want = _long_runs_left(rows, 3, 50)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_report(docs).collect()} == want
+    assert [want[k][1] for k in (0, 1, 2, 3, 5, 11, 12)] == [0, 1, 0, 0, 2, 1, 0]
+    assert {r["doc_id"] for r in dedup_lines(docs).collect()} == {k for k, (t, gone) in want.items() if not gone or t.strip()}
+    by_sql = _lines_left(rows, 3)
+    assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_report(docs, long_words=None).collect()} == by_sql
+
+
 def _signatures(t: str) -> set:
     anchors = {w for line in spotsigs.ANCHORS for w in line.split()}
     words = re.findall(r"[^\W_]+", t.lower())
