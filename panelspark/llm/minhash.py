@@ -7,8 +7,9 @@ confirmed on the full sets. Documents with equal sets are one class from the sta
 the buckets.
 
 Defined cases: null or empty text, or text without words, has no shingle and is linked with nothing; fewer words than five
-are one shingle; texts of any length are used whole; rows that repeat an id are one document; a null id comes after every
-id; an empty table gives no row.
+are one shingle; texts of any length are used whole; a document is an id (null or not) with the hash of its text: rows that
+repeat both are one document, rows that repeat an id with another text are another; a null id comes after every id, and of
+equal ids the smaller hash comes first; an empty table gives no row.
 
 With ``BANDS`` bands of ``ROWS`` coordinates a link of similarity 0.75 escapes all buckets with probability
 (1 - 0.75**5)**45 < 6e-6; links above it with less.
@@ -34,6 +35,8 @@ SLOT_BITS = 20
 BLOCK = 400
 CACHE_WORDS = 250_000
 _NO_ID = 2**63 - 1
+#: Key of a document: its id (a null one last) and a hash of its text.
+_KEY = ["_id", "_th"]
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -93,8 +96,13 @@ class Circulant:
         return key.view(np.int64), bits.view(np.int64)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the key of a document."""
+    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))).withColumn("_th", F.xxhash64(F.col("text").cast("string")))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (of equal sets equal), bands (keys of the buckets), s1 and s2 (one-bit sketches)."""
+    """_id, _th, n_shingles, set_key (of equal sets equal), bands (keys of the buckets), s1 and s2 (one-bit sketches)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,10 +112,10 @@ def sketches(docs: DataFrame) -> DataFrame:
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             both = [circulant.keys(s) if len(s) else (np.zeros(0, np.int64), np.zeros(2, np.int64)) for s in sets]
             bits = [pa.array([x[k] for _, x in both], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([k for k, _ in both], pa.list_(pa.int64())), *bits], names=["doc_id", "n_shingles", "set_key", "bands", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays([b["_id"], b["_th"], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([k for k, _ in both], pa.list_(pa.int64())), *bits], names=[*_KEY, "n_shingles", "set_key", "bands", "s1", "s2"])
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, s1 long, s2 long")
+    rows = _keyed(docs).select(*_KEY, F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "_id long, _th long, n_shingles long, set_key binary, bands array<long>, s1 long, s2 long")
 
 
 def _confirm(texts: DataFrame):
@@ -127,8 +135,8 @@ def _confirm(texts: DataFrame):
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-        with_b = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+        with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+        with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         return with_b.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
     return verify
@@ -179,41 +187,55 @@ def _in_blocks(texts: DataFrame):
         blocks = F.ceil(F.col("many") / BLOCK)
         dealt = members.withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
         rows = dealt.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "id", "side", "component")
-        with_text = rows.join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
+        with_text = rows.join(texts.select(F.col("node").alias("id"), "text"), "id")
         return with_text.groupBy("bucket", "lo", "hi").applyInArrow(_links_of_block, "a long, b long")
 
     return compare
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id that links reach), kept for every row of ``docs``."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """_id, _th, n_shingles, component_id, kept for every row of ``docs``; ids are not null here.
+
+    A class (documents with equal sets) has its first document's key and a number, ``node``, by which it is linked.
+    """
     small_batches(docs.sparkSession)
     rows = stash(sketches(docs), "sketches")
-    classes = stash(rows.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("first"), F.min("n_shingles").alias("n")), "classes")
-    heads = rows.join(classes.select("set_key", F.col("first").alias("doc_id")), ["set_key", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    buckets = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s1", "s2")
+    key = F.struct(*_KEY)
+    classes = rows.filter("n_shingles > 0").groupBy("set_key").agg(F.min(key).alias("first"))
+    classes = stash(classes.select("set_key", "first._id", "first._th").withColumn("node", F.monotonically_increasing_id()), "classes")
+    heads = rows.join(classes, ["set_key", *_KEY]).dropDuplicates(["node"])
+    buckets = heads.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"), F.col("n_shingles").alias("n"), "s1", "s2")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1").select("bucket")
     members = stash(buckets.join(shared, "bucket", "left_semi"), "buckets")
-    ids = stash(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
-    known = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
-    texts = stash(only_maybe(known, "doc_id", key_filter(ids, "doc_id", ids.count())).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidate-texts")
+    ids = stash(classes.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select(*_KEY, "node", F.xxhash64(*_KEY).alias("at")), "candidates")
+    known = _keyed(docs).select(*_KEY, "text").withColumn("at", F.xxhash64(*_KEY))
+    texts = stash(only_maybe(known, "at", key_filter(ids, "at", ids.count())).drop("at").join(ids.drop("at"), _KEY).select("node", "text").dropDuplicates(["node"]), "candidate-texts")
     found = link_buckets(members, _confirm(texts), LEAST_PERCENT, _in_blocks(texts))
-    of_class = stash(classes.join(found.withColumnRenamed("id", "first"), "first", "left").select("set_key", F.coalesce("component", "first").alias("component")), "components")
+    linked = stash(classes.join(found.withColumnRenamed("id", "node"), "node"), "linked")
+    # Components are named by their first document: nodes are numbered in no order.
+    lead = linked.groupBy("component").agg(F.min(key).alias("lead"))
+    led = linked.join(lead, "component").select("node", "lead")
+    of_class = stash(classes.join(led, "node", "left").select("set_key", F.coalesce("lead", key).alias("lead")), "components")
     # A class of very many copies is one row of the right side; the left side of the join is split where it is skewed.
-    out = rows.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    real = lambda c: F.when(c != _NO_ID, c)
-    return out.select(real(F.col("doc_id")).alias("doc_id"), "n_shingles", real(component).alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+    out = rows.select(*_KEY, "n_shingles", "set_key").join(of_class, "set_key", "left").withColumn("lead", F.when(F.col("n_shingles") > 0, F.col("lead")).otherwise(key))
+    return out.select(*_KEY, "n_shingles", F.col("lead._id").alias("component_id"), ((F.col("lead._id") == F.col("_id")) & (F.col("lead._th") == F.col("_th"))).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id that links reach), kept for every row of ``docs``."""
+    real = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
+    return _grouped(docs).select(real("_id").alias("doc_id"), "n_shingles", real("component_id").alias("component_id"), "kept")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one of smallest id, once; all columns stay.
 
-    Only rows whose id may be in a group, or may be repeated, are moved.
+    Only rows that may be in a group, or may be repeated, are moved.
     """
-    found = stash(near_duplicates(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("_near_id"), "kept"), "near")
-    touched = stash(found.groupBy("_near_id").agg(F.min("kept").alias("_near_kept"), F.count("*").alias("many")).filter("not _near_kept or many > 1").drop("many"), "near-touched")
-    marked = maybe_among(docs.withColumn("_near_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))), "_near_key", key_filter(touched, "_near_id", touched.count()))
-    rest = marked.filter("_maybe").join(touched, F.col("_near_key") == F.col("_near_id"), "left").filter("_near_kept is null or _near_kept")
-    repeated = rest.filter("_near_kept").dropDuplicates(["_near_key"])
+    found = stash(_grouped(docs).select(F.col("_id").alias("_near_id"), F.col("_th").alias("_near_th"), "kept"), "near")
+    touched = found.groupBy("_near_id", "_near_th").agg(F.min("kept").alias("_near_kept"), F.count("*").alias("many")).filter("not _near_kept or many > 1").drop("many")
+    touched = stash(touched.withColumn("_near_at", F.xxhash64("_near_id", "_near_th")), "near-touched")
+    marked = maybe_among(_keyed(docs).withColumn("_at", F.xxhash64(*_KEY)), "_at", key_filter(touched, "_near_at", touched.count()))
+    rest = marked.filter("_maybe").join(touched, (F.col("_id") == F.col("_near_id")) & (F.col("_th") == F.col("_near_th")), "left").filter("_near_kept is null or _near_kept")
+    repeated = rest.filter("_near_kept").dropDuplicates(_KEY)
     return marked.filter("not _maybe").select(*docs.columns).unionByName(rest.filter("_near_kept is null").select(*docs.columns)).unionByName(repeated.select(*docs.columns))

@@ -389,6 +389,23 @@ def test_minhash(docs, empty, rows):
     assert minhash.keep_one(empty).count() == 0
 
 
+def test_minhash_keeps_texts_of_one_id_apart(spark):
+    """Rows with a null or repeated id are documents of their own, and each takes part in the search."""
+    rng = random.Random(13)
+    prose = lambda n=60: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    one, two, three, four = prose(), prose(), prose(), prose()
+    near = lambda t: t + " and one more"
+    alone = [prose() for _ in range(6)]
+    rows = [(1, one), (None, near(one)), (None, two), (9, near(two)), *((None, t) for t in alone[:4]), (None, alone[0]), (5, alone[4]), (5, alone[5]), (5, three), (6, near(three)), (7, four), (7, near(four)), (None, ""), (None, " "), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = Counter((r["doc_id"], r["text"]) for r in minhash.keep_one(docs).collect())
+    fixed = [(1, one), (9, near(two)), *((None, t) for t in alone[:4]), (5, alone[4]), (5, alone[5]), (5, three), (None, ""), (None, " "), (None, None)]
+    rest = kept - Counter(fixed)
+    assert Counter(fixed) <= kept and sum(rest.values()) == 1 and set(rest) <= {(7, four), (7, near(four))}
+    got = Counter((r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(docs).collect())
+    assert got == Counter({(1, 1): 1, (None, 1): 1, (None, 9): 1, (9, 9): 1, (None, None): 8, (5, 5): 3, (6, 5): 1, (7, 7): 2})
+
+
 def test_minhash_chain_that_no_leader_sees(spark):
     """b is linked with c, but neither with the smallest id of their buckets: the later rounds find the link."""
     rng = random.Random(8)
