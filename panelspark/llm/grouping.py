@@ -32,8 +32,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 #: A bucket of more members than this is compared in blocks; pairs of smaller ones number at most so many for each member.
 SMALL = 40
 #: Two rows of 128 one-bit sketches that agree in fewer places are taken as unlike. At a similarity of 0.75 the expectation
-#: is 112 and this lies 4.5 standard deviations below.
-LEAST_BITS = 95
+#: is 112 and this lies 5.9 standard deviations below: such a pair is lost with probability 7e-8.
+LEAST_BITS = 90
 
 
 def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least_percent: int, compare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -43,8 +43,8 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], l
     that copies of one text meet that text. Where a bucket then still holds more than one component, members of different
     components are compared: in small buckets as pairs, in larger ones by ``compare`` (rows bucket, id, n, component, many
     in, enough links to join what is linked out), or as pairs too where it is not given. After that no link between two
-    members of a bucket is missing. ``n`` is a size: pairs of which the smaller is under ``least_percent`` of the larger
-    cannot be linked. Columns s1 and s2 (one-bit sketches), if there, spare most unlike pairs. ``verify`` keeps the true
+    members of a bucket is missing, but for what the sift below loses. ``n`` is a size: pairs of which the smaller is under ``least_percent`` of the larger
+    cannot be linked. Columns s1 and s2 (one-bit sketches), if there, spare most unlike pairs (LEAST_BITS; not in ``compare``). ``verify`` keeps the true
     ones of pairs (a, b).
     """
     bits = "s1" in members.columns

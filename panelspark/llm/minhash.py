@@ -12,7 +12,7 @@ repeat both are one document, rows that repeat an id with another text are anoth
 equal ids the smaller hash comes first; an empty table gives no row.
 
 With ``BANDS`` bands of ``ROWS`` coordinates a link of similarity 0.75 escapes all buckets with probability
-(1 - 0.75**5)**45 < 6e-6; links above it with less.
+(1 - 0.75**5)**45 < 5.1e-6, and the sift of ``link_buckets`` with under 1e-7: together under 6e-6; links above it with less.
 """
 
 from __future__ import annotations

@@ -406,6 +406,15 @@ def test_minhash_keeps_texts_of_one_id_apart(spark):
     assert got == Counter({(1, 1): 1, (None, 1): 1, (None, 9): 1, (9, 9): 1, (None, None): 8, (5, 5): 3, (6, 5): 1, (7, 7): 2})
 
 
+def test_sift_loses_less_than_the_bands():
+    from math import comb
+
+    from panelspark.llm import grouping
+
+    lost = sum(comb(128, k) * 0.875**k * 0.125 ** (128 - k) for k in range(grouping.LEAST_BITS))
+    assert lost + (1 - 0.75**minhash.ROWS) ** minhash.BANDS < 6e-6
+
+
 def test_minhash_chain_that_no_leader_sees(spark):
     """b is linked with c, but neither with the smallest id of their buckets: the later rounds find the link."""
     rng = random.Random(8)
