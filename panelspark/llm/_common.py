@@ -111,10 +111,16 @@ def only_maybe(df: DataFrame, key: str, filt: tuple[DataFrame, int]) -> DataFram
 HOT_SHARE = 1000
 
 
+def meeting(rows: DataFrame, keys: list[str], counts: DataFrame, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined (inner, left, left_semi) with ``counts`` (keys, n, other columns), without n. Hot keys, at most HOT_SHARE
+    of them, meet their rows by a broadcast, so that no task gets all rows of one; the others by a shuffle. ``total`` is the
+    sum of all n, or more. ``rows`` and ``counts`` are read more than once: they should be work tables."""
+    hot = F.broadcast(counts.filter(F.col("n") * HOT_SHARE > total).drop("n"))
+    rest = rows.join(hot.select(*keys), keys, "left_anti")
+    cold = counts.filter(F.col("n") * HOT_SHARE <= total).drop("n")
+    return rows.join(hot, keys, "left_semi" if how == "left_semi" else "inner").unionByName(rest.join(cold, keys, how))
+
+
 def having_key(rows: DataFrame, key: str, counts: DataFrame, total: int) -> DataFrame:
-    """The rows whose key is in ``counts`` (key, n): hot keys, at most HOT_SHARE of them, meet their rows by a broadcast, so
-    that no task gets all rows of one; the others by a shuffle. ``total`` is the sum of all n, or more."""
-    hot = counts.filter(F.col("n") * HOT_SHARE > total).select(key)
-    spread = rows.join(F.broadcast(hot), key, "left_semi")
-    rest = rows.join(F.broadcast(hot), key, "left_anti").join(counts.filter(F.col("n") * HOT_SHARE <= total).select(key), key, "left_semi")
-    return spread.unionByName(rest)
+    """The rows whose key is in ``counts`` (key, n)."""
+    return meeting(rows, [key], counts, total, "left_semi")

@@ -83,8 +83,10 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also n_passage_words: words that stand in a passage of over 50 words which repeats, shorter than 400 bytes or not."""
     cut = remove_repeats(documents(spark, sf_dir))
-    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    repeated = F.aggregate("passages", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), repeated.alias("n_passage_words"))
 
 
 OP1_SQL = r"""

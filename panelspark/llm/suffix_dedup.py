@@ -1,44 +1,80 @@
-"""Repeated byte strings by a depth-limited radix sort of suffixes.
+"""Repeated strings by a depth-limited radix sort of suffixes, over bytes and over words.
 
-Only repeats of ``THRESHOLD`` bytes matter, so suffixes are told apart through that depth and no further. Each pass of the
-sort groups suffixes by one more digit, most significant first, and drops those that stand alone:
+Only repeats of ``threshold`` symbols matter, so suffixes are told apart through that depth and no further. A ``Unit`` says
+what a symbol is: BYTES finds repeated strings of 400 bytes, whose bytes are removed; WORDS finds repeated passages of over
+50 words (ASCII white space between them), which are reported only. Both go through the same passes together. Each pass of
+the sort groups suffixes by one more digit, most significant first, and drops those that stand alone:
 
-1. The first digit of a suffix is the ``GRAM``-byte string of smallest hash (leftmost of equal ones) that starts in its
-   first THRESHOLD - GRAM + 1 places, together with its place. Equal suffixes agree on it, and neighbouring suffixes share
+1. The first digit of a suffix is the string of ``gram`` symbols of smallest hash (leftmost of equal ones) that starts in its
+   first threshold - gram + 1 places, together with its place. Equal suffixes agree on it, and neighbouring suffixes share
    it, so one row stands for about a hundred of them.
-2. Where the whole surroundings of that string (all bytes of all suffixes it may stand for) occur twice, all those suffixes
+2. Where the whole surroundings of that string (all symbols of all suffixes it may stand for) occur twice, all those suffixes
    are repeats; they leave the sort, but one of each group stays to be met by others.
-3. The rest is divided by the place of the string into blocks of ``BLOCK`` suffixes; the digit is what these share. Blocks
+3. The rest is divided by the place of the string into blocks of ``block`` suffixes; the digit is what these share. Blocks
    that stand alone drop out; of those that do not, the ones whose surroundings occur twice leave as in pass 2.
 4. Suffixes of the remaining blocks are compared through the full depth: equal groups are the repeated windows.
 
-Digits are compared by hashes of 128 bits wherever they decide that something is repeated. Every byte that a repeated window covers is
-removed, in all its occurrences; windows never cross documents.
+Where digits decide that something is repeated they are compared by two independent 64-bit hashes of the string, seeded
+apart. Every symbol that a repeated window covers counts, in all its occurrences; windows never cross documents.
 
-Defined cases: null text counts as empty; texts under THRESHOLD bytes have no window; texts of any length are used whole;
-rows that repeat id and text count as other places of the same strings and share one result; a null id stays null; other
-columns are ignored.
+Defined cases: null text counts as empty; texts under a threshold have no window of that unit; texts of any length are used
+whole; rows that repeat id and text count as other places of the same strings and share one result; a null id stays null;
+ties of hashes go to the leftmost place; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import discard, having_key, key_filter, maybe_among, only_maybe, process_cache, small_batches, stash
+from panelspark.llm._common import discard, having_key, key_filter, maybe_among, meeting, only_maybe, process_cache, small_batches, stash
 
-THRESHOLD, GRAM, BLOCK = 400, 64, 16
 #: Window starts handled at a time: bounds memory where a text is very long.
 SEGMENT = 1 << 20
-SPAN = THRESHOLD - GRAM  # largest place of the string in a suffix
+CACHE_WORDS = 250_000
+
+
+@dataclass(frozen=True)
+class Unit:
+    """A kind of symbol with the shortest repeat that matters (``threshold`` symbols) and the sizes of the digits."""
+
+    number: int
+    threshold: int
+    gram: int
+    block: int
+    least_bytes: int  # of a text that has a window
+
+    @property
+    def span(self) -> int:
+        """Largest place of the first digit's string in a suffix."""
+        return self.threshold - self.gram
+
+    @property
+    def salt(self) -> np.uint64:
+        return np.uint64(self.number * 0x632BE59BD9B4E019 % 2**64)
+
+
+BYTES = Unit(0, 400, 64, 16, 400)
+WORDS = Unit(1, 51, 8, 4, 101)
+UNITS = (BYTES, WORDS)
+
+
+def _of_unit(what) -> Column:
+    """``what(unit)`` for the unit of a row."""
+    out = F.lit(what(UNITS[0]))
+    for u in UNITS[1:]:
+        out = F.when(F.col("unit") == u.number, F.lit(what(u))).otherwise(out)
+    return out
 
 
 class Rolling:
-    """Hashes of byte strings from prefix sums: sum of table[byte] * base**k over the string, modulo 2**64."""
+    """Hashes of strings of symbols from prefix sums: sum of value(symbol) * base**k over the string, modulo 2**64."""
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
@@ -46,15 +82,20 @@ class Rolling:
         base = int(rng.integers(1, 2**62)) * 4 + 3
         self.base, self.back = np.uint64(base % 2**64), np.uint64(pow(base, -1, 2**64))
         self.up = self.down = np.ones(1, np.uint64)
+        self.word_salt = np.uint64(rng.integers(1, 2**63))
+
+    def values(self, symbols: np.ndarray) -> np.ndarray:
+        """Odd numbers for the symbols: bytes, or hashes of words."""
+        return self.table[symbols] if symbols.dtype == np.uint8 else _mixed(symbols ^ self.word_salt) | np.uint64(1)
 
-    def prefix(self, text: np.ndarray) -> np.ndarray:
-        while len(self.up) <= len(text):
+    def prefix(self, symbols: np.ndarray) -> np.ndarray:
+        while len(self.up) <= len(symbols):
             n = len(self.up)
             self.up = np.r_[self.up, self.up * (self.up[-1:] * self.base)]
             self.down = np.r_[self.down, self.down * (self.down[-1:] * self.back)]
             assert len(self.up) == 2 * n
-        out = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum(self.table[text] * self.up[: len(text)], out=out[1:])
+        out = np.zeros(len(symbols) + 1, np.uint64)
+        np.cumsum(self.values(symbols) * self.up[: len(symbols)], out=out[1:])
         return out
 
     def of(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -71,22 +112,38 @@ def _rolling() -> tuple[Rolling, Rolling]:
     return process_cache("rolling", lambda: (Rolling(1), Rolling(2)))
 
 
-def anchors(text: np.ndarray, rolling: Rolling) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return h
+
+
+def symbols_of(text: str, unit: Unit) -> np.ndarray:
+    raw = text.encode()
+    if unit is BYTES:
+        return np.frombuffer(raw, np.uint8)
+    words = raw.split()
+    return np.fromiter(map(process_cache("suffix-words", _WordHashes).__getitem__, words), np.uint64, len(words))
+
+
+def anchors(symbols: np.ndarray, rolling: Rolling, unit: Unit = BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First digits of all suffixes of a text: hash and place of each string, and the first and last suffix it stands for."""
     parts = []
-    for at in range(0, max(len(text) - THRESHOLD + 1, 0), SEGMENT):
-        cut = text[at : at + SEGMENT + THRESHOLD - 1]
+    for at in range(0, max(len(symbols) - unit.threshold + 1, 0), SEGMENT):
+        cut = symbols[at : at + SEGMENT + unit.threshold - 1]
         prefix = rolling.prefix(cut)
-        n = len(cut) - GRAM + 1
-        gram = _mixed((prefix[GRAM:] - prefix[:-GRAM]) * rolling.down[:n])
+        n = len(cut) - unit.gram + 1
+        gram = _mixed((prefix[unit.gram :] - prefix[: -unit.gram]) * rolling.down[:n] + unit.salt)
         order = (gram >> np.uint64(32) << np.uint64(32)) | np.arange(n, dtype=np.uint64)
-        width = SPAN + 1
+        width = unit.span + 1
         padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max)
         padded[:n] = order
         blocks = padded.reshape(-1, width)
         ahead = np.minimum.accumulate(blocks, axis=1).ravel()
         behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-        starts = len(cut) - THRESHOLD + 1
+        starts = len(cut) - unit.threshold + 1
         least = (np.minimum(behind[:starts], ahead[width - 1 : width - 1 + starts]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
         place, last = least[first], np.r_[first[1:], starts] - 1
@@ -110,59 +167,64 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _first_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rolling = _rolling()[0]
     for b in batches:
-        out, count = [], []
-        for t in b["text"].to_pylist():
-            got = anchors(np.frombuffer(t.encode(), np.uint8), rolling)
-            out.append(got)
-            count.append(len(got[0]))
-        gram, place, first, last = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*out, strict=True) if out else [[]] * 4))
-        row = np.repeat(b["row"].to_numpy(), count)
-        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(row), pa.array(place.astype(np.int32)), pa.array((place - last).astype(np.int16)), pa.array((place - first).astype(np.int16))], names=["gram", "row", "place", "near", "far"])
+        out, owner, units = [], [], []
+        for k, t in enumerate(b["text"].to_pylist()):
+            for u in UNITS:
+                got = anchors(symbols_of(t, u), rolling, u)
+                if len(got[0]):
+                    out.append(got)
+                    owner.append(np.full(len(got[0]), k))
+                    units.append(np.full(len(got[0]), u.number, np.int8))
+        gram, place, first, last = (np.concatenate(x) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
+        owner, units = (np.concatenate(x) if x else np.zeros(0, np.int8) for x in (owner, units))
+        row = b["row"].to_numpy()[owner.astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(row), pa.array(units), pa.array(place.astype(np.int32)), pa.array((place - last).astype(np.int16)), pa.array((place - first).astype(np.int16))], names=["gram", "row", "unit", "place", "near", "far"])
 
 
 def _per_text(batches: Iterator[pa.RecordBatch], what, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``what(prefixes, length, places, nears, fars)`` (a dict of arrays) for each text and its listed strings."""
+    """Rows of ``what(unit, prefixes, hashes, length, places, nears, fars)`` (arrays) for each text, unit and its listed strings."""
     both = _rolling()
     for b in batches:
         out = []
         listed = b["listed"]
         child, ends = listed.flatten(), np.r_[0, np.cumsum(np.asarray(listed.value_lengths()))]
-        place, near, far = (child.field(k).to_numpy().astype(np.int64) for k in ("place", "near", "far"))
+        unit, place, near, far = (child.field(k).to_numpy().astype(np.int64) for k in ("unit", "place", "near", "far"))
         for k, t in enumerate(b["text"].to_pylist()):
-            text = np.frombuffer(t.encode(), np.uint8)
-            own = slice(ends[k], ends[k + 1])
-            got = what([r.prefix(text) for r in both], both, len(text), place[own], near[own], far[own])
-            out.append(([k] * len(got[0]), *got))
-        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * (1 + len(names))
+            for u in UNITS:
+                own = ends[k] + np.flatnonzero(unit[ends[k] : ends[k + 1]] == u.number)
+                if len(own):
+                    symbols = symbols_of(t, u)
+                    got = what(u, [r.prefix(symbols) for r in both], both, len(symbols), place[own], near[own], far[own])
+                    out.append((np.full(len(got[0]), k), np.full(len(got[0]), u.number), *got))
+        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * (2 + len(names))
         row = pa.array(cols[0].astype(np.int64))
-        arrays = [b["doc_id"].take(row), b["th"].take(row), *(pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in cols[1:])]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "th", *names])
+        arrays = [b["doc_id"].take(row), b["th"].take(row), pa.array(cols[1].astype(np.int8)), *(pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in cols[2:])]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "th", "unit", *names])
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def what(prefixes, both, n, place, near, far):
-        inside = (place >= 0) & (place + GRAM <= n)  # always, unless two rows share a key
+    def what(u, prefixes, both, n, place, near, far):
+        inside = (place >= 0) & (place + u.gram <= n)  # always, unless two rows share a key
         place, near, far = place[inside], near[inside], far[inside]
-        whole = (place >= SPAN) & (place + THRESHOLD <= n)
-        lo, hi = np.where(whole, place - SPAN, place), np.where(whole, place + THRESHOLD, place)
-        gram = both[0].of(prefixes[0], place, place + GRAM)
-        return place, near, far, gram, whole.astype(np.int64), both[0].of(prefixes[0], lo, hi), both[1].of(prefixes[1], lo, hi)
+        whole = (place >= u.span) & (place + u.threshold <= n)
+        lo, hi = np.where(whole, place - u.span, place), np.where(whole, place + u.threshold, place)
+        gram, *around = (_mixed(h + u.salt) for h in (both[0].of(prefixes[0], place, place + u.gram), *(r.of(f, lo, hi) for r, f in zip(both, prefixes, strict=True))))
+        return place, near, far, gram, whole.astype(np.int64), *around
 
     return _per_text(batches, what, ["place", "near", "far", "gram", "whole", "h1", "h2"])
 
 
 def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    lows = np.arange(0, SPAN + 1, BLOCK)
-    highs = np.minimum(lows + BLOCK - 1, SPAN)
-    salts = (lows + 1).astype(np.uint64) * np.array([0x9E3779B97F4A7C15], np.uint64)
-
-    def what(prefixes, both, n, place, near, far):
-        start, end = place[:, None] - lows, place[:, None] - highs + THRESHOLD  # what all suffixes of a block share
-        ok = (near[:, None] <= highs) & (far[:, None] >= lows) & (start >= 0) & (end <= n) & (place[:, None] + GRAM <= n)
+    def what(u, prefixes, both, n, place, near, far):
+        lows = np.arange(0, u.span + 1, u.block)
+        highs = np.minimum(lows + u.block - 1, u.span)
+        salts = (lows + 1).astype(np.uint64) * np.array([0x9E3779B97F4A7C15], np.uint64) + u.salt
+        start, end = place[:, None] - lows, place[:, None] - highs + u.threshold  # what all suffixes of a block share
+        ok = (near[:, None] <= highs) & (far[:, None] >= lows) & (start >= 0) & (end <= n) & (place[:, None] + u.gram <= n)
         k, j = np.nonzero(ok)
         p, low, high, salt = place[k], lows[j], highs[j], salts[j]
-        whole = (p >= high) & (p - low + THRESHOLD <= n)
-        lo, hi = np.where(whole, p - high, p), np.where(whole, p - low + THRESHOLD, p)
+        whole = (p >= high) & (p - low + u.threshold <= n)
+        lo, hi = np.where(whole, p - high, p), np.where(whole, p - low + u.threshold, p)
         around = [_mixed(r.of(f, lo, hi) + salt) for r, f in zip(both, prefixes, strict=True)]
         core = _mixed(both[0].of(prefixes[0], start[k, j], end[k, j]) + salt)
         return p, np.maximum(near[k], low), np.minimum(far[k], high), core, whole.astype(np.int64), *around
@@ -171,25 +233,26 @@ def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def what(prefixes, both, n, place, near, far):
+    def what(u, prefixes, both, n, place, near, far):
         many = far - near + 1
         start = np.repeat(place - far, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        start = np.unique(start[(start >= 0) & (start + THRESHOLD <= n)])
-        return start, both[0].of(prefixes[0], start, start + THRESHOLD), both[1].of(prefixes[1], start, start + THRESHOLD)
+        start = np.unique(start[(start >= 0) & (start + u.threshold <= n)])
+        return start, *(_mixed(r.of(f, start, start + u.threshold) + u.salt) for r, f in zip(both, prefixes, strict=True))
 
     return _per_text(batches, what, ["start", "h1", "h2"])
 
 
 def _listed(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.collect_set(F.struct("place", "near", "far")).alias("listed"))
+    return rows.groupBy(*keys).agg(F.collect_set(F.struct("unit", "place", "near", "far")).alias("listed"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, spans): byte ranges, not yet merged, of the repeated windows of each text that has one."""
+    """(doc_id, th, spans): ranges (unit, start, end), not yet merged, of the repeated windows of each text that has one."""
     small_batches(docs.sparkSession)
     rows = _keyed(docs)
     spark = docs.sparkSession
-    digits = stash(rows.select("row", "text").filter(F.octet_length("text") >= THRESHOLD).mapInArrow(_first_digits, "gram long, row long, place int, near short, far short"), "first-digits")
+    long_enough = F.octet_length("text") >= min(u.least_bytes for u in UNITS)
+    digits = stash(rows.select("row", "text").filter(long_enough).mapInArrow(_first_digits, "gram long, row long, unit byte, place int, near short, far short"), "first-digits")
     again = stash(digits.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "met-grams")
     met = stash(_listed(having_key(digits, "gram", again, digits.count()), ["row"]), "met-digits")
     discard(spark, digits, again)
@@ -200,36 +263,41 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         own = listed.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "listed")
         return texts.drop("listed").join(own, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("doc_id", "th", "text", "listed")
 
-    own = "doc_id long, th long, place long, near long, far long"
+    own = "doc_id long, th long, unit byte, place long, near long, far long"
+    span, threshold, block = (_of_unit(lambda u, k=k: getattr(u, k)) for k in ("span", "threshold", "block"))
     around = stash(texts.mapInArrow(_surroundings, f"{own}, gram long, whole long, h1 long, h2 long"), "surroundings")
-    wide, rest = _settled(around, "gram", F.col("place") - SPAN, F.col("place") + THRESHOLD)
+    wide, rest = _settled(around, "gram", F.col("place") - span, F.col("place") + threshold)
     discard(spark, around)
     cores = stash(with_text(rest).mapInArrow(_cores, f"{own}, core long, whole long, h1 long, h2 long"), "cores")
     shared = stash(cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"), "met-cores")
     blocks = stash(having_key(cores, "core", shared, cores.count()), "blocks")
     discard(spark, cores, rest, shared)
-    low = F.floor(F.col("near") / BLOCK) * BLOCK
-    narrow, rest = _settled(blocks, "core", F.col("place") - F.least(low + BLOCK - 1, F.lit(SPAN)), F.col("place") - low + THRESHOLD)
+    low = F.floor(F.col("near") / block) * block
+    narrow, rest = _settled(blocks, "core", F.col("place") - F.least(low + block - 1, span), F.col("place") - low + threshold)
     discard(spark, blocks)
-    windows = stash(with_text(rest).mapInArrow(_windows, "doc_id long, th long, start long, h1 long, h2 long"), "windows")
+    windows = stash(with_text(rest).mapInArrow(_windows, "doc_id long, th long, unit byte, start long, h1 long, h2 long"), "windows")
     discard(spark, rest, texts)
-    equal = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    found = windows.join(equal, ["h1", "h2"], "left_semi").select("doc_id", "th", "start", (F.col("start") + THRESHOLD).alias("end"))
-    return wide.unionByName(narrow).unionByName(found).groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    equal = stash(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1"), "equal-windows")
+    found = meeting(windows, ["h1", "h2"], equal, windows.count(), "left_semi").select("doc_id", "th", "unit", "start", (F.col("start") + threshold).alias("end"))
+    spans = stash(wide.unionByName(narrow).unionByName(found).groupBy("doc_id", "th").agg(F.collect_set(F.struct("unit", "start", "end")).alias("spans")), "repeated-spans")
+    discard(spark, windows, equal, wide, narrow)
+    return spans
 
 
 def _settled(rows: DataFrame, digit: str, start: Column, end: Column) -> tuple[DataFrame, DataFrame]:
-    """Of rows with the hash (h1, h2) of their surroundings, where they lie inside the text (``whole``): the byte ranges of
+    """Of rows with the hash (h1, h2) of their surroundings, where they lie inside the text (``whole``): the ranges of
     those that occur twice, and what goes on to the next pass, listed by text: the others, and one of each group that is
     settled if its digit is still open."""
     key = F.struct("doc_id", "th", "place", "near")
-    twice = rows.filter("whole = 1").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(key).alias("one")).filter("n > 1").drop("n")
-    told = stash(rows.join(twice, ["h1", "h2"], "left").withColumn("done", (F.col("whole") == 1) & F.col("one").isNotNull()).withColumn("one", F.coalesce(key == F.col("one"), F.lit(False))).drop("h1", "h2", "whole"), "told")
-    spans = stash(told.filter("done").select("doc_id", "th", start.cast("long").alias("start"), end.cast("long").alias("end")), "spans")
+    twice = stash(rows.filter("whole = 1").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(key).alias("one")).filter("n > 1"), "met-twice")
+    sure = meeting(rows.filter("whole = 1"), ["h1", "h2"], twice, rows.count(), "left").withColumn("done", F.col("one").isNotNull()).withColumn("one", F.coalesce(key == F.col("one"), F.lit(False)))
+    edge = rows.filter("whole = 0").withColumn("one", F.lit(False)).withColumn("done", F.lit(False))
+    told = stash(sure.unionByName(edge).drop("h1", "h2", "whole"), "told")
+    spans = stash(told.filter("done").select("doc_id", "th", "unit", start.cast("long").alias("start"), end.cast("long").alias("end")), "spans")
     left = told.filter("not done or one")
     still = stash(left.groupBy(digit).agg(F.count("*").alias("n"), F.min("done").alias("settled")).filter("not settled").drop("settled"), "open-digits")
     rest = stash(_listed(having_key(left, digit, still, told.count()), ["doc_id", "th"]), "rest")
-    discard(rows.sparkSession, told, still)
+    discard(rows.sparkSession, told, still, twice)
     return spans, rest
 
 
@@ -241,15 +309,25 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[new], end[np.r_[np.flatnonzero(new)[1:] - 1, len(end) - 1]]
 
 
+def _runs(own: list[dict] | None, unit: Unit) -> list[tuple[int, int]]:
+    of_unit = [x for x in own or () if x["unit"] == unit.number]
+    if not of_unit:
+        return []
+    lo, hi = merged(np.array([x["start"] for x in of_unit]), np.array([x["end"] for x in of_unit]))
+    return list(zip(lo.tolist(), hi.tolist(), strict=True))
+
+
+_RANGES = "array<struct<start:bigint,end:bigint>>"
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    listed = lambda runs: pa.array([[{"start": lo, "end": hi} for lo, hi in r] for r in runs], kind)
     for b in batches:
-        sizes, gone, spans, kept = [], [], [], []
+        sizes, gone, spans, kept, passages = [], [], [], [], []
         for text, own in zip(b["text"].to_pylist(), b["spans"].to_pylist(), strict=True):
             raw = text.encode()
-            runs: list[tuple[int, int]] = []
-            if own:
-                lo, hi = merged(np.array([x["start"] for x in own]), np.array([x["end"] for x in own]))
-                runs = list(zip(lo.tolist(), hi.tolist(), strict=True))
+            runs = _runs(own, BYTES)
             left, at = [], 0
             for lo, hi in runs:
                 left.append(raw[at:lo])
@@ -257,18 +335,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(b"".join([*left, raw[at:]]))
             sizes.append(len(raw))
             gone.append(len(raw) - len(kept[-1]))
-            spans.append([{"start": lo, "end": hi} for lo, hi in runs])
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            spans.append(runs)
+            passages.append(_runs(own, WORDS))
+        yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), listed(spans), pa.array(kept, pa.binary()), listed(passages)], names=["doc_id", "n_bytes", "n_removed", "spans", "kept", "passages"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, spans (removed runs of bytes) and kept (the remaining bytes) for every row of ``docs``."""
-    spans = stash(repeated_spans(docs).withColumn("row", F.xxhash64("doc_id", "th")), "repeated-spans")
+    """doc_id, n_bytes, n_removed, spans (removed runs of bytes), kept (the remaining bytes) and passages (runs of words that
+    repeated passages of over 50 words cover; nothing is removed for them) for every row of ``docs``."""
+    spans = repeated_spans(docs).withColumn("row", F.xxhash64("doc_id", "th"))
     rows = maybe_among(_keyed(docs), "row", key_filter(spans, "row", spans.count()))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    clean = rows.filter(~F.col("_maybe")).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), none.alias("spans"), F.encode("text", "utf-8").alias("kept"))
+    none = F.array().cast(_RANGES)
+    clean = rows.filter(~F.col("_maybe")).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), none.alias("spans"), F.encode("text", "utf-8").alias("kept"), none.alias("passages"))
     own = spans.select(F.col("row").alias("_row"), F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans")
     met = rows.filter("_maybe").join(own, (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
-    cut = met.select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:bigint,end:bigint>>, kept binary")
+    cut = met.select("doc_id", "text", "spans").mapInArrow(_cut, f"doc_id long, n_bytes long, n_removed long, spans {_RANGES}, kept binary, passages {_RANGES}")
     return clean.unionByName(cut)

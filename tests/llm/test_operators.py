@@ -462,9 +462,36 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def _passages(raw: list, width: int) -> Counter:
+    """Runs of words that repeated strings of ``width`` words cover, by document."""
+    words = [(doc_id, b.split()) for doc_id, b in raw]
+    count = Counter(tuple(w[k : k + width]) for _, w in words for k in range(len(w) - width + 1))
+    out = Counter()
+    for doc_id, w in words:
+        met = np.zeros(len(w), bool)
+        for k in range(len(w) - width + 1):
+            if count[tuple(w[k : k + width])] > 1:
+                met[k : k + width] = True
+        edge = np.flatnonzero(np.diff(np.r_[0, met.astype(int), 0]))
+        out[(doc_id, tuple(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)))] += 1
+    return out
+
+
+def test_suffix_dedup_names_passages_that_are_short_in_bytes(spark):
+    """Passages of over 50 words that many documents share, under 400 bytes: reported, not removed; 50 words are not."""
+    rng = random.Random(21)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**4)}" for _ in range(n))
+    short, fifty = prose(52), prose(50)
+    assert len(short) < 400
+    rows = [(k, f"{prose(80)} {short}\n{prose(30 + k)}") for k in range(60)] + [(100 + k, f"{prose(70)} {fifty} {prose(20 + k)}") for k in range(30)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert Counter((r["doc_id"], tuple((x["start"], x["end"]) for x in r["passages"])) for r in got) == _passages([(i, t.encode()) for i, t in rows], 51)
+    assert all(r["n_removed"] == 0 for r in got) and {r["doc_id"] for r in got if r["passages"]} == set(range(60))
+
+
 def test_suffix_dedup(docs, empty, rows):
     raw = [(r[0], (r[1] or "").encode()) for r in rows]
-    width = suffix_dedup.THRESHOLD
+    width = suffix_dedup.BYTES.threshold
     count = Counter(b[k : k + width] for _, b in raw for k in range(len(b) - width + 1))
     want = Counter()
     for doc_id, b in raw:
@@ -475,6 +502,7 @@ def test_suffix_dedup(docs, empty, rows):
         runs = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
         want[(doc_id, len(b), int(gone.sum()), runs, bytes(np.frombuffer(b, np.uint8)[~gone]))] += 1
     got = suffix_dedup.remove_repeats(docs).collect()
+    assert Counter((r["doc_id"], tuple((x["start"], x["end"]) for x in r["passages"])) for r in got) == _passages(raw, suffix_dedup.WORDS.threshold)
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in got) == want
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
@@ -482,10 +510,13 @@ def test_suffix_dedup(docs, empty, rows):
 def test_suffix_segments_agree(monkeypatch):
     rng = np.random.default_rng(3)
     text = np.concatenate([rng.integers(97, 101, 3000), np.full(1500, 97), rng.integers(97, 123, 2500)]).astype(np.uint8)
+    words = rng.integers(0, 40, 4000).astype(np.uint64)
     whole = suffix_dedup.anchors(text, suffix_dedup.Rolling(1))
+    of_words = suffix_dedup.anchors(words, suffix_dedup.Rolling(1), suffix_dedup.WORDS)
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 700)
     parts = suffix_dedup.anchors(text, suffix_dedup.Rolling(1))
     assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    assert all((a == b).all() for a, b in zip(of_words, suffix_dedup.anchors(words, suffix_dedup.Rolling(1), suffix_dedup.WORDS), strict=True))
 
 
 def test_pipeline_stages_keep_clean_documents(spark, tmp_path):
