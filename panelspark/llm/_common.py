@@ -115,10 +115,11 @@ def meeting(rows: DataFrame, keys: list[str], counts: DataFrame, total: int, how
     """``rows`` joined (inner, left, left_semi) with ``counts`` (keys, n, other columns), without n. Hot keys, at most HOT_SHARE
     of them, meet their rows by a broadcast, so that no task gets all rows of one; the others by a shuffle. ``total`` is the
     sum of all n, or more. ``rows`` and ``counts`` are read more than once: they should be work tables."""
-    hot = F.broadcast(counts.filter(F.col("n") * HOT_SHARE > total).drop("n"))
-    rest = rows.join(hot.select(*keys), keys, "left_anti")
+    hot = F.broadcast(counts.filter(F.col("n") * HOT_SHARE > total).drop("n").withColumn("_hot", F.lit(True)))
+    marked = rows.join(hot, keys, "left")
+    near, rest = marked.filter("_hot"), marked.filter("_hot is null").select(*rows.columns)
     cold = counts.filter(F.col("n") * HOT_SHARE <= total).drop("n")
-    return rows.join(hot, keys, "left_semi" if how == "left_semi" else "inner").unionByName(rest.join(cold, keys, how))
+    return near.select(*(rows.columns if how == "left_semi" else near.drop("_hot").columns)).unionByName(rest.join(cold, keys, how))
 
 
 def having_key(rows: DataFrame, key: str, counts: DataFrame, total: int) -> DataFrame:

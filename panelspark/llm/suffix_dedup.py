@@ -24,7 +24,6 @@ ties of hashes go to the leftmost place; an empty table gives no row; other colu
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +36,8 @@ from panelspark.llm._common import discard, having_key, key_filter, maybe_among,
 
 #: Window starts handled at a time: bounds memory where a text is very long.
 SEGMENT = 1 << 20
-CACHE_WORDS = 250_000
+#: Bytes of texts that are handled as one array, about (a longer text is one by itself).
+GROUP = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -112,24 +112,35 @@ def _rolling() -> tuple[Rolling, Rolling]:
     return process_cache("rolling", lambda: (Rolling(1), Rolling(2)))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-
-def symbols_of(text: str, unit: Unit) -> np.ndarray:
-    raw = text.encode()
-    if unit is BYTES:
-        return np.frombuffer(raw, np.uint8)
-    words = raw.split()
-    return np.fromiter(map(process_cache("suffix-words", _WordHashes).__getitem__, words), np.uint64, len(words))
-
-
-def anchors(symbols: np.ndarray, rolling: Rolling, unit: Unit = BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First digits of all suffixes of a text: hash and place of each string, and the first and last suffix it stands for."""
+def _grouped_texts(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts in groups of about GROUP bytes: number of the first text, all bytes (a line feed after each text), starts, ends."""
+    raw, at = [t.encode() for t in texts], 0
+    while at < len(raw):
+        upto, size = at + 1, len(raw[at])
+        while upto < len(raw) and size + len(raw[upto]) <= GROUP:
+            size += len(raw[upto])
+            upto += 1
+        ends = np.cumsum([len(x) + 1 for x in raw[at:upto]]) - 1
+        yield at, np.frombuffer(b"\n".join(raw[at:upto]) + b"\n", np.uint8), np.r_[0, ends[:-1] + 1], ends
+        at = upto
+
+
+def _symbols(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, rolling: Rolling) -> Iterator[tuple[Unit, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each unit the symbols of a group of texts, and where each text starts and ends among them."""
+    yield BYTES, raw, starts, ends
+    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    edge = np.flatnonzero(np.diff(space, prepend=True))
+    lo, hi = edge[::2], edge[1::2]  # the array ends with a line feed, so no word is open
+    yield WORDS, rolling.of(rolling.prefix(raw), lo, hi), np.searchsorted(lo, starts), np.searchsorted(lo, ends)
+
+
+def anchors(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, rolling: Rolling, unit: Unit = BYTES) -> tuple[np.ndarray, ...]:
+    """First digits of all suffixes of the texts: hash and place of each string, and the first and last suffix it stands for."""
+    real = np.zeros(len(symbols) + 1, np.int8)  # starts of windows that end inside their text
+    whole = ends - starts >= unit.threshold
+    np.add.at(real, starts[whole], 1)
+    np.add.at(real, ends[whole] - unit.threshold + 1, -1)
+    real = np.cumsum(real[:-1], dtype=np.int8).astype(bool)
     parts = []
     for at in range(0, max(len(symbols) - unit.threshold + 1, 0), SEGMENT):
         cut = symbols[at : at + SEGMENT + unit.threshold - 1]
@@ -143,11 +154,14 @@ def anchors(symbols: np.ndarray, rolling: Rolling, unit: Unit = BYTES) -> tuple[
         blocks = padded.reshape(-1, width)
         ahead = np.minimum.accumulate(blocks, axis=1).ravel()
         behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-        starts = len(cut) - unit.threshold + 1
-        least = (np.minimum(behind[:starts], ahead[width - 1 : width - 1 + starts]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        many = len(cut) - unit.threshold + 1
+        start = np.flatnonzero(real[at : at + many])
+        if not len(start):
+            continue
+        least = (np.minimum(behind[start], ahead[start + width - 1]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-        place, last = least[first], np.r_[first[1:], starts] - 1
-        parts.append([gram[place], place + at, first + at, last + at])
+        place, last = least[first], start[np.r_[first[1:], len(start)] - 1]
+        parts.append([gram[place], place + at, start[first] + at, last + at])
     if not parts:
         return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
     for before, after in zip(parts, parts[1:], strict=False):
@@ -167,77 +181,79 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _first_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rolling = _rolling()[0]
     for b in batches:
-        out, owner, units = [], [], []
-        for k, t in enumerate(b["text"].to_pylist()):
-            for u in UNITS:
-                got = anchors(symbols_of(t, u), rolling, u)
-                if len(got[0]):
-                    out.append(got)
-                    owner.append(np.full(len(got[0]), k))
-                    units.append(np.full(len(got[0]), u.number, np.int8))
-        gram, place, first, last = (np.concatenate(x) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
-        owner, units = (np.concatenate(x) if x else np.zeros(0, np.int8) for x in (owner, units))
-        row = b["row"].to_numpy()[owner.astype(np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(row), pa.array(units), pa.array(place.astype(np.int32)), pa.array((place - last).astype(np.int16)), pa.array((place - first).astype(np.int16))], names=["gram", "row", "unit", "place", "near", "far"])
+        out = [[np.zeros(0, np.int64)] * 6]
+        for at, *group in _grouped_texts(b["text"].to_pylist()):
+            for u, symbols, starts, ends in _symbols(*group, rolling):
+                gram, place, first, last = anchors(symbols, starts, ends, rolling, u)
+                own = np.searchsorted(starts, first, "right") - 1
+                out.append([gram.view(np.int64), own + at, np.full(len(own), u.number), place - starts[own], place - last, place - first])
+        gram, own, unit, place, near, far = (np.concatenate(x) for x in zip(*out, strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(gram), b["row"].take(pa.array(own)), pa.array(unit.astype(np.int8)), pa.array(place.astype(np.int32)), pa.array(near.astype(np.int16)), pa.array(far.astype(np.int16))], names=["gram", "row", "unit", "place", "near", "far"])
 
 
 def _per_text(batches: Iterator[pa.RecordBatch], what, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``what(unit, prefixes, hashes, length, places, nears, fars)`` (arrays) for each text, unit and its listed strings."""
+    """Rows of ``what(unit, prefixes, hashes, start, end, places, nears, fars)`` for the listed strings of the texts: it gets
+    places in the group, start and end of each one's text there, and gives the number of each row's string and arrays, of
+    which the first is a place in the group."""
     both = _rolling()
     for b in batches:
-        out = []
         listed = b["listed"]
-        child, ends = listed.flatten(), np.r_[0, np.cumsum(np.asarray(listed.value_lengths()))]
+        child, borders = listed.flatten(), np.r_[0, np.cumsum(np.asarray(listed.value_lengths()))]
         unit, place, near, far = (child.field(k).to_numpy().astype(np.int64) for k in ("unit", "place", "near", "far"))
-        for k, t in enumerate(b["text"].to_pylist()):
-            for u in UNITS:
-                own = ends[k] + np.flatnonzero(unit[ends[k] : ends[k + 1]] == u.number)
-                if len(own):
-                    symbols = symbols_of(t, u)
-                    got = what(u, [r.prefix(symbols) for r in both], both, len(symbols), place[own], near[own], far[own])
-                    out.append((np.full(len(got[0]), k), np.full(len(got[0]), u.number), *got))
-        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * (2 + len(names))
-        row = pa.array(cols[0].astype(np.int64))
-        arrays = [b["doc_id"].take(row), b["th"].take(row), pa.array(cols[1].astype(np.int8)), *(pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in cols[2:])]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "th", "unit", *names])
+        owner = np.repeat(np.arange(b.num_rows), np.diff(borders))
+        out = [[np.zeros(0, np.int64)] * (2 + len(names))]
+        for at, raw, *edges in _grouped_texts(b["text"].to_pylist()):
+            some = np.arange(borders[at], borders[at + len(edges[0])])
+            for u, symbols, starts, ends in _symbols(raw, *edges, both[0]):
+                own = some[unit[some] == u.number]
+                if not len(own):
+                    continue
+                k = owner[own] - at
+                nth, moved, *rest = what(u, [r.prefix(symbols) for r in both], both, starts[k], ends[k], place[own] + starts[k], near[own], far[own])
+                out.append([k[nth] + at, np.full(len(nth), u.number), moved - starts[k[nth]], *rest])
+        cols = [np.concatenate([c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64) for c in x]) for x in zip(*out, strict=True)]
+        row = pa.array(cols[0])
+        yield pa.RecordBatch.from_arrays([b["doc_id"].take(row), b["th"].take(row), pa.array(cols[1].astype(np.int8)), *map(pa.array, cols[2:])], names=["doc_id", "th", "unit", *names])
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def what(u, prefixes, both, n, place, near, far):
-        inside = (place >= 0) & (place + u.gram <= n)  # always, unless two rows share a key
-        place, near, far = place[inside], near[inside], far[inside]
-        whole = (place >= u.span) & (place + u.threshold <= n)
+    def what(u, prefixes, both, start, end, place, near, far):
+        nth = np.flatnonzero((place >= start) & (place + u.gram <= end))  # all, unless two rows share a key
+        start, end, place = start[nth], end[nth], place[nth]
+        whole = (place - u.span >= start) & (place + u.threshold <= end)
         lo, hi = np.where(whole, place - u.span, place), np.where(whole, place + u.threshold, place)
         gram, *around = (_mixed(h + u.salt) for h in (both[0].of(prefixes[0], place, place + u.gram), *(r.of(f, lo, hi) for r, f in zip(both, prefixes, strict=True))))
-        return place, near, far, gram, whole.astype(np.int64), *around
+        return nth, place, near[nth], far[nth], gram, whole.astype(np.int64), *around
 
     return _per_text(batches, what, ["place", "near", "far", "gram", "whole", "h1", "h2"])
 
 
 def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def what(u, prefixes, both, n, place, near, far):
+    def what(u, prefixes, both, start, end, place, near, far):
         lows = np.arange(0, u.span + 1, u.block)
         highs = np.minimum(lows + u.block - 1, u.span)
         salts = (lows + 1).astype(np.uint64) * np.array([0x9E3779B97F4A7C15], np.uint64) + u.salt
-        start, end = place[:, None] - lows, place[:, None] - highs + u.threshold  # what all suffixes of a block share
-        ok = (near[:, None] <= highs) & (far[:, None] >= lows) & (start >= 0) & (end <= n) & (place[:, None] + u.gram <= n)
+        first, last = place[:, None] - lows, place[:, None] - highs + u.threshold  # what all suffixes of a block share
+        ok = (near[:, None] <= highs) & (far[:, None] >= lows) & (first >= start[:, None]) & (last <= end[:, None]) & (place[:, None] + u.gram <= end[:, None])
         k, j = np.nonzero(ok)
         p, low, high, salt = place[k], lows[j], highs[j], salts[j]
-        whole = (p >= high) & (p - low + u.threshold <= n)
+        whole = (p - high >= start[k]) & (p - low + u.threshold <= end[k])
         lo, hi = np.where(whole, p - high, p), np.where(whole, p - low + u.threshold, p)
         around = [_mixed(r.of(f, lo, hi) + salt) for r, f in zip(both, prefixes, strict=True)]
-        core = _mixed(both[0].of(prefixes[0], start[k, j], end[k, j]) + salt)
-        return p, np.maximum(near[k], low), np.minimum(far[k], high), core, whole.astype(np.int64), *around
+        core = _mixed(both[0].of(prefixes[0], first[k, j], last[k, j]) + salt)
+        return k, p, np.maximum(near[k], low), np.minimum(far[k], high), core, whole.astype(np.int64), *around
 
     return _per_text(batches, what, ["place", "near", "far", "core", "whole", "h1", "h2"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def what(u, prefixes, both, n, place, near, far):
+    def what(u, prefixes, both, start, end, place, near, far):
         many = far - near + 1
-        start = np.repeat(place - far, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        start = np.unique(start[(start >= 0) & (start + u.threshold <= n)])
-        return start, *(_mixed(r.of(f, start, start + u.threshold) + u.salt) for r, f in zip(both, prefixes, strict=True))
+        nth = np.repeat(np.arange(len(many)), many)
+        at = (place - far)[nth] + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        inside = (at >= start[nth]) & (at + u.threshold <= end[nth])
+        at, one = np.unique(at[inside], return_index=True)
+        return nth[inside][one], at, *(_mixed(r.of(f, at, at + u.threshold) + u.salt) for r, f in zip(both, prefixes, strict=True))
 
     return _per_text(batches, what, ["start", "h1", "h2"])
 
