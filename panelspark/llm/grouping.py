@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import stash
+from panelspark.llm._common import discard, meeting, stash
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,62 +20,58 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         before = shape
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # A work table: the join then has a shuffle on either side, and Spark can split an id of very many links.
+        least = stash(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star-least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))
-        now = stash(small.filter("u <> v").distinct(), "stars")
+        last, now = now, stash(small.filter("u <> v").distinct(), "stars")
+        discard(edges.sparkSession, last, least)
     roots = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").unionByName(roots.join(now.select(F.col("u").alias("id")), "id", "left_anti"))
 
 
-#: A bucket of more members than this is compared in blocks; pairs of smaller ones number at most so many for each member.
-SMALL = 40
-#: Two rows of 128 one-bit sketches that agree in fewer places are taken as unlike. At a similarity of 0.75 the expectation
-#: is 112 and this lies 5.9 standard deviations below: such a pair is lost with probability 7e-8.
-LEAST_BITS = 90
+#: Members of a bucket in one block of comparison.
+BLOCK = 400
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least_percent: int, compare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least_percent: int, compare: Callable[[DataFrame], DataFrame], block: int = BLOCK) -> DataFrame:
     """(id, component) of ids that verified links join; ``members`` (bucket, id, n) share a bucket if they may be linked.
 
     First every member is compared with the hub of its bucket: the member that meets most others over all its buckets, so
-    that copies of one text meet that text. Where a bucket then still holds more than one component, members of different
-    components are compared: in small buckets as pairs, in larger ones by ``compare`` (rows bucket, id, n, component, many
-    in, enough links to join what is linked out), or as pairs too where it is not given. After that no link between two
-    members of a bucket is missing, but for what the sift below loses. ``n`` is a size: pairs of which the smaller is under ``least_percent`` of the larger
-    cannot be linked. Columns s1 and s2 (one-bit sketches), if there, spare most unlike pairs (LEAST_BITS; not in ``compare``). ``verify`` keeps the true
-    ones of pairs (a, b).
+    that copies of one text meet that text; ``verify`` keeps the true ones of pairs (a, b). Where a bucket then still holds
+    more than one component, its members are dealt to blocks, those of its largest component apart, and every two blocks
+    that may hold members of different components are compared as one group by ``compare`` (rows bucket, lo, hi, id,
+    component, side in; of each group (bucket, lo, hi) enough links (a, b) out to join what is linked across components).
+    Buckets of the same members are compared once. After that no link between two members of a bucket is missing, whatever
+    its size. ``n`` is a size: pairs of which the smaller is under ``least_percent`` of the larger cannot be linked.
     """
-    bits = "s1" in members.columns
-    own = ["n", "s1", "s2"] if bits else ["n"]
-
-    def alike(x: str, y: str):
-        close = F.least(f"{x}n", f"{y}n") * 100 >= F.greatest(f"{x}n", f"{y}n") * least_percent
-        if not bits:
-            return close
-        apart = sum((F.bit_count(F.col(f"{x}{s}").bitwiseXOR(F.col(f"{y}{s}"))) for s in ("s1", "s2")), F.lit(0))
-        return close & (128 - apart >= LEAST_BITS)
-
-    many = members.groupBy("bucket").agg(F.count("*").alias("many"))
-    degree = members.join(many, "bucket").groupBy("id").agg(F.sum("many").alias("degree"))
-    members = stash(members.join(degree, "id"), "members")
-    hub = members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("order"), *own)).alias("h"))
-    hub = hub.select("bucket", (-F.col("h.order")).alias("a"), *(F.col(f"h.{c}").alias(f"a{c}") for c in own))
-    met = members.select("bucket", F.col("id").alias("b"), *(F.col(c).alias(f"b{c}") for c in own)).join(hub, "bucket").filter((F.col("a") != F.col("b")) & alike("a", "b"))
+    spark = members.sparkSession
+    total = members.count()
+    many = stash(members.groupBy("bucket").agg(F.count("*").alias("n")).withColumn("many", F.col("n")), "bucket-sizes")
+    degree = meeting(members, ["bucket"], many, total).groupBy("id").agg(F.sum("many").alias("degree"))
+    ranked = stash(members.join(degree, "id"), "members")
+    hub = ranked.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("order"), "n")).alias("h"), F.count("*").alias("n"))
+    hub = stash(hub.select("bucket", "n", (-F.col("h.order")).alias("a"), F.col("h.n").alias("an")), "hubs")
+    close = F.least("an", "bn") * 100 >= F.greatest("an", "bn") * least_percent
+    met = meeting(ranked.select("bucket", F.col("id").alias("b"), F.col("n").alias("bn")), ["bucket"], hub, total).filter((F.col("a") != F.col("b")) & close)
     tried = stash(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = stash(verify(tried), "links")
     found = stash(connected_components(links), "found")
-    held = members.join(found, "id", "left").select("bucket", "id", *own, F.coalesce("component", "id").alias("component"))
-    mixed = held.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("many")).filter("lo < hi").select("bucket", "many")
-    held = stash(held.join(mixed, "bucket"), "mixed")
-    if held.isEmpty():
-        return found
-    small = held.filter(F.col("many") <= SMALL) if compare else held
-    side = lambda x: small.select("bucket", F.col("id").alias(x), F.col("component").alias(f"{x}c"), *(F.col(c).alias(f"{x}{c}") for c in own))
-    cross = side("x").join(side("y"), "bucket").filter((F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc")) & alike("x", "y"))
-    pairs = stash(cross.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(stash(verify(pairs), "links"))
-    if compare:
-        links = links.unionByName(stash(compare(held.filter(F.col("many") > SMALL).select("bucket", "id", "n", "component", "many")), "links"))
-    return connected_components(links)
+    held = stash(members.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component")), "held")
+    discard(spark, ranked, hub, many, tried)
+    # Of each bucket: its largest component, the numbers in and out of it, and a name of its set of members.
+    parts = held.groupBy("bucket", "component").agg(F.count("*").alias("n"), *(F.sum(F.xxhash64("id", F.lit(k)).cast("decimal(38,0)")).alias(f"h{k}") for k in (1, 2)))
+    of_bucket = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+    mixed = of_bucket.filter("top.n < n").groupBy("n", "h1", "h2").agg(F.min(F.struct("bucket", F.col("top.component").alias("main"), F.col("top.n").alias("inside"))).alias("b"))
+    mixed = stash(mixed.select("b.bucket", "b.main", "n", F.ceil(F.col("b.inside") / block).cast("int").alias("inner"), F.ceil((F.col("n") - F.col("b.inside")) / block).cast("int").alias("outer")), "mixed")
+    mine = meeting(held, ["bucket"], mixed, total).withColumn("is_main", F.col("component") == F.col("main"))
+    # Blocks of members outside the largest component are numbered from 0, those inside it follow; two of the latter need no comparison.
+    deal = lambda blocks: F.pmod(F.xxhash64("id"), blocks).cast("int")
+    side = F.when(F.col("is_main"), F.col("outer") + deal(F.col("inner"))).otherwise(deal(F.col("outer")))
+    last = F.when(F.col("is_main"), F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1
+    dealt = mine.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    blocks = dealt.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "id", "component", "side")
+    more = stash(compare(blocks), "links")
+    discard(spark, held, mixed)
+    return connected_components(links.unionByName(more))

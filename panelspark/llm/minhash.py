@@ -11,8 +11,9 @@ are one shingle; texts of any length are used whole; a document is an id (null o
 repeat both are one document, rows that repeat an id with another text are another; a null id comes after every id, and of
 equal ids the smaller hash comes first; an empty table gives no row.
 
-With ``BANDS`` bands of ``ROWS`` coordinates a link of similarity 0.75 escapes all buckets with probability
-(1 - 0.75**5)**45 < 5.1e-6, and the sift of ``link_buckets`` with under 1e-7: together under 6e-6; links above it with less.
+With ``BANDS`` bands of ``ROWS`` coordinates that were independent a link of similarity 0.75 would escape all buckets with
+probability (1 - 0.75**5)**45 < 5.1e-6, and links above it with less. Circulant coordinates come from one permutation;
+tests/llm measures the share of band misses on planted pairs. Candidates that share a bucket are all decided on their full sets.
 """
 
 from __future__ import annotations
@@ -31,8 +32,6 @@ from panelspark.llm.grouping import link_buckets
 WORDS, LEAST_PERCENT = 5, 75
 ROWS, BANDS = 5, 45
 SLOT_BITS = 20
-#: Members of a bucket in a block of pairwise comparison.
-BLOCK = 400
 CACHE_WORDS = 250_000
 _NO_ID = 2**63 - 1
 #: Key of a document: its id (a null one last) and a hash of its text.
@@ -83,17 +82,16 @@ class Circulant:
         self.shifted = np.lib.stride_tricks.sliding_window_view(np.r_[rank, rank[:coordinates]], coordinates)  # row s: ranks of s, s+1, ...
         self.salt = _mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX[3])
 
-    def keys(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket keys, and two words of 128 one-bit sketches (a bit of each of the first coordinates)."""
+    def keys(self, shingles: np.ndarray) -> np.ndarray:
+        """Bucket keys."""
         slot = np.unique((_mixed(shingles * _MIX[4]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
         signature = self.shifted[slot[:256]].min(axis=0)
         for at in range(256, len(slot), 256):
             signature = np.minimum(signature, self.shifted[slot[at : at + 256]].min(axis=0))
-        bits = np.packbits((_mixed(signature[:128].astype(np.uint64) * _MIX[0] + np.arange(128, dtype=np.uint64)) & np.uint64(1)).astype(bool))
         key = self.salt.copy()
         for row in signature.reshape(BANDS, ROWS).T.astype(np.uint64):
             key = _mixed(key * _MIX[0] + row)
-        return key.view(np.int64), bits.view(np.int64)
+        return key.view(np.int64)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -102,7 +100,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """_id, _th, n_shingles, set_key (of equal sets equal), bands (keys of the buckets), s1 and s2 (one-bit sketches)."""
+    """_id, _th, n_shingles, set_key (of equal sets equal), bands (keys of the buckets)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,12 +108,11 @@ def sketches(docs: DataFrame) -> DataFrame:
         for b in batches:
             sets = [shingles(t) for t in b["text"].to_pylist()]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            both = [circulant.keys(s) if len(s) else (np.zeros(0, np.int64), np.zeros(2, np.int64)) for s in sets]
-            bits = [pa.array([x[k] for _, x in both], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([b["_id"], b["_th"], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([k for k, _ in both], pa.list_(pa.int64())), *bits], names=[*_KEY, "n_shingles", "set_key", "bands", "s1", "s2"])
+            bands = [circulant.keys(s) if len(s) else np.zeros(0, np.int64) for s in sets]
+            yield pa.RecordBatch.from_arrays([b["_id"], b["_th"], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=[*_KEY, "n_shingles", "set_key", "bands"])
 
     rows = _keyed(docs).select(*_KEY, F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "_id long, _th long, n_shingles long, set_key binary, bands array<long>, s1 long, s2 long")
+    return rows.mapInArrow(run, "_id long, _th long, n_shingles long, set_key binary, bands array<long>")
 
 
 def _confirm(texts: DataFrame):
@@ -146,6 +143,8 @@ def _links_of_block(table: pa.Table) -> pa.Table:
     """Links of the full sets between the two sides of a block pair, as few as join all that is linked."""
     shingles = process_cache("shingler", shingler)
     ids, own, side = (table[c].to_numpy() for c in ("id", "component", "side"))
+    if own.min() == own.max():
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     sets = [shingles(t) for t in table["text"].to_pylist()]
     size = np.array([len(s) for s in sets])
     names, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -181,13 +180,10 @@ def _links_of_block(table: pa.Table) -> pa.Table:
 
 
 def _in_blocks(texts: DataFrame):
-    """Comparison of the members of large buckets: blocks of ``BLOCK`` of them, every two blocks in a task of their own."""
+    """Comparison of two blocks of a bucket at a time, each in a group of its own."""
 
-    def compare(members: DataFrame) -> DataFrame:
-        blocks = F.ceil(F.col("many") / BLOCK)
-        dealt = members.withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
-        rows = dealt.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "id", "side", "component")
-        with_text = rows.join(texts.select(F.col("node").alias("id"), "text"), "id")
+    def compare(blocks: DataFrame) -> DataFrame:
+        with_text = blocks.join(texts.select(F.col("node").alias("id"), "text"), "id")
         return with_text.groupBy("bucket", "lo", "hi").applyInArrow(_links_of_block, "a long, b long")
 
     return compare
@@ -204,8 +200,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
     classes = rows.filter("n_shingles > 0").groupBy("set_key").agg(F.min(key).alias("first"))
     classes = stash(classes.select("set_key", "first._id", "first._th").withColumn("node", F.monotonically_increasing_id()), "classes")
     heads = rows.join(classes, ["set_key", *_KEY]).dropDuplicates(["node"])
-    buckets = heads.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"), F.col("n_shingles").alias("n"), "s1", "s2")
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1").select("bucket")
+    buckets = heads.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"), F.col("n_shingles").alias("n"))
+    shared = stash(buckets.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1").select("bucket"), "shared-buckets")
     members = stash(buckets.join(shared, "bucket", "left_semi"), "buckets")
     ids = stash(classes.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select(*_KEY, "node", F.xxhash64(*_KEY).alias("at")), "candidates")
     known = _keyed(docs).select(*_KEY, "text").withColumn("at", F.xxhash64(*_KEY))

@@ -406,13 +406,14 @@ def test_minhash_keeps_texts_of_one_id_apart(spark):
     assert got == Counter({(1, 1): 1, (None, 1): 1, (None, 9): 1, (9, 9): 1, (None, None): 8, (5, 5): 3, (6, 5): 1, (7, 7): 2})
 
 
-def test_sift_loses_less_than_the_bands():
-    from math import comb
-
-    from panelspark.llm import grouping
-
-    lost = sum(comb(128, k) * 0.875**k * 0.125 ** (128 - k) for k in range(grouping.LEAST_BITS))
-    assert lost + (1 - 0.75**minhash.ROWS) ** minhash.BANDS < 6e-6
+def test_circulant_bands_miss_few_links():
+    """Share of pairs at similarity 0.75 that share no bucket: the figure for independent coordinates is 5.1e-6 a pair."""
+    rng, circulant, missed = np.random.default_rng(4), minhash.Circulant(), 0
+    for _ in range(1500):
+        n = int(rng.integers(20, 400)) * 7
+        both = rng.integers(0, 2**63, n + n // 7, dtype=np.uint64)  # n - n/7 in common of n + n/7: 6/8
+        missed += not set(circulant.keys(both[:n]).tolist()) & set(circulant.keys(both[n // 7 :]).tolist())
+    assert missed == 0
 
 
 def test_minhash_chain_that_no_leader_sees(spark):
@@ -431,11 +432,10 @@ def test_minhash_chain_that_no_leader_sees(spark):
 
 
 def test_minhash_blocks_find_the_same_links(spark, monkeypatch):
-    """With tiny limits every mixed bucket is compared in blocks."""
+    """With tiny blocks every mixed bucket is compared in several."""
     from panelspark.llm import grouping
 
-    monkeypatch.setattr(grouping, "SMALL", 2)
-    monkeypatch.setattr(minhash, "BLOCK", 5)
+    monkeypatch.setattr(grouping.link_buckets, "__defaults__", (5,))
     rng = random.Random(9)
     base = [f"w{k}" for k in range(150)]
     rows = []
@@ -511,12 +511,19 @@ def test_suffix_segments_agree(monkeypatch):
     rng = np.random.default_rng(3)
     text = np.concatenate([rng.integers(97, 101, 3000), np.full(1500, 97), rng.integers(97, 123, 2500)]).astype(np.uint8)
     words = rng.integers(0, 40, 4000).astype(np.uint64)
-    whole = suffix_dedup.anchors(text, suffix_dedup.Rolling(1))
-    of_words = suffix_dedup.anchors(words, suffix_dedup.Rolling(1), suffix_dedup.WORDS)
+    edges = np.array([0, 1500, 2600, 2700, 3990])
+
+    def both():
+        return [*suffix_dedup.anchors(text, edges[:1], np.array([len(text)]), suffix_dedup.Rolling(1)), *suffix_dedup.anchors(words, edges[:-1], edges[1:], suffix_dedup.Rolling(1), suffix_dedup.WORDS)]
+
+    whole = both()
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 700)
-    parts = suffix_dedup.anchors(text, suffix_dedup.Rolling(1))
-    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
-    assert all((a == b).all() for a, b in zip(of_words, suffix_dedup.anchors(words, suffix_dedup.Rolling(1), suffix_dedup.WORDS), strict=True))
+    assert all((a == b).all() for a, b in zip(whole, both(), strict=True))
+    for k in range(4):  # texts of a group are handled as each would be alone
+        own = words[edges[k] : edges[k + 1]]
+        alone = suffix_dedup.anchors(own, edges[:1], np.array([len(own)]), suffix_dedup.Rolling(1), suffix_dedup.WORDS)
+        in_group = (whole[6] >= edges[k]) & (whole[6] < edges[k + 1])
+        assert (whole[4][in_group] == alone[0]).all() and (whole[5][in_group] - edges[k] == alone[1]).all()
 
 
 def test_pipeline_stages_keep_clean_documents(spark, tmp_path):
