@@ -3,8 +3,9 @@
 A spot is a word right after a common word (an anchor); its signature is the anchor and the chain of the next ``CHAIN``
 content words, common words skipped. The set of a text's signatures is its fingerprint: it follows the prose and ignores
 what has no common words, such as navigation. Sets are compared by Jaccard similarity; near duplicates are searched among
-sets of like length only (partitions of set length, each compared with itself and the next), on the rarest signatures of a
-set (enough of them that similar sets must share one), and confirmed on the whole sets.
+sets of like length only (partitions of set length, each compared with itself and the next), on so many first signatures of
+a set that similar sets must share one (in one order for all: by hash, the most frequent ones last), and confirmed on the
+whole sets. Both are rules of the pruned search that lose no link.
 
 Defined cases: null text counts as empty; a text without a spot has one signature, of all its words, or of the text itself
 where it has no word; equal texts have equal fingerprints; texts of any length are used whole; rows that repeat an id
@@ -14,10 +15,12 @@ first; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import let, parallelism, stash
+from panelspark.llm._common import discard, key_filter, let, maybe_among, parallelism, stash
 from panelspark.llm.grouping import link_buckets
 
 CHAIN = 2
@@ -30,6 +33,10 @@ ANCHORS = (
     "el la los las un una unos de del es son y o que en por para con no se su al lo como más pero",
 )
 _LAST = 2**63 - 1
+#: Bytes of text in one range of ids, about; there are at least RANGES ranges for each of Spark's partitions.
+RANGE_BYTES, RANGES = 1 << 24, 8
+#: So many signatures at most are taken as frequent: they come last in the order of the search.
+FREQUENT = 1000
 
 
 def _places(size: Column) -> Column:
@@ -67,21 +74,34 @@ def likeness(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """id (a null one last), text and a hash of it."""
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.withColumn("th", F.xxhash64("text"))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, next_text): the text of the next document in ascending order of id, after the last that of the first.
 
-    Rows are dealt to ranges of ids; a range learns the first row of the next one as a row of its own, at its end. The
-    bounds and the first ids of the ranges (one for each partition) are all that passes through the driver.
+    Rows are dealt to ranges of ids; a range learns the first row of the next one as a row of its own, at its end. An id of
+    very many rows is divided further by the hash of the text. The bounds and the first ids of the ranges (one for each
+    RANGE_BYTES of text, about) are all that passes through the driver.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    parts = parallelism(spark)
-    bounds = sorted({int(b) for b in rows.approxQuantile("id", [k / parts for k in range(1, parts)], 0.25 / parts)}) if parts > 1 else []
-    rows = rows.withColumn("range", _range_of(F.col("id"), bounds))
+    rows = _rows(docs)
+    size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    parts = max(RANGES * parallelism(spark), -(-size // RANGE_BYTES))
+    quantiles = Counter(int(b) for b in rows.approxQuantile("id", [k / parts for k in range(1, parts)], 0.25 / parts))
+    rows = rows.withColumn("range", _range_of(F.col("id"), sorted(quantiles)).cast("long"))
+    wide = [x for x, n in quantiles.items() if n > 2]
+    if wide:
+        bits = max(quantiles.values()).bit_length()
+        cut = F.when(F.col("id").isin(wide), F.shiftright("th", 64 - bits) + (1 << (bits - 1))).otherwise(1 << bits)
+        rows = rows.withColumn("range", F.col("range") * (2 << bits) + cut)
     heads = sorted(rows.groupBy("range").agg(F.min(F.struct("id", "th")).alias("h")).select("range", "h.id", "h.th").collect())
     if not heads:
         return rows.select(F.col("id").alias("doc_id"), "text", F.col("text").alias("next_text"))
-    after = spark.createDataFrame([(r["range"], *heads[(k + 1) % len(heads)][1:]) for k, r in enumerate(heads)], "into int, id long, th long")
+    after = spark.createDataFrame([(r["range"], *heads[(k + 1) % len(heads)][1:]) for k, r in enumerate(heads)], "into long, id long, th long")
     lead = rows.join(F.broadcast(after), ["id", "th"]).select("id", "text", "th", F.col("into").alias("range"), F.lit(True).alias("guest")).dropDuplicates(["range"])
     both = rows.select("id", "text", "th", "range", F.lit(False).alias("guest")).unionByName(lead)
     w = Window.partitionBy("range").orderBy("guest", "id", "th")
@@ -108,30 +128,62 @@ def edited(text: Column, other: Column) -> Column:
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (smallest id that links of at least LEAST_PERCENT reach) for every row of ``docs``.
+    """doc_id, th (hash of the text), class_id (smallest id that links of at least LEAST_PERCENT reach) for every row of ``docs``.
 
     Equal fingerprints are one class from the start; classes are linked within buckets (length partition, signature).
     """
-    rows = stash(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), signatures(F.col("text")).alias("sigs")), "signatures")
-    keyed = rows.withColumn("key", F.sha2(F.array_join("sigs", ","), 256))
-    classes = stash(keyed.groupBy("key").agg(F.min("doc_id").alias("id")), "signature-classes")
-    heads = stash(keyed.join(classes.withColumnRenamed("id", "doc_id"), ["key", "doc_id"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "sigs"), "signature-sets")
-    spread = heads.select("id", F.size("sigs").cast("long").alias("n"), F.explode("sigs").alias("sig"))
-    often = spread.groupBy("sig").agg(F.count("*").alias("df"))
-    ordered = spread.join(often, "sig").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("s"))
-    # Similar sets share one of their first n - ceil(0.75 n) + 1 signatures in any common order; rare ones come first.
+    spark = docs.sparkSession
+    rows = _rows(docs).select(F.col("id").alias("doc_id"), "th", signatures(F.col("text")).alias("sigs"))
+    keyed = stash(rows.withColumn("key", F.sha2(F.array_join("sigs", ","), 256)), "signatures")
+    classes = stash(keyed.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("first")).withColumn("id", F.monotonically_increasing_id()), "signature-classes")
+    first = classes.select("key", "first.doc_id", "first.th", "id")
+    heads = stash(keyed.join(first, ["key", "doc_id", "th"]).dropDuplicates(["id"]).select("id", "sigs"), "signature-sets")
+    spread = heads.select(F.explode("sigs").alias("sig"))
+    often = spread.agg(F.expr(f"approx_top_k(sig, {FREQUENT}, {10 * FREQUENT})").alias("top")).select(F.expr("transform(filter(top, x -> x.count > 1), x -> x.item)").alias("often")).first()["often"] or []
+    # Similar sets share one of their first n - ceil(0.75 n) + 1 signatures in any common order; frequent ones come last.
+    # The list of frequent signatures is short whatever the corpus; another list would change the work, not the result.
+    common = F.array(*(F.lit(x) for x in often)).cast("array<bigint>")
+    ordered = heads.select("id", F.size("sigs").cast("long").alias("n"), F.concat(F.array_except("sigs", common), F.array_intersect("sigs", common)).alias("s"))
     prefix = F.slice("s", F.lit(1), (F.col("n") - F.ceil(F.col("n") * LEAST_PERCENT / 100) + 1).cast("int"))
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / LEAST_PERCENT))).cast("int")
-    members = ordered.select("id", "n", level.alias("level"), F.explode(F.transform(prefix, lambda x: x["sig"])).alias("sig"))
-    members = stash(members.select(F.explode(F.array("level", F.col("level") + 1)).alias("part"), "sig", "id", "n").select(F.xxhash64("part", "sig").alias("bucket"), "id", "n").distinct(), "signature-buckets")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1").select("bucket")
+    each = ordered.select("id", "n", level.alias("level"), F.explode(prefix).alias("sig"))
+    buckets = each.select(F.explode(F.array("level", F.col("level") + 1)).alias("part"), "sig", "id", "n").select(F.xxhash64("part", "sig").alias("bucket"), "id", "n")
+    shared = stash(buckets.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1").select("bucket"), "shared-signatures")
+    members = stash(buckets.join(shared, "bucket", "left_semi").distinct(), "signature-buckets")
+
+    def alike(a: Column, b: Column) -> Column:
+        both = F.size(F.array_intersect(a, b))
+        within = F.least(F.size(a), F.size(b)) * 100 >= F.greatest(F.size(a), F.size(b)) * LEAST_PERCENT
+        return F.when(within, 100 * both >= LEAST_PERCENT * (F.size(a) + F.size(b) - both)).otherwise(False)
 
     def verify(pairs: DataFrame) -> DataFrame:
         a, b = (heads.select(F.col("id").alias(x), F.col("sigs").alias(f"s{x}")) for x in ("a", "b"))
-        common = F.size(F.array_intersect("sa", "sb"))
-        return pairs.join(a, "a").join(b, "b").filter(100 * common >= LEAST_PERCENT * (F.size("sa") + F.size("sb") - common)).select("a", "b")
-
-    found = link_buckets(members.join(shared, "bucket", "left_semi"), verify, LEAST_PERCENT)
-    of_class = classes.join(found, "id", "left").select("key", F.coalesce("component", "id").alias("class_id"))
-    out = keyed.select("doc_id", "key").join(of_class, "key")
-    return out.select(*(F.when(F.col(c) != _LAST, F.col(c)).alias(c) for c in ("doc_id", "class_id")))
+        return pairs.join(a, "a").join(b, "b").filter(alike(F.col("sa"), F.col("sb"))).select("a", "b")
+
+    def compare(blocks: DataFrame) -> DataFrame:
+        """Two blocks of a bucket are one row, so no pair but a link leaves it."""
+        own = F.struct("id", "component", "sigs")
+        two = blocks.join(heads, "id").groupBy("bucket", "lo", "hi").agg(F.collect_list(F.when(F.col("side") == F.col("lo"), own)).alias("xs"), F.collect_list(F.when(F.col("side") == F.col("hi"), own)).alias("ys"))
+        met = lambda x, y: (x["component"] != y["component"]) & ((F.col("lo") < F.col("hi")) | (x["id"] < y["id"])) & alike(x["sigs"], y["sigs"])
+        links = F.flatten(F.transform("xs", lambda x: F.transform(F.filter("ys", lambda y: met(x, y)), lambda y: F.struct(F.least(x["id"], y["id"]).alias("a"), F.greatest(x["id"], y["id"]).alias("b")))))
+        return two.select(F.explode(links).alias("l")).select("l.a", "l.b").distinct()
+
+    found = link_buckets(members, verify, LEAST_PERCENT, compare)
+    linked = classes.join(found, "id").groupBy("component").agg(F.min("first.doc_id").alias("lead"))
+    led = found.join(linked, "component").select("id", "lead")
+    of_class = stash(classes.join(led, "id", "left").select("key", F.coalesce("lead", "first.doc_id").alias("class_id")), "classes")
+    # A fingerprint of very many rows is one row of the right side; the left side of the join is split where it is skewed.
+    out = stash(keyed.select("doc_id", "th", "key").join(of_class, "key").drop("key"), "near-classes")
+    discard(spark, keyed, classes, heads, shared, members, of_class)
+    return out.select(*(F.when(F.col(c) != _LAST, F.col(c)).alias(c) for c in ("doc_id", "class_id")), "th")
+
+
+def add_class(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text, other columns) with class_id from ``near_classes``; only rows that may have company are moved."""
+    led = classes.filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.xxhash64("doc_id", "th").alias("_at"), F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "class_id").distinct()
+    led = stash(led, "led")
+    marked = maybe_among(rows.withColumn("_own", F.xxhash64("text")).withColumn("_key", F.xxhash64("doc_id", "_own")), "_key", key_filter(led, "_at", led.count()))
+    alone = marked.filter(~F.col("_maybe")).withColumn("class_id", F.col("doc_id"))
+    met = marked.filter("_maybe").join(led, (F.col("_key") == F.col("_at")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")), "left")
+    met = met.withColumn("class_id", F.when(F.col("_at").isNull(), F.col("doc_id")).otherwise(F.col("class_id")))
+    return alone.select(*rows.columns, "class_id").unionByName(met.select(*rows.columns, "class_id"))
