@@ -10,7 +10,7 @@ log(1 + 100 * count / words), over the whole text.
 
 Defined cases: null or empty text has no features and is never rejected; a model without toxic or without clean labelled
 rows rejects nothing (severity 0); duplicate labels of a row count once, toxic if any says so; null labels and labels of
-unknown rows are ignored; repeated rows get equal scores; other columns pass through ``keep_clean`` unchanged.
+unknown rows are ignored; repeated rows get equal scores; of equally likely grades the lower one is reported; other columns pass through ``keep_clean`` unchanged.
 """
 
 from __future__ import annotations
@@ -32,9 +32,9 @@ from panelspark.llm._common import small_batches
 FEATURE_BITS = 20
 #: Labelled rows that a model is fitted on at most (those with the smallest hash of their id).
 MAX_FIT_ROWS = 8000
-#: A feature counts from so many rows of the sample on, and if its log-odds are so many standard errors from zero (the
-#: second number where the sample has under 500 rows).
-MIN_ROWS, MIN_Z, SMALL_Z = 5, 4.0, 2.5
+#: A feature counts from so many rows of the sample on, and if its log-odds are sqrt(2 ln n) standard errors from zero, as
+#: far as the largest of n noise features is expected to lie (n: rows of the sample).
+MIN_ROWS = 5
 REJECT = 0.5
 #: Lengths of the word beginnings.
 PREFIXES = (4, 5, 6, 7)
@@ -148,7 +148,7 @@ def _fit(row: np.ndarray, key: np.ndarray, value: np.ndarray, toxic: np.ndarray)
     df_toxic = np.bincount(key[toxic[row] == 1], minlength=space)
     odds = np.log((df_toxic + 0.5) / (n_toxic + 1)) - np.log((df - df_toxic + 0.5) / (n - n_toxic + 1))
     error = np.sqrt(1 / (df_toxic + 0.5) + 1 / (df - df_toxic + 0.5))
-    known = (df >= min(MIN_ROWS, n_toxic)) & (np.abs(odds) >= (MIN_Z if n >= 500 else SMALL_Z) * error)
+    known = (df >= min(MIN_ROWS, n_toxic)) & (np.abs(odds) >= np.sqrt(2 * np.log(n)) * error)
     use = known[key]
     row, key, value = row[use], key[use], value[use]
     # Severity of the toxic rows: the share of their words that are toxic terms.
