@@ -3,7 +3,7 @@
 Documents become token pieces of at most ``capacity``. Pieces are dealt to partitions; each is packed by best-fit
 decreasing, and dual-feasible functions give a lower bound of its bins. A partition whose bins equal the bound is certified.
 The others have a gap: the pieces of their bins that are not full are exchanged, i.e. dealt anew among fewer partitions by
-another hash, bounded and packed again, until one partition holds what is left or the rounds are over.
+another hash, bounded and packed again, as long as that saves bins, or until one partition holds what is left.
 
 Defined cases: a null text counts as empty and is one piece with the closing id 0 alone; texts of any length are cut into
 whole pieces and a last shorter one; repeated rows are packed as often as they occur; an empty table gives no piece.
@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import process_cache, small_batches, stash
+from panelspark.llm._common import discard, process_cache, small_batches, stash
 
 CAPACITY = 2048
 #: Pieces of one partition of a packing round, about.
 PARTITION_PIECES = 100_000
-#: Rounds of exchange after the first packing, and the factor by which partitions get fewer.
-ROUNDS, SHRINK = 3, 8
+#: The factor by which partitions get fewer in an exchange, where what is left allows it.
+SHRINK = 8
 CACHE_WORDS = 300_000
 
 #: Texts of only these characters are cut into words by WORDS, the tokenizer's own rule for them, and words are looked up.
@@ -159,21 +159,25 @@ def _pack_partition(capacity: int, turn: int):
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with sequence_id, offset (gapless from 0) and certified (its partition's bins equal their lower bound)."""
     spark = pieces.sparkSession
-    left, done = pieces, None
+    left, done, held, before, turn = pieces, None, None, None, 0
     count = left.count()
     parts = max(1, -(-count // PARTITION_PIECES))
-    for turn in range(1 + ROUNDS):
+    while True:
         dealt = left.withColumn("part", F.pmod(F.xxhash64(F.lit(turn), "doc_id", "piece"), F.lit(parts)).cast("int"))
         packed = stash(dealt.groupBy("part").applyInArrow(_pack_partition(capacity, turn), PACKED), "packing")
-        last = parts == 1 or turn == ROUNDS
-        final = packed if last else packed.filter("certified or full_bin")
-        done = final if done is None else done.unionByName(final)
-        if last:
+        bins = packed.agg(F.countDistinct("sequence_id").alias("n")).first()["n"]
+        if before is not None and bins >= before:  # this exchange saved nothing: what it was to improve stays
+            done = held if done is None else done.unionByName(held)
+            discard(spark, packed)
             break
-        left = packed.filter("not certified and not full_bin").select(*pieces.columns)
-        count = left.count()
-        if not count:
+        gap = F.lit(False) if parts == 1 else ~F.col("certified") & ~F.col("full_bin")
+        final = packed.filter(~gap)
+        done = final if done is None else done.unionByName(final)
+        held = packed.filter(gap)
+        rest = held.agg(F.count("*").alias("n"), F.countDistinct("sequence_id").alias("bins")).first()
+        if not rest["n"]:
             break
+        left, count, before, turn = held.select(*pieces.columns), rest["n"], rest["bins"], turn + 1
         parts = max(1, -(-count // PARTITION_PIECES), parts // SHRINK if count <= PARTITION_PIECES * (parts // SHRINK) * 2 else parts // 2)
     return done.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
 
