@@ -6,8 +6,9 @@ over all bits, each bit weighted by its accuracy on the sample, is chosen; a sma
 row as ambiguous.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0; rows without a language train nothing; with
-no training row all are ``und``; with one language all others are that one; repeated rows get equal answers; the
-prediction reads only the text.
+no training row all are ``und``; with one language all others are that one; repeated rows get equal answers; of equally near
+codewords that of the first language by name is taken, and the row is ambiguous; a null id stays null; an empty table gives
+no row; other columns are ignored; the prediction reads only the text.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k, n = np.unique(ngrams(t), return_counts=True)
             keys.append(k.astype(np.int32))
             values.append((n / max(n.sum(), 1)).astype(np.float32))
-        yield pa.RecordBatch.from_arrays([b["lang"], pa.array(keys, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], names=["lang", "keys", "values"])
+        yield pa.RecordBatch.from_arrays([b["h"], b["lang"], pa.array(keys, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], names=["h", "lang", "keys", "values"])
 
 
 @dataclass
@@ -136,37 +137,54 @@ def fit_languages(rows: DataFrame, max_rows: int = MAX_FIT_ROWS) -> LanguageMode
     pick = F.lit(False)
     for x in langs:
         pick = pick | ((F.col("lang") == x) & (place < int(1_000_000 * min(1.0, max_rows / counts[x])) + 1))
-    t = rows.filter(pick).select("lang", "text").mapInArrow(_count_rows, "lang string, keys array<int>, values array<float>").toArrow()
+    t = rows.filter(pick).select("h", "lang", "text").mapInArrow(_count_rows, "h long, lang string, keys array<int>, values array<float>").toArrow().sort_by("h")
     code = codewords(len(langs))
     if len(langs) < 2 or not t.num_rows:
         return LanguageModel(langs, code, np.zeros((1 << SPACE_BITS, 0), np.float32), np.zeros(0), np.zeros(0))
     keys, values = t["keys"].combine_chunks(), t["values"].combine_chunks()
-    row = np.repeat(np.arange(t.num_rows), np.asarray(keys.value_lengths()))
-    col, val = np.asarray(keys.flatten()), np.asarray(values.flatten(), np.float64)
+    ends = np.r_[0, np.cumsum(np.asarray(keys.value_lengths()))]
+    col, val = np.asarray(keys.flatten()), np.asarray(values.flatten())
     where = {x: i for i, x in enumerate(langs)}
     y = np.array([where[x] for x in t["lang"].to_pylist()])
-    return LanguageModel(langs, code, *_fit_bits(row, col, val, code[y].astype(np.float64), t.num_rows))
-
-
-def _fit_bits(row: np.ndarray, col: np.ndarray, val: np.ndarray, target: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One logistic classifier for each bit (full-batch Adam, L2): weights, bias, and the weight of each bit in decoding."""
-    space, bits = 1 << SPACE_BITS, target.shape[1]
-    scale = 1 / np.sqrt(np.bincount(col, val**2, minlength=space) / n + 1e-8)  # rare n-grams count as much as frequent ones
-    scale = np.minimum(scale, 1e3)
-    val = val * scale[col]
-    w, bias, errors = np.zeros((space, bits)), np.zeros(bits), np.zeros(bits)
-    for j in range(bits):
-        y, v, b = target[:, j], np.zeros(space), 0.0
-        m1, m2 = np.zeros(space + 1), np.zeros(space + 1)
-        for step in range(1, 61):
-            f = np.bincount(row, val * v[col], minlength=n) + b
-            d = -y / (1 + np.exp(np.clip(y * f, -40, 40))) / n
-            g = np.r_[np.bincount(col, val * d[row], minlength=space) + 1e-4 * v, d.sum()]
-            m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
-            move = 0.05 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
-            v, b = v - move[:-1], b - move[-1]
-        f = np.bincount(row, val * v[col], minlength=n) + b
-        w[:, j], bias[j] = v * scale, b
-        errors[j] = ((y * f <= 0).sum() + 0.5) / (n + 1)
+    return LanguageModel(langs, code, *_fit_bits(ends, col, val, code[y].astype(np.float32)))
+
+
+#: Rows of a training batch, passes over the sample, and the first step.
+BATCH, PASSES, STEP = 256, 12, 0.05
+
+
+def _fit_bits(ends: np.ndarray, col: np.ndarray, val: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A logistic classifier for each bit, all as one matrix (Adam over batches, L2): weights, bias, weight of each bit in decoding.
+
+    ``ends`` are the borders of the rows in ``col`` and ``val``; one batch at a time is a dense matrix, so memory is bounded.
+    """
+    space, (n, bits) = 1 << SPACE_BITS, target.shape
+    scale = 1 / np.sqrt(np.bincount(col, val.astype(np.float64) ** 2, minlength=space) / n + 1e-8)  # rare n-grams count as much as frequent ones
+    scale = np.minimum(scale, 1e3).astype(np.float32)
+
+    def batch(rows: np.ndarray) -> np.ndarray:
+        x = np.zeros((len(rows), space + 1), np.float32)
+        for k, r in enumerate(rows.tolist()):
+            own = col[ends[r] : ends[r + 1]]
+            x[k, own] = val[ends[r] : ends[r + 1]] * scale[own]
+        x[:, space] = 1  # bias
+        return x
+
+    w = np.zeros((space + 1, bits), np.float32)
+    m1, m2, step, rng = np.zeros_like(w), np.zeros_like(w), 0, np.random.default_rng(11)
+    for turn in range(PASSES):
+        order = rng.permutation(n)
+        for at in range(0, n, BATCH):
+            rows = order[at : at + BATCH]
+            x, y = batch(rows), target[rows]
+            d = -y / (1 + np.exp(np.clip(y * (x @ w), -40, 40))) / len(rows)
+            g = x.T @ d
+            g[:space] += 1e-4 * w[:space]
+            step += 1
+            m1 = 0.9 * m1 + 0.1 * g
+            m2 = 0.99 * m2 + 0.01 * g * g
+            w -= STEP * (1 - turn / PASSES) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
+    wrong = sum((target[rows] * (batch(rows) @ w) <= 0).sum(axis=0) for rows in np.array_split(np.arange(n), -(-n // BATCH)))
+    errors = (wrong + 0.5) / (n + 1)
     weight = np.maximum(np.log((1 - errors) / errors), 0.01)
-    return w.astype(np.float32), bias, weight / weight.sum() * bits
+    return w[:space] * scale[:, None], w[space].astype(np.float64), weight / weight.sum() * bits
