@@ -3,16 +3,17 @@
 The distinct words of a batch (a run of spaces and what follows it; no piece crosses such a border) lie as flat numpy
 symbol arrays. Each round looks up the rank of every adjacent pair, takes the smallest rank of each word by a segmented
 minimum, merges the leftmost such pair of every word at once (all its non-overlapping occurrences where no merge with the
-new symbol can outrank it) and compacts the arrays, until no word has a pair left. Characters outside the vocabulary
-become byte pieces. Ids equal those of the sentencepiece library, without begin and end ids.
+new symbol can outrank it) and compacts the arrays, until no word has a pair left. In the same round every pair is merged
+that no better pair is near: a piece has at most ``longest`` characters, so what happens farther away cannot reach it before
+its turn. So the number of rounds does not grow with the length of a word. Characters outside the vocabulary become byte
+pieces. Ids equal those of the sentencepiece library, without begin and end ids.
 
-Defined cases: null counts as empty; empty text has no ids; texts of any length and words of any length are encoded whole
-(very long words by a heap, with the same order of merges); decoding of invalid bytes gives U+FFFD for each.
+Defined cases: null counts as empty; empty text has no ids; texts of any length and words of any length are encoded whole,
+by the same rounds; repeated rows get equal ids; an empty table gives no row; decoding of invalid bytes gives U+FFFD for each.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 
@@ -26,11 +27,27 @@ from panelspark.llm._common import process_cache, small_batches
 SPACE = "▁"  # stands for a space in pieces
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 NONE = np.iinfo(np.int32).max
-#: Words of more symbols are merged by a heap: rounds cost a word's length times its merges.
-LONG_WORD = 512
+LAST = np.iinfo(np.int64).max
 CACHE_WORDS = 300_000
 
 
+def _every_other(at: np.ndarray) -> np.ndarray:
+    """Of rows of adjacent places the first, third, ... of each."""
+    start = np.r_[True, np.diff(at) != 1][: len(at)]
+    return (np.arange(len(at)) - np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))) % 2 == 0
+
+
+def _least(key: np.ndarray, before: int, after: int) -> np.ndarray:
+    """The smallest key from ``before`` places before to ``after`` places after each."""
+    span, width = before + after + 1, 1
+    now = np.full(len(key) + span - 1, LAST, key.dtype)
+    now[before : before + len(key)] = key
+    while 2 * width <= span:
+        now = np.minimum(now[:-width], now[width:])
+        width *= 2
+    return np.minimum(now[: len(key)], now[span - width : span - width + len(key)])
+
+
 class PieceCodec:
     """Tables of a SentencePiece BPE model with identity normalisation, dummy prefix and byte fallback."""
 
@@ -73,7 +90,7 @@ class PieceCodec:
             safe[part[(self.rank <= own[part]) & (own[part] >= 0)]] = False
         self.safe = safe
         self.starts_with_space = [p.startswith(SPACE) for p in text]
-        self.table: dict[int, tuple[int, int]] | None = None  # for very long words only
+        self.longest = max(map(len, symbol))
         self.bytes_of = [b"" if sp.is_control(i) else bytes([int(p[3:5], 16)]) if sp.is_byte(i) else " ⁇ ".encode() if sp.is_unknown(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(text)]
         self.size_of = np.array([len(x) for x in self.bytes_of])
         self.start_of = np.r_[0, np.cumsum(self.size_of)[:-1]]
@@ -88,80 +105,49 @@ class PieceCodec:
     def _merge_rounds(self, sym: np.ndarray, pos: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols, the position of the first character of each, and their words, after the last merge."""
         done: list[tuple[np.ndarray, ...]] = []
+        born = np.zeros(len(sym), np.int64)  # a pair's turn is its rank, but never before its symbols are made
         while len(sym):
             rank, made = self._look_up(sym[:-1], sym[1:])
-            rank = np.r_[np.where(word[:-1] == word[1:], rank, NONE), NONE].astype(np.int32)
+            rank = np.r_[np.where(word[:-1] == word[1:], rank, NONE), NONE].astype(np.int64)
+            made = np.r_[made, 0][: len(rank)]
+            turn = np.maximum(np.maximum(rank, born), np.r_[born[1:], 0])
+            key = np.where(rank == NONE, LAST, (turn << 32) | rank)
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            best = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.r_[first, len(sym)]))
-            over = best == NONE
+            best = np.repeat(np.minimum.reduceat(key, first), np.diff(np.r_[first, len(sym)]))
+            over = best == LAST
             if over.any():
                 done.append((sym[over], pos[over], word[over]))
                 keep = ~over
-                sym, pos, word, rank, best, made = sym[keep], pos[keep], word[keep], rank[keep], best[keep], np.r_[made, 0][keep][: keep.sum()]
+                sym, pos, word, born, turn, key, best, made = (x[keep] for x in (sym, pos, word, born, turn, key, best, made))
                 if not len(sym):
                     break
-            hit = rank == best
-            at = np.flatnonzero(hit)
+            at = np.flatnonzero(key == best)
             lead = np.r_[True, word[at][1:] != word[at][:-1]]  # the leftmost of each word
-            start = np.r_[True, np.diff(at) != 1]  # of a row of adjacent hits every other one is taken
-            nth = np.arange(len(at)) - np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
-            into = made[at]
-            at, into = (x[lead | (self.safe[into] & (nth % 2 == 0))] for x in (at, into))
-            sym[at] = into
+            take = at[lead | (self.safe[made[at]] & _every_other(at))]
+            # What is best as far as a piece reaches: all of equal ones where the merge is safe (but not where their row begins
+            # farther left than that), else the leftmost.
+            near = (key == _least(key, self.longest, self.longest)) & (key != LAST)
+            at = np.flatnonzero(near & self.safe[made])
+            start = np.r_[True, np.diff(at) != 1][: len(at)]
+            begins = (at == 0) | (key[at - 1] != key[at])
+            at = at[_every_other(at) & begins[np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))]]
+            alone = np.flatnonzero(near & (np.r_[LAST, _least(key, self.longest, 0)[:-1]] > key))
+            at = np.union1d(np.union1d(take, at), alone)
+            sym[at], born[at] = made[at], turn[at]
             keep = np.ones(len(sym), bool)
             keep[at + 1] = False
-            sym, pos, word = sym[keep], pos[keep], word[keep]
+            sym, pos, word, born = sym[keep], pos[keep], word[keep], born[keep]
         if not done:
             return sym, pos, word
         sym, pos, word = (np.concatenate(x) for x in zip(*done, strict=True))
         order = np.lexsort((pos, word))
         return sym[order], pos[order], word[order]
 
-    def _merge_long(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The same merges for one word, by a heap: best rank first, then leftmost. Symbols and their first positions."""
-        cur, n = sym.tolist(), len(sym)
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        if self.table is None:
-            self.table = dict(zip(self.pair.tolist(), zip(self.rank.tolist(), self.made.tolist(), strict=True), strict=True))
-        table = self.table
-        heap: list[tuple[int, int, int, int, int]] = []
-
-        def push(i: int, j: int) -> None:
-            if i >= 0 and j < n and cur[i] >= 0 and cur[j] >= 0 and (got := table.get(cur[i] * self.wide + cur[j])):
-                heapq.heappush(heap, (got[0], i, j, got[1], cur[i] * self.wide + cur[j]))
-
-        for i in range(n - 1):
-            push(i, i + 1)
-        gone = [False] * n
-        while heap:
-            _, i, j, made, key = heapq.heappop(heap)
-            if gone[i] or gone[j] or nxt[i] != j or cur[i] * self.wide + cur[j] != key:
-                continue
-            cur[i], gone[j] = made, True
-            nxt[i] = nxt[j]
-            if nxt[i] < n:
-                prv[nxt[i]] = i
-            push(prv[i], i)
-            push(i, nxt[i])
-        left = [i for i in range(n) if not gone[i]]
-        return np.array([cur[i] for i in left], np.int32), np.array(left, np.int64)
-
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids (little-endian 32-bit) of each word, whose spaces are already SPACE."""
         size = np.array([len(w) for w in words], np.int64)
         code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        begin = np.r_[0, np.cumsum(size)]
-        long = np.flatnonzero(size > LONG_WORD)
-        word = np.repeat(np.arange(len(words)), size)
-        pos = np.arange(len(code))
-        short = ~np.isin(word, long) if len(long) else np.ones(len(code), bool)
-        parts = [self._merge_rounds(self.of_char[code[short]], pos[short], word[short])]
-        for k in long.tolist():
-            sym, at = self._merge_long(self.of_char[code[begin[k] : begin[k + 1]]])
-            parts.append((sym, at + begin[k], np.full(len(sym), k)))
-        sym, pos, word = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((pos, word))
-        sym, pos, word = sym[order], pos[order], word[order]
+        sym, pos, word = self._merge_rounds(self.of_char[code], np.arange(len(code)), np.repeat(np.arange(len(words)), size))
         ids, owner = sym, word
         alone = (sym < 0) | (sym >= self.size)
         if alone.any():
