@@ -1,6 +1,8 @@
 """Exact dedup with a log-structured merge index over text digests.
 
-Memtables collapse the digests of a task's rows and flush sorted runs, each with a Bloom filter, cut by digest shard.
+Memtables collapse the digests of a task's rows and flush sorted runs, each with a Bloom filter, cut by digest shard. A
+large index has levels: a level cuts by ``RADIX`` shards only, merges the runs of a shard that so many tasks flushed, and
+cuts them again for the next level, so runs stay long and their number grows with the rows alone.
 Compaction merges the runs of a shard in tiers of ``FANOUT``: rows that no other run's filter claims pass through, the
 rest are merged, and of equal digests the best row (longest original text, then smallest id) stays. Every hit is then
 verified: its normalised bytes are compared with those of the row that stays; should two texts share a digest, the rows
@@ -16,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,12 +30,14 @@ MEMTABLE_ROWS = 1 << 17
 SHARD_ROWS = 400_000
 #: Runs merged at a time.
 FANOUT = 8
+#: Shards that a level of the index is cut into, and tasks whose runs one group of the level merges.
+RADIX = 64
 #: Bits of a filter for each digest, and bits set for each.
 FILTER_BITS_PER_KEY, FILTER_PROBES = 12, 4
 NO_ID = np.iinfo(np.int64).max
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
-RUN_SCHEMA = "shard int, digests binary, ids binary, chars binary, copies binary, filter binary"
+RUN_SCHEMA = "shard long, task long, digests binary, ids binary, chars binary, copies binary, filter binary"
 INDEX_SCHEMA = "digest binary, keep_id long, group_size long"
 
 
@@ -85,24 +90,30 @@ def collapse(digests: np.ndarray, ids: np.ndarray, chars: np.ndarray, copies: np
     return digests[first], ids[first], chars[first], np.add.reduceat(copies, first)
 
 
-def flush_memtables(shards: int, width: int):
-    """For mapInArrow: rows (shard, digest, doc_id, chars) in, one row for each sorted run and shard out."""
+def _cut(cols: tuple[np.ndarray, ...], task: int, shards: int, total: int) -> pa.RecordBatch:
+    """Rows of RUN_SCHEMA: the sorted run cut into ``shards`` of ``total`` digest classes."""
+    shard = (_words(cols[0])[:, 0] % np.uint64(total)).astype(np.int64) * shards // total
+    out: dict[str, list] = {k: [] for k in ("shard", "task", "digests", "ids", "chars", "copies", "filter")}
+    order = np.argsort(shard, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
+        part = [c[own] for c in cols]
+        for name, x in zip(("digests", "ids", "chars", "copies"), part, strict=True):
+            out[name].append(x.tobytes())
+        out["filter"].append(RunFilter.of(part[0]).bits.tobytes())
+        out["shard"].append(int(shard[own[0]]))
+        out["task"].append(task)
+    return pa.RecordBatch.from_arrays([pa.array(out["shard"], pa.int64()), pa.array(out["task"], pa.int64()), *(pa.array(out[k], pa.binary()) for k in list(out)[2:])], names=list(out))
+
+
+def flush_memtables(shards: int, total: int, width: int):
+    """For mapInArrow: rows (digest, doc_id, chars) in, one row for each sorted run and shard out."""
 
     def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held)
-        shard = t["shard"].to_numpy()
         digests = np.frombuffer(b"".join(t["digest"].to_pylist()), f"S{width}")
         ids = t["doc_id"].fill_null(NO_ID).to_numpy()
-        chars = t["chars"].to_numpy().astype(np.int64)
-        out: dict[str, list] = {k: [] for k in ("shard", "digests", "ids", "chars", "copies", "filter")}
-        for k in np.unique(shard):
-            own = shard == k
-            d, i, c, n = collapse(digests[own], ids[own], chars[own], np.ones(int(own.sum()), np.int64))
-            for name, x in zip(("digests", "ids", "chars", "copies"), (d, i, c, n), strict=True):
-                out[name].append(x.tobytes())
-            out["filter"].append(RunFilter.of(d).bits.tobytes())
-            out["shard"].append(int(k))
-        return pa.RecordBatch.from_arrays([pa.array(out["shard"], pa.int32()), *(pa.array(out[k], pa.binary()) for k in list(out)[1:])], names=list(out))
+        cols = collapse(digests, ids, t["chars"].to_numpy().astype(np.int64), np.ones(len(ids), np.int64))
+        return _cut(cols, TaskContext.get().partitionId(), shards, total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -138,17 +149,22 @@ def merge_runs(runs: list[tuple[tuple[np.ndarray, ...], RunFilter]]) -> tuple[tu
     return cols, RunFilter.of(cols[0])
 
 
+def _merged(table: pa.Table, width: int) -> tuple[np.ndarray, ...]:
+    """One run of all runs of a group: tiers of runs become one; smallest identifiers stay."""
+    runs = []
+    for row in table.to_pylist():
+        cols = (np.frombuffer(row["digests"], f"S{width}"), *(np.frombuffer(row[k], np.int64) for k in ("ids", "chars", "copies")))
+        runs.append((cols, RunFilter(np.frombuffer(row["filter"], np.uint8))))
+    while len(runs) > 1:
+        runs = [merge_runs(runs[k : k + FANOUT]) if len(runs[k : k + FANOUT]) > 1 else runs[k] for k in range(0, len(runs), FANOUT)]
+    return runs[0][0]
+
+
 def compact(width: int):
-    """For applyInArrow over a shard: tiers of runs become one; smallest identifiers stay."""
+    """For applyInArrow over a shard of the last level: its part of the index."""
 
     def run(table: pa.Table) -> pa.Table:
-        runs = []
-        for row in table.to_pylist():
-            cols = (np.frombuffer(row["digests"], f"S{width}"), *(np.frombuffer(row[k], np.int64) for k in ("ids", "chars", "copies")))
-            runs.append((cols, RunFilter(np.frombuffer(row["filter"], np.uint8))))
-        while len(runs) > 1:
-            runs = [merge_runs(runs[k : k + FANOUT]) if len(runs[k : k + FANOUT]) > 1 else runs[k] for k in range(0, len(runs), FANOUT)]
-        (digests, ids, _, copies), _ = runs[0]
+        digests, ids, _, copies = _merged(table, width)
         raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(digests), [None, pa.py_buffer(np.ascontiguousarray(digests).tobytes())])
         keep = pa.array(ids, mask=ids == NO_ID)
         return pa.table({"digest": raw.cast(pa.binary()), "keep_id": keep, "group_size": pa.array(copies)})
@@ -156,6 +172,15 @@ def compact(width: int):
     return run
 
 
+def descend(shards: int, total: int, width: int):
+    """For applyInArrow over the runs that RADIX tasks flushed for a shard: one run, cut for the next level."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_cut(_merged(table, width), table["task"][0].as_py() // RADIX, shards, total)])
+
+    return run
+
+
 def _normalised(docs: DataFrame) -> DataFrame:
     """doc_id, chars (code points of the original text), norm."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -169,10 +194,14 @@ def digest_entries(docs: DataFrame) -> DataFrame:
 
 def lsm_index(entries: DataFrame, digest_bytes: int = 32) -> DataFrame:
     """(digest, keep_id, group_size) of all entries; a digest that many rows share leaves each task as one row."""
-    spark = entries.sparkSession
-    shards = max(parallelism(spark), -(-entries.count() // SHARD_ROWS))
-    keyed = entries.select(F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int").alias("shard"), "digest", "doc_id", "chars")
-    runs = keyed.mapInArrow(flush_memtables(shards, digest_bytes), RUN_SCHEMA)
+    total = max(parallelism(entries.sparkSession), -(-entries.count() // SHARD_ROWS))
+    steps = [total]  # shards of each level, the last first
+    while steps[-1] > RADIX:
+        steps.append(-(-steps[-1] // RADIX))
+    first, *deeper = reversed(steps)
+    runs = entries.select("digest", "doc_id", "chars").mapInArrow(flush_memtables(first, total, digest_bytes), RUN_SCHEMA)
+    for shards in deeper:
+        runs = runs.groupBy("shard", F.expr(f"task div {RADIX}")).applyInArrow(descend(shards, total, digest_bytes), RUN_SCHEMA)
     return runs.groupBy("shard").applyInArrow(compact(digest_bytes), INDEX_SCHEMA)
 
 

@@ -72,6 +72,18 @@ def test_exact_dedup(docs, empty, rows, digest_bytes):
     assert ed.exact_dedup(empty, digest_bytes).count() == 0
 
 
+def test_exact_dedup_by_levels(spark, monkeypatch):
+    """An index of several levels gives what one of a single level gives."""
+    monkeypatch.setattr(ed, "SHARD_ROWS", 20)
+    rng = random.Random(6)
+    rows = [(k, f"text {rng.randrange(300)}" + " " * rng.randrange(3)) for k in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    one = sorted(ed.exact_dedup(docs).collect())
+    monkeypatch.setattr(ed, "RADIX", 3)
+    assert sorted(ed.exact_dedup(docs).collect()) == one
+    assert {r["keep_id"] for r in one if r["kept"]} == {r["doc_id"] for r in one if r["kept"]} and len({r["text_sha256"] for r in one}) == sum(r["kept"] for r in one)
+
+
 def test_run_filters_have_no_false_negatives():
     rng = np.random.default_rng(1)
     digests = np.unique(np.frombuffer(rng.bytes(32 * 500), "S32"))
