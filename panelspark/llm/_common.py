@@ -112,14 +112,20 @@ HOT_SHARE = 1000
 
 
 def meeting(rows: DataFrame, keys: list[str], counts: DataFrame, total: int, how: str = "inner") -> DataFrame:
-    """``rows`` joined (inner, left, left_semi) with ``counts`` (keys, n, other columns), without n. Hot keys, at most HOT_SHARE
-    of them, meet their rows by a broadcast, so that no task gets all rows of one; the others by a shuffle. ``total`` is the
-    sum of all n, or more. ``rows`` and ``counts`` are read more than once: they should be work tables."""
-    hot = F.broadcast(counts.filter(F.col("n") * HOT_SHARE > total).drop("n").withColumn("_hot", F.lit(True)))
-    marked = rows.join(hot, keys, "left")
-    near, rest = marked.filter("_hot"), marked.filter("_hot is null").select(*rows.columns)
-    cold = counts.filter(F.col("n") * HOT_SHARE <= total).drop("n")
-    return near.select(*(rows.columns if how == "left_semi" else near.drop("_hot").columns)).unionByName(rest.join(cold, keys, how))
+    """``rows`` joined (inner, left, left_semi) with ``counts`` (keys, n, other columns), without n.
+
+    Hot keys, at most HOT_SHARE of them, meet their rows by a broadcast; the others by a shuffle, in which the rows of hot keys
+    are spread over all tasks. ``total`` is the sum of all n, or more. ``counts`` is read twice: it should be a work table.
+    """
+    more = [c for c in counts.columns if c not in (*keys, "n")]
+    hot = counts.filter(F.col("n") * HOT_SHARE > total).select(*keys, *(F.col(c).alias(f"_hot_{c}") for c in more), F.lit(True).alias("_hot"))
+    cold = counts.filter(F.col("n") * HOT_SHARE <= total).select(*keys, *(F.col(c).alias(f"_cold_{c}") for c in more), F.lit(True).alias("_cold"), F.lit(0).alias("_salt"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    salt = F.when(F.col("_hot").isNull(), 0).otherwise(1 + F.pmod(F.hash(*rows.columns), F.lit(1 << 20)))
+    met = marked.withColumn("_salt", salt).join(cold, [*keys, "_salt"], "left")
+    if how != "left":
+        met = met.filter(F.coalesce("_hot", "_cold"))
+    return met.select(*rows.columns, *(F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in (more if how != "left_semi" else [])))
 
 
 def having_key(rows: DataFrame, key: str, counts: DataFrame, total: int) -> DataFrame:

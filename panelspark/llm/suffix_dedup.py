@@ -325,35 +325,43 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[new], end[np.r_[np.flatnonzero(new)[1:] - 1, len(end) - 1]]
 
 
-def _runs(own: list[dict] | None, unit: Unit) -> list[tuple[int, int]]:
-    of_unit = [x for x in own or () if x["unit"] == unit.number]
-    if not of_unit:
-        return []
-    lo, hi = merged(np.array([x["start"] for x in of_unit]), np.array([x["end"] for x in of_unit]))
-    return list(zip(lo.tolist(), hi.tolist(), strict=True))
+#: Places of the texts of a batch are told apart by this many bits.
+_PLACE_BITS = 40
+
+
+def _runs(owner: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of the ranges of ``n`` texts: where those of each text begin (n + 1 borders), their starts and ends."""
+    if not len(start):
+        return np.zeros(n + 1, np.int64), start, end
+    base = owner << _PLACE_BITS
+    lo, hi = merged(base + start, base + end)
+    text = lo >> _PLACE_BITS
+    return np.searchsorted(text, np.arange(n + 1)), lo - (text << _PLACE_BITS), hi - (text << _PLACE_BITS)
 
 
 _RANGES = "array<struct<start:bigint,end:bigint>>"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    listed = lambda runs: pa.array([[{"start": lo, "end": hi} for lo, hi in r] for r in runs], kind)
+    def listed(borders: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.StructArray.from_arrays([pa.array(lo), pa.array(hi)], ["start", "end"]))
+
     for b in batches:
-        sizes, gone, spans, kept, passages = [], [], [], [], []
-        for text, own in zip(b["text"].to_pylist(), b["spans"].to_pylist(), strict=True):
-            raw = text.encode()
-            runs = _runs(own, BYTES)
-            left, at = [], 0
-            for lo, hi in runs:
-                left.append(raw[at:lo])
-                at = hi
+        n, many = b.num_rows, np.asarray(b["spans"].value_lengths().fill_null(0))
+        child, owner = b["spans"].flatten(), np.repeat(np.arange(n), many)
+        unit, start, end = (np.asarray(child.field(k)).astype(np.int64) for k in ("unit", "start", "end"))
+        spans, passages = (_runs(owner[unit == u.number], start[unit == u.number], end[unit == u.number], n) for u in (BYTES, WORDS))
+        sizes, kept = [], []
+        borders, lo, hi = (x.tolist() for x in spans)
+        for k, text in enumerate(b["text"].to_pylist()):
+            raw, left, at = text.encode(), [], 0
+            for r in range(borders[k], borders[k + 1]):
+                left.append(raw[at : lo[r]])
+                at = hi[r]
             kept.append(b"".join([*left, raw[at:]]))
             sizes.append(len(raw))
-            gone.append(len(raw) - len(kept[-1]))
-            spans.append(runs)
-            passages.append(_runs(own, WORDS))
-        yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), listed(spans), pa.array(kept, pa.binary()), listed(passages)], names=["doc_id", "n_bytes", "n_removed", "spans", "kept", "passages"])
+        gone = np.array(sizes, np.int64) - np.array([len(x) for x in kept], np.int64)
+        yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(sizes, pa.int64()), pa.array(gone), listed(*spans), pa.array(kept, pa.binary()), listed(*passages)], names=["doc_id", "n_bytes", "n_removed", "spans", "kept", "passages"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
