@@ -15,7 +15,7 @@ from panelspark.llm.line_dedup import line_report
 from panelspark.llm.minhash import near_duplicates
 from panelspark.llm.packing import pack_documents
 from panelspark.llm.pieces import decode, encode
-from panelspark.llm.secret_scan import scan_secrets
+from panelspark.llm.secret_scan import RULES, scan_secrets
 from panelspark.llm.spotsigs import add_class, edited, fingerprint, likeness, near_classes, signatures, with_next
 from panelspark.llm.suffix_dedup import remove_repeats
 from panelspark.llm.toxicity import fit_toxicity
@@ -125,9 +125,48 @@ SELECT doc_id, n_lines, n_removed, sha256(text) AS kept_sha256, text FROM cut
 """
 
 
+#: Kind, version-independent order, pattern of a match, and pattern whose group 1 is measured, with the least length.
+_OP6_KINDS = [(r.kind, r.pattern.replace("'", "''"), r.measured.replace("'", "''"), r.least) for r in RULES]
+_OP6_MATCHES = "\n  UNION ALL\n".join(
+    f"""  SELECT doc_id, {k} AS rank, '{kind}' AS kind, unnest(string_split_regex(t, '{pattern}')[1:len(regexp_extract_all(t, '{pattern}'))]) AS gap,
+         unnest(regexp_extract_all(t, '{pattern}')) AS hit, generate_subscripts(regexp_extract_all(t, '{pattern}'), 1) AS nth, '{measured}' AS measured, {least} AS least FROM t"""
+    for k, (kind, pattern, measured, least) in enumerate(_OP6_KINDS)
+)
+OP6_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS (
+{_OP6_MATCHES}
+), e AS (
+  SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, rank ORDER BY nth) AS stop FROM m
+), f AS (
+  SELECT doc_id, rank, kind, concat(kind, ':', (stop - length(hit))::BIGINT, ':', stop::BIGINT) AS span, stop - length(hit) AS start
+  FROM e WHERE length(regexp_extract(hit, measured, 1)) >= least
+)
+SELECT t.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
+FROM t LEFT JOIN f ON t.doc_id = f.doc_id GROUP BY t.doc_id
+"""
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 3, 2)), lambda i: array_to_string(ws[i:i + 4], ' '))) AS shingle FROM w WHERE len(ws) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+  SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * common >= 75 * (p.n + q.n - common)
+), edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, edge.y FROM reach JOIN edge ON edge.x = reach.y
+), c AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n ON c.doc_id = n.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup, op8_spotsigs, op9_minhash, op10_suffix_array)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op6_secrets": OP6_SQL, "op7_line_dedup": OP7_SQL, "op9_minhash": OP9_SQL}
