@@ -2,17 +2,18 @@
 
 The conventions are those of the inventory: volume counts in hundreds, the first return is 0, ranks and scales run over
 the whole series of an entity (so they read the future: ``lookahead``), correlations and covariances need three pairs and
-are 0 where undefined, and comparisons give 1 or 0.
+are 0 where undefined, and comparisons give 1 or 0. What is ranked is first rounded (``single``).
 """
 
 from __future__ import annotations
 
-from panelspark.expr import Expr, as_expr, measure
+from pyspark.sql import functions as F
+
+from panelspark.expr import Expr, apply, as_expr, measure
 from panelspark.factors.registry import register
 from panelspark.operators import ts
 from panelspark.operators.ts import decay_linear as decay
-from panelspark.operators.ts import delta, larger, log, not_zero, or_else, ref, sign, smaller, ts_rank, when
-from panelspark.operators.ts import rank_whole as rank
+from panelspark.operators.ts import delta, larger, log, not_zero, or_else, ref, sign, smaller, when
 from panelspark.operators.ts import scale_whole as scale
 
 o, h, l, c, w = map(measure, ("open", "high", "low", "close", "vwap"))  # noqa: E741
@@ -21,6 +22,28 @@ ret = or_else(ts.pct_change(c, 1), 0.0)
 mid, span = (h + l) / 2, h - l
 
 
+def single(x) -> Expr:
+    """To ten decimals and in single precision: values that only differ by the order of their sums are ties in a rank."""
+    x = as_expr(x)
+    return x if x.key[0] == "measure" else apply("single", lambda c: F.round(c, 10).cast("float").cast("double"), x)
+
+
+def rank(x) -> Expr:
+    return ts.rank_whole(single(x))
+
+
+def ts_rank(x, n: int) -> Expr:
+    return ts.ts_rank(single(x), n)
+
+
+def argmax(x, n: int) -> Expr:
+    return ts.argmax(single(x), n)
+
+
+def argmin(x, n: int) -> Expr:
+    return ts.argmin(single(x), n)
+
+
 def sum_(x, n: int) -> Expr:
     return ts.total(x, n, 1)
 
@@ -83,7 +106,7 @@ def alphas() -> dict[str, Expr]:
     signs = sign(d1) + sign(ref(d1, 1)) + sign(ref(d1, 2))
     steps = rank(delta(c - 1, 5))
     f = {
-        1: rank(ts.argmax(when(ret >= 0, c, dev(ret, 20)) ** 2, 5)) - 0.5,
+        1: rank(argmax(when(ret >= 0, c, dev(ret, 20)) ** 2, 5)) - 0.5,
         2: -corr(rank(delta(log(v), 2)), rank((c - o) / o), 6),
         3: -corr(rank(o), rank(v), 10),
         4: -ts_rank(rank(l), 9),
@@ -137,8 +160,8 @@ def alphas() -> dict[str, Expr]:
         53: -delta((c - l - (h - c)) / nonzero(c - l, 0.0001), 9),
         54: -(l - c) * o**5 / (nonzero(l - h, -0.0001) * c**5),
         55: -corr(rank((c - low(l, 12)) / nonzero(top(h, 12) - low(l, 12), 0.0001)), rank(v), 6),
-        57: -(c - w) / not_zero(decay(rank(ts.argmax(c, 30)), 2)),
-        60: -(2 * scale(rank((c - l - (h - c)) * v / nonzero(span, 0.0001))) - scale(rank(ts.argmax(c, 10)))),
+        57: -(c - w) / not_zero(decay(rank(argmax(c, 30)), 2)),
+        60: -(2 * scale(rank((c - l - (h - c)) * v / nonzero(span, 0.0001))) - scale(rank(argmax(c, 10)))),
         61: less(rank(w - low(w, 16)), rank(corr(w, adv(180), 18))),
         62: -less(rank(corr(w, avg(adv(20), 22), 10)), rank(less(rank(o) + rank(o), rank(mid) + rank(h)))),
         64: -less(rank(corr(avg(mix(o, l, 0.178404), 13), avg(adv(120), 13), 17)), rank(delta(mix(mid, w, 0.178404), 4))),
@@ -161,8 +184,8 @@ def alphas() -> dict[str, Expr]:
         92: smaller(ts_rank(decay(less(mid + c, l + o), 15), 19), ts_rank(decay(corr(rank(l), rank(adv(30)), 8), 7), 7)),
         94: -(rank(w - low(w, 12)) ** ts_rank(corr(ts_rank(w, 20), ts_rank(adv(60), 4), 18), 3)),
         95: less(rank(o - low(o, 12)), ts_rank(rank(corr(avg(mid, 19), avg(adv(40), 19), 13)) ** 5, 12)),
-        96: -larger(ts_rank(decay(corr(rank(w), rank(v), 4), 4), 8), ts_rank(decay(ts.argmax(corr(ts_rank(c, 7), ts_rank(adv(60), 4), 4), 13), 14), 13)),
-        98: rank(decay(corr(w, avg(adv(5), 26), 5), 7)) - rank(decay(ts_rank(ts.argmin(corr(rank(o), rank(adv(15)), 21), 9), 7), 8)),
+        96: -larger(ts_rank(decay(corr(rank(w), rank(v), 4), 4), 8), ts_rank(decay(argmax(corr(ts_rank(c, 7), ts_rank(adv(60), 4), 4), 13), 14), 13)),
+        98: rank(decay(corr(w, avg(adv(5), 26), 5), 7)) - rank(decay(ts_rank(argmin(corr(rank(o), rank(adv(15)), 21), 9), 7), 8)),
         99: -less(rank(corr(sum_(mid, 20), sum_(adv(60), 20), 9)), rank(corr(l, v, 6))),
         101: (c - o) / (span + 0.001),
     }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark import sqltext
 from panelspark import testmap as tm
 from panelspark.expr import evaluate, measure
 from panelspark.factors import alpha158, classic, formulaic, registry, technical  # noqa: F401  importing registers them
@@ -434,16 +435,30 @@ def store_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_ops.inventory({"orders": (day("orders", "o_orderdate"), "o_custkey", "_day"), "lineitem": (day("lineitem", "l_shipdate"), "l_suppkey", "_day")})
 
 
-# ---- formulaic alphas: rows only, but for those that plain SQL states in a line ----------------------------------------------
+# ---- formulaic alphas: SQL by the operator rules of sqltext, and some of them stated directly ---------------------------------
+
+
+def compiled_sql(names: list[str], bars: str) -> str:
+    steps, columns = sqltext.panel_sql(bars, {n: formulaic.ALPHAS[n] for n in names})
+    return f"WITH {steps}\n SELECT entity, dt, {', '.join(r(f'CASE WHEN abs({x}) < 3e38 THEN try_cast({x} AS FLOAT)::DOUBLE END', n) for n, x in columns.items())} FROM panel"
+
+
+def alphas(names: list[str]) -> Callable[[SparkSession, str], DataFrame]:
+    """In single precision: some values are far larger than the digits that are compared."""
+    single = lambda df: df.select("entity", "dt", *(F.when(F.abs(n) < 3e38, F.col(n).cast("float").cast("double")).alias(n) for n in names))
+    return lambda spark, sf_dir: rounded(single(registry.compute_factors(tm.bars_weekly(spark, sf_dir), names)))
+
 
 _ALPHA_NAMES = sorted(formulaic.ALPHAS)
 for _k in range(0, len(_ALPHA_NAMES), 14):
-    query(f"formulaic_{_ALPHA_NAMES[_k][5:]}_{_ALPHA_NAMES[_k : _k + 14][-1][5:]}")(factors(_ALPHA_NAMES[_k : _k + 14], tm.bars_weekly))
+    _some = _ALPHA_NAMES[_k : _k + 14]
+    query(f"formulaic_{_some[0][5:]}_{_some[-1][5:]}", compiled_sql(_some, tm.WEEKLY_SQL))(alphas(_some))
 
 _D1, _BEND = f"(close - {lag('close', 1)})", f"(({lag('close', 20)} - {lag('close', 10)}) / 10 - ({lag('close', 10)} - close) / 10)"
 
 
 def _rank_whole(x: str) -> str:
+    x = f"round({x}, 10)::FLOAT"
     return f"(CASE WHEN {x} IS NOT NULL THEN (rank() OVER (PARTITION BY entity ORDER BY {x} NULLS LAST) + (count(*) OVER (PARTITION BY entity, {x}) - 1) / 2) / count({x}) OVER (PARTITION BY entity) END)"
 
 
