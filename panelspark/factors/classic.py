@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.expr import Expr, apply, measure, windowed
@@ -75,3 +76,38 @@ def market_state() -> dict[str, Expr]:
 
 for _category, _family in (("value", value), ("classic_momentum", momentum), ("volatility", volatility), ("reports", reports), ("liquidity", liquidity), ("attention", attention), ("market_state", market_state)):
     register(_category, _family())
+
+
+def money_flow() -> dict[str, Expr]:
+    """Net flow of large orders over five rows, as a share of the free-float value (1e10 where that is missing)."""
+    return {"moneyflow_pct_5d": ts.total(measure("main_net"), 5) / ts.or_else(measure("float_mv"), 1e10)}
+
+
+#: Sources of the attention factors by name.
+HEAT_SOURCES = {"xq_discussion": "xq_hot_tweet", "xq_deal_heat": "xq_hot_deal"}
+LEVEL_SOURCES = {"weibo_sentiment": "weibo_report"}
+
+
+def heat_of_sources(heat: DataFrame, sources: dict[str, str] = HEAT_SOURCES) -> DataFrame:
+    """(factor, entity, dt, value): log heat of each named source of (source, entity, dt, value)."""
+    name = F.lit(None).cast("string")
+    for factor, source in sources.items():
+        name = F.when(F.col("source") == source, factor).otherwise(name)
+    return heat.filter(F.col("source").isin(list(sources.values()))).select(name.alias("factor"), "entity", "dt", F.log(F.greatest("value", F.lit(1.0))).alias("value"))
+
+
+def level_of_sources(series: DataFrame, sources: dict[str, str] = LEVEL_SOURCES) -> DataFrame:
+    """(factor, entity, dt, value): the value itself of each named source."""
+    out = None
+    for factor, source in sources.items():
+        one = series.filter(F.col("source") == source).select(F.lit(factor).alias("factor"), "entity", "dt", "value")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def yield_spread(own: DataFrame, other: DataFrame) -> DataFrame:
+    """(dt, value): one yield less the other on the dates that both have (cn_us_spread_10y)."""
+    return own.join(other.select("dt", F.col("value").alias("other")), "dt").select("dt", (F.col("value") - F.col("other")).alias("value"))
+
+
+register("money_flow", money_flow())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,3 +127,12 @@ def rebalance_costs(target: DataFrame, current: DataFrame, prices: DataFrame, ca
     change = (F.coalesce("to", F.lit(0.0)) - F.coalesce("from", F.lit(0.0))) * capital
     traded = both.select("entity", change.alias("change"), F.coalesce("adv", F.lit(0.0)).alias("adv"), F.coalesce("sigma", F.lit(0.0)).alias("sigma")).filter(F.abs("change") >= least)
     return traded.select("entity", "change", (trade_cost(F.abs("change"), F.col("adv"), F.col("sigma")) * F.abs("change")).alias("cost"))
+
+
+def run_strategy(generate: Callable[[DataFrame], DataFrame], bars: DataFrame) -> DataFrame:
+    """(dt, ret): daily return of a user's weights. ``generate`` takes the bars and gives (entity, dt, weight), joined by key;
+    a weight is held from the entity's next row on, and weights are scaled to a gross exposure of 1."""
+    held = F.lag("weight").over(Window.partitionBy("entity").orderBy("dt"))
+    own = generate(bars).select("entity", "dt", held.alias("held"))
+    rows = daily_returns(bars).join(own, ["entity", "dt"]).filter("held is not null and ret is not null")
+    return rows.groupBy("dt").agg(F.try_divide(F.sum(F.col("held") * F.col("ret")), F.sum(F.abs("held"))).alias("ret"))

@@ -69,3 +69,13 @@ def period_stats(periods: DataFrame, per_year: float = 52.0) -> DataFrame:
     dd = nav.select("*", (F.col("nav") / F.max("nav").over(w) - 1).alias("dd"))
     out = dd.agg(F.count("*").alias("n"), F.max_by("nav", "period").alias("last"), F.avg(F.when(F.col("ret") > 0, 1.0).otherwise(0.0)).alias("win_rate"), F.min("dd").alias("max_dd"))
     return out.select("n", (F.col("last") - 1).alias("total"), (F.pow(F.greatest("last", F.lit(0.0)), F.lit(per_year) / F.col("n")) - 1).alias("annual"), "win_rate", "max_dd")
+
+
+def extremes(scores: DataFrame, n: int = 5) -> DataFrame:
+    """(side, place, entity, score): the n best and the n worst of the last date."""
+    last = scores.filter("score is not null").agg(F.max("dt").alias("dt"))
+    now = scores.filter("score is not null").join(F.broadcast(last), "dt").select("entity", "score")
+    side = lambda name, *order: now.orderBy(*order).limit(n).select(F.lit(name).alias("side"), "entity", "score")
+    both = side("top", F.col("score").desc(), "entity").unionByName(side("bottom", "score", "entity"))
+    best = Window.partitionBy("side").orderBy(F.when(F.col("side") == "top", -F.col("score")).otherwise(F.col("score")), "entity")
+    return both.select("side", F.row_number().over(best).alias("place"), "entity", "score")

@@ -82,3 +82,19 @@ def composite_index(scored: DataFrame, least: int = 4, days: DataFrame | None =
         out = out.join(days.select("dt").distinct(), "dt", "left_semi")
     index = F.when(F.col("n_available") >= least, F.col("mean"))
     return out.select("dt", "n_available", index.alias("index"), label(index).alias("label"))
+
+
+def market_amount(bars: DataFrame, codes: list) -> DataFrame:
+    """(dt, value): amounts of the given indices together."""
+    return bars.filter(F.col("entity").isin(codes)).groupBy("dt").agg(F.sum("amount").alias("value"))
+
+
+def margin_share(bought: DataFrame, bars: DataFrame) -> DataFrame:
+    """(dt, value): sum of margin purchases (``bought``) over the sum of amounts, in per cent, on dates that both have."""
+    a, b = bought.groupBy("dt").agg(F.sum("bought").alias("bought")), bars.groupBy("dt").agg(F.sum("amount").alias("amount"))
+    return a.join(b, "dt").select("dt", (F.try_divide("bought", "amount") * 100).alias("value"))
+
+
+def northbound_score(n: int = 20, least: int = 5) -> Expr:
+    """Of a cumulative series ``value``: rolling sum of its daily changes, as a clipped rolling z from 0 to 100."""
+    return z_score(ts.total(ts.delta(measure("value"), 1), n, least))

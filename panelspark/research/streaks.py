@@ -57,3 +57,9 @@ def binned(df: DataFrame, column: str, edges: list[float], value: str) -> DataFr
 def contagion(hits: DataFrame) -> DataFrame:
     """(size, days): on how many (date, industry) pairs so many entities were hit."""
     return hits.groupBy("dt", "industry").agg(F.count("*").alias("size")).groupBy("size").agg(F.count("*").alias("days"))
+
+
+def next_returns(prices: DataFrame) -> DataFrame:
+    """(entity, dt, next, market): each entity's return to its next row, and the mean of all entities' on that date."""
+    nxt = prices.select("entity", "dt", (F.try_divide(F.lead("close").over(by_entity()), F.col("close")) - 1).alias("next"))
+    return nxt.withColumn("market", F.avg("next").over(Window.partitionBy("dt")))
