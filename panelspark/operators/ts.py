@@ -86,9 +86,27 @@ def lowest(x, n: int, least: int | None = None) -> Expr:
     return _rolling("min", F.min, n, half(n) if least is None else least, x)
 
 
+def held(x, n: int) -> Expr:
+    """The values of the last n rows as an array (missing ones keep their places); what ranks, places and quantiles share."""
+    return windowed(("held", n), lambda c: F.transform(F.collect_list(F.struct(c.alias("v"))).over(rows(n)), lambda s: s["v"]), x)
+
+
+def _of_held(name, build, x, n: int, least: int, *more) -> Expr:
+    """A function of the array where it holds enough values. It is a column of its own, so that arrays are dropped at once."""
+    return windowed(name, lambda values, k, *cols: F.when(k >= least, build(values, *cols)), held(x, n), _rolling("count", F.count, n, 0, x), *more)
+
+
 def quantile(x, n: int, p: float, least: int | None = None) -> Expr:
     """Exact, linearly interpolated."""
-    return _rolling(("quantile", p), lambda c: F.percentile(c, p), n, half(n) if least is None else least, x)
+    ordered = windowed("ordered", lambda v: F.array_sort(F.filter(v, lambda e: e.isNotNull())), held(x, n))
+    count = _rolling("count", F.count, n, 0, x)
+
+    def build(v: Column, k: Column) -> Column:
+        at = (k - 1) * F.lit(float(p))
+        lo = F.floor(at).cast("int")
+        return F.when(k >= max(half(n) if least is None else least, 1), F.get(v, lo) + (F.coalesce(F.get(v, lo + 1), F.get(v, lo)) - F.get(v, lo)) * (at - lo))
+
+    return windowed(("quantile", p, n, least), build, ordered, count)
 
 
 def product(x, n: int, least: int = 1) -> Expr:
@@ -175,12 +193,11 @@ def macd(x, fast: int = 12, slow: int = 26, signal: int = 9) -> tuple[Expr, Expr
 
 def ts_rank(x, n: int, least: int = 1) -> Expr:
     """Average rank (from 1) of the last value among those of the window."""
-    def build(c: Column) -> Column:
-        held = F.collect_list(c).over(rows(n))
-        less, same = F.size(F.filter(held, lambda v: v < c)), F.size(F.filter(held, lambda v: v == c))
-        return F.when(c.isNotNull() & (F.count(c).over(rows(n)) >= least), less + (same + 1) / 2)
+    def build(values: Column, c: Column) -> Column:
+        less, same = F.size(F.filter(values, lambda v: v < c)), F.size(F.filter(values, lambda v: v == c))
+        return F.when(c.isNotNull(), less + (same + 1) / 2)
 
-    return windowed(("ts_rank", n, least), build, x)
+    return _of_held(("ts_rank", n, least), build, x, n, least, x)
 
 
 def pct_rank_rolling(x, n: int, least: int) -> Expr:
@@ -190,12 +207,7 @@ def pct_rank_rolling(x, n: int, least: int) -> Expr:
 
 def _arg(name: str, pick, x, n: int, least: int) -> Expr:
     """1-based place of the first extreme value in the window (missing rows keep their places)."""
-    def build(c: Column) -> Column:
-        held = F.collect_list(F.struct(c.alias("v"))).over(rows(n))
-        values = F.transform(held, lambda s: s["v"])
-        return F.when(F.count(c).over(rows(n)) >= least, F.array_position(values, pick(values)).cast("double"))
-
-    return windowed((name, n, least), build, x)
+    return _of_held((name, n, least), lambda values: F.array_position(values, pick(values)).cast("double"), x, n, least)
 
 
 def argmax(x, n: int, least: int = 1) -> Expr:

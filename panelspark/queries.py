@@ -579,18 +579,24 @@ def news_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(news.news_factors(tm.bars_weekly(spark, sf_dir), _annotations(spark, sf_dir)))
 
 
-def _mock_model(texts: list[str]) -> list[str]:
-    """A deterministic stand-in for a model: a reply for each text, every third one in a code fence."""
+def _word_model(texts: list[str]) -> list[str]:
+    """A deterministic stand-in for a model: tone and kind by the letters of the whole text; every other reply in a code fence."""
     out = []
     for t in texts:
-        reply = '{"sentiment": %.2f, "event_type": "%s", "impact": 0.5, "keywords": ["%s"]}' % (len(t) % 21 / 10 - 1, ("earnings", "merger", "other")[len(t) % 3], t[:3].strip().replace('"', "").replace("\\", "").replace("\n", ""))
-        out.append(f"```json\n{reply}\n```" if len(t) % 3 == 0 else reply)
+        up, down = t.count("th"), t.count("in")
+        kind = "earnings" if up > 2 * down else "merger" if up < down else "other"
+        reply = '{"sentiment": %.2f, "event_type": "%s", "impact": 0.5, "keywords": ["%s"]}' % ((up - down) * 100 // (up + down + 1) / 100, kind, t[:3].strip().replace('"', "").replace("\\", "").replace("\n", ""))
+        out.append(f"```json\n{reply}\n```" if up % 2 else reply)
     return out
 
 
-@query("news_annotation", f"SELECT id, entity, dt, {r('n % 21 / 10 - 1', 'sentiment')}, CASE n % 3 WHEN 0 THEN 'earnings' WHEN 1 THEN 'merger' ELSE 'other' END AS event_type, {r('0.5', 'impact')} FROM (SELECT *, least(length(text), 2000) AS n FROM ({tm.NEWS_SQL}) WHERE length(text) >= 10)")
+_TONE = "(length(text) - length(replace(text, '{0}', ''))) // 2"
+
+
+@query("news_annotation", f"SELECT id, entity, dt, {r('floor((up - down) * 100 / (up + down + 1)) / 100', 'sentiment')}, CASE WHEN up > 2 * down THEN 'earnings' WHEN up < down THEN 'merger' ELSE 'other' END AS event_type, {r('0.5', 'impact')} FROM (SELECT *, {_TONE.format('th')} AS up, {_TONE.format('in')} AS down FROM ({tm.NEWS_SQL}) WHERE length(text) >= 10)")
 def news_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(news.annotate(tm.news(spark, sf_dir), _mock_model).select("id", "entity", "dt", "sentiment", "event_type", "impact"))
+    """Of whole texts."""
+    return rounded(news.annotate(tm.news(spark, sf_dir), _word_model, max_chars=None).select("id", "entity", "dt", "sentiment", "event_type", "impact"))
 
 
 def _filled(c: str, n: int) -> str:
@@ -674,7 +680,7 @@ def cs_rank_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluate(tm.bars_weekly(spark, sf_dir), {"rank_ordinal": cs.rank_ordinal(m), "scale": cs.scale(m)}))
 
 
-_LAGS = 5
+_LAGS = 20
 _DECAY = f"""{_BOOK}, a AS (SELECT entity, dt, unnest([{', '.join(f"{{'lag': {k}, 'fwd': lead(close, {k}) OVER {E} / close - 1}}" for k in range(1, _LAGS + 1))}], recursive := true) FROM bars),
  j AS (SELECT factor, lag, s.dt, value, fwd FROM store s JOIN a ON a.entity = s.entity AND a.dt = s.dt WHERE fwd IS NOT NULL),
  z AS (SELECT factor, lag, (value - avg(value) OVER q) / nullif(stddev_samp(value) OVER q, 0) AS x, (fwd - avg(fwd) OVER q) / nullif(stddev_samp(fwd) OVER q, 0) AS y FROM j WINDOW q AS (PARTITION BY factor, lag, dt))

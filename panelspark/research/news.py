@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 REPLY = "sentiment double, event_type string, impact double, summary string, keywords array<string>"
 
 
-def annotate(news: DataFrame, model: Callable[[list[str]], list[str]], least_chars: int = 10, max_chars: int = 2000, done: DataFrame | None = None) -> DataFrame:
+def annotate(news: DataFrame, model: Callable[[list[str]], list[str]], least_chars: int = 10, max_chars: int | None = 2000, done: DataFrame | None = None) -> DataFrame:
     """(id, entity, dt, sentiment, event_type, impact, summary, keywords, raw_response) of texts the model can read.
 
     Texts under ``least_chars`` are skipped, longer ones cut for the model; ids in ``done`` are not asked again. A reply may
     stand in a code fence; one that is not JSON is dropped; missing fields get defaults.
     """
-    todo = news.filter(F.length("text") >= least_chars).select("id", "entity", "dt", F.substring("text", 1, max_chars).alias("text"))
+    todo = news.filter(F.length("text") >= least_chars).select("id", "entity", "dt", (F.substring("text", 1, max_chars) if max_chars else F.col("text")).alias("text"))
     if done is not None:
         todo = todo.join(done.select("id").distinct(), "id", "left_anti")
 

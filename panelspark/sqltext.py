@@ -65,14 +65,16 @@ def _window(key, args: list[str]) -> str:
         return f"CASE WHEN {x} IS NOT NULL THEN (rank() OVER ({_ALL} ORDER BY {x} NULLS LAST) + (count(*) OVER ({_ALL}, {x}) - 1) / 2) / count({x}) OVER ({_ALL}) END"
     if name == "sum abs":
         return f"sum(abs({x})) OVER ({_ALL})"
+    if name == "held":
+        return f"list({x}) OVER {_frame(rest[0])}"
     n, least = rest
-    enough = f"count(CASE WHEN {' AND '.join(f'{a} IS NOT NULL' for a in args)} THEN 1 END) OVER {_frame(n)} >= {least}"
     if name == "ts_rank":
-        held = f"list({x}) OVER {_frame(n)}"
-        return f"CASE WHEN {x} IS NOT NULL AND {enough} THEN len(list_filter({held}, lambda v: v < {x})) + (len(list_filter({held}, lambda v: v = {x})) + 1) / 2 END"
+        held, count, c = args
+        return f"CASE WHEN {c} IS NOT NULL AND {count} >= {least} THEN len(list_filter({held}, lambda v: v < {c})) + (len(list_filter({held}, lambda v: v = {c})) + 1) / 2 END"
     if name in _LIST:
-        held = f"list({x}) OVER {_frame(n)}"
-        return f"CASE WHEN {enough} THEN list_position({held}, {_LIST[name]}({held}))::DOUBLE END"
+        held, count = args
+        return f"CASE WHEN {count} >= {least} THEN list_position({held}, {_LIST[name]}({held}))::DOUBLE END"
+    enough = f"count(CASE WHEN {' AND '.join(f'{a} IS NOT NULL' for a in args)} THEN 1 END) OVER {_frame(n)} >= {least}"
     return f"CASE WHEN {enough} THEN {ROLLING_RULES[name].format(*args)} OVER {_frame(n)} END"
 
 
