@@ -3,9 +3,9 @@
 A spot is a word right after a common word (an anchor); its signature is the anchor and the chain of the next ``CHAIN``
 content words, common words skipped. The set of a text's signatures is its fingerprint: it follows the prose and ignores
 what has no common words, such as navigation. Sets are compared by Jaccard similarity; near duplicates are searched among
-sets of like length only (partitions of set length, each compared with itself and the next), on so many first signatures of
-a set that similar sets must share one (in one order for all: by hash, the most frequent ones last), and confirmed on the
-whole sets. Both are rules of the pruned search that lose no link.
+sets of like length only (partitions of set length, each compared with itself and the next), on the rarest signatures of a
+set (so many that similar sets must share one; those of a single set are met by none), and confirmed on the whole sets. These
+are rules of the pruned search that lose no link.
 
 Defined cases: null text counts as empty; a text without a spot has one signature, of all its words, or of the text itself
 where it has no word; equal texts have equal fingerprints; texts of any length are used whole; rows that repeat an id
@@ -20,7 +20,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import discard, key_filter, let, maybe_among, parallelism, stash
+from panelspark.llm._common import discard, key_filter, let, maybe_among, meeting, only_maybe, parallelism, stash
 from panelspark.llm.grouping import link_buckets
 
 CHAIN = 2
@@ -35,8 +35,6 @@ ANCHORS = (
 _LAST = 2**63 - 1
 #: Bytes of text in one range of ids, about; there are at least RANGES ranges for each of Spark's partitions.
 RANGE_BYTES, RANGES = 1 << 24, 8
-#: So many signatures at most are taken as frequent: they come last in the order of the search.
-FREQUENT = 1000
 
 
 def _places(size: Column) -> Column:
@@ -138,18 +136,21 @@ def near_classes(docs: DataFrame) -> DataFrame:
     classes = stash(keyed.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("first")).withColumn("id", F.monotonically_increasing_id()), "signature-classes")
     first = classes.select("key", "first.doc_id", "first.th", "id")
     heads = stash(keyed.join(first, ["key", "doc_id", "th"]).dropDuplicates(["id"]).select("id", "sigs"), "signature-sets")
-    spread = heads.select(F.explode("sigs").alias("sig"))
-    often = spread.agg(F.expr(f"approx_top_k(sig, {FREQUENT}, {10 * FREQUENT})").alias("top")).select(F.expr("transform(filter(top, x -> x.count > 1), x -> x.item)").alias("often")).first()["often"] or []
-    # Similar sets share one of their first n - ceil(0.75 n) + 1 signatures in any common order; frequent ones come last.
-    # The list of frequent signatures is short whatever the corpus; another list would change the work, not the result.
-    common = F.array(*(F.lit(x) for x in often)).cast("array<bigint>")
-    ordered = heads.select("id", F.size("sigs").cast("long").alias("n"), F.concat(F.array_except("sigs", common), F.array_intersect("sigs", common)).alias("s"))
-    prefix = F.slice("s", F.lit(1), (F.col("n") - F.ceil(F.col("n") * LEAST_PERCENT / 100) + 1).cast("int"))
+    spread = heads.select("id", F.size("sigs").cast("long").alias("n"), F.explode("sigs").alias("sig"))
+    often = stash(spread.groupBy("sig").agg(F.count("*").alias("df")).filter("df > 1"), "shared-signatures")
+    known = often.agg(F.count("*").alias("sigs"), F.sum("df").alias("rows")).first()
+    near = only_maybe(spread, "sig", key_filter(often, "sig", known["sigs"]))
+    shared = meeting(near, ["sig"], often.withColumn("n", F.col("df")), known["rows"] or 0).groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("s"))
+    # Similar sets share one of their first n - ceil(0.75 n) + 1 signatures in any common order; here the rarest come first,
+    # and of these the ones that no other set has, which are not in ``s``.
+    first_ones = (F.col("n") - F.ceil(F.col("n") * LEAST_PERCENT / 100) + 1) - (F.col("n") - F.size("s"))
+    prefix = F.transform(F.slice("s", F.lit(1), first_ones.cast("int")), lambda x: x["sig"])
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / LEAST_PERCENT))).cast("int")
-    each = ordered.select("id", "n", level.alias("level"), F.explode(prefix).alias("sig"))
+    each = stash(shared.filter(first_ones > 0).select("id", "n", level.alias("level"), F.explode(prefix).alias("sig")), "rare-signatures")
     buckets = each.select(F.explode(F.array("level", F.col("level") + 1)).alias("part"), "sig", "id", "n").select(F.xxhash64("part", "sig").alias("bucket"), "id", "n")
-    shared = stash(buckets.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1").select("bucket"), "shared-signatures")
-    members = stash(buckets.join(shared, "bucket", "left_semi").distinct(), "signature-buckets")
+    company = stash(buckets.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1").select("bucket"), "shared-buckets")
+    members = stash(buckets.join(company, "bucket", "left_semi").distinct(), "signature-buckets")
+    discard(spark, often, each, company)
 
     def alike(a: Column, b: Column) -> Column:
         both = F.size(F.array_intersect(a, b))
@@ -174,7 +175,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     of_class = stash(classes.join(led, "id", "left").select("key", F.coalesce("lead", "first.doc_id").alias("class_id")), "classes")
     # A fingerprint of very many rows is one row of the right side; the left side of the join is split where it is skewed.
     out = stash(keyed.select("doc_id", "th", "key").join(of_class, "key").drop("key"), "near-classes")
-    discard(spark, keyed, classes, heads, shared, members, of_class)
+    discard(spark, keyed, classes, heads, members, of_class)
     return out.select(*(F.when(F.col(c) != _LAST, F.col(c)).alias(c) for c in ("doc_id", "class_id")), "th")
 
 
