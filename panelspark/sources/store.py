@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -108,29 +108,35 @@ def inventory(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
 
 
 def export_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Write as Parquet; the number of rows comes from the write itself. An empty table is not written."""
-    from pyspark.sql import Observation
-
-    if df.isEmpty():
-        return 0
+    """Write as Parquet; the number of rows comes from the write itself, which is the only run of the plan. Of an empty table
+    nothing stays."""
     seen = Observation("export")
     writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return int(seen.get["n"])
+    n = int(seen.get["n"])
+    if not n:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return n
 
 
 def run_job(name: str, read: Callable[[], DataFrame], validate: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], int], log_path: str | None = None) -> dict:
-    """Collect, validate and store; a row of the audit log for each run, also for one that failed."""
+    """Collect, validate and store; a row of the audit log for each run, also for one that failed.
+
+    ``write`` must run the plan it is given: the rows fetched are counted while it does. After a failure they are counted anew.
+    """
     import time
 
-    started = time.time()
+    started, fetched = time.time(), None
     row = {"pipeline_name": name, "status": "ok", "records_fetched": 0, "records_written": 0, "error_message": None}
     spark = SparkSession.active()
     try:
-        fetched = read()
-        row["records_fetched"] = fetched.count()
-        row["records_written"] = write(validate(fetched))
+        fetched, seen = read(), Observation(f"fetched {name}")
+        row["records_written"] = write(validate(fetched.observe(seen, F.count(F.lit(1)).alias("n"))))
+        row["records_fetched"] = int(seen.get["n"])
     except Exception as e:  # the log keeps what went wrong; the caller sees it as well
+        if fetched is not None:
+            row["records_fetched"] = fetched.count()
         row |= {"status": "failed", "error_message": str(e)[:500]}
         raise
     finally:
