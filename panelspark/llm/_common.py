@@ -21,9 +21,12 @@ BATCH_ROWS = 500
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``); a temporary one only where it is unset."""
+    """The folder that driver and executors share (``spark.checkpoint.dir``); a temporary one only in local mode where it is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="spark-work-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

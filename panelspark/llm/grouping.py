@@ -74,4 +74,6 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], l
     blocks = dealt.select("bucket", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "id", "component", "side")
     more = stash(compare(blocks), "links")
     discard(spark, held, mixed)
-    return connected_components(links.unionByName(more))
+    joined = connected_components(links.unionByName(more))
+    discard(spark, links, more)
+    return joined

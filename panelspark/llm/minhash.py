@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import key_filter, maybe_among, only_maybe, process_cache, small_batches, stash
+from panelspark.llm._common import discard, key_filter, maybe_among, only_maybe, process_cache, small_batches, stash
 from panelspark.llm.grouping import link_buckets
 
 WORDS, LEAST_PERCENT = 5, 75
@@ -212,6 +212,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     lead = linked.groupBy("component").agg(F.min(key).alias("lead"))
     led = linked.join(lead, "component").select("node", "lead")
     of_class = stash(classes.join(led, "node", "left").select("set_key", F.coalesce("lead", key).alias("lead")), "components")
+    discard(docs.sparkSession, classes, shared, members, ids, texts, linked)
     # A class of very many copies is one row of the right side; the left side of the join is split where it is skewed.
     out = rows.select(*_KEY, "n_shingles", "set_key").join(of_class, "set_key", "left").withColumn("lead", F.when(F.col("n_shingles") > 0, F.col("lead")).otherwise(key))
     return out.select(*_KEY, "n_shingles", F.col("lead._id").alias("component_id"), ((F.col("lead._id") == F.col("_id")) & (F.col("lead._th") == F.col("_th"))).alias("kept"))

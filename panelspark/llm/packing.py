@@ -185,4 +185,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all rows of ``docs`` with the sequence and the place they are packed at."""
     small_batches(docs.sparkSession)
-    return pack(stash(token_pieces(docs, tokenizer_path, capacity), "token-pieces"), capacity)
+    pieces = stash(token_pieces(docs, tokenizer_path, capacity), "token-pieces")
+    packed = pack(pieces, capacity)
+    discard(docs.sparkSession, pieces)
+    return packed

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import key_filter, maybe_among, shared_dir, stash
+from panelspark.llm._common import discard, key_filter, maybe_among, shared_dir, stash
 
 
 @dataclass(frozen=True)
@@ -93,6 +93,7 @@ class BlobLedger:
         found.write.mode("append").parquet(f"{self.path}/findings")
         for v in versions:
             unseen[v].select("blob", F.lit(v).cast("int").alias("version")).write.mode("append").parquet(f"{self.path}/scanned")
+        discard(self.spark, *unseen.values())
         return paths
 
     def report(self, paths: DataFrame) -> DataFrame:
