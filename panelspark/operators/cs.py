@@ -89,10 +89,9 @@ def densify(panel: DataFrame, whole_range: bool = False) -> DataFrame:
     spans = panel.groupBy("entity").agg(F.min("dt").alias("_from"), F.max("dt").alias("_to"))
     if whole_range:
         spans = spans.withColumn("_from", F.lit("0001-01-01").cast("date")).withColumn("_to", F.lit("9999-12-31").cast("date"))
-    # The calendar is one array; a broadcast of it grows with the number of trading days only.
-    calendar = dates.agg(F.array_sort(F.collect_set("dt")).alias("_days"))
-    grid = spans.withColumn("_one", F.lit(1)).join(F.broadcast(calendar.withColumn("_one", F.lit(1))), "_one")
-    cells = grid.select("entity", F.explode(F.filter("_days", lambda d: (d >= F.col("_from")) & (d <= F.col("_to")))).alias("dt"))
+    # The calendar is one array, a scalar subquery: it grows with the number of trading days only.
+    days = dates.agg(F.array_sort(F.collect_set("dt"))).scalar()
+    cells = spans.select("entity", "_from", "_to", days.alias("_days")).select("entity", F.explode(F.filter("_days", lambda d: (d >= F.col("_from")) & (d <= F.col("_to")))).alias("dt"))
     return cells.join(panel, ["entity", "dt"], "left")
 
 

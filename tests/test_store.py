@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelspark.factors import registry, technical  # noqa: F401
+from panelspark.operators import cs
 from panelspark.portfolio import backtest as bt
-from panelspark.research import streaks
-from panelspark.sources import parse, store
+from panelspark.research import rotation, streaks
+from panelspark.sources import parse, readers, store
 from panelspark.streaming import ingest
 
 DAY = dt.date(2024, 1, 1)
@@ -125,3 +126,34 @@ def test_export_and_registry(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "f"))
     assert {r["factor"] for r in got.select("factor").distinct().collect()} == {"ret_1d", "atr_5"}
     assert sum(len(registry.names(c)) for c in ("price", "volume", "rolling", "tech", "momentum", "leverage", "correlation")) == 116
+
+
+def test_batches_of_a_stream_run_the_batch_job(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for k in range(3):
+        (source / f"{k}.json").write_text(json.dumps({"id": k, "ts": "2024-01-01T00:00:00", "value": float(k)}))
+    stream = ingest.record_stream(spark, str(source), "id long, ts timestamp, value double", files_per_batch=1)
+    ingest.run_batches(stream, lambda df, n: store.first_by_key(df, ["id"], [F.col("ts")]).write.mode("append").parquet(out), str(tmp_path / "ck")).awaitTermination(120)
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2]
+
+
+def test_align_and_period_stats(spark):
+    a, b = (spark.createDataFrame([(e, DAY, v) for e, v in rows], f"entity string, dt date, {n} double") for n, rows in (("x", [("p", 1.0), ("q", 2.0)]), ("y", [("q", 3.0), ("r", 4.0)])))
+    assert [tuple(r) for r in cs.align(a, b).collect()] == [("q", DAY, 2.0, 3.0)]
+    row = rotation.period_stats(spark.createDataFrame([(1, 0.1), (2, -0.5), (3, 0.2)], "period int, ret double")).first()
+    assert (row["n"], row["total"], row["win_rate"], row["max_dd"]) == (3, pytest.approx(1.1 * 0.5 * 1.2 - 1), pytest.approx(2 / 3), pytest.approx(-0.5))
+    assert row["annual"] == pytest.approx((1.1 * 0.5 * 1.2) ** (52 / 3) - 1)
+
+
+def test_export_of_an_empty_table_leaves_nothing(spark, tmp_path):
+    path = tmp_path / "none"
+    assert store.export_table(spark.createDataFrame([], "x int"), str(path)) == 0 and not path.exists()
+
+
+def test_readers_push_their_filters_to_the_files(spark):
+    data = readers.Dataset("orders", "o_custkey", "o_orderdate", {"total": "o_totalprice"}, ("o_totalprice",))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = readers.read(spark, "/root/testdata/sf0.001", data, "1996-01-01", "1996-06-30", [1, 2])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and all(x in plan for x in ("GreaterThanOrEqual(o_orderdate", "LessThan(o_orderdate", "In(o_custkey", "IsNotNull(o_totalprice)"))
+    assert "o_orderpriority" not in plan
