@@ -32,8 +32,8 @@ from panelspark.llm._common import small_batches
 FEATURE_BITS = 20
 #: Labelled rows that a model is fitted on at most (those with the smallest hash of their id).
 MAX_FIT_ROWS = 8000
-#: A feature counts from so many rows of the sample on, and if its log-odds are sqrt(2 ln n) standard errors from zero, as
-#: far as the largest of n noise features is expected to lie (n: rows of the sample).
+#: A feature counts from so many rows of the sample on, and if its log-odds are sqrt(ln n) standard errors from zero: the more
+#: rows (n) the sample has, the more noise features there are. Of three such rules it did best in cross-validation.
 MIN_ROWS = 5
 REJECT = 0.5
 #: Lengths of the word beginnings.
@@ -148,7 +148,7 @@ def _fit(row: np.ndarray, key: np.ndarray, value: np.ndarray, toxic: np.ndarray)
     df_toxic = np.bincount(key[toxic[row] == 1], minlength=space)
     odds = np.log((df_toxic + 0.5) / (n_toxic + 1)) - np.log((df - df_toxic + 0.5) / (n - n_toxic + 1))
     error = np.sqrt(1 / (df_toxic + 0.5) + 1 / (df - df_toxic + 0.5))
-    known = (df >= min(MIN_ROWS, n_toxic)) & (np.abs(odds) >= np.sqrt(2 * np.log(n)) * error)
+    known = (df >= min(MIN_ROWS, n_toxic)) & (np.abs(odds) >= np.sqrt(np.log(n)) * error)
     use = known[key]
     row, key, value = row[use], key[use], value[use]
     # Severity of the toxic rows: the share of their words that are toxic terms.
