@@ -66,12 +66,12 @@ def attention() -> dict[str, Expr]:
 
 def market_state() -> dict[str, Expr]:
     """Of market-level series: share of the last 1,261 values that are at least today's, and momentum."""
-    def share(c):
-        held = F.collect_list(c).over(ts.rows(1261))
-        return F.when(F.size(held) >= 252, F.size(F.filter(held, lambda v: v >= c)) / F.size(held))
+    def share(values, c):
+        return F.when(F.size(values) >= 252, F.size(F.filter(values, lambda v: v >= c)) / F.size(values))
 
     x = measure("value")
-    return {"market_pe_pct": windowed("share at least", share, x), "bdi_momentum": ts.pct_change(x, 63), "margin_balance_ratio": ts.pct_change(x, 21), "series_level": x}
+    present = windowed("present", lambda values: F.filter(values, lambda v: v.isNotNull()), ts.held(x, 1261))
+    return {"market_pe_pct": windowed("share at least", share, present, x), "bdi_momentum": ts.pct_change(x, 63), "margin_balance_ratio": ts.pct_change(x, 21), "series_level": x}
 
 
 for _category, _family in (("value", value), ("classic_momentum", momentum), ("volatility", volatility), ("reports", reports), ("liquidity", liquidity), ("attention", attention), ("market_state", market_state)):
