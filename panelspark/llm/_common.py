@@ -60,14 +60,13 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 def process_cache(key: str, make):
     """What ``make()`` gave when ``key`` was first asked for in this Python process: tables that tasks of a worker share.
 
-    Only the two last used are held, so that the memory of a worker does not grow with the number of operators it served.
+    Only what was last used is held, so that the memory of a worker does not grow with the number of operators it served.
     """
     held = sys.modules.setdefault("_panelspark_held", types.SimpleNamespace(tables={})).tables
-    found = held.pop(key) if key in held else make()
-    while len(held) > 1:
-        held.pop(next(iter(held)))
-    held[key] = found
-    return found
+    if key not in held:
+        held.clear()
+        held[key] = make()
+    return held[key]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -94,6 +94,11 @@ class Circulant:
         return key.view(np.int64)
 
 
+def _tools():
+    """The shingler and the permutations of this worker."""
+    return process_cache("minhash", lambda: (shingler(), Circulant()))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with the key of a document."""
     return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))).withColumn("_th", F.xxhash64(F.col("text").cast("string")))
@@ -104,7 +109,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, circulant = process_cache("shingler", shingler), process_cache("circulant", Circulant)
+        shingles, circulant = _tools()
         for b in batches:
             sets = [shingles(t) for t in b["text"].to_pylist()]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
@@ -119,7 +124,7 @@ def _confirm(texts: DataFrame):
     """Of pairs (a, b) those whose full sets reach the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = process_cache("shingler", shingler)
+        shingles = _tools()[0]
         held: tuple[int | None, np.ndarray] = (None, np.zeros(0, np.uint64))
         for b in batches:
             keep = []
@@ -141,7 +146,7 @@ def _confirm(texts: DataFrame):
 
 def _links_of_block(table: pa.Table) -> pa.Table:
     """Links of the full sets between the two sides of a block pair, as few as join all that is linked."""
-    shingles = process_cache("shingler", shingler)
+    shingles = _tools()[0]
     ids, own, side = (table[c].to_numpy() for c in ("id", "component", "side"))
     if own.min() == own.max():
         return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})

@@ -211,12 +211,21 @@ def _readable(raw: bytes) -> str:
         return re.sub("[\udc80-\udcff]", "\ufffd", raw.decode(errors="surrogateescape"))
 
 
+def _codec(model_path: str):
+    """The tables of this worker, and an encoder that remembers words."""
+    def make():
+        codec = PieceCodec(model_path)
+        return codec, codec.encoder()
+
+    return process_cache(f"pieces {model_path}", make)
+
+
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, ids array<int> for each row."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = process_cache(f"pieces {model_path}", lambda: PieceCodec(model_path).encoder())
+        to_ids = _codec(model_path)[1]
         for b in batches:
             raw = to_ids(b["text"].to_pylist())
             ends = np.r_[0, np.cumsum([len(x) // 4 for x in raw])].astype(np.int32)
@@ -231,7 +240,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     small_batches(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = process_cache(f"codec {model_path}", lambda: PieceCodec(model_path))
+        codec = _codec(model_path)[0]
         for b in batches:
             ids = b["ids"]
             ends = np.r_[0, np.cumsum(np.asarray(ids.value_lengths().fill_null(0)))]
