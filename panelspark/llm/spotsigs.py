@@ -136,6 +136,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     classes = stash(keyed.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("first")).withColumn("id", F.monotonically_increasing_id()), "signature-classes")
     first = classes.select("key", "first.doc_id", "first.th", "id")
     heads = stash(keyed.join(first, ["key", "doc_id", "th"]).dropDuplicates(["id"]).select("id", "sigs"), "signature-sets")
+    keys = stash(keyed.select("doc_id", "th", "key"), "signature-keys")
+    discard(spark, keyed)
     spread = heads.select("id", F.size("sigs").cast("long").alias("n"), F.explode("sigs").alias("sig"))
     often = stash(spread.groupBy("sig").agg(F.count("*").alias("df")).filter("df > 1"), "shared-signatures")
     known = often.agg(F.count("*").alias("sigs"), F.sum("df").alias("rows")).first()
@@ -174,8 +176,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     led = found.join(linked, "component").select("id", "lead")
     of_class = stash(classes.join(led, "id", "left").select("key", F.coalesce("lead", "first.doc_id").alias("class_id")), "classes")
     # A fingerprint of very many rows is one row of the right side; the left side of the join is split where it is skewed.
-    out = stash(keyed.select("doc_id", "th", "key").join(of_class, "key").drop("key"), "near-classes")
-    discard(spark, keyed, classes, heads, members, of_class)
+    out = stash(keys.join(of_class, "key").drop("key"), "near-classes")
+    discard(spark, keys, classes, heads, members, of_class)
     return out.select(*(F.when(F.col(c) != _LAST, F.col(c)).alias(c) for c in ("doc_id", "class_id")), "th")
 
 
