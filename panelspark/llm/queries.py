@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelspark.llm.alignment import align_tokens
+from panelspark.llm.collocation import collocations
 from panelspark.llm.exact_dedup import exact_dedup
 from panelspark.llm.langid import fit_languages
+from panelspark.llm.lattice import near_vectors
 from panelspark.llm.line_dedup import line_report
 from panelspark.llm.minhash import near_duplicates
 from panelspark.llm.packing import pack_documents
@@ -92,11 +94,19 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), repeated.alias("n_passage_words"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = align_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
 
 
+def op13_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 OP1_SQL = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
@@ -170,9 +180,33 @@ SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id
 """
 
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, range(1, 6) x(k) WHERE len(ws) >= k
+), f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100
+), cand AS (
+  SELECT * FROM f c WHERE k > 1 AND NOT EXISTS (
+    SELECT 1 FROM f o WHERE o.lang = c.lang AND o.k > c.k AND 100 * o.a >= 100 * c.a AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))
+), cut AS (
+  SELECT c.lang, c.phrase, c.a, x.i, l.a AS l, r.a AS r, n, (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score
+  FROM cand c JOIN total ON total.lang = c.lang JOIN range(1, 5) x(i) ON x.i < c.k
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(string_split(c.phrase, ' ')[1:x.i], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(string_split(c.phrase, ' ')[x.i + 1:], ' ')
+), best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup, op8_spotsigs, op9_minhash, op10_suffix_array, op12_alignment)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_language_id, op4_sentencepiece, op5_packing, op6_secrets, op7_line_dedup, op8_spotsigs, op9_minhash, op10_suffix_array, op11_collocations, op12_alignment, op13_lattice)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op6_secrets": OP6_SQL, "op7_line_dedup": OP7_SQL, "op9_minhash": OP9_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op6_secrets": OP6_SQL, "op7_line_dedup": OP7_SQL, "op9_minhash": OP9_SQL, "op11_collocations": OP11_SQL}
