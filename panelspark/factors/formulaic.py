@@ -132,7 +132,7 @@ def alphas() -> dict[str, Expr]:
         24: when(delta(avg(c, 100), 100) / ref(c, 100) <= 0.05, -(c - low(c, 100)), -delta(c, 3)),
         25: rank(-ret * adv(20) * w * (h - c)),
         26: -top(corr(ts_rank(v, 5), ts_rank(h, 5), 5), 3),
-        27: or_else(rank(avg(corr(rank(v), rank(w), 6), 2) / 2) * 0, 0.0) + 1,  # both branches of the rule end in 1
+        27: when(rank(avg(corr(rank(v), rank(w), 6), 2) / 2) > 0.5, -1.0, 1.0),
         28: scale(corr(adv(20), l, 5) + mid - c),
         29: low(ts.product(rank(rank(scale(log(sum_(low(rank(rank(-steps)), 2), 1))))), 1), 5) + ts_rank(ref(-ret, 6), 5),
         30: (1 - rank(signs)) * sum_(v, 5) / not_zero(sum_(v, 20)),

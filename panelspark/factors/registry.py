@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelspark.expr import Expr, evaluate
 from panelspark.operators.cs import finite, process
+from panelspark.operators.slots import evaluate_on_slots
 
 
 @dataclass(frozen=True)
@@ -44,9 +45,15 @@ def names(category: str | None = None) -> list[str]:
     return sorted(f.name for f in FACTORS.values() if category in (None, f.category))
 
 
-def compute_factors(panel: DataFrame, chosen: Iterable[str]) -> DataFrame:
-    """entity, dt and one column for each factor: one plan, one scan, one shuffle by entity (cross sections add one by date)."""
-    made = evaluate(panel, {n: FACTORS[n].expr for n in chosen})
+def compute_factors(panel: DataFrame, chosen: Iterable[str], slots: bool = False, days: DataFrame | None = None) -> DataFrame:
+    """entity, dt and one column for each factor: one plan, one scan, one shuffle by entity (cross sections add one by date).
+
+    Windows count the rows of an entity; with ``slots`` they count the days of the calendar ``days`` (dt, slot), or of the
+    panel, so that days without a row take a place.
+    """
+    chosen = list(chosen)
+    exprs = {n: FACTORS[n].expr for n in chosen}
+    made = evaluate_on_slots(panel, exprs, days) if slots else evaluate(panel, exprs)
     return made.withColumns({n: finite(F.col(n).cast("double")) for n in chosen})
 
 

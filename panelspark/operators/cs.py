@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.expr import Expr, as_expr, windowed
+from panelspark.operators import ts
 
 
-def date():
-    return Window.partitionBy("dt")
+def date(*more: Column):
+    return Window.partitionBy(ts.day(), *more)
 
 
 def rank_ordinal(x) -> Expr:
@@ -24,7 +25,7 @@ def rank_pct(x) -> Expr:
     """Share of the average rank among the values of the date."""
     def build(c: Column) -> Column:
         rank = F.rank().over(date().orderBy(c.asc_nulls_last()))
-        return F.when(c.isNotNull(), (rank + (F.count(F.lit(1)).over(Window.partitionBy("dt", c)) - 1) / 2) / F.count(c).over(date()))
+        return F.when(c.isNotNull(), (rank + (F.count(F.lit(1)).over(date(c)) - 1) / 2) / F.count(c).over(date()))
 
     return windowed("rank pct", build, x)
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
@@ -11,24 +14,67 @@ from panelspark.expr import Expr, apply, as_expr, windowed
 
 
 # Windows are made when an expression is built: importing this module needs no session.
+_RANGED = {"ref", "mean", "sum", "std", "max", "min", "product", "cov", "count", "skewness"}
+_MODE: ContextVar[str] = ContextVar("windows", default="rows")
+
+
+@contextmanager
+def _mode(name: str) -> Iterator[None]:
+    held = _MODE.set(name)
+    try:
+        yield
+    finally:
+        _MODE.reset(held)
+
+
+def by_slots():
+    """While it holds, windows count trading days (column ``slot``) by RANGE frames; only for what ``ranged`` allows."""
+    return _mode("range")
+
+
+def in_slots():
+    """While it holds, rows stand in the order of the column ``slot``."""
+    return _mode("slot")
+
+
+def ranged(e: Expr) -> bool:
+    """Whether a window is a rolling aggregate or a shift, which need no row for the days between."""
+    name = e.key[0]
+    return isinstance(name, tuple) and name[0] in _RANGED
+
+
+def day() -> str:
+    """The column that tells the days apart and orders them."""
+    return "dt" if _MODE.get() == "rows" else "slot"
 
 
 def order():
     """The rows of an entity in date order."""
-    return Window.partitionBy("entity").orderBy("dt")
+    return Window.partitionBy("entity").orderBy(day())
 
 
 def whole():
     return Window.partitionBy("entity")
 
 
+def within(block: Column):
+    """The rows of an entity's block in date order."""
+    return Window.partitionBy("entity", block).orderBy(day())
+
+
 def upto():
     return order().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def rows(n: int, end: int = 0):
     """The last n rows up to the current one (or up to ``end`` rows from it)."""
-    return order().rowsBetween(end - int(n) + 1, end)
+    return (order().rangeBetween if _MODE.get() == "range" else order().rowsBetween)(end - int(n) + 1, end)
+
+
+def before(c: Column, n: int) -> Column:
+    """The value n rows before."""
+    # An entity has one row a day at most, so a frame of one day holds one value.
+    return F.max(c).over(rows(1, -n)) if _MODE.get() == "range" else F.lag(c, n).over(order())
 
 
 def _rolling(name: str, agg, n: int, least: int, *args) -> Expr:
@@ -51,7 +97,7 @@ def half(n: int) -> int:
 def ref(x, n: int = 1) -> Expr:
     """The value n rows before; a negative n also looks back."""
     n = abs(int(n))
-    return windowed(("ref", n), lambda c: F.lag(c, n).over(order()), x) if n else as_expr(x)
+    return windowed(("ref", n), lambda c: before(c, n), x) if n else as_expr(x)
 
 
 def lead(x, n: int = 1) -> Expr:
@@ -167,9 +213,9 @@ def ewm(x, span: int, least: int | None = None) -> Expr:
     block = apply(("block", size), lambda r: F.floor((r - 1) / size), row)
 
     def so_far(v: Expr) -> Expr:
-        raw = windowed(("block sum", q), lambda c, b, p: F.sum(c * F.pow(F.lit(q), -p)).over(Window.partitionBy("entity", b).orderBy("dt").rowsBetween(Window.unboundedPreceding, 0)), v, block, at)
+        raw = windowed(("block sum", q), lambda c, b, p: F.sum(c * F.pow(F.lit(q), -p)).over(within(b).rowsBetween(Window.unboundedPreceding, 0)), v, block, at)
         own = apply(("scale", q), lambda s, p: F.coalesce(s, F.lit(0.0)) * F.pow(F.lit(q), p), raw, at)
-        before = windowed("first of block", lambda c, b: F.first(c).over(Window.partitionBy("entity", b).orderBy("dt").rowsBetween(Window.unboundedPreceding, 0)), ref(own, 1), block)
+        before = windowed("first of block", lambda c, b: F.first(c).over(within(b).rowsBetween(Window.unboundedPreceding, 0)), ref(own, 1), block)
         return apply(("carry", q), lambda o, b, p: o + F.coalesce(b, F.lit(0.0)) * F.pow(F.lit(q), p + 1), own, before, at)
 
     there = apply("there", lambda c: F.when(c.isNotNull(), F.lit(1.0)), x)

@@ -175,8 +175,8 @@ def rolling_158(n: int) -> tuple[dict[str, str], tuple[str, ...]]:
     both = lambda a, b: f"count(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 END) OVER {w(n)} >= {least}"
     steps = (
         *RET_STEPS,
-        f"{agg('avg', 'close')} AS ma, CASE WHEN {seen} THEN {pair('covar_pop', 'close', 'x')} / nullif(var_pop(x) OVER {w(n)}, 0) END AS slope, avg(x) OVER {w(n)} AS xm, var_pop(x) OVER {w(n)} AS xv, var_pop(close) OVER {w(n)} AS cv, {agg('max', 'high')} AS hh, {agg('min', 'low')} AS ll, list(high) OVER {w(n)} AS hs, list(low) OVER {w(n)} AS ls",
-        "list_position(hs, hh) - 1 AS top, list_position(ls, ll) - 1 AS bottom",
+        f"{agg('avg', 'close')} AS ma, CASE WHEN {seen} AND count(close) OVER {w(n)} = count(*) OVER {w(n)} THEN {pair('covar_pop', 'close', 'x')} / nullif(var_pop(x) OVER {w(n)}, 0) END AS slope, avg(x) OVER {w(n)} AS xm, var_pop(x) OVER {w(n)} AS xv, var_pop(close) OVER {w(n)} AS cv, {agg('max', 'high')} AS hh, {agg('min', 'low')} AS ll, list(high) OVER {w(n)} AS hs, list(low) OVER {w(n)} AS ls",
+        "CASE WHEN hh IS NOT NULL THEN list_position(hs, hh) END - 1 AS top, CASE WHEN ll IS NOT NULL THEN list_position(ls, ll) END - 1 AS bottom",
     )
     up, down = f"{roll('avg', 'CASE WHEN d > 0 THEN 1.0 ELSE 0.0 END', n, least)}", f"{roll('avg', 'CASE WHEN d < 0 THEN 1.0 ELSE 0.0 END', n, least)}"
     cols = {

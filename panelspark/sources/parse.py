@@ -58,9 +58,10 @@ def exchange_of(code: Column) -> Column:
 
 
 def minutes_since_open(clock: Column) -> Column:
-    """HHMMSS (as a number or text) to minutes after 09:30."""
+    """HHMMSS (as a number or text) to minutes after 09:30; seconds are the fraction."""
     t = F.lpad(safe_int(clock).cast("string"), 6, "0")
-    return F.substring(t, 1, 2).try_cast("int") * 60 + F.substring(t, 3, 2).try_cast("int") - 570
+    part = lambda at: F.substring(t, at, 2).try_cast("int")
+    return part(1) * 60 + part(3) + part(5) / 60 - 570
 
 
 def json_list(c: Column) -> Column:

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.sources.parse import compact_date, minutes_since_open
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -22,45 +25,54 @@ class Dataset:
     date: str
     measures: dict[str, str] = field(default_factory=dict)
     required: tuple[str, ...] = ()
-    compact: bool = False  # dates are text, yyyyMMdd
+    #: Pattern of dates that are text (yyyyMMdd or yyyy-MM-dd); empty where the column is a date or a timestamp.
+    text_dates: str = ""
 
 
 def _same(*names: str) -> dict[str, str]:
     return {n: n for n in names}
 
 
-_BAR = {"open": "open_val", "high": "high_val", "low": "low_val", "close": "close_val", "volume": "vol", "amount": "amount"}
+_COMPACT, _ISO = "yyyyMMdd", "yyyy-MM-dd"
+_OHLC = _same("open", "high", "low", "close")
 #: Tables of the market store and their columns.
 DATASETS = {
-    "stock_daily": Dataset("stock_daily", "ts_code", "trade_date", _BAR, ("close_val",)),
-    "index_daily": Dataset("index_daily", "ts_code", "trade_date", _same("open", "high", "low", "close", "vol", "amount", "pct_chg"), ("close",)),
-    "daily_basic": Dataset("daily_basic", "ts_code", "trade_date", _same("pe_ttm", "pb", "ps_ttm", "dv_ttm", "total_mv", "float_mv", "turnover_rate")),
-    "fina_indicator": Dataset("fina_indicator", "ts_code", "end_date", _same("roe", "roa", "grossprofit_margin", "netprofit_margin", "debt_to_assets", "or_yoy", "profit_dedt")),
-    "macro_indicator": Dataset("macro_indicator", "source", "trade_date", _same("value"), ("value",)),
-    "moneyflow": Dataset("moneyflow_dc", "ts_code", "trade_date", _same("main_net", "elg_net", "lg_net", "md_net", "sm_net")),
-    "margin": Dataset("margin", "exchange_id", "trade_date", _same("rzye", "rzmre", "rzche", "rqye", "rqmcl", "rqchl")),
-    "limit_list": Dataset("limit_list", "ts_code", "trade_date", _same("lim", "first_time", "open_times")),
-    "sector_daily": Dataset("sw_daily", "ts_code", "trade_date", _same("close", "amount", "pct_change")),
+    "stock_daily": Dataset("raw_stock_daily", "ts_code", "trade_date", _OHLC | {"volume": "vol", "amount": "amount"}, ("close",)),
+    "index_daily": Dataset("raw_index_daily", "ts_code", "trade_date", _OHLC | _same("pre_close", "change", "pct_chg", "vol", "amount"), text_dates=_COMPACT),
+    "daily_basic": Dataset("raw_daily_basic", "ts_code", "trade_date", _same("pe_ttm", "pb", "total_mv", "turnover_rate", "pe", "ps", "ps_ttm", "dv_ratio", "dv_ttm", "circ_mv", "turnover_rate_f", "volume_ratio")),
+    "fina_indicator": Dataset("raw_financial_indicators", "ts_code", "end_date", _same("roe", "roa", "grossprofit_margin", "netprofit_margin", "debt_to_assets", "or_yoy", "profit_dedt")),
+    "macro_indicator": Dataset("raw_macro_indicator", "source", "date", _same("sub_key", "value"), ("value",), _ISO),
+    "moneyflow": Dataset("raw_moneyflow", "ts_code", "trade_date", _same("net_mf_vol", "net_mf_amount"), text_dates=_COMPACT),
+    "margin": Dataset("raw_margin_total", "exchange_id", "trade_date", _same("rzye", "rzmre", "rzche", "rqye", "rqmcl", "rzrqye", "rqyl"), text_dates=_COMPACT),
+    "northbound": Dataset("raw_moneyflow_hsgt", "", "trade_date", _same("north_money", "south_money", "hgt", "sgt"), text_dates=_COMPACT),
+    "exchange_daily": Dataset("raw_daily_info", "exchange", "trade_date", _same("ts_code", "amount", "vol", "float_mv", "total_mv", "tr"), text_dates=_COMPACT),
+    "limit_list": Dataset("raw_limit_list_d", "ts_code", "trade_date", _same("industry", "name", "close", "pct_chg", "amount", "turnover_ratio", "first_time", "last_time", "open_times", "lim"), text_dates=_COMPACT),
+    "sector_daily": Dataset("raw_sw_daily", "ts_code", "trade_date", _same("name", "close", "pct_change", "vol", "amount", "pe", "pb"), text_dates=_COMPACT),
+    "index_basic": Dataset("raw_index_dailybasic", "ts_code", "trade_date", _same("pe", "pe_ttm", "pb", "total_mv", "float_mv", "turnover_rate"), text_dates=_COMPACT),
+    "commodity": Dataset("raw_commodity_logistics", "source", "date", _same("sub_index", "value"), ("value",), _ISO),
+    "volatility_index": Dataset("raw_qvix", "underlying", "trade_date", _OHLC, ("close",), _ISO),
 }
+PEERS = {"entity": "target_symbol", "peer_code": "code", "dimension": "dimension", "rank_info": "rank_info", "raw_json": "raw_json"}
 
 
 def read(spark: SparkSession, base: str, data: Dataset, start: str | None = None, end: str | None = None, codes: Sequence | None = None, fields: Sequence[str] | None = None) -> DataFrame:
-    """entity, dt and the fields (all measures by default) of the rows in the range, both ends included."""
+    """entity, dt and the fields (all measures by default) of the rows in the range, both ends (ISO dates) included."""
     rows = spark.read.parquet(f"{base}/{data.table}.parquet")
     day = F.col(data.date)
-    bound = lambda x: F.lit(x.replace("-", "")) if data.compact else F.lit(x).cast("date")
+    # Bounds are values of the column's own type, so that they reach the files; the day itself ends before the next one starts.
+    bound = lambda d: F.lit(d.strftime("%Y%m%d" if data.text_dates == _COMPACT else "%Y-%m-%d")) if data.text_dates else F.lit(d)
     if start:
-        rows = rows.filter(day >= bound(start))
+        rows = rows.filter(day >= bound(date.fromisoformat(start)))
     if end:
-        # The day itself is included where the column has a time of day.
-        rows = rows.filter(day <= bound(end)) if data.compact or dict(rows.dtypes)[data.date] == "date" else rows.filter(day < F.date_add(bound(end), 1))
+        rows = rows.filter(day < bound(date.fromisoformat(end) + timedelta(days=1)))
     if codes is not None:
         rows = rows.filter(F.col(data.entity).isin(list(codes)))
     for c in data.required:
         rows = rows.filter(F.col(c).isNotNull())
-    dt = F.to_date(day, "yyyyMMdd") if data.compact else F.to_date(day)
+    dt = compact_date(day) if data.text_dates else F.to_date(day)
+    entity = F.col(data.entity) if data.entity else F.lit("market")
     chosen = data.measures if fields is None else {f: data.measures[f] for f in fields}
-    return rows.select(F.col(data.entity).alias("entity"), dt.alias("dt"), *(F.col(c).alias(n) for n, c in chosen.items()))
+    return rows.select(entity.alias("entity"), dt.alias("dt"), *(F.col(c).alias(n) for n, c in chosen.items()))
 
 
 def read_ohlcv(spark: SparkSession, base: str, start: str | None = None, end: str | None = None, codes: Sequence | None = None, data: Dataset = DATASETS["stock_daily"]) -> DataFrame:
@@ -75,7 +87,7 @@ def read_stock_daily(spark: SparkSession, base: str, start: str | None = None, e
     return read(spark, base, data, start, end, fields=["close"])
 
 
-def read_index(spark: SparkSession, base: str, code, start: str | None = None, end: str | None = None, data: Dataset = DATASETS["index_daily"]) -> DataFrame:
+def read_index(spark: SparkSession, base: str, code="000300.SH", start: str | None = None, end: str | None = None, data: Dataset = DATASETS["index_daily"]) -> DataFrame:
     return read(spark, base, data, start, end, [code])
 
 
@@ -88,10 +100,15 @@ def read_macro(spark: SparkSession, base: str, sources: Sequence, data: Dataset
     return read(spark, base, data, codes=sources)
 
 
-def read_peers(spark: SparkSession, base: str, dimension: str, table: str = "peer_comparison", names: dict[str, str] | None = None, at: str = "dimension") -> DataFrame:
+def read_money_flow(spark: SparkSession, base: str, start: str | None = None, end: str | None = None, data: Dataset = DATASETS["moneyflow"]) -> DataFrame:
+    """Net volume and amount of a day."""
+    return read(spark, base, data, start, end)
+
+
+def read_peers(spark: SparkSession, base: str, dimension: str = "valuation", table: str = "raw_peer_comparison", names: dict[str, str] | None = None, at: str = "dimension") -> DataFrame:
     """Rows of one dimension of a comparison, under the names given."""
     rows = spark.read.parquet(f"{base}/{table}.parquet").filter(F.col(at) == dimension)
-    return rows.select(*(F.col(c).alias(n) for n, c in names.items())) if names else rows
+    return rows.select(*(F.col(c).alias(n) for n, c in (names or PEERS).items()))
 
 
 def load_daily(base: str, start: str | None = None, end: str | None = None, codes: Sequence | None = None, data: Dataset = DATASETS["stock_daily"]) -> DataFrame:
@@ -112,6 +129,27 @@ def sum_by_date(panel: DataFrame, columns: Sequence[str], where: Column | None =
     return rows.groupBy("dt").agg(*(F.sum(c).alias(c) for c in columns))
 
 
+def margin_total(spark: SparkSession, base: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """(dt, rzye, rqye): both balances over all exchanges."""
+    return sum_by_date(read(spark, base, DATASETS["margin"], start, end, fields=["rzye", "rqye"]), ["rzye", "rqye"])
+
+
+def exchange_amount(spark: SparkSession, base: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """(dt, amount): what both main exchanges traded."""
+    return sum_by_date(read(spark, base, DATASETS["exchange_daily"], start, end, ["SH", "SZ"], ["amount"]), ["amount"])
+
+
+def limit_days(spark: SparkSession, base: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The limit list with ``first_min``, the minutes after the open when the limit was first reached."""
+    rows = read(spark, base, DATASETS["limit_list"], start, end)
+    return rows.withColumn("first_min", minutes_since_open(F.col("first_time")))
+
+
+def sector_bars(spark: SparkSession, base: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Sectors by day: name, close, change, volume and amount."""
+    return read(spark, base, DATASETS["sector_daily"], start, end, fields=["name", "close", "pct_change", "vol", "amount"])
+
+
 def codes_like(panel: DataFrame, suffix: str) -> DataFrame:
     """The rows of entities whose code ends so (a freight index among macro series, say)."""
     return panel.filter(F.col("entity").cast("string").endswith(suffix))

@@ -46,6 +46,7 @@ def expected(d: pd.DataFrame) -> dict[str, pd.Series]:
         "alpha017": -rank(ts_rank(c, 10)) * rank(c.diff().diff()) * rank(ts_rank(v / adv20, 5)),
         "alpha024": (-(c - c.rolling(100, min_periods=1).min())).where(slow <= 0.05, -c.diff(3)),
         "alpha026": -corr(ts_rank(v, 5), ts_rank(h, 5), 5).rolling(3, min_periods=1).max(),
+        "alpha027": 1 - 2 * (rank(corr(rank(v), rank(w), 6).rolling(2, min_periods=1).mean() / 2) > 0.5).astype(float),
         "alpha035": ts_rank(v, 32) * (1 - ts_rank(c + h - l, 16)) * (1 - ts_rank(ret, 32)),
         "alpha040": -rank(h.rolling(10, min_periods=2).std()) * corr(h, v, 10),
         "alpha043": ts_rank(v / adv20, 20) * ts_rank(-c.diff(7), 8),
