@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.operators.ranks import pooled_rank
+
 from panelspark.portfolio.backtest import so_far
 
 
@@ -63,14 +65,15 @@ def ic_summary(ic: DataFrame) -> DataFrame:
 
 
 def ic_decay(store: DataFrame, prices: DataFrame, lags: int = 20, least: int = 30) -> DataFrame:
-    """(factor, lag, n, ic): correlation over all pooled rows for each lag of z-scores by date (a rank over all pooled rows would be one window over the whole table)."""
-    w = Window.partitionBy("entity").orderBy("dt")
-    ahead = _ahead(prices, w, lags)
-    both = store.filter("value is not null").join(ahead.filter("fwd is not null"), ["entity", "dt"])
-    day = Window.partitionBy("factor", "lag", "dt")
-    z = lambda c: F.try_divide(F.col(c) - F.avg(c).over(day), F.stddev_samp(c).over(day)).alias(c)
-    out = both.select("factor", "lag", z("value"), z("fwd")).filter("value is not null and fwd is not null")
-    out = out.groupBy("factor", "lag").agg(F.count("*").alias("n"), F.corr("value", "fwd").alias("ic"))
+    """(factor, lag, n, ic): correlation of the ranks over all pooled rows of value and return to each lag; 0 for few pairs.
+
+    A column's ranks count all its values (average of ties), also those whose partner is missing.
+    """
+    values = pooled_rank(store.filter("value is not null").join(prices.select("entity", "dt"), ["entity", "dt"]), ["factor"], "value", "x")
+    ahead = _ahead(prices, Window.partitionBy("entity").orderBy("dt"), lags)
+    both = values.select("factor", "entity", "dt", "x").join(ahead.filter("fwd is not null"), ["entity", "dt"])
+    ranked = pooled_rank(both, ["factor", "lag"], "fwd", "y")
+    out = ranked.groupBy("factor", "lag").agg(F.count("*").alias("n"), F.corr("x", "y").alias("ic"))
     return out.select("factor", "lag", "n", F.when(F.col("n") >= least, F.col("ic")).otherwise(0.0).alias("ic"))
 
 

@@ -682,9 +682,10 @@ def cs_rank_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LAGS = 20
 _DECAY = f"""{_BOOK}, a AS (SELECT entity, dt, unnest([{', '.join(f"{{'lag': {k}, 'fwd': lead(close, {k}) OVER {E} / close - 1}}" for k in range(1, _LAGS + 1))}], recursive := true) FROM bars),
- j AS (SELECT factor, lag, s.dt, value, fwd FROM store s JOIN a ON a.entity = s.entity AND a.dt = s.dt WHERE fwd IS NOT NULL),
- z AS (SELECT factor, lag, (value - avg(value) OVER q) / nullif(stddev_samp(value) OVER q, 0) AS x, (fwd - avg(fwd) OVER q) / nullif(stddev_samp(fwd) OVER q, 0) AS y FROM j WINDOW q AS (PARTITION BY factor, lag, dt))
- SELECT factor, CAST(lag AS INTEGER) AS lag, count(*) AS n, {r('corr(x, y)', 'ic')} FROM z WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2"""
+ j AS (SELECT factor, lag, s.entity, s.dt, fwd FROM store s JOIN a ON a.entity = s.entity AND a.dt = s.dt WHERE fwd IS NOT NULL),
+ v AS (SELECT factor, entity, dt, rank() OVER (PARTITION BY factor ORDER BY value) + (count(*) OVER (PARTITION BY factor, value) - 1) / 2 AS x FROM store),
+ z AS (SELECT j.factor, lag, x, rank() OVER (PARTITION BY j.factor, lag ORDER BY fwd) + (count(*) OVER (PARTITION BY j.factor, lag, fwd) - 1) / 2 AS y FROM j JOIN v ON v.factor = j.factor AND v.entity = j.entity AND v.dt = j.dt)
+ SELECT factor, CAST(lag AS INTEGER) AS lag, count(*) AS n, {r('corr(x, y)', 'ic')} FROM z GROUP BY 1, 2"""
 query("portfolio_ic_decay", _DECAY)(lambda spark, sf_dir: rounded(an.ic_decay(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir), _LAGS)))
 
 _CAPITALS = (1e6, 1e7, 1e8)
