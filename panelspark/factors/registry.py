@@ -69,8 +69,44 @@ def long_form(wide: DataFrame, chosen: Iterable[str] | None = None) -> DataFrame
     return wide.unpivot(["entity", "dt"], cols, "factor", "value").filter("value is not null")
 
 
-def export_factors(panel: DataFrame, chosen: list[str], path: str, chunk: int = 30) -> None:
-    """Append the chosen factors to a store partitioned by factor; wide families go in chunks that keep plans small."""
+def export_factors(panel: DataFrame, chosen: list[str], path: str, chunk: int = 30, partition_by: str = "factor") -> None:
+    """Append the chosen factors to a store partitioned by factor, dt or entity; wide families go in chunks that keep plans small."""
     for k in range(0, len(chosen), chunk):
         some = chosen[k : k + chunk]
-        long_form(compute_factors(panel, some)).write.mode("append").partitionBy("factor").parquet(path)
+        long_form(compute_factors(panel, some)).write.mode("append").partitionBy(partition_by).parquet(path)
+
+
+def compute_all(panel: DataFrame, chosen: Iterable[str], known: dict[str, Factor] | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """The factors that can be planned over ``panel``, as one plan, and what is wrong with the others, by name."""
+    known = FACTORS if known is None else known
+    good, failed = {}, {}
+    for n in chosen:
+        try:
+            evaluate(panel, {n: known[n].expr}).schema  # noqa: B018  analysed, not run
+            good[n] = known[n].expr
+        except Exception as e:  # a factor's failure is its own
+            failed[n] = f"{type(e).__name__}: {e}"[:500]
+    made = evaluate(panel, good)
+    return made.withColumns({n: finite(F.col(n).cast("double")) for n in good}) if good else made, failed
+
+
+def export_all(panel: DataFrame, chosen: Iterable[str], path: str, chunk: int = 30, partition_by: str = "factor", known: dict[str, Factor] | None = None) -> dict[str, str]:
+    """Write every factor that can be computed; gives what went wrong with the others.
+
+    A factor that cannot be planned is left out at once. Where a chunk fails while it runs, its halves are written apart, until
+    the failing factor stands alone; a failed write leaves no rows.
+    """
+    made, failed = compute_all(panel, list(chosen), known)
+    todo = [n for n in made.columns if n not in ("entity", "dt")]
+    groups = [todo[k : k + chunk] for k in range(0, len(todo), chunk)]
+    while groups:
+        some = groups.pop(0)
+        own, _ = compute_all(panel, some, known)
+        try:
+            long_form(own).write.mode("append").partitionBy(partition_by).parquet(path)
+        except Exception as e:  # a factor's failure is its own
+            if len(some) == 1:
+                failed[some[0]] = f"{type(e).__name__}: {e}"[:500]
+            else:
+                groups[:0] = [some[: len(some) // 2], some[len(some) // 2 :]]
+    return failed

@@ -29,6 +29,10 @@ def run_batches(stream: DataFrame, job: Callable[[DataFrame, int], None], checkp
     return stream.writeStream.foreachBatch(job).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def windowed_counts(stream: DataFrame, at: str, by: str, width: str = "1 day", late: str = "1 day") -> DataFrame:
-    """Rows and sum of ``value`` for each window and group, final once the watermark has passed."""
-    return stream.withWatermark(at, late).groupBy(F.window(at, width).alias("w"), by).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select("w.start", by, "n", "total")
+def windowed_counts(stream: DataFrame, at: str | None, by: str, width: str = "1 day", late: str = "1 day", column: str = "ts") -> DataFrame:
+    """Rows and sum of ``value`` for each window and group, final once the watermark has passed.
+
+    ``at`` sets a watermark on that column; without it the stream has one already (of a deduplication before), on ``column``.
+    """
+    marked = stream.withWatermark(at, late) if at else stream
+    return marked.groupBy(F.window(at or column, width).alias("w"), by).agg(F.count("*").alias("n"), F.sum("value").alias("total")).select("w.start", by, "n", "total")
