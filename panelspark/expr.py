@@ -11,13 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class Expr:
     """A node: a measure, a function of a row, or a window function. Equal keys are equal nodes."""
 
-    def __init__(self, key: tuple, build: Callable[..., Column], args: tuple[Expr, ...] = (), window: bool = False):
-        self.key, self.build, self.args, self.window = key, build, args, window
+    def __init__(self, key: tuple, build: Callable[..., Column], args: tuple[Expr, ...] = (), window: bool = False, series: Callable | None = None):
+        self.key, self.build, self.args, self.window, self.series = key, build, args, window, series
         self.depth = max((a.depth for a in args), default=0) + window
 
     def __hash__(self) -> int:
@@ -99,6 +100,33 @@ def windowed(name, build: Callable[..., Column], *args) -> Expr:
     return Expr((name, *(a.key for a in own)), build, own, window=True)
 
 
+def over_series(name, compute: Callable, *args) -> Expr:
+    """A function of whole series: ``compute`` takes an array (in date order, NaN where missing) for each argument and gives one."""
+    own = tuple(as_expr(a) for a in args)
+    return Expr((name, *(a.key for a in own)), None, own, window=True, series=compute)
+
+
+def _with_series(panel: DataFrame, computed: list[tuple[str, Callable, list[str]]], order: str) -> DataFrame:
+    """``panel`` with a column for each (name, function, inputs); the inputs go. One entity's series is one group of Arrow
+    batches: as long as there are dates."""
+    import numpy as np
+    import pyarrow as pa
+
+    inputs = {i for _, _, own in computed for i in own}
+    rest = [c for c in panel.columns if c not in inputs]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(order)
+        out = table.select(rest)
+        for name, compute, own in computed:
+            found = compute(*(np.array(table[i].to_numpy(zero_copy_only=False), dtype=float) for i in own))
+            out = out.append_column(name, pa.array(found, mask=np.isnan(found)))
+        return out
+
+    schema = T.StructType([*(panel.schema[c] for c in rest), *(T.StructField(name, T.DoubleType()) for name, _, _ in computed)])
+    return panel.groupBy("entity").applyInArrow(run, schema)
+
+
 def evaluate(panel: DataFrame, exprs: dict[str, Expr], keep: tuple[str, ...] = ("entity", "dt")) -> DataFrame:
     """``keep`` columns of the panel and one column for each expression."""
     nodes: dict[tuple, Expr] = {}
@@ -127,8 +155,13 @@ def evaluate(panel: DataFrame, exprs: dict[str, Expr], keep: tuple[str, ...] = (
         return e.build(*(column(a) for a in e.args))
 
     for level in range(1, final):
-        made = [column(e, own=True).alias(name[k]) for k, e in nodes.items() if e.depth == level]
+        own = [(k, e) for k, e in nodes.items() if e.depth == level]
+        made = [column(e, own=True).alias(name[k]) for k, e in own if not e.series]
+        inputs = {k: [f"{name[k]}_{i}" for i in range(len(e.args))] for k, e in own if e.series}
+        made += [column(a).cast("double").alias(i) for k, e in own if e.series for a, i in zip(e.args, inputs[k], strict=True)]
         held = [name[k] for k, e in nodes.items() if e.depth < level and last_use[k] >= level]
         measures = [k[1] for k, at in last_use.items() if k[0] == "measure" and at >= level and k[1] not in keep]
         panel = panel.select(*keep, *measures, *held, *made)
+        if inputs:
+            panel = _with_series(panel, [(name[k], nodes[k].series, own) for k, own in inputs.items()], "slot" if "slot" in keep else "dt")
     return panel.select(*keep, *(column(e).alias(out) for out, e in exprs.items()))

@@ -7,9 +7,10 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.expr import Expr, apply, measure, windowed
+from panelspark.expr import Expr, apply, measure, over_series, windowed
 from panelspark.factors.registry import register
 from panelspark.operators import ts
+from panelspark.operators.order import share_at_least
 
 YEAR = math.sqrt(252.0)
 close = measure("close")
@@ -66,12 +67,9 @@ def attention() -> dict[str, Expr]:
 
 def market_state() -> dict[str, Expr]:
     """Of market-level series: share of the last 1,261 values that are at least today's, and momentum."""
-    def share(values, c):
-        return F.when(F.size(values) >= 252, F.size(F.filter(values, lambda v: v >= c)) / F.size(values))
-
     x = measure("value")
-    present = windowed("present", lambda values: F.filter(values, lambda v: v.isNotNull()), ts.held(x, 1261))
-    return {"market_pe_pct": windowed("share at least", share, present, x), "bdi_momentum": ts.pct_change(x, 63), "margin_balance_ratio": ts.pct_change(x, 21), "series_level": x}
+    share = over_series(("share at least", 1261), lambda v: share_at_least(v, 1261, 252), x)
+    return {"market_pe_pct": share, "bdi_momentum": ts.pct_change(x, 63), "margin_balance_ratio": ts.pct_change(x, 21), "series_level": x}
 
 
 for _category, _family in (("value", value), ("classic_momentum", momentum), ("volatility", volatility), ("reports", reports), ("liquidity", liquidity), ("attention", attention), ("market_state", market_state)):

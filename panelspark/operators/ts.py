@@ -10,7 +10,8 @@ from contextvars import ContextVar
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-from panelspark.expr import Expr, apply, as_expr, windowed
+from panelspark.expr import Expr, apply, as_expr, over_series, windowed
+from panelspark.operators.order import rank_in_window
 
 
 # Windows are made when an expression is built: importing this module needs no session.
@@ -237,13 +238,23 @@ def macd(x, fast: int = 12, slow: int = 26, signal: int = 9) -> tuple[Expr, Expr
     return dif, dea, 2 * (dif - dea)
 
 
+#: Windows up to here are compared value by value with shifted columns, longer ones by sorted blocks.
+SHORT = 64
+
+
 def ts_rank(x, n: int, least: int = 1) -> Expr:
     """Average rank (from 1) of the last value among those of the window."""
-    def build(values: Column, c: Column) -> Column:
-        less, same = F.size(F.filter(values, lambda v: v < c)), F.size(F.filter(values, lambda v: v == c))
-        return F.when(c.isNotNull(), less + (same + 1) / 2)
+    if n > SHORT:
+        return over_series(("ts_rank", n, least), lambda v: rank_in_window(v, n, least), x)
+
+    def build(c: Column) -> Column:
+        rank = F.lit(1.0)
+        for k in range(1, int(n)):
+            v = before(c, k)
+            rank = rank + F.when(v < c, 1.0).when(v == c, 0.5).otherwise(0.0)
+        return F.when(c.isNotNull() & (F.count(c).over(rows(n)) >= least), rank)
 
-    return _of_held(("ts_rank", n, least), build, x, n, least, x)
+    return windowed(("ts_rank", n, least), build, x)
 
 
 def pct_rank_rolling(x, n: int, least: int) -> Expr:

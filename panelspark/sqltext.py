@@ -69,8 +69,8 @@ def _window(key, args: list[str]) -> str:
         return f"list({x}) OVER {_frame(rest[0])}"
     n, least = rest
     if name == "ts_rank":
-        held, count, c = args
-        return f"CASE WHEN {c} IS NOT NULL AND {count} >= {least} THEN len(list_filter({held}, lambda v: v < {c})) + (len(list_filter({held}, lambda v: v = {c})) + 1) / 2 END"
+        seen = f"list({x}) OVER {_frame(n)}"
+        return f"CASE WHEN {x} IS NOT NULL AND count({x}) OVER {_frame(n)} >= {least} THEN len(list_filter({seen}, lambda v: v < {x})) + (len(list_filter({seen}, lambda v: v = {x})) + 1) / 2 END"
     if name in _LIST:
         held, count = args
         return f"CASE WHEN {count} >= {least} THEN list_position({held}, {_LIST[name]}({held}))::DOUBLE END"
