@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.expr import Expr, evaluate
+from panelspark.expr import Expr, evaluate, measure
 from panelspark.operators.cs import finite, process
 from panelspark.operators.slots import evaluate_on_slots
 
@@ -57,6 +57,15 @@ def compute_factors(panel: DataFrame, chosen: Iterable[str], slots: bool = False
     return made.withColumns({n: finite(F.col(n).cast("double")) for n in chosen})
 
 
+def factor_table(panel: DataFrame, chosen: Iterable[str], path: str, keep: Iterable[str] = ("close",)) -> DataFrame:
+    """The chosen factors beside measures of the panel (``keep``), written to ``path`` and read again: what a backtest reads
+    several times is computed in one pass over the source."""
+    chosen = list(chosen)
+    made = evaluate(panel, {c: measure(c) for c in keep} | {n: FACTORS[n].expr for n in chosen})
+    made.withColumns({n: finite(F.col(n).cast("double")) for n in chosen}).write.parquet(path)
+    return panel.sparkSession.read.schema(made.schema).parquet(path)
+
+
 def processed_factors(panel: DataFrame, chosen: Iterable[str], pct: float = 0.01) -> DataFrame:
     """compute_factors, then winsorized and standardized by date."""
     chosen = list(chosen)

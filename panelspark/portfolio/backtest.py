@@ -22,14 +22,18 @@ def daily_returns(prices: DataFrame) -> DataFrame:
     return prices.select("entity", "dt", (F.try_divide("close", before) - 1).alias("ret"))
 
 
-def _numbered_dates(store: DataFrame) -> DataFrame:
+def numbered_dates(store: DataFrame) -> DataFrame:
     """(factor, dt, at): the dates of each factor, from 0; as many rows as there are dates."""
     return store.select("factor", "dt").distinct().select("factor", "dt", (F.row_number().over(by_factor()) - 1).alias("at"))
 
 
-def long_short_positions(store: DataFrame, n_long: int, n_short: int, freq: int, max_weight: float = 1.0) -> DataFrame:
-    """(factor, period, dt, entity, side, weight) on every freq-th date; ties by entity, missing values take no part."""
-    chosen = store.filter("value is not null").join(_numbered_dates(store).filter(F.col("at") % freq == 0), ["factor", "dt"])
+def long_short_positions(store: DataFrame, n_long: int, n_short: int, freq: int, max_weight: float = 1.0, dates: DataFrame | None = None) -> DataFrame:
+    """(factor, period, dt, entity, side, weight) on every freq-th date; ties by entity, missing values take no part.
+
+    ``dates``: what ``numbered_dates`` gave, where that is known already.
+    """
+    dates = numbered_dates(store) if dates is None else dates
+    chosen = store.filter("value is not null").join(dates.filter(F.col("at") % freq == 0), ["factor", "dt"])
     day = Window.partitionBy("factor", "dt")
     ranked = chosen.select("*", F.row_number().over(day.orderBy(F.col("value").desc(), "entity")).alias("top"), F.row_number().over(day.orderBy("value", "entity")).alias("bottom"))
     sides = F.array(F.when(F.col("top") <= n_long, F.lit("long")), F.when(F.col("bottom") <= n_short, F.lit("short")))
@@ -38,9 +42,8 @@ def long_short_positions(store: DataFrame, n_long: int, n_short: int, freq: int,
     return held.withColumn("weight", weight)
 
 
-def _period_dates(store: DataFrame, freq: int, boundary: str) -> DataFrame:
+def _period_dates(dates: DataFrame, freq: int, boundary: str) -> DataFrame:
     """(factor, dt, period): with ``inclusive`` boundaries a rebalance date belongs to the period it ends as well."""
-    dates = _numbered_dates(store)
     period = F.floor(F.col("at") / freq)
     first = F.col("at") % freq == 0
     if boundary == "inclusive":
@@ -55,8 +58,9 @@ def long_short_returns(store: DataFrame, prices: DataFrame, n_long: int = 50, n_
 
     As the convention has it, an inclusive rebalance date counts in both its periods and the two are added.
     """
-    held = long_short_positions(store, n_long, n_short, freq).select("factor", "period", "entity", "side")
-    days = _period_dates(store, freq, boundary)
+    dates = numbered_dates(store)
+    held = long_short_positions(store, n_long, n_short, freq, dates=dates).select("factor", "period", "entity", "side")
+    days = _period_dates(dates, freq, boundary)
     each = held.join(days, ["factor", "period"]).join(daily_returns(prices), ["entity", "dt"])
     legs = each.groupBy("factor", "dt", "period").agg(*(F.avg(F.when(F.col("side") == s, F.col("ret"))).alias(s) for s in ("long", "short")))
     total = legs.groupBy("factor", "dt").agg(F.sum("long").alias("long"), F.sum("short").alias("short"))
@@ -82,10 +86,11 @@ def metrics(returns: DataFrame, column: str = "ls_ret", year: float = 252.0) ->
 def group_returns(store: DataFrame, prices: DataFrame, n_groups: int = 10, freq: int = 20) -> DataFrame:
     """(factor, dt, group, ret): groups of equal size in descending order of value, the rest in the last; from the day after the rebalance."""
     day = Window.partitionBy("factor", "dt")
-    chosen = store.filter("value is not null").join(_numbered_dates(store).filter(F.col("at") % freq == 0), ["factor", "dt"])
+    dates = numbered_dates(store)
+    chosen = store.filter("value is not null").join(dates.filter(F.col("at") % freq == 0), ["factor", "dt"])
     ranked = chosen.select("factor", F.floor(F.col("at") / freq).alias("period"), "entity", (F.row_number().over(day.orderBy(F.col("value").desc(), "entity")) - 1).alias("place"), F.floor(F.count("*").over(day) / n_groups).alias("size"))
     grouped = ranked.filter("size > 0").select("factor", "period", "entity", (F.least(F.floor(F.col("place") / F.col("size")), F.lit(n_groups - 1)) + 1).cast("int").alias("group"))
-    each = grouped.join(_period_dates(store, freq, "half_open"), ["factor", "period"]).join(daily_returns(prices), ["entity", "dt"])
+    each = grouped.join(_period_dates(dates, freq, "half_open"), ["factor", "period"]).join(daily_returns(prices), ["entity", "dt"])
     return each.groupBy("factor", "dt", "group").agg(F.avg("ret").alias("ret"))
 
 

@@ -17,6 +17,7 @@ from panelspark.portfolio import backtest as bt
 from panelspark.research import analyst, flows, news, rotation, sentiment, streaks
 from panelspark.sources import parse
 from panelspark.sources import store as store_ops
+from panelspark.sources.tables import work_folder
 
 DIGITS = 6
 #: Added before rounding, here and in SQL: prices are cents over small integers, so many values lie right between two digits.
@@ -292,8 +293,14 @@ STORE = ["chg_5d", "ma_dev_20d"]
 N_SIDE, FREQ, GROUPS = 10, 5, 5
 
 
+def store_and_prices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The factor store and the closes of the weekly bars, out of one pass over the lines."""
+    made = registry.factor_table(tm.bars_weekly(spark, sf_dir), STORE, work_folder(spark, "store"))
+    return registry.long_form(made.drop("close")), made.select("entity", "dt", "close")
+
+
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return registry.long_form(registry.compute_factors(tm.bars_weekly(spark, sf_dir), STORE))
+    return store_and_prices(spark, sf_dir)[0]
 
 
 _STORE = f"SELECT * FROM (SELECT entity, dt, unnest([{{'factor': 'chg_5d', 'value': c}}, {{'factor': 'ma_dev_20d', 'value': m}}], recursive := true) FROM (SELECT entity, dt, {MOMENTUM['chg_5d']} AS c, {MOMENTUM['ma_dev_20d']} AS m FROM ({tm.WEEKLY_SQL}))) WHERE value IS NOT NULL"
@@ -313,7 +320,7 @@ WITH bars AS ({tm.WEEKLY_SQL}), store AS ({_STORE}),
 
 
 def book(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bt.long_short_returns(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir), N_SIDE, N_SIDE, FREQ)
+    return bt.long_short_returns(*store_and_prices(spark, sf_dir), N_SIDE, N_SIDE, FREQ)
 
 
 query("portfolio_long_short", f"{_BOOK} SELECT factor, dt, {r('long_ret', 'long_ret')}, {r('short_ret', 'short_ret')}, {r('ls_ret', 'ls_ret')} FROM book")(lambda spark, sf_dir: rounded(book(spark, sf_dir)))
@@ -343,13 +350,13 @@ query("portfolio_monthly", f"{_NAV} SELECT factor, strftime(dt, '%Y-%m') AS mont
 
 query("portfolio_groups", f"""{_BOOK}, g AS (SELECT factor, period, entity, least((hi - 1) // (n // {GROUPS}), {GROUPS - 1}) + 1 AS g FROM ranked WHERE n // {GROUPS} > 0),
  m AS (SELECT g.factor, d.dt, g, avg(ret) AS ret FROM g JOIN after_days d ON g.factor = d.factor AND g.period = d.period JOIN ret ON ret.entity = g.entity AND ret.dt = d.dt GROUP BY 1, 2, 3)
- SELECT factor, dt, {', '.join(r(f'max(ret) FILTER (g = {k})', f'group_{k}') for k in range(1, GROUPS + 1))}, {r(f'max(ret) FILTER (g = 1) - max(ret) FILTER (g = {GROUPS})', 'spread')} FROM m GROUP BY 1, 2""")(lambda spark, sf_dir: rounded(bt.group_table(bt.group_returns(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir), GROUPS, FREQ), GROUPS)))
+ SELECT factor, dt, {', '.join(r(f'max(ret) FILTER (g = {k})', f'group_{k}') for k in range(1, GROUPS + 1))}, {r(f'max(ret) FILTER (g = 1) - max(ret) FILTER (g = {GROUPS})', 'spread')} FROM m GROUP BY 1, 2""")(lambda spark, sf_dir: rounded(bt.group_table(bt.group_returns(*store_and_prices(spark, sf_dir), GROUPS, FREQ), GROUPS)))
 
 _IC = f"""{_BOOK}, fwd AS (SELECT entity, dt, lead(close, 5) OVER (PARTITION BY entity ORDER BY dt) / close - 1 AS fwd FROM bars),
  p AS (SELECT factor, s.dt, row_number() OVER (PARTITION BY factor, s.dt ORDER BY value, s.entity) AS x, row_number() OVER (PARTITION BY factor, s.dt ORDER BY fwd, s.entity) AS y FROM store s JOIN fwd ON fwd.entity = s.entity AND fwd.dt = s.dt WHERE fwd IS NOT NULL),
  ic AS (SELECT factor, dt, count(*) AS n, corr(x, y) AS ic FROM p GROUP BY 1, 2 HAVING count(*) >= 30)"""
-query("portfolio_rank_ic", f"{_IC} SELECT factor, dt, n, {r('ic', 'ic')} FROM ic")(lambda spark, sf_dir: rounded(an.rank_ic(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir))))
-query("portfolio_ic_summary", f"{_IC} SELECT factor, count(*) AS dates, {r('avg(ic)', 'ic_mean')}, {r('stddev_samp(ic)', 'ic_std')}, {r('avg(CASE WHEN ic > 0 THEN 1.0 ELSE 0.0 END)', 'positive')}, {r('avg(ic) / stddev_samp(ic)', 'icir')} FROM ic GROUP BY 1")(lambda spark, sf_dir: rounded(an.ic_summary(an.rank_ic(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir)))))
+query("portfolio_rank_ic", f"{_IC} SELECT factor, dt, n, {r('ic', 'ic')} FROM ic")(lambda spark, sf_dir: rounded(an.rank_ic(*store_and_prices(spark, sf_dir))))
+query("portfolio_ic_summary", f"{_IC} SELECT factor, count(*) AS dates, {r('avg(ic)', 'ic_mean')}, {r('stddev_samp(ic)', 'ic_std')}, {r('avg(CASE WHEN ic > 0 THEN 1.0 ELSE 0.0 END)', 'positive')}, {r('avg(ic) / stddev_samp(ic)', 'icir')} FROM ic GROUP BY 1")(lambda spark, sf_dir: rounded(an.ic_summary(an.rank_ic(*store_and_prices(spark, sf_dir)))))
 
 query("portfolio_turnover", f"""{_BOOK}, w AS (SELECT factor, period, entity, sum(w) AS w FROM (SELECT factor, period, entity, {1 / N_SIDE} AS w FROM ranked WHERE hi <= {N_SIDE} UNION ALL SELECT factor, period, entity, {-1 / N_SIDE} FROM ranked WHERE lo <= {N_SIDE}) GROUP BY 1, 2, 3),
  ch AS (SELECT factor, period, entity, w FROM w UNION ALL SELECT factor, period + 1, entity, -w FROM w), net AS (SELECT factor, period, entity, sum(w) AS w FROM ch GROUP BY 1, 2, 3)
@@ -686,7 +693,7 @@ _DECAY = f"""{_BOOK}, a AS (SELECT entity, dt, unnest([{', '.join(f"{{'lag': {k}
  v AS (SELECT factor, entity, dt, rank() OVER (PARTITION BY factor ORDER BY value) + (count(*) OVER (PARTITION BY factor, value) - 1) / 2 AS x FROM store),
  z AS (SELECT j.factor, lag, x, rank() OVER (PARTITION BY j.factor, lag ORDER BY fwd) + (count(*) OVER (PARTITION BY j.factor, lag, fwd) - 1) / 2 AS y FROM j JOIN v ON v.factor = j.factor AND v.entity = j.entity AND v.dt = j.dt)
  SELECT factor, CAST(lag AS INTEGER) AS lag, count(*) AS n, {r('corr(x, y)', 'ic')} FROM z GROUP BY 1, 2"""
-query("portfolio_ic_decay", _DECAY)(lambda spark, sf_dir: rounded(an.ic_decay(store(spark, sf_dir), tm.bars_weekly(spark, sf_dir), _LAGS)))
+query("portfolio_ic_decay", _DECAY)(lambda spark, sf_dir: rounded(an.ic_decay(*store_and_prices(spark, sf_dir), _LAGS)))
 
 _CAPITALS = (1e6, 1e7, 1e8)
 _CAPACITY = " UNION ALL ".join(f"SELECT factor, {c!r} AS capital, sqrt({c!r} / 1000) * 0.0005 AS i, a, s FROM m" for c in _CAPITALS)
