@@ -185,6 +185,7 @@ def add_class(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """``rows`` (doc_id, text, other columns) with class_id from ``near_classes``; only rows that may have company are moved."""
     led = classes.filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.xxhash64("doc_id", "th").alias("_at"), F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "class_id").distinct()
     led = stash(led, "led")
+    discard(rows.sparkSession)  # what the search has shuffled is over, the texts come next
     marked = maybe_among(rows.withColumn("_own", F.xxhash64("text")).withColumn("_key", F.xxhash64("doc_id", "_own")), "_key", key_filter(led, "_at", led.count()))
     alone = marked.filter(~F.col("_maybe")).withColumn("class_id", F.col("doc_id"))
     met = marked.filter("_maybe").join(led, (F.col("_key") == F.col("_at")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")), "left")
