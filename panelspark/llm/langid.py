@@ -2,8 +2,10 @@
 
 Each language has a codeword; each bit of it is predicted by a binary linear classifier over hashed character n-grams (of
 one to four bytes) of the whole text. Decoding is loss-weighted: the language whose codeword has the smallest logistic loss
-over all bits, each bit weighted by its accuracy on the sample, is chosen; a small margin to the next codeword marks the
-row as ambiguous.
+over all bits, each bit weighted by its accuracy on rows that it was not fitted on, is chosen; a small margin to the next
+codeword marks the row as ambiguous. So that margins mean something, they come from classifiers of the same bits that also
+learn mixtures of rows of two languages, in whose bits a share is right; and letters that no language of the sample uses
+count as evidence for none.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0; rows without a language train nothing; with
 no training row all are ``und``; with one language all others are that one; repeated rows get equal answers; of equally near
@@ -14,6 +16,7 @@ no row; other columns are ignored; the prediction reads only the text.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,6 +58,10 @@ def ngrams(text: str | None) -> np.ndarray:
     return np.concatenate(out)
 
 
+def letters(text: str | None) -> str:
+    return NOT_LETTERS.sub("", (text or "").lower())
+
+
 def codewords(k: int) -> np.ndarray:
     """k codewords of -1 and 1: the exhaustive code where it is short, else random bits (fixed seed) without repeated columns."""
     if k < 2:
@@ -75,12 +82,13 @@ def codewords(k: int) -> np.ndarray:
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keys, values = [], []
+        keys, values, own = [], [], []
         for t in b["text"].to_pylist():
+            own.append("".join(sorted(set(letters(t)))))
             k, n = np.unique(ngrams(t), return_counts=True)
             keys.append(k.astype(np.int32))
             values.append((n / max(n.sum(), 1)).astype(np.float32))
-        yield pa.RecordBatch.from_arrays([b["h"], b["lang"], pa.array(keys, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], names=["h", "lang", "keys", "values"])
+        yield pa.RecordBatch.from_arrays([b["h"], b["lang"], pa.array(keys, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32())), pa.array(own, pa.string())], names=["h", "lang", "keys", "values", "letters"])
 
 
 @dataclass
@@ -90,10 +98,20 @@ class LanguageModel:
     weights: np.ndarray  # n-gram x bit
     bias: np.ndarray
     bit_weight: np.ndarray
+    mixed_weights: np.ndarray  # of the classifiers that learned mixtures as well
+    mixed_bias: np.ndarray
+    alphabet: frozenset[str] = frozenset()
+
+    def known_share(self, text: str | None) -> float:
+        """Share of the letters of ``text`` that the sample's languages use."""
+        own = letters(text)
+        strange = set(own) - self.alphabet
+        return 1.0 - sum(map(own.count, strange)) / len(own) if strange else 1.0
 
     def predictor(self):
         """Text to (language, score, ambiguous)."""
-        langs, code, weights, bias, bit_weight = self.langs, self.code.astype(np.float64), self.weights, self.bias, self.bit_weight
+        langs, code, bit_weight = self.langs, self.code.astype(np.float64), self.bit_weight
+        weights, bias = np.hstack([self.weights, self.mixed_weights]), np.r_[self.bias, self.mixed_bias]
 
         def predict(text: str | None) -> tuple[str, float, bool]:
             h = ngrams(text)
@@ -105,11 +123,12 @@ class LanguageModel:
                 f = weights[h].sum(axis=0, dtype=np.float64) / len(h) + bias
             else:
                 f = np.bincount(h, minlength=1 << SPACE_BITS) @ weights / len(h) + bias
-            loss = np.logaddexp(0.0, -code * f) @ bit_weight
+            f = f * self.known_share(text)
+            first = int(np.argmin(np.logaddexp(0.0, -code * f[: len(bit_weight)]) @ bit_weight))
+            loss = np.logaddexp(0.0, -code * f[len(bit_weight) :]) @ bit_weight
             p = np.exp(loss.min() - loss)
             p /= p.sum()
-            first, second = np.argsort(-p, kind="stable")[:2]
-            return langs[first], float(p[first]), bool(p[first] - p[second] < AMBIGUOUS)
+            return langs[first], float(p[first]), bool(p[first] - np.delete(p, first).max() < AMBIGUOUS)
 
         return predict
 
@@ -137,29 +156,46 @@ def fit_languages(rows: DataFrame, max_rows: int = MAX_FIT_ROWS) -> LanguageMode
     pick = F.lit(False)
     for x in langs:
         pick = pick | ((F.col("lang") == x) & (place < int(1_000_000 * min(1.0, max_rows / counts[x])) + 1))
-    t = rows.filter(pick).select("h", "lang", "text").mapInArrow(_count_rows, "h long, lang string, keys array<int>, values array<float>").toArrow().sort_by("h")
+    t = rows.filter(pick).select("h", "lang", "text").mapInArrow(_count_rows, "h long, lang string, keys array<int>, values array<float>, letters string").toArrow().sort_by("h")
     code = codewords(len(langs))
     if len(langs) < 2 or not t.num_rows:
-        return LanguageModel(langs, code, np.zeros((1 << SPACE_BITS, 0), np.float32), np.zeros(0), np.zeros(0))
+        return LanguageModel(langs, code, np.zeros((1 << SPACE_BITS, 0), np.float32), np.zeros(0), np.zeros(0), np.zeros((1 << SPACE_BITS, 0), np.float32), np.zeros(0))
     keys, values = t["keys"].combine_chunks(), t["values"].combine_chunks()
     ends = np.r_[0, np.cumsum(np.asarray(keys.value_lengths()))]
     col, val = np.asarray(keys.flatten()), np.asarray(values.flatten())
     where = {x: i for i, x in enumerate(langs)}
     y = np.array([where[x] for x in t["lang"].to_pylist()])
-    return LanguageModel(langs, code, *_fit_bits(ends, col, val, code[y].astype(np.float32)))
+    used = Counter(c for own in t["letters"].to_pylist() for c in own)
+    alphabet = frozenset(c for c, n in used.items() if n > max(1, t.num_rows // 1000))
+    target = code[y].astype(np.float32)
+    weights, bias = _fit_bits(ends, col, val, target, np.arange(len(y)))
+    mixed = _fit_bits(ends, col, val, target, np.arange(len(y)), mixtures=True)
+    # Errors of each bit on rows that it was not fitted on; rows are in the order of a hash.
+    wrong, halves = np.zeros(code.shape[1]), np.array_split(np.arange(len(y)), 2)
+    for fit, test in (halves, halves[::-1]) if len(y) > 1 else ():
+        w, b = _fit_bits(ends, col, val, target, fit)
+        wrong += sum(target[r] * ((w[col[ends[r] : ends[r + 1]]] * val[ends[r] : ends[r + 1], None]).sum(axis=0) + b) <= 0 for r in test.tolist())
+    errors = (wrong + 0.5) / (len(y) + 1)
+    bit_weight = np.maximum(np.log((1 - errors) / errors), 0.01)
+    # Two codewords differ in ``apart`` bits that all tell the same: together they weigh as one.
+    apart = np.mean([(code[i] != code[j]).sum() for i in range(len(code)) for j in range(i)])
+    return LanguageModel(langs, code, weights, bias, bit_weight / bit_weight.sum() * code.shape[1] / apart, *mixed, alphabet)
 
 
 #: Rows of a training batch, passes over the sample, and the first step.
 BATCH, PASSES, STEP = 256, 12, 0.05
+#: Batches that the classifiers of mixtures learn from at least.
+LEAST_STEPS = 160
 
 
-def _fit_bits(ends: np.ndarray, col: np.ndarray, val: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A logistic classifier for each bit, all as one matrix (Adam over batches, L2): weights, bias, weight of each bit in decoding.
+def _fit_bits(ends: np.ndarray, col: np.ndarray, val: np.ndarray, target: np.ndarray, chosen: np.ndarray, mixtures: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """A logistic classifier for each bit, all as one matrix (Adam over batches, L2), fitted on the ``chosen`` rows: weights, bias.
 
     ``ends`` are the borders of the rows in ``col`` and ``val``; one batch at a time is a dense matrix, so memory is bounded.
+    With ``mixtures``, mixtures of two of its rows come to each batch; a mixture's target is mixed alike.
     """
-    space, (n, bits) = 1 << SPACE_BITS, target.shape
-    scale = 1 / np.sqrt(np.bincount(col, val.astype(np.float64) ** 2, minlength=space) / n + 1e-8)  # rare n-grams count as much as frequent ones
+    space, bits = 1 << SPACE_BITS, target.shape[1]
+    scale = 1 / np.sqrt(np.bincount(col, val.astype(np.float64) ** 2, minlength=space) / len(target) + 1e-8)  # rare n-grams count as much as frequent ones
     scale = np.minimum(scale, 1e3).astype(np.float32)
 
     def batch(rows: np.ndarray) -> np.ndarray:
@@ -172,19 +208,22 @@ def _fit_bits(ends: np.ndarray, col: np.ndarray, val: np.ndarray, target: np.nda
 
     w = np.zeros((space + 1, bits), np.float32)
     m1, m2, step, rng = np.zeros_like(w), np.zeros_like(w), 0, np.random.default_rng(11)
-    for turn in range(PASSES):
-        order = rng.permutation(n)
-        for at in range(0, n, BATCH):
+    passes = max(PASSES, -(-LEAST_STEPS * BATCH // max(len(chosen), 1))) if mixtures else PASSES
+    for turn in range(passes):
+        order = rng.permutation(chosen)
+        for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
             x, y = batch(rows), target[rows]
-            d = -y / (1 + np.exp(np.clip(y * (x @ w), -40, 40))) / len(rows)
+            if mixtures:
+                a, b = rng.permutation(len(rows)), rng.permutation(len(rows))
+                two = (y[a] != y[b]).any(axis=1)
+                a, b, share = a[two], b[two], rng.uniform(0.25, 0.75, (int(two.sum()), 1)).astype(np.float32)
+                x, y = np.r_[x, share * x[a] + (1 - share) * x[b]], np.r_[y, share * y[a] + (1 - share) * y[b]]
+            d = (1 / (1 + np.exp(-np.clip(x @ w, -40, 40))) - (y + 1) / 2) / len(x)
             g = x.T @ d
             g[:space] += 1e-4 * w[:space]
             step += 1
             m1 = 0.9 * m1 + 0.1 * g
             m2 = 0.99 * m2 + 0.01 * g * g
-            w -= STEP * (1 - turn / PASSES) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
-    wrong = sum((target[rows] * (batch(rows) @ w) <= 0).sum(axis=0) for rows in np.array_split(np.arange(n), -(-n // BATCH)))
-    errors = (wrong + 0.5) / (n + 1)
-    weight = np.maximum(np.log((1 - errors) / errors), 0.01)
-    return w[:space] * scale[:, None], w[space].astype(np.float64), weight / weight.sum() * bits
+            w -= STEP * (1 - turn / passes) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
+    return w[:space] * scale[:, None], w[space].astype(np.float64)

@@ -241,3 +241,23 @@ def test_lattice_points_and_recall():
     a, b = cells.of(u), cells.of(v)
     meet = ((a[:, :, :1] == b).any(axis=2) | (b[:, :, :1] == a).any(axis=2)).any(axis=1)
     assert meet.mean() > 0.99
+
+
+def test_mixed_and_foreign_texts_are_ambiguous(spark):
+    """Texts of one language are told and sure; halves of two and letters of another alphabet are not."""
+    from panelspark.llm import langid
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = "crc32(cast(doc_id as string)) % 4 = 2"
+    model = langid.fit_languages(docs.filter(f"not {held}"))
+    predict = model.predictor()
+    rows = [(r["lang"], r["text"]) for r in docs.filter(held).collect() if r["text"] and len(r["text"]) > 400]
+    found = [(lang, *predict(text)) for lang, text in rows]
+    assert np.mean([lang == got for lang, got, _, _ in found]) > 0.99
+    assert np.mean([unsure for *_, unsure in found]) < 0.05
+    by = {lang: [t for x, t in rows if x == lang] for lang in model.langs}
+    mixed = [predict(a[: (n := min(len(a), len(b)))] + " " + b[:n]) for p, q in (("de", "en"), ("fr", "es"), ("en", "fr")) for a, b in zip(by[p][:15], by[q][:15], strict=False)]
+    assert np.mean([unsure for _, _, unsure in mixed]) > 0.5 and np.mean([score for _, score, _ in mixed]) < 0.9
+    for text in ("Съешь ещё этих мягких французских булок да выпей чаю", "これは日本語の文章です", "Η γρήγορη αλεπού"):
+        assert predict(text)[2] and predict(text)[1] < 0.5
+    assert len(set(np.round(model.bit_weight, 6))) > 0 and predict("12345 !!") == ("und", 0.0, True)
