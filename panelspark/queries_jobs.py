@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from panelspark import testmap as tm
 from panelspark.queries import events, query, r, rounded
-from panelspark.sources import tables
+from panelspark.research import streaks
+from panelspark.sources import parse, store, tables
 from panelspark.streaming import ingest
 
 # ---- upsert of touched partitions ------------------------------------------------------------------------------------------------
@@ -166,3 +167,56 @@ def ingest_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = F.col("_damaged").isNotNull()
     out = landed.groupBy(F.when(~damaged, F.col("event_type")).alias("event_type")).agg(F.count("*").alias("n"), F.count("_damaged").alias("n_damaged"), F.sum(F.when(~damaged, F.col("value"))).alias("total"))
     return rounded(out)
+
+
+# ---- curated coin bars and the study of limit days ---------------------------------------------------------------------------------
+
+_PAIRS = "CASE WHEN user_id % 3 = 0 THEN 'BTC/USDT' WHEN user_id % 3 = 1 THEN 'X/Y' ELSE 'ETH/USDT' END"
+_COINS = f"""SELECT replace({_PAIRS}, '/', '') AS symbol, 'ex' || (user_id % 2) AS exchange, date_trunc('hour', ts) AS timestamp, '1h' AS timeframe,
+ arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low, arg_max(value, event_id) AS close, sum(value) AS volume FROM events GROUP BY 1, 2, 3"""
+
+
+@query("curated_coin_bars", f"""
+WITH c AS (SELECT *, row_number() OVER (PARTITION BY timestamp ORDER BY exchange, close) AS nth FROM ({_COINS}) WHERE symbol = 'BTCUSDT'),
+ old AS (SELECT * FROM c WHERE nth = 1 AND timestamp < TIMESTAMP '2024-01-10'),
+ new AS (SELECT * FROM c WHERE nth = 1 AND timestamp NOT IN (SELECT timestamp FROM old))
+SELECT CAST(timestamp AS VARCHAR) AS at, timeframe, {r('-open', 'open')}, {r('close', 'close')}, {r('volume', 'volume')} FROM old
+UNION ALL SELECT CAST(timestamp AS VARCHAR), timeframe, {r('open', 'open')}, {r('close', 'close')}, {r('volume', 'volume')} FROM new""")
+def curated_coin_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars of pairs on two exchanges; bars that were curated before (with another open) stay."""
+    pair = F.when(F.col("user_id") % 3 == 0, "BTC/USDT").when(F.col("user_id") % 3 == 1, "X/Y").otherwise("ETH/USDT")
+    ticks = events(spark, sf_dir).select(parse.symbol_of(pair).alias("symbol"), F.concat(F.lit("ex"), F.col("user_id") % 2).alias("exchange"), F.date_trunc("hour", "ts").alias("timestamp"), "value", "event_id")
+    raw = ticks.groupBy("symbol", "exchange", "timestamp", F.lit("1h").alias("timeframe")).agg(F.min_by("value", "event_id").alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", "event_id").alias("close"), F.sum("value").alias("volume"))
+    before = store.curated_bars(raw.filter("timestamp < '2024-01-10'"), "BTCUSDT", "1h").withColumn("open", -F.col("open"))
+    out = store.curated_bars(raw, "BTCUSDT", "1h", before)
+    return rounded(out.select(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("at"), "timeframe", "open", "close", "volume"))
+
+
+def limit_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of users as days of limits: what held, what broke, and the time of day as HHMMSS."""
+    lim = F.when(F.col("event_type") == "purchase", "Z").when(F.col("event_type") == "error", "U").otherwise("D")
+    rows = events(spark, sf_dir).groupBy(F.col("user_id").alias("entity"), F.to_date("ts").alias("dt")).agg(F.max_by(F.struct(lim.alias("lim"), F.col("value").alias("pct_chg"), F.date_format("ts", "HHmmss").alias("first_time")), "event_id").alias("r"))
+    return rows.select("entity", "dt", "r.*").withColumn("first_min", parse.minutes_since_open(F.col("first_time")))
+
+
+_LIMITS = """SELECT user_id AS entity, CAST(ts AS DATE) AS dt, arg_max(CASE event_type WHEN 'purchase' THEN 'Z' WHEN 'error' THEN 'U' ELSE 'D' END, event_id) AS lim, arg_max(value, event_id) AS pct_chg, arg_max(ts, event_id) AS seen FROM events GROUP BY 1, 2"""
+_LIMIT_KINDS = f"""WITH l AS ({_LIMITS}), b AS (SELECT entity, dt, row_number() OVER (PARTITION BY entity, island ORDER BY dt) AS k FROM (SELECT entity, dt, dt - CAST(row_number() OVER (PARTITION BY entity ORDER BY dt) AS INTEGER) AS island FROM l WHERE lim = 'Z')),
+ kinds AS (SELECT l.*, k AS board_count, CASE WHEN lim = 'Z' THEN CASE WHEN k > 1 THEN 'consecutive' ELSE 'first' END WHEN lim = 'U' THEN 'broken' ELSE 'other' END AS kind FROM l LEFT JOIN b ON l.entity = b.entity AND l.dt = b.dt AND lim = 'Z')"""
+_FIRST_MIN = "date_part('hour', seen) * 60 + date_part('minute', seen) + floor(date_part('second', seen)) / 60 - 570"
+query("research_limit_kinds", f"{_LIMIT_KINDS} SELECT entity, dt, lim, CAST(board_count AS INTEGER) AS board_count, kind, {r(_FIRST_MIN, 'first_min')} FROM kinds")(
+    lambda spark, sf_dir: rounded(streaks.limit_kinds(limit_panel(spark, sf_dir)).select("entity", "dt", "lim", "board_count", "kind", "first_min"))
+)
+
+_INDEX = "SELECT CAST(ts AS DATE) AS dt, avg(value) AS close FROM events GROUP BY 1"
+_NEXT = "SELECT entity, dt, lead(pct_chg) OVER (PARTITION BY entity ORDER BY dt) / nullif(pct_chg, 0) - 1 AS nx FROM l"
+
+
+@query("research_limit_next_day", f"""{_LIMIT_KINDS}, n AS ({_NEXT}), m AS (SELECT dt, lead(close) OVER (ORDER BY dt) / nullif(close, 0) - 1 AS mk FROM ({_INDEX}))
+SELECT kind, count(*) AS n, {r('avg(CASE WHEN nx > 0 THEN 1.0 ELSE 0.0 END)', 'win_rate')}, {r('avg(nx)', 'mean')}, {r('median(nx)', 'median')}, {r('avg(nx - mk)', 'excess')}
+FROM kinds k JOIN n ON n.entity = k.entity AND n.dt = k.dt LEFT JOIN m ON m.dt = k.dt WHERE nx IS NOT NULL GROUP BY 1 HAVING count(*) >= 10""")
+def research_limit_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day after a limit day by its kind, against an index."""
+    limits = limit_panel(spark, sf_dir)
+    index = events(spark, sf_dir).groupBy(F.to_date("ts").alias("dt")).agg(F.avg("value").alias("close"))
+    prices = limits.select("entity", "dt", F.col("pct_chg").alias("close"))
+    return rounded(streaks.next_day_study(streaks.limit_kinds(limits), prices, market=streaks.index_next(index)))

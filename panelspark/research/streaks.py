@@ -33,11 +33,42 @@ def board_types(board: DataFrame) -> DataFrame:
     return board.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"), F.max("board_count").alias("longest"))
 
 
-def next_day_study(events: DataFrame, prices: DataFrame, least: int = 10) -> DataFrame:
-    """Per kind: number, win rate, mean and median of the next row's return and its excess over the date's mean."""
+#: Marks of the limit list. The limit held to the close, and it was reached but broken.
+HELD, BROKEN = "Z", "U"
+
+
+def limit_kinds(limits: DataFrame) -> DataFrame:
+    """``limits`` (entity, dt, lim, ...) with board_count (of days whose limit held) and kind: first board, consecutive ones,
+    broken, or other."""
+    counted = limits.join(boards(limits.filter(F.col("lim") == HELD)).withColumn("lim", F.lit(HELD)), ["entity", "dt", "lim"], "left")
+    kind = F.when(F.col("lim") == HELD, F.when(F.col("board_count") > 1, "consecutive").otherwise("first")).when(F.col("lim") == BROKEN, "broken").otherwise("other")
+    return counted.select(*limits.columns, "board_count", kind.alias("kind"))
+
+
+def index_next(index: DataFrame) -> DataFrame:
+    """(dt, market): an index's return to its next day, as the market of a study; ``index`` (dt, close) is one series."""
+    ahead = F.lead("close").over(Window.orderBy("dt"))
+    return index.select("dt", (F.try_divide(ahead, F.col("close")) - 1).alias("market"))
+
+
+#: Minutes after the open between which limits are compared; the midday break is not taken out.
+CLOCK = (0.0, 15.0, 30.0, 60.0, 120.0, 210.0, 240.0, 999.0)
+
+
+def time_effect(limits: DataFrame, value: str = "pct_chg", least: int = 100) -> DataFrame:
+    """(lo, hi, n, mean, std) of ``value`` by the minutes after the open (``first_min``) at which a limit that held was
+    reached; no row where there are fewer than ``least`` such days."""
+    held = limits.filter((F.col("lim") == HELD) & F.col("first_min").isNotNull())
+    enough = held.agg((F.count("*") >= least).alias("_enough"))
+    return binned(held, "first_min", list(CLOCK), value).join(F.broadcast(enough), F.col("_enough")).drop("_enough")
+
+
+def next_day_study(events: DataFrame, prices: DataFrame, least: int = 10, market: DataFrame | None = None) -> DataFrame:
+    """Per kind: number, win rate, mean and median of the next row's return and its excess over the market's: ``market``
+    (dt, market), an index say, or else the mean of all entities of the date."""
     w = Window.partitionBy("entity").orderBy("dt")
     nxt = prices.select("entity", "dt", (F.try_divide(F.lead("close").over(w), F.col("close")) - 1).alias("next"))
-    market = nxt.groupBy("dt").agg(F.avg("next").alias("market"))
+    market = nxt.groupBy("dt").agg(F.avg("next").alias("market")) if market is None else market
     rows = events.join(nxt, ["entity", "dt"], "left").join(market, "dt", "left").filter("next is not null")
     out = rows.groupBy("kind").agg(F.count("*").alias("n"), F.avg(F.when(F.col("next") > 0, 1.0).otherwise(0.0)).alias("win_rate"), F.avg("next").alias("mean"), F.percentile("next", 0.5).alias("median"), F.avg(F.col("next") - F.col("market")).alias("excess"))
     return out.filter(F.col("n") >= least)

@@ -57,6 +57,18 @@ def exchange_of(code: Column) -> Column:
     return F.when(code.endswith(".SH"), "SSE").when(code.endswith(".SZ"), "SZSE").when(code.endswith(".BJ"), "BSE")
 
 
+#: Pairs of coins and the store's symbols for them.
+SYMBOLS = {"BTC/USDT": "BTCUSDT", "ETH/USDT": "ETHUSDT", "SOL/USDT": "SOLUSDT", "BNB/USDT": "BNBUSDT", "DOGE/USDT": "DOGEUSDT"}
+
+
+def symbol_of(pair: Column, known: dict[str, str] | None = None) -> Column:
+    """The store's symbol of a pair: the known one, else the pair without its slash."""
+    out = F.replace(pair, F.lit("/"), F.lit(""))
+    for name, symbol in (SYMBOLS if known is None else known).items():
+        out = F.when(pair == name, symbol).otherwise(out)
+    return out
+
+
 def minutes_since_open(clock: Column) -> Column:
     """HHMMSS (as a number or text) to minutes after 09:30; seconds are the fraction."""
     t = F.lpad(safe_int(clock).cast("string"), 6, "0")

@@ -67,6 +67,17 @@ def resample(bars: DataFrame, unit: str) -> DataFrame:
     return out.agg(F.min_by("open", "dt").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "dt").alias("close"), F.sum("volume").alias("volume"), F.sum("amount").alias("amount"))
 
 
+def curated_bars(raw: DataFrame, symbol: str, timeframe: str, curated: DataFrame | None = None) -> DataFrame:
+    """(timestamp, timeframe, open .. volume): the bars of one symbol and timeframe that are not in ``curated`` yet, after it.
+
+    What is curated stays as it is; of raw bars of one time the first by exchange is taken.
+    """
+    columns = ["timestamp", "timeframe", "open", "high", "low", "close", "volume"]
+    chosen = raw.filter((F.col("symbol") == symbol) & (F.col("timeframe") == timeframe))
+    target = raw.select(*columns).limit(0) if curated is None else curated
+    return insert_if_absent(target, chosen, ["timestamp", "timeframe"], [F.col("exchange"), F.col("close")])
+
+
 def latest_by(df: DataFrame, keys: list[str], at: str) -> DataFrame:
     """The latest row of each key, as of column ``at``."""
     rest = [c for c in df.columns if c not in keys]

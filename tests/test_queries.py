@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-CHOSEN = ["flagship", "processed_factors", "factors_price", "factors_correlation", "factors_oscillator", "alpha158_kbar", "alpha158_rolling_5", "classic_momentum", "portfolio_long_short", "portfolio_groups", "store_upsert", "store_versions", "research_signed_streak", "research_sector_correlation", "read_ohlcv", "load_daily", "store_replace_reference", "curated_yearly_reports", "ingest_scalars", "research_streak_analysis", "portfolio_custom_strategy", "formulaic_029_042"]
+CHOSEN = ["flagship", "processed_factors", "factors_price", "factors_correlation", "factors_oscillator", "alpha158_kbar", "alpha158_rolling_5", "classic_momentum", "portfolio_long_short", "portfolio_groups", "store_upsert", "store_versions", "research_signed_streak", "research_sector_correlation", "read_ohlcv", "load_daily", "store_replace_reference", "curated_yearly_reports", "ingest_scalars", "research_streak_analysis", "portfolio_custom_strategy", "formulaic_029_042", "slots_classic", "store_upsert_partitions", "store_versions_in_batches", "job_resumed", "stream_event_days", "ingest_route_once", "ingest_landing", "curated_coin_bars", "research_limit_kinds", "research_limit_next_day"]
 
 
 @pytest.fixture(scope="module")

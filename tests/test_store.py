@@ -157,3 +157,19 @@ def test_readers_push_their_filters_to_the_files(spark):
     plan = readers.read(spark, "/root/testdata/sf0.001", data, "1996-01-01", "1996-06-30", [1, 2])._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and all(x in plan for x in ("GreaterThanOrEqual(o_orderdate", "LessThan(o_orderdate", "In(o_custkey", "IsNotNull(o_totalprice)"))
     assert "o_orderpriority" not in plan
+
+
+def test_limit_days_and_symbols(spark):
+    from datetime import date
+
+    from panelspark.research import streaks
+
+    rows = [("a", date(2024, 1, d), lim, 10.0, m) for d, lim, m in ((1, "Z", 5.0), (2, "Z", 20.0), (3, "U", 7.0), (4, "Z", 300.0), (5, "D", None))]
+    limits = spark.createDataFrame(rows, "entity string, dt date, lim string, pct_chg double, first_min double")
+    got = {r["dt"].day: (r["kind"], r["board_count"]) for r in streaks.limit_kinds(limits).collect()}
+    assert got == {1: ("first", 1), 2: ("consecutive", 2), 3: ("broken", None), 4: ("first", 1), 5: ("other", None)}
+    assert streaks.time_effect(limits).count() == 0
+    assert [(r["lo"], r["n"]) for r in streaks.time_effect(limits, least=3).orderBy("lo").collect() if r["n"]] == [(0.0, 1), (15.0, 1), (240.0, 1)]
+    pairs = spark.createDataFrame([("BTC/USDT",), ("A/B",), (None,)], "p string")
+    assert [r[0] for r in pairs.select(parse.symbol_of(F.col("p"))).collect()] == ["BTCUSDT", "AB", None]
+    assert [r[0] for r in pairs.select(parse.safe_text(F.col("p"), 3)).collect()] == ["BTC", "A/B", ""]
