@@ -57,7 +57,9 @@ def store_versions_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = tables.build_versions(batches[0], *args)
     known = batches[0]
     for batch in batches[1:]:
-        now = tables.merge_versions(now, batch, known, *args)
+        path = tables.work_folder(spark, "versions")
+        tables.merge_versions(now, batch, known, *args).write.parquet(path)
+        now = spark.read.parquet(path)
         known = known.unionByName(batch)
     return now
 
