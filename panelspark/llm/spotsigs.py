@@ -20,7 +20,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm._common import discard, key_filter, let, maybe_among, meeting, only_maybe, parallelism, stash
+from panelspark.llm._common import discard, key_filter, let, meeting, only_maybe, parallelism, stash
 from panelspark.llm.grouping import link_buckets
 
 CHAIN = 2
@@ -78,33 +78,51 @@ def _rows(docs: DataFrame) -> DataFrame:
     return rows.withColumn("th", F.xxhash64("text"))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """(doc_id, text, next_text): the text of the next document in ascending order of id, after the last that of the first.
 
     Rows are dealt to ranges of ids; a range learns the first row of the next one as a row of its own, at its end. An id of
     very many rows is divided further by the hash of the text. The bounds and the first ids of the ranges (one for each
     RANGE_BYTES of text, about) are all that passes through the driver.
+
+    With ``classes`` from ``near_classes`` also class_id. A class is a row without text before the rows it is of, so that
+    texts are moved once only, in the shuffle to their range.
     """
     spark = docs.sparkSession
+    led = None
+    if classes is not None:
+        led = classes.filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "th", "class_id").distinct()
+        led = stash(led, "led")
+        discard(spark)  # what the search has shuffled is over, the texts come next
     rows = _rows(docs)
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     parts = max(RANGES * parallelism(spark), -(-size // RANGE_BYTES))
     quantiles = Counter(int(b) for b in rows.approxQuantile("id", [k / parts for k in range(1, parts)], 0.25 / parts))
-    rows = rows.withColumn("range", _range_of(F.col("id"), sorted(quantiles)).cast("long"))
     wide = [x for x, n in quantiles.items() if n > 2]
+    dealt = _range_of(F.col("id"), sorted(quantiles)).cast("long")
     if wide:
         bits = max(quantiles.values()).bit_length()
         cut = F.when(F.col("id").isin(wide), F.shiftright("th", 64 - bits) + (1 << (bits - 1))).otherwise(1 << bits)
-        rows = rows.withColumn("range", F.col("range") * (2 << bits) + cut)
+        dealt = dealt * (2 << bits) + cut
+    rows = rows.withColumn("range", dealt)
+    own_id = F.when(F.col("id") != _LAST, F.col("id"))
     heads = sorted(rows.groupBy("range").agg(F.min(F.struct("id", "th")).alias("h")).select("range", "h.id", "h.th").collect())
     if not heads:
-        return rows.select(F.col("id").alias("doc_id"), "text", F.col("text").alias("next_text"))
+        return rows.select(F.col("id").alias("doc_id"), "text", F.col("text").alias("next_text"), *([] if led is None else [own_id.alias("class_id")]))
     after = spark.createDataFrame([(r["range"], *heads[(k + 1) % len(heads)][1:]) for k, r in enumerate(heads)], "into long, id long, th long")
     lead = rows.join(F.broadcast(after), ["id", "th"]).select("id", "text", "th", F.col("into").alias("range"), F.lit(True).alias("guest")).dropDuplicates(["range"])
     both = rows.select("id", "text", "th", "range", F.lit(False).alias("guest")).unionByName(lead)
     w = Window.partitionBy("range").orderBy("guest", "id", "th")
-    out = both.withColumn("next_text", F.lead("text").over(w)).filter(~F.col("guest"))
-    return out.select(F.when(F.col("id") != _LAST, F.col("id")).alias("doc_id"), "text", "next_text")
+    if led is None:
+        out = both.withColumn("next_text", F.lead("text").over(w)).filter(~F.col("guest"))
+        return out.select(own_id.alias("doc_id"), "text", "next_text")
+    both = both.unionByName(led.withColumns({"range": dealt, "guest": F.lit(False)}), allowMissingColumns=True)
+    w = w.orderBy("guest", "id", "th", F.col("class_id").asc_nulls_last())
+    known = F.last(F.when(F.col("class_id").isNotNull(), F.struct("id", "th", "class_id")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # At most one class stands between two texts.
+    out = both.withColumns({"next_text": F.coalesce(F.lead("text").over(w), F.lead("text", 2).over(w)), "known": known}).filter(~F.col("guest") & F.col("text").isNotNull())
+    of_it = (F.col("known.id") == F.col("id")) & (F.col("known.th") == F.col("th"))
+    return out.select(own_id.alias("doc_id"), "text", "next_text", F.when(of_it, F.col("known.class_id")).otherwise(own_id).alias("class_id"))
 
 
 def _range_of(value: Column, bounds: list[int], fan: int = 64) -> Column:
@@ -179,15 +197,3 @@ def near_classes(docs: DataFrame) -> DataFrame:
     out = stash(keys.join(of_class, "key").drop("key"), "near-classes")
     discard(spark, keys, classes, heads, members, of_class)
     return out.select(*(F.when(F.col(c) != _LAST, F.col(c)).alias(c) for c in ("doc_id", "class_id")), "th")
-
-
-def add_class(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, text, other columns) with class_id from ``near_classes``; only rows that may have company are moved."""
-    led = classes.filter(~F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.xxhash64("doc_id", "th").alias("_at"), F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "class_id").distinct()
-    led = stash(led, "led")
-    discard(rows.sparkSession)  # what the search has shuffled is over, the texts come next
-    marked = maybe_among(rows.withColumn("_own", F.xxhash64("text")).withColumn("_key", F.xxhash64("doc_id", "_own")), "_key", key_filter(led, "_at", led.count()))
-    alone = marked.filter(~F.col("_maybe")).withColumn("class_id", F.col("doc_id"))
-    met = marked.filter("_maybe").join(led, (F.col("_key") == F.col("_at")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")), "left")
-    met = met.withColumn("class_id", F.when(F.col("_at").isNull(), F.col("doc_id")).otherwise(F.col("class_id")))
-    return alone.select(*rows.columns, "class_id").unionByName(met.select(*rows.columns, "class_id"))
