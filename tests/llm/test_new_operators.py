@@ -225,6 +225,11 @@ def test_op13_query_on_whole_tables(spark, tmp_path):
     assert Counter(tuple(r) for r in queries.op13_lattice(spark, str(tmp_path)).collect()) == _linked(rows)
 
 
+def test_op13_query_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], VECTORS).write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert queries.op13_lattice(spark, str(tmp_path)).count() == 0
+
+
 def test_lattice_points_and_recall():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(500, 8)) * 2
