@@ -74,11 +74,14 @@ def with_nav(returns: DataFrame, columns: tuple[str, ...] = ("long_ret", "short_
 
 
 def metrics(returns: DataFrame, column: str = "ls_ret", year: float = 252.0) -> DataFrame:
-    """One row for each factor: total and annual return, volatility, Sharpe, drawdown with its date, Calmar, win rate, profit/loss."""
-    nav = returns.filter(F.col(column).isNotNull()).select("factor", "dt", F.col(column).alias("ret"), F.product(1 + F.col(column)).over(so_far()).alias("nav"))
+    """One row for each factor: total and annual return, volatility, Sharpe, drawdown with its date, Calmar, win rate, profit/loss.
+
+    A day without a return counts as a day on which nothing was won; a value below zero has no annual return (NaN).
+    """
+    nav = returns.select("factor", "dt", F.col(column).alias("ret"), F.product(1 + F.col(column)).over(so_far()).alias("nav"))
     down = nav.select("*", (F.col("nav") / F.greatest(F.max("nav").over(so_far()), F.lit(1.0)) - 1).alias("dd"))
-    out = down.groupBy("factor").agg(F.count("*").alias("n"), F.max_by("nav", "dt").alias("last"), F.stddev_samp("ret").alias("s"), F.min("dd").alias("max_dd"), F.min_by("dt", F.struct("dd", "dt")).alias("max_dd_date"), F.avg(F.when(F.col("ret") > 0, 1.0).otherwise(0.0)).alias("win_rate"), F.avg(F.when(F.col("ret") > 0, F.col("ret"))).alias("won"), F.avg(F.when(F.col("ret") < 0, F.col("ret"))).alias("lost"))
-    annual = F.pow(F.greatest(F.col("last"), F.lit(0.0)), F.lit(year) / F.col("n")) - 1
+    out = down.groupBy("factor").agg(F.count("*").alias("n"), F.max_by("nav", F.when(F.col("nav").isNotNull(), F.col("dt"))).alias("last"), F.stddev_samp("ret").alias("s"), F.min("dd").alias("max_dd"), F.min_by("dt", F.struct(F.col("dd").isNull(), "dd", "dt")).alias("max_dd_date"), F.avg(F.when(F.col("ret") > 0, 1.0).otherwise(0.0)).alias("win_rate"), F.avg(F.when(F.col("ret") > 0, F.col("ret"))).alias("won"), F.avg(F.when(F.col("ret") < 0, F.col("ret"))).alias("lost"))
+    annual = F.pow(F.col("last"), F.lit(year) / F.col("n")) - 1
     vol = F.col("s") * F.sqrt(F.lit(year))
     return out.select("factor", "n", (F.col("last") - 1).alias("total_return"), annual.alias("annual_return"), vol.alias("volatility"), F.try_divide(annual, vol).alias("sharpe"), "max_dd", "max_dd_date", F.try_divide(annual, -F.col("max_dd")).alias("calmar"), "win_rate", F.try_divide(F.col("won"), -F.col("lost")).alias("profit_loss"))
 
