@@ -16,8 +16,11 @@ def monthly_returns(returns: DataFrame, column: str = "ls_ret") -> DataFrame:
 
 
 def tear_sheet(returns: DataFrame, column: str = "ls_ret", year: float = 252.0) -> DataFrame:
-    """One row for each factor: annual figures, drawdown and its longest run, tail risk, Sharpe, Sortino, shape of the returns."""
-    nav = returns.filter(F.col(column).isNotNull()).select("factor", "dt", F.col(column).alias("ret"), F.product(1 + F.col(column)).over(so_far()).alias("nav"))
+    """One row for each factor: annual figures, drawdown and its longest run, tail risk, Sharpe, Sortino, shape of the returns.
+
+    A day without a return counts as a day, as in ``metrics``.
+    """
+    nav = returns.select("factor", "dt", F.col(column).alias("ret"), F.product(1 + F.col(column)).over(so_far()).alias("nav"))
     down = nav.select("*", (F.col("nav") / F.max("nav").over(so_far()) - 1).alias("dd"))
     # Days under water form islands: a day at its peak starts a new one.
     island = down.select("*", F.sum(F.when(F.col("dd") >= 0, 1).otherwise(0)).over(so_far()).alias("island"))
@@ -25,7 +28,7 @@ def tear_sheet(returns: DataFrame, column: str = "ls_ret", year: float = 252.0)
     tail = nav.groupBy("factor").agg(F.percentile("ret", 0.05).alias("var_95"))
     figures = down.join(tail, "factor").groupBy("factor").agg(
         F.count("*").alias("n"),
-        F.max_by("nav", "dt").alias("last"),
+        F.max_by("nav", F.when(F.col("nav").isNotNull(), F.col("dt"))).alias("last"),
         F.stddev_samp("ret").alias("s"),
         F.stddev_samp(F.when(F.col("ret") < 0, F.col("ret"))).alias("s_down"),
         F.avg("ret").alias("mean"),
@@ -37,7 +40,7 @@ def tear_sheet(returns: DataFrame, column: str = "ls_ret", year: float = 252.0)
         F.kurtosis("ret").alias("kurt"),
         F.avg(F.when(F.col("ret") > 0, 1.0).otherwise(0.0)).alias("positive_days"),
     )
-    annual = F.pow(F.greatest(F.col("last"), F.lit(0.0)), F.lit(year) / F.col("n")) - 1
+    annual = F.pow(F.col("last"), F.lit(year) / F.col("n")) - 1
     root = F.sqrt(F.lit(year))
     out = figures.join(runs, "factor", "left")
     return out.select("factor", annual.alias("annual_return"), (F.col("s") * root).alias("annual_vol"), F.try_divide(annual, F.col("s") * root).alias("sharpe"), F.try_divide(annual, F.col("s_down") * root).alias("sortino"), "max_dd", F.coalesce("dd_days", F.lit(0)).cast("long").alias("dd_days"), F.try_divide(annual, -F.col("max_dd")).alias("calmar"), "var_95", "cvar_95", (F.try_divide(F.col("mean"), F.col("s_pop")) * root).alias("ir"), "skew", "kurt", "positive_days")
