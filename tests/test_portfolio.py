@@ -13,9 +13,11 @@ from panelspark.portfolio import analysis, backtest
 
 RETURNS = {"gaps": [None, 0.02, -0.01, None, 0.03, -0.05, None], "below zero": [0.1, -1.5, None, 0.2, -0.1, 0.3, 0.1, -0.2], "whole": [0.01, -0.02, 0.03, 0.01, -0.01]}
 ROWS = [(f, dt.date(2024, 1, 1) + dt.timedelta(days=k), r) for f, own in RETURNS.items() for k, r in enumerate(own)]
+CAPITALS = (1e6, 1e7, 1e8)
 COMPUTED = {
     "portfolio_metrics": backtest.metrics,
     "portfolio_tear_sheet": analysis.tear_sheet,
+    "portfolio_capacity": lambda book: analysis.capacity(backtest.metrics(book), list(CAPITALS)),
 }
 
 
