@@ -19,7 +19,9 @@ FAMILIES = {
     "formulaic_029_042": sorted(formulaic.ALPHAS)[28:42],
     "formulaic_083_101": sorted(formulaic.ALPHAS)[70:84],
 }
-SLOTTED: dict[str, list[str]] = {}
+SLOTTED: dict[str, list[str]] = {
+    "slots_alpha158_20": registry.names("alpha158_rolling_20"),
+}
 
 
 @pytest.fixture(scope="module")
