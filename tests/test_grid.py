@@ -22,6 +22,7 @@ FAMILIES = {
 }
 SLOTTED: dict[str, list[str]] = {
     "slots_alpha158_20": registry.names("alpha158_rolling_20"),
+    "slots_formulaic": SLOTS_ALPHAS,
 }
 
 
