@@ -17,6 +17,7 @@ SF = "/root/testdata/sf0.001"
 SLOTS_ALPHAS = ["alpha001", "alpha005", "alpha012", "alpha017", "alpha026", "alpha027", "alpha035", "alpha053", "alpha060", "alpha101"]
 FAMILIES = {
     "formulaic_029_042": sorted(formulaic.ALPHAS)[28:42],
+    "formulaic_043_060": sorted(formulaic.ALPHAS)[42:56],
     "formulaic_015_028": sorted(formulaic.ALPHAS)[14:28],
     "formulaic_061_081": sorted(formulaic.ALPHAS)[56:70],
     "formulaic_083_101": sorted(formulaic.ALPHAS)[70:84],
