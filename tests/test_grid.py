@@ -17,6 +17,7 @@ SF = "/root/testdata/sf0.001"
 SLOTS_ALPHAS = ["alpha001", "alpha005", "alpha012", "alpha017", "alpha026", "alpha027", "alpha035", "alpha053", "alpha060", "alpha101"]
 FAMILIES = {
     "formulaic_029_042": sorted(formulaic.ALPHAS)[28:42],
+    "alpha158_rolling_30": registry.names("alpha158_rolling_30"),
     "factors_rolling": registry.names("rolling"),
     "formulaic_001_014": sorted(formulaic.ALPHAS)[0:14],
     "formulaic_043_060": sorted(formulaic.ALPHAS)[42:56],
