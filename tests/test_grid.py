@@ -17,6 +17,7 @@ SF = "/root/testdata/sf0.001"
 SLOTS_ALPHAS = ["alpha001", "alpha005", "alpha012", "alpha017", "alpha026", "alpha027", "alpha035", "alpha053", "alpha060", "alpha101"]
 FAMILIES = {
     "formulaic_029_042": sorted(formulaic.ALPHAS)[28:42],
+    "alpha158_rolling_60": registry.names("alpha158_rolling_60"),
     "alpha158_rolling_10": registry.names("alpha158_rolling_10"),
     "alpha158_rolling_20": registry.names("alpha158_rolling_20"),
     "alpha158_rolling_30": registry.names("alpha158_rolling_30"),
